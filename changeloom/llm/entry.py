@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from changeloom.llm.bpe import op1_byte_bpe
+from changeloom.llm.langid import op10_zstd_language
+from changeloom.llm.minhash import op6_minmax_dedup
 from changeloom.llm.mixing import OP3_SQL, op3_pareto_mix
 from changeloom.llm.sharding import op4_interleaved_shards
+from changeloom.llm.toxicity import op8_toxic_segments
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe, "op3_pareto_mix": op3_pareto_mix, "op4_interleaved_shards": op4_interleaved_shards}
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op3_pareto_mix": op3_pareto_mix,
+    "op4_interleaved_shards": op4_interleaved_shards,
+    "op6_minmax_dedup": op6_minmax_dedup,
+    "op8_toxic_segments": op8_toxic_segments,
+    "op10_zstd_language": op10_zstd_language,
+}
 ORACLE_SQL = {"op3_pareto_mix": OP3_SQL}
