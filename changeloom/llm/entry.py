@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from changeloom.llm.audio import op9_telephony
 from changeloom.llm.bpe import op1_byte_bpe
+from changeloom.llm.html import op2_tag_path_text
 from changeloom.llm.langid import op10_zstd_language
 from changeloom.llm.minhash import op6_minmax_dedup
 from changeloom.llm.mixing import OP3_SQL, op3_pareto_mix
@@ -11,10 +13,12 @@ from changeloom.llm.toxicity import op8_toxic_segments
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_tag_path_text": op2_tag_path_text,
     "op3_pareto_mix": op3_pareto_mix,
     "op4_interleaved_shards": op4_interleaved_shards,
     "op6_minmax_dedup": op6_minmax_dedup,
     "op8_toxic_segments": op8_toxic_segments,
+    "op9_telephony": op9_telephony,
     "op10_zstd_language": op10_zstd_language,
 }
 ORACLE_SQL = {"op3_pareto_mix": OP3_SQL}
