@@ -9,6 +9,8 @@ from changeloom.llm.langid import op10_zstd_language
 from changeloom.llm.minhash import op6_minmax_dedup
 from changeloom.llm.mixing import OP3_SQL, op3_pareto_mix
 from changeloom.llm.sharding import op4_interleaved_shards
+from changeloom.llm.spotsigs import op7_spotsigs
+from changeloom.llm.toolcalls import OP5_SQL, op5_tool_calls
 from changeloom.llm.toxicity import op8_toxic_segments
 
 QUERIES = {
@@ -16,9 +18,11 @@ QUERIES = {
     "op2_tag_path_text": op2_tag_path_text,
     "op3_pareto_mix": op3_pareto_mix,
     "op4_interleaved_shards": op4_interleaved_shards,
+    "op5_tool_calls": op5_tool_calls,
     "op6_minmax_dedup": op6_minmax_dedup,
+    "op7_spotsigs": op7_spotsigs,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_telephony": op9_telephony,
     "op10_zstd_language": op10_zstd_language,
 }
-ORACLE_SQL = {"op3_pareto_mix": OP3_SQL}
+ORACLE_SQL = {"op3_pareto_mix": OP3_SQL, "op5_tool_calls": OP5_SQL}
