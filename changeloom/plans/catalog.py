@@ -1,10 +1,629 @@
-"""All queries of the engine by name, each with its SQL where SQL can express it."""
+"""All queries of the engine by name, each with its SQL where SQL can express it.
+
+Queries return flat columns, so that results compare by value with other SQL engines.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from changeloom.functions import scalars as S
+from changeloom.operators import envelope as E
+from changeloom.operators import filters as P
+from changeloom.operators import materialize as M
+from changeloom.operators import records as R
+from changeloom.operators import routing as G
+from changeloom.operators import service as V
+from changeloom.operators import snapshot as N
+from changeloom.operators import transactions as T
+from changeloom.plans.changelog import LOG, SPLIT, changelog, flat_changelog, order_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: The image columns of the changelog.
+KEYS = ["key"]
+
+
+def query(name: str, sql: str | None = None, log: bool = True):
+    """Registers a query; ``sql`` follows the changelog's common table expression unless ``log`` is false."""
+
+    def put(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = f"WITH {LOG}, {SPLIT}\n{sql.strip()}" if log and not sql.lstrip().startswith("WITH") else sql.strip()
+        return f
+
+    return put
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+# --- materialize and apply ----------------------------------------------------------------------
+
+_LAST = "SELECT *, coalesce(a_key, b_key) AS k, row_number() OVER (PARTITION BY coalesce(a_key, b_key) ORDER BY seq DESC, sub DESC) AS rn FROM split"
+
+
+@query("materialize_orders", f"SELECT a_key AS key, a_status AS status, a_price AS price, a_cust AS cust FROM ({_LAST}) WHERE rn = 1 AND op <> 'd'")
+def _(spark, sf):
+    return M.materialize(E.split_key_changes(order_log(spark, sf), KEYS), KEYS)
+
+
+@query("last_change_per_key", f"SELECT k AS key, op, a_status AS status, seq FROM ({_LAST}) WHERE rn = 1")
+def _(spark, sf):
+    return M.last_change(E.split_key_changes(order_log(spark, sf), KEYS), KEYS).select("key", "op", "after.status", "seq")
+
+
+@query("split_key_changes", "SELECT seq, sub, op, coalesce(a_key, b_key) AS key, CASE WHEN seq % 10 = 3 THEN CASE sub WHEN 0 THEN '{\"key\":' || (b_key + 10000000) || '}' ELSE '{\"key\":' || (a_key - 10000000) || '}' END END AS other FROM split")
+def _(spark, sf):
+    d = E.split_key_changes(order_log(spark, sf), KEYS)
+    return d.select("seq", "sub", "op", F.coalesce("after.key", "before.key").alias("key"), F.coalesce(F.col("headers")["newkey"], F.col("headers")["oldkey"]).alias("other"))
+
+
+@query("truncate_barrier", "SELECT count(*) AS n, min(seq) AS first_seq FROM changelog WHERE tbl = 'orders' AND seq > (SELECT CAST(floor(max(seq) / 20) * 10 AS BIGINT) FROM changelog WHERE tbl = 'orders')")
+def _(spark, sf):
+    d = order_log(spark, sf)
+    top = d.agg((F.floor(F.max("seq") / 20) * 10).alias("seq")).select("seq", F.lit("orders").alias("tbl"), F.lit("t").alias("op"))
+    return M.after_truncates(d.unionByName(top, allowMissingColumns=True)).agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"))
+
+
+_BASE = "base AS (SELECT CAST(o_orderkey AS BIGINT) AS key, o_orderstatus AS status, CAST(0 AS BIGINT) AS price, CAST(o_custkey AS BIGINT) AS cust FROM orders WHERE o_orderkey % 2 = 0)"
+
+
+def _base(spark, sf):
+    o = _read(spark, sf, "orders").where("o_orderkey % 2 = 0")
+    return o.select(F.col("o_orderkey").cast("long").alias("key"), F.col("o_orderstatus").alias("status"), F.lit(0).cast("long").alias("price"), F.col("o_custkey").cast("long").alias("cust"))
+
+
+for _mode, _deletes, _where in (("upsert", True, "x.op IS DISTINCT FROM 'd'"), ("upsert", False, "true"), ("update", True, "x.op IS DISTINCT FROM 'd' AND b.key IS NOT NULL")):
+
+    @query(
+        f"apply_{_mode}" + "_with_deletes" * _deletes,
+        f"WITH {LOG}, {SPLIT}, {_BASE}, x AS (SELECT * FROM (SELECT *, coalesce(a_key, b_key) AS k, row_number() OVER (PARTITION BY coalesce(a_key, b_key) ORDER BY seq DESC, sub DESC) AS rn FROM split WHERE op <> '{'' if _deletes else 'd'}' AND seq % 3 <> 1) WHERE rn = 1) "
+        f"SELECT coalesce(b.key, x.k) AS key, CASE WHEN x.op IS NULL THEN b.status ELSE x.a_status END AS status, CASE WHEN x.op IS NULL THEN b.price ELSE x.a_price END AS price, CASE WHEN x.op IS NULL THEN b.cust ELSE x.a_cust END AS cust FROM base b FULL OUTER JOIN x ON b.key = x.k WHERE {_where}",
+    )
+    def _(spark, sf, mode=_mode, deletes=_deletes):
+        return M.apply(_base(spark, sf), E.split_key_changes(order_log(spark, sf).where("seq % 3 <> 1 or op = 'u'").where("seq % 3 <> 1"), KEYS), KEYS, mode, delete_enabled=deletes)
+
+
+@query("schema_evolution", "SELECT CAST(o_orderkey AS BIGINT) AS id, o_orderstatus AS status, NULL::VARCHAR AS segment FROM orders UNION ALL SELECT CAST(c_custkey AS BIGINT), NULL, c_mktsegment FROM customer", log=False)
+def _(spark, sf):
+    o = _read(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("id"), F.col("o_orderstatus").alias("status"))
+    return M.evolve(o, _read(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("id"), F.col("c_mktsegment").alias("segment")))
+
+
+@query("passthrough_batches")
+def _(spark, sf):
+    return M.passthrough_batches(order_log(spark, sf).where("seq < 200000"), KEYS, most=500)
+
+
+@query("dead_letters", "SELECT event_id, props, 'k' AS error FROM events WHERE event_id % 10 = 0", log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events").select("event_id", "props", F.when(F.col("event_id") % 10 == 0, "bad").otherwise(F.get_json_object("props", "$.k")).alias("k"))
+    return M.split_errors(e, {"k": "int"})[1].select("event_id", "props", "error")
+
+
+@query("clean_rows", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE event_id % 10 <> 0", log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 10 == 0, "bad").otherwise(F.get_json_object("props", "$.k")).alias("k"))
+    return M.split_errors(e, {"k": "int"})[0]
+
+
+# --- envelopes ----------------------------------------------------------------------------------
+
+_FLAT = {
+    "drop": "SELECT seq, a_key AS key, a_status AS status, a_price AS price, a_cust AS cust, op AS __op, seq * 8 AS __source_lsn, false AS is_tombstone FROM changelog WHERE tbl = 'orders' AND op <> 'd'",
+    "tombstone": "SELECT seq, a_key AS key, a_status AS status, a_price AS price, a_cust AS cust, CASE WHEN op <> 'd' THEN op END AS __op, CASE WHEN op <> 'd' THEN seq * 8 END AS __source_lsn, op = 'd' AS is_tombstone FROM changelog WHERE tbl = 'orders'",
+    "rewrite": "SELECT seq, CASE WHEN op = 'd' THEN b_key ELSE a_key END AS key, CASE WHEN op = 'd' THEN b_status ELSE a_status END AS status, CASE WHEN op = 'd' THEN b_price ELSE a_price END AS price, CASE WHEN op = 'd' THEN b_cust ELSE a_cust END AS cust, op AS __op, seq * 8 AS __source_lsn, CASE WHEN op = 'd' THEN 'true' ELSE 'false' END AS __deleted, false AS is_tombstone FROM changelog WHERE tbl = 'orders'",
+}
+_FLAT["rewrite-with-tombstone"] = _FLAT["rewrite"] + " UNION ALL SELECT seq, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true FROM changelog WHERE tbl = 'orders' AND op = 'd'"
+_FLAT["delete-to-tombstone"] = _FLAT["tombstone"]
+for _mode, _sql in _FLAT.items():
+
+    @query("flatten_" + _mode.replace("-", "_"), _sql)
+    def _(spark, sf, mode=_mode):
+        return E.flatten(order_log(spark, sf), E.Flatten(mode, add_fields=("op", "source.lsn")))
+
+
+@query("flatten_routed", "SELECT seq, a_key AS key, coalesce(a_status, '?') AS status, a_price AS price, coalesce(CASE WHEN op = 'd' THEN b_status ELSE a_status END, '') AS topic, op = 'd' AS is_tombstone FROM (SELECT *, a_status IS NULL AS z FROM changelog) WHERE tbl = 'orders' AND op <> 'd'")
+def _(spark, sf):
+    return E.flatten(order_log(spark, sf).where("op <> 'd'"), E.Flatten(route_by="status", defaults=(("status", "?"),), drop_fields=("cust",)))
+
+
+@query("flatten_headers", "SELECT seq, CASE WHEN op = 'd' THEN 'd' ELSE op END AS h_op, CAST(seq * 8 AS VARCHAR) AS h_lsn FROM changelog WHERE tbl = 'orders'")
+def _(spark, sf):
+    d = E.flatten(order_log(spark, sf), E.Flatten(add_headers=("op", "lsn:pos")))
+    return d.select("seq", F.col("headers")["__op"].alias("h_op"), F.col("headers")["__pos"].alias("h_lsn"))
+
+
+@query("tombstones", "SELECT seq, op, false AS is_tombstone FROM changelog UNION ALL SELECT seq, op, true FROM changelog WHERE op = 'd'")
+def _(spark, sf):
+    return E.with_tombstones(changelog(spark, sf)).select("seq", "op", "is_tombstone")
+
+
+@query(
+    "changed_fields",
+    "SELECT seq, CASE WHEN a_key IS NULL OR b_key IS NULL THEN '' ELSE concat_ws(',', CASE WHEN a_key <> b_key THEN 'key' END, CASE WHEN a_status <> b_status THEN 'status' END, CASE WHEN a_price <> b_price THEN 'price' END, CASE WHEN a_cust <> b_cust THEN 'cust' END) END AS changed, "
+    "CASE WHEN a_key IS NULL OR b_key IS NULL THEN '' ELSE concat_ws(',', CASE WHEN a_key = b_key THEN 'key' END, CASE WHEN a_status = b_status THEN 'status' END, CASE WHEN a_price = b_price THEN 'price' END, CASE WHEN a_cust = b_cust THEN 'cust' END) END AS unchanged FROM changelog",
+)
+def _(spark, sf):
+    d = E.changed_fields(changelog(spark, sf))
+    return d.select("seq", F.array_join("changed", ",").alias("changed"), F.array_join("unchanged", ",").alias("unchanged"))
+
+
+@query("header_to_value", "SELECT seq, a_key AS key, 'h' || seq AS origin FROM changelog WHERE tbl = 'orders' AND a_key IS NOT NULL")
+def _(spark, sf):
+    d = order_log(spark, sf).where("after is not null").withColumn("headers", F.create_map(F.lit("src"), F.concat(F.lit("h"), F.col("seq").cast("string"))))
+    return E.header_to_value(d, ["src"], ["origin"], "move").select("seq", "after.key", "after.origin")
+
+
+@query("read_to_insert", "SELECT CASE WHEN op = 'r' THEN 'c' ELSE op END AS op, count(*) AS n FROM changelog GROUP BY 1")
+def _(spark, sf):
+    return E.read_to_insert(changelog(spark, sf)).groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("json_round_trip", "SELECT seq, op, a_key AS key, a_status AS status, a_price AS price, a_cust AS cust FROM changelog WHERE tbl = 'orders'")
+def _(spark, sf):
+    return E.from_json_events(E.to_json_events(order_log(spark, sf)), "struct<key:bigint,status:string,price:bigint,cust:bigint>")
+
+
+@query("source_schema", "SELECT n_name AS name, 'nation' AS id, 3 AS n_columns, 'n_nationkey:int' AS first FROM nation", log=False)
+def _(spark, sf):
+    d = E.add_source_schema(_read(spark, sf, "nation"), "nation")
+    first = F.col("source_schema.columns")[0]
+    return d.select(F.col("n_name").alias("name"), "source_schema.id", F.size("source_schema.columns").alias("n_columns"), F.concat_ws(":", first["name"], first["type"]).alias("first"))
+
+
+@query("context_headers", "SELECT seq, 'shop' AS connector, '0' AS task FROM changelog WHERE op = 'd'")
+def _(spark, sf):
+    d = E.with_context_headers(changelog(spark, sf).where("op = 'd'"), {"__connector": "shop", "__task": "0"})
+    return d.select("seq", F.col("headers")["__connector"].alias("connector"), F.col("headers")["__task"].alias("task"))
+
+
+@query("logical_messages", "SELECT event_id AS seq, event_type AS prefix, 'c' AS op, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events", log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("event_type").alias("prefix"), F.lit("m").alias("op"), F.encode("props", "utf-8").alias("content"))
+    return E.decode_messages(e, "k long").select("seq", "prefix", "op", "after.k")
+
+
+# --- filters ------------------------------------------------------------------------------------
+
+
+@query("table_filter", "SELECT tbl, count(*) AS n FROM changelog WHERE regexp_full_match(lower('db1.public.' || tbl), 'db1\\.public\\.(ord.*)') GROUP BY 1")
+def _(spark, sf):
+    t = P.Tables(table_include=r"DB1\.public\.(ord.*)", table_exclude=r".*orders")
+    return changelog(spark, sf).where(t.predicate(F.lit("db1"), F.lit("public"), F.col("tbl"))).groupBy("tbl").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("builtin_filter", "SELECT r_name FROM region WHERE r_name <> 'REGION_0'", log=False)
+def _(spark, sf):
+    r = _read(spark, sf, "region").withColumn("s", F.when(F.col("r_name") == "REGION_0", "pg_catalog").otherwise("public"))
+    return r.where(P.Tables().predicate(F.lit("db"), F.col("s"), F.col("r_name"))).select("r_name")
+
+
+@query("name_predicates", "SELECT p_partkey FROM part WHERE lower(p_brand) IN ('brand#1') OR regexp_full_match(lower(p_brand), 'brand#[45].*')", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "part").where(P.matches(F.col("p_brand"), ["BRAND#1"], ["brand#[45].*"])).select("p_partkey")
+
+
+@query("column_filter", "SELECT o_orderkey, o_totalprice FROM orders", log=False)
+def _(spark, sf):
+    return P.project_columns(_read(spark, sf, "orders"), "orders", include=r"orders\.o_total.*", keys=["o_orderkey"])
+
+
+@query("message_key", "SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL", log=False)
+def _(spark, sf):
+    o = _read(spark, sf, "orders")
+    return o.groupBy(*P.message_key(o, "orders", "cust.*:c_custkey;ord.*:o_custkey,o_orderpriority", ["o_orderkey"])).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("skip_operations", "SELECT op, count(*) AS n FROM changelog WHERE op NOT IN ('d', 't') GROUP BY 1")
+def _(spark, sf):
+    return P.skip_operations(changelog(spark, sf), "d,t").groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("skip_unchanged", "SELECT seq FROM changelog WHERE NOT (op = 'u' AND a_key IS NOT DISTINCT FROM b_key AND a_status IS NOT DISTINCT FROM b_status AND a_price IS NOT DISTINCT FROM b_price AND a_cust IS NOT DISTINCT FROM b_cust)")
+def _(spark, sf):
+    return P.skip_unchanged(changelog(spark, sf)).select("seq")
+
+
+@query("keep_where", "SELECT seq FROM changelog WHERE coalesce(a_price > 20000000 AND op = 'u', false)")
+def _(spark, sf):
+    return P.keep_where(changelog(spark, sf), "after.price > 20000000 and op = 'u'").select("seq")
+
+
+# --- routing ------------------------------------------------------------------------------------
+
+
+@query("route_by_content", "SELECT CASE WHEN op = 'd' THEN 'deletes' WHEN a_price > 20000000 THEN 'large' ELSE tbl END AS topic, count(*) AS n FROM changelog GROUP BY 1")
+def _(spark, sf):
+    d = changelog(spark, sf).withColumn("topic", F.col("tbl"))
+    return G.by_content(d, "case when op = 'd' then 'deletes' when after.price > 20000000 then 'large' end").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("logical_table_route", "SELECT 'srv.orders_all' AS topic, 'srv.orders_shard' || (seq % 4) AS __source, count(*) AS n FROM changelog WHERE tbl = 'orders' GROUP BY ALL")
+def _(spark, sf):
+    d = order_log(spark, sf).withColumn("topic", F.concat(F.lit("srv.orders_shard"), (F.col("seq") % 4).cast("string")))
+    return G.logical_table(d, r"(.*)orders_shard(.*)", "$1orders_all").groupBy("topic", "__source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "partition_routing",
+    "SELECT seq, CAST(CASE WHEN h = 2147483647 THEN 0 ELSE h END % 12 AS INTEGER) AS partition FROM (SELECT seq, (xor(k, k >> 32) + CASE WHEN s IS NULL THEN 0 ELSE ascii(s) END) & 2147483647 AS h FROM (SELECT seq, CASE WHEN op = 'd' THEN b_key ELSE a_key END AS k, CASE WHEN op = 'd' THEN b_status ELSE a_status END AS s FROM changelog))",
+)
+def _(spark, sf):
+    return G.to_partition(changelog(spark, sf), ["change.key", "change.status"], 12).select("seq", "partition")
+
+
+@query("partition_routing_murmur")
+def _(spark, sf):
+    return G.to_partition(changelog(spark, sf), ["change.key"], 12, "murmur").select("seq", "partition")
+
+
+_OUTBOX = "SELECT event_id AS seq, 'outbox.event.' || event_type AS topic, user_id AS key, props AS value, CAST(event_id AS VARCHAR) AS h_id, event_type AS h_type, epoch_us(ts) // 1000 AS ts_ms FROM events WHERE event_id % 10 <> 3"
+
+
+@query("outbox", _OUTBOX, log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events")
+    after = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("aggregatetype"), F.col("user_id").alias("aggregateid"), F.col("event_type").alias("type"), F.col("props").alias("payload"), S.epoch(F.col("ts")).alias("at"))
+    e = e.select(F.col("event_id").alias("seq"), F.when(F.col("event_id") % 10 == 3, "d").otherwise("c").alias("op"), after.alias("after"), F.lit(0).alias("ts_ms"))
+    d = G.outbox(e, G.Outbox(timestamp="at", placements=(("type", "header"),)))
+    return d.select("seq", "topic", "key", "value", F.col("headers")["id"].alias("h_id"), F.col("headers")["type"].alias("h_type"), "ts_ms")
+
+
+@query("outbox_expanded", "SELECT event_id AS seq, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events", log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events").select(F.col("event_id").alias("seq"), F.lit("c").alias("op"), F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("aggregatetype"), F.col("user_id").alias("aggregateid"), F.col("props").alias("payload")).alias("after"), F.lit(0).alias("ts_ms"))
+    return G.outbox(e, G.Outbox(expand_schema="k long")).select("seq", "value.k")
+
+
+@query("hypertables", "SELECT CASE WHEN n_regionkey < 3 THEN 'hyper_' || n_regionkey ELSE n_name END AS tbl, count(*) AS n FROM nation GROUP BY 1", log=False)
+def _(spark, sf):
+    n = _read(spark, sf, "nation")
+    chunks = n.where("n_regionkey < 3").select(F.col("n_name").alias("chunk_table"), F.concat(F.lit("hyper_"), F.col("n_regionkey").cast("string")).alias("hypertable"))
+    return G.hypertables(n.withColumn("tbl", F.col("n_name")), chunks).groupBy("tbl").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("topic_names", "SELECT p_partkey, substr('srv.public.' || regexp_replace(p_brand, '[^A-Za-z0-9._-]', '_', 'g'), 1, 249) AS topic FROM part", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "part").select("p_partkey", G.topic_name("srv", F.lit("public"), F.col("p_brand")).alias("topic"))
+
+
+@query("collection_names", "SELECT p_partkey, 'c_' || replace('srv.' || p_brand, '.', '_') || '_x' AS name FROM part", log=False)
+def _(spark, sf):
+    p = _read(spark, sf, "part")
+    return p.select("p_partkey", G.collection_name("c_${topic}_${source.db}", F.concat(F.lit("srv."), F.col("p_brand")), {"db": F.lit("x")}).alias("name"))
+
+
+@query("escaped_names", "SELECT p_partkey, replace(replace(replace(p_brand, '_', '_u005f'), '#', '_u0023'), ' ', '_u0020') AS name FROM part", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "part").select("p_partkey", G.unicode_escaped(F.col("p_brand")).alias("name"))
+
+
+# --- transactions -------------------------------------------------------------------------------
+
+
+@query("transaction_order", "SELECT seq, tx_id, row_number() OVER (PARTITION BY tx_id ORDER BY seq) AS total_order, row_number() OVER (PARTITION BY tx_id, tbl ORDER BY seq) AS data_collection_order FROM changelog")
+def _(spark, sf):
+    return T.ordered(changelog(spark, sf)).select("seq", "tx_id", "total_order", "data_collection_order")
+
+
+@query(
+    "transaction_boundaries",
+    "SELECT tx_id AS id, s.status, CASE WHEN s.status = 'END' THEN n END AS event_count, CASE WHEN s.status = 'END' THEN cols END AS data_collections, CASE WHEN s.status = 'BEGIN' THEN lo ELSE hi END AS seq, CASE WHEN s.status = 'BEGIN' THEN t0 ELSE t1 END AS ts_ms FROM (SELECT tx_id, CAST(sum(n) AS BIGINT) AS n, string_agg(tbl || '=' || n, ',' ORDER BY tbl) AS cols, min(lo) AS lo, max(hi) AS hi, min(t0) AS t0, max(t1) AS t1 FROM (SELECT tx_id, tbl, count(*) AS n, min(seq) AS lo, max(seq) AS hi, min(ts_ms) AS t0, max(ts_ms) AS t1 FROM changelog GROUP BY 1, 2) GROUP BY 1), (VALUES ('BEGIN'), ('END')) s(status)",
+)
+def _(spark, sf):
+    return T.boundaries(changelog(spark, sf))
+
+
+@query("transaction_runs", "SELECT o_custkey % 16 AS part, count(*) AS n_runs FROM (SELECT o_custkey, o_orderkey, CAST(floor(o_orderkey / 64) AS BIGINT) AS tx, lag(CAST(floor(o_orderkey / 64) AS BIGINT)) OVER (PARTITION BY o_custkey % 16 ORDER BY o_orderkey) AS prev FROM orders) WHERE prev IS DISTINCT FROM tx GROUP BY 1", log=False)
+def _(spark, sf):
+    o = _read(spark, sf, "orders").select((F.col("o_custkey") % 16).alias("part"), F.col("o_orderkey").alias("seq"), F.floor(F.col("o_orderkey") / 64).alias("tx_id"))
+    return T.runs(o, "part").groupBy("part").agg(F.countDistinct("run").alias("n_runs"))
+
+
+@query("committed_only", "SELECT seq, tx_id, (tx_id + 1) * 40 AS commit_seq FROM changelog WHERE tx_id % 17 <> 0")
+def _(spark, sf):
+    d = changelog(spark, sf)
+    ends = d.select("tx_id").distinct().select("tx_id", F.when(F.col("tx_id") % 17 == 0, "rollback").otherwise("commit").alias("end"), ((F.col("tx_id") + 1) * 40).alias("end_seq"))
+    return T.committed(d, ends).select("seq", "tx_id", "commit_seq")
+
+
+@query("undone_rows", "SELECT e.seq FROM changelog e WHERE tbl = 'orders' AND NOT (op = 'u' AND seq % 10 = 1 AND floor(seq / 10) % 9 = 0)")
+def _(spark, sf):
+    d = order_log(spark, sf).withColumn("row_id", F.floor(F.col("seq") / 10))
+    undo = d.where("op = 'u' and seq % 10 = 1 and row_id % 9 = 0").select("tx_id", "row_id", (F.col("seq") * 1).alias("seq"))
+    # the undo of an event stands right after it
+    e, u = d.withColumn("seq", F.col("seq") * 2), undo.withColumn("seq", F.col("seq") * 2 + 1)
+    return T.without_undone(e, u, "row_id").select((F.col("seq") / 2).cast("long").alias("seq"))
+
+
+@query("merge_by_commit", "SELECT floor(seq / 40) AS commit_lsn, op, coalesce(a_key, b_key) AS key FROM changelog WHERE op <> 'r'")
+def _(spark, sf):
+    d = changelog(spark, sf).where("op <> 'r'")
+
+    def capture(t):
+        x = d.where(F.col("tbl") == t)
+        row = lambda side, code: F.struct(F.lit(code).alias("code"), F.col(side).alias("row"))
+        rows = F.when(F.col("op") == "u", F.array(row("before", 3), row("after", 4))).when(F.col("op") == "d", F.array(row("before", 1))).otherwise(F.array(row("after", 2)))
+        return x.select(F.floor(F.col("seq") / 40).cast("double").alias("commit_lsn"), F.col("seq").alias("tx_lsn"), F.explode(rows).alias("_r")).select("commit_lsn", "tx_lsn", "_r.*")
+
+    m = T.merged_by_commit([capture("orders"), capture("customer")])
+    return m.select("commit_lsn", "op", F.coalesce("after.key", "before.key").alias("key"))
+
+
+@query("resume_position", "SELECT count(*) AS n, min(seq) AS first_seq FROM changelog WHERE seq * 8 > 40000")
+def _(spark, sf):
+    return T.resume_after(changelog(spark, sf).withColumn("lsn", F.col("source.lsn")), 40000).agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"))
+
+
+@query("large_object_merge", "SELECT tx_id, key, arg_max(status, seq) AS status, max(price) AS price FROM (SELECT tx_id, a_key AS key, a_status AS status, a_price AS price, seq FROM changelog WHERE tbl = 'orders' AND seq % 10 < 2 AND a_key % 5 <> 0) GROUP BY ALL")
+def _(spark, sf):
+    d = order_log(spark, sf).where("seq % 10 < 2 and after.key % 5 <> 0").select("tx_id", "after.key", "op", "seq", "after.status", "after.price")
+    return T.merge_large_objects(d, ["status", "price"], ["status"], "__unavailable").select("tx_id", "key", "status", "price")
+
+
+# --- snapshots ----------------------------------------------------------------------------------
+
+
+@query("snapshot_scan", "SELECT 'r' AS op, 'nation' AS tbl, count(*) AS n FROM nation UNION ALL SELECT 'r', 'region', count(*) FROM region WHERE r_regionkey > 1", log=False)
+def _(spark, sf):
+    d = N.scan(spark, {"nation": _read(spark, sf, "nation"), "region": _read(spark, sf, "region")}, {"region": "SELECT * FROM {region} WHERE r_regionkey > 1"})
+    return d.groupBy("op", "tbl").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("snapshot_condition", "SELECT 'r' AS op, o_orderkey FROM orders WHERE o_orderstatus = 'F'", log=False)
+def _(spark, sf):
+    return N.reads(_read(spark, sf, "orders").where("o_orderstatus = 'F'"), "orders").select("op", "after.o_orderkey")
+
+
+@query(
+    "snapshot_markers",
+    "SELECT tbl, k, CASE WHEN i = n AND j = m THEN 'last' WHEN g = 1 THEN 'first' WHEN i = n THEN 'last_in_data_collection' WHEN i = 1 THEN 'first_in_data_collection' ELSE 'true' END AS snapshot FROM (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY k) AS i, count(*) OVER (PARTITION BY tbl) AS n, dense_rank() OVER (ORDER BY tbl) AS j, 2 AS m, row_number() OVER (ORDER BY tbl, k) AS g FROM (SELECT 'nation' AS tbl, CAST(n_nationkey AS BIGINT) AS k FROM nation UNION ALL SELECT 'customer', CAST(c_custkey AS BIGINT) FROM customer))",
+    log=False,
+)
+def _(spark, sf):
+    d = _read(spark, sf, "nation").select(F.lit("nation").alias("tbl"), F.col("n_nationkey").cast("long").alias("k"))
+    d = d.unionByName(_read(spark, sf, "customer").select(F.lit("customer").alias("tbl"), F.col("c_custkey").cast("long").alias("k")))
+    return N.with_markers(d, "k").select("tbl", "k", "snapshot")
+
+
+@query("keyset_pages", "SELECT chunk_id, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 1024) AS BIGINT) AS chunk_id FROM orders) GROUP BY 1", log=False)
+def _(spark, sf):
+    return N.paged(_read(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 1024).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+
+
+@query("chunk_boundaries", "SELECT count(*) AS n_rows, 4 AS n_chunks FROM orders", log=False)
+def _(spark, sf):
+    o = _read(spark, sf, "orders")
+    return N.with_chunks(o, "o_orderkey", N.boundaries(o, "o_orderkey", 4)).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("chunk").cast("int").alias("n_chunks"))
+
+
+@query("chunk_by_bounds", "SELECT CASE WHEN o_orderkey >= 300 THEN 2 WHEN o_orderkey >= 100 THEN 1 ELSE 0 END AS chunk, count(*) AS n FROM orders GROUP BY 1", log=False)
+def _(spark, sf):
+    return N.with_chunks(_read(spark, sf, "orders"), "o_orderkey", [100, 300]).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("after_key", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey > 700 OR (l_orderkey = 700 AND l_linenumber > 2)", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "lineitem").where(N.after_key(["l_orderkey", "l_linenumber"], [700, 2])).select("l_orderkey", "l_linenumber")
+
+
+@query("after_key_row", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_orderkey, l_linenumber) > (700, 2)", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "lineitem").where(N.after_key_row(["l_orderkey", "l_linenumber"], [700, 2])).select("l_orderkey", "l_linenumber")
+
+
+@query("max_key", "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY l_orderkey DESC, l_linenumber DESC LIMIT 1", log=False)
+def _(spark, sf):
+    return N.max_key(_read(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("next_chunk", "SELECT o_orderkey FROM orders WHERE o_orderkey > 500 AND o_orderkey <= 100000 ORDER BY 1 LIMIT 256", log=False)
+def _(spark, sf):
+    return N.next_chunk(_read(spark, sf, "orders"), ["o_orderkey"], [500], [100000], 256).select("o_orderkey")
+
+
+@query("surrogate_chunk", "SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey > 40 AND o_custkey <= 90 GROUP BY 1", log=False)
+def _(spark, sf):
+    o = _read(spark, sf, "orders")
+    return o.where(N.after_key(["o_custkey"], [40]) & ~N.after_key(["o_custkey"], [90])).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+_WIN = "w AS (SELECT c AS chunk_id, c * 4000 AS low, c * 4000 + 3000 AS high FROM range(0, 400) t(c))"
+
+
+@query(
+    "window_dedup",
+    f"WITH {LOG}, {_WIN}, chunks AS (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) AS chunk_id, CAST(o_orderkey AS BIGINT) AS key FROM orders) "
+    "SELECT w.high AS seq, 0 AS sub, 'r' AS op, c.key, 'incremental' AS snapshot FROM chunks c JOIN w USING (chunk_id) WHERE NOT EXISTS (SELECT 1 FROM changelog e WHERE e.tbl = 'orders' AND coalesce(e.a_key, e.b_key) = c.key AND e.seq > w.low AND e.seq <= w.high) "
+    "UNION ALL SELECT seq, 1, op, coalesce(a_key, b_key), 'false' FROM changelog WHERE tbl = 'orders'",
+)
+def _(spark, sf):
+    o = _read(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("key"), F.col("o_orderstatus").alias("status"), F.lit(0).cast("long").alias("price"), F.col("o_custkey").cast("long").alias("cust"))
+    chunks = o.select(F.floor(F.col("key") / 100).alias("chunk_id"), F.lit("orders").alias("tbl"), "key", F.struct("key", "status", "price", "cust").alias("after"))
+    windows = spark.range(400).select(F.col("id").alias("chunk_id"), (F.col("id") * 4000).alias("low"), (F.col("id") * 4000 + 3000).alias("high"))
+    events = order_log(spark, sf)
+    d = N.deduplicated(chunks, windows, events, KEYS)
+    before = events.where("op = 'd'").select("seq", F.col("before.key").alias("_b"))
+    return d.join(before, "seq", "left").select("seq", "sub", "op", F.coalesce("after.key", "_b").alias("key"), "snapshot")
+
+
+@query("signal_windows", "SELECT 'c' || c_nationkey AS chunk_id, CAST(min(c_custkey) AS BIGINT) AS low, CAST(max(c_custkey) AS BIGINT) AS high FROM customer GROUP BY 1", log=False)
+def _(spark, sf):
+    c = _read(spark, sf, "customer").groupBy(F.concat(F.lit("c"), F.col("c_nationkey").cast("string")).alias("c")).agg(F.min("c_custkey").cast("long").alias("lo"), F.max("c_custkey").cast("long").alias("hi"))
+    row = lambda end, at: F.struct(F.concat("c", F.lit(f"-{end}")).alias("id"), F.lit(f"snapshot-window-{end}").alias("type"), F.col(at).alias("seq"))
+    return N.windows_from_signals(c.select(F.explode(F.array(row("open", "lo"), row("close", "hi"))).alias("_s")).select("_s.*"))
+
+
+# --- scalar functions ---------------------------------------------------------------------------
+
+
+@query("masks", "SELECT o_orderkey, '*****' AS masked, substr(md5('salt' || o_orderpriority), 1, 12) AS hashed, sha256('salt' || o_orderpriority) AS hashed256, substr(o_orderpriority, 1, 3) AS cut FROM orders", log=False)
+def _(spark, sf):
+    c = F.col("o_orderpriority")
+    return _read(spark, sf, "orders").select("o_orderkey", S.mask(5).alias("masked"), S.hash_mask(c, "MD5", "salt", 12).alias("hashed"), S.hash_mask(c, "SHA-256", "salt").alias("hashed256"), S.truncate(c, 3).alias("cut"))
+
+
+@query("hash_mask_v1", "SELECT o_orderkey, sha256(encode('salt') || unhex('ACED000574' || printf('%04X', strlen(o_orderpriority))) || encode(o_orderpriority)) AS hashed FROM orders", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "orders").select("o_orderkey", S.hash_mask_v1(F.col("o_orderpriority"), "SHA-256", "salt").alias("hashed"))
+
+
+@query("first_matching_rule", "SELECT '***' AS c_name, substr(c_mktsegment, 1, 2) AS c_mktsegment, c_custkey FROM customer", log=False)
+def _(spark, sf):
+    c = _read(spark, sf, "customer").select("c_name", "c_mktsegment", "c_custkey")
+    return S.first_rule(c, "customer", [(r"customer\.c_name", lambda x: S.mask(3)), (r"customer\.c_(name|mkt.*)", lambda x: S.truncate(x, 2))])
+
+
+@query("binary_encodings", "SELECT doc_id, base64(encode(substr(text, 1, 20))) AS b64, replace(replace(base64(encode(substr(text, 1, 20))), '+', '-'), '/', '_') AS url, lower(hex(encode(substr(text, 1, 20)))) AS hex FROM documents", log=False)
+def _(spark, sf):
+    c = F.substring("text", 1, 20).cast("binary")
+    return _read(spark, sf, "documents").select("doc_id", S.binary_as(c, "base64").alias("b64"), S.binary_as(c, "base64-url-safe").alias("url"), S.binary_as(c, "hex").alias("hex"))
+
+
+@query("numbers", "SELECT o_orderkey, CAST(o_orderkey % 100 AS SMALLINT) AS small, CASE WHEN (o_orderkey % 256) - 128 < 0 THEN (o_orderkey % 256) - 128 + 256 ELSE (o_orderkey % 256) - 128 END AS u8, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS dec, CASE WHEN o_custkey % 7 <> 0 THEN o_orderkey % (o_custkey % 7) END AS m FROM orders", log=False)
+def _(spark, sf):
+    k = F.col("o_orderkey")
+    return _read(spark, sf, "orders").select("o_orderkey", S.widened(k % 100, "smallint").alias("small"), S.unsigned(k % 256 - 128, 8).alias("u8"), S.decimal_as(S.decimal_as(F.col("o_totalprice"), "precise", 18, 2), "string").alias("dec"), S.arithmetic("%", k, F.col("o_custkey") % 7).alias("m"))
+
+
+@query(
+    "temporal_encodings",
+    "SELECT event_id, epoch_us(ts) // 1000 AS ms, epoch_us(ts) AS us, epoch_us(ts) * 1000 AS ns, epoch_us(ts) % 86400000000 AS time_us, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS days, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, year(ts) AS y, second(ts) AS s FROM events",
+    log=False,
+)
+def _(spark, sf):
+    ts = F.col("ts")
+    parts = S.structured(ts)
+    return _read(spark, sf, "events").select(
+        "event_id", S.epoch(ts).alias("ms"), S.epoch(ts, "us").alias("us"), S.epoch(ts, "ns").alias("ns"), S.in_day(S.time_of_day(ts)).alias("time_us"), S.epoch_days(ts).cast("long").alias("days"),
+        S.iso(ts, "timestamp").alias("iso"), parts["year"].cast("long").alias("y"), parts["second"].cast("long").alias("s"),
+    )
+
+
+@query("zones", "SELECT event_id, epoch_us(ts) // 1000 + 18000000 AS ms FROM events WHERE month(ts) IN (1, 2)", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "events").where("month(ts) in (1, 2)").select("event_id", S.shifted_epoch(S.epoch(F.col("ts")), "America/New_York").alias("ms"))
+
+
+@query("json_paths", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "events").select("event_id", S.json_path(F.col("props"), "$.k").alias("k"))
+
+
+# --- records ------------------------------------------------------------------------------------
+
+
+@query("record_size", "SELECT doc_id, 56 + 2 * 8 + 24 + 56 + strlen(text) AS size FROM documents", log=False)
+def _(spark, sf):
+    d = _read(spark, sf, "documents").select("doc_id", F.struct("doc_id", "text").alias("after"))
+    return d.select("doc_id", R.estimated_size(F.col("after"), d.schema["after"].dataType).cast("long").alias("size"))
+
+
+@query(
+    "enforce_size",
+    "SELECT doc_id, CASE WHEN e > 0 THEN greatest(0, n - CAST(ceil(CAST(n AS DOUBLE) / n * e) AS BIGINT)) ELSE n END AS n FROM (SELECT doc_id, length(text) AS n, 56 + 2 * 8 + 24 + 56 + strlen(text) - 1000 AS e FROM documents)",
+    log=False,
+)
+def _(spark, sf):
+    d = _read(spark, sf, "documents").select("doc_id", F.struct("doc_id", "text").alias("after"))
+    return R.enforce_size(d, 1000, images=("after",)).select("doc_id", F.length("after.text").cast("long").alias("n"))
+
+
+@query("vectors_json", "SELECT vec_id, len(embedding) AS n FROM embeddings", log=False)
+def _(spark, sf):
+    text = R.dense_vector_json(F.col("embedding"))
+    return _read(spark, sf, "embeddings").select("vec_id", F.size(F.from_json(text, "values array<float>")["values"]).cast("long").alias("n"))
+
+
+@query("cloud_events", "SELECT seq, 'name:shop;lsn:' || (seq * 8) AS id, op, a_key AS key FROM changelog WHERE tbl = 'orders'")
+def _(spark, sf):
+    v = F.from_json("value", "id string, iocdcop string, data struct<after:struct<key:long>>")
+    return R.cloud_events(order_log(spark, sf)).select("seq", v.alias("v")).select("seq", "v.id", F.col("v.iocdcop").alias("op"), "v.data.after.key")
+
+
+@query("document_state", "SELECT event_id AS seq, 'c' AS op, CASE WHEN event_id % 4 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events", log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events").select(F.col("event_id").alias("seq"), F.lit("c").alias("op"), F.col("props").alias("after"), F.lit(None).cast("string").alias("updated_fields"), F.when(F.col("event_id") % 4 == 0, F.array(F.lit("k"))).alias("removed_fields"))
+    return R.document_state(e, "k long")
+
+
+@query("swap_points")
+def _(spark, sf):
+    c = _read(spark, sf, "customer").select("c_custkey", R.point_wkb(F.col("c_acctbal"), F.col("c_nationkey").cast("double")).alias("p"))
+    return c.select("c_custkey", F.hex(R.swap_point(F.col("p"))).alias("swapped"))
+
+
+@query("embed_text")
+def _(spark, sf):
+    return R.embed(_read(spark, sf, "benchmark"), "text").select("item_id", F.array_join(F.transform("embedding", lambda x: F.round(x, 4).cast("string")), ",").alias("v"))
+
+
+@query("page_plain_text")
+def _(spark, sf):
+    return _read(spark, sf, "pages").select("page_id", F.length(R.plain_text(F.col("html"))).alias("n"))
+
+
+# --- service ------------------------------------------------------------------------------------
+
+
+@query("metrics", "SELECT tbl, op, count(*) AS n, max(seq) AS last_seq, max(seq % 97) AS max_lag_ms FROM changelog GROUP BY 1, 2")
+def _(spark, sf):
+    return V.metrics(changelog(spark, sf))
+
+
+@query("lag_quantiles", "SELECT tbl, quantile_cont(seq % 97, 0.5)::DOUBLE AS p50, quantile_cont(seq % 97, 0.95)::DOUBLE AS p95, quantile_cont(seq % 97, 0.99)::DOUBLE AS p99 FROM changelog GROUP BY 1")
+def _(spark, sf):
+    return V.lag_quantiles(changelog(spark, sf), exact=True)
+
+
+@query("lag_sketch")
+def _(spark, sf):
+    return V.lag_quantiles(changelog(spark, sf))
+
+
+@query("counters", "SELECT event_type AS counter, CAST(sum(CASE WHEN user_id % 3 > 0 THEN user_id % 3 ELSE 0 END) AS BIGINT) AS p, count(*) FILTER (WHERE user_id % 3 = 0) AS n, CAST(sum(CASE WHEN user_id % 3 > 0 THEN user_id % 3 ELSE -1 END) AS BIGINT) AS value FROM events GROUP BY 1", log=False)
+def _(spark, sf):
+    u = F.col("user_id") % 3
+    return V.counters(_read(spark, sf, "events").select(F.col("event_type").alias("counter"), F.col("user_id").alias("node"), F.when(u > 0, u).otherwise(-1).alias("delta")))
+
+
+@query("reselect_columns", "SELECT seq, CASE WHEN seq % 10 = 1 THEN o_orderstatus ELSE a_status END AS status FROM changelog LEFT JOIN orders ON a_key = o_orderkey WHERE tbl = 'orders' AND op IN ('c', 'u')")
+def _(spark, sf):
+    d = order_log(spark, sf).where("op in ('c', 'u')")
+    d = d.withColumn("after", F.col("after").withField("status", F.when(F.col("seq") % 10 == 1, "__unavailable").otherwise(F.col("after.status"))))
+    now = _read(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("key"), F.col("o_orderstatus").alias("status"))
+    return V.reselect(d, now, KEYS, ["status"]).select("seq", "after.status")
+
+
+@query("signals", "SELECT 'event-' || event_id AS id, 'execute-snapshot' AS type, true AS known, 'db.' || event_type AS target FROM events WHERE event_id < 500", log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events").where("event_id < 500")
+    rows = e.select(F.concat(F.lit("event-"), F.col("event_id").cast("string")).alias("id"), F.lit("execute-snapshot").alias("type"), F.to_json(F.struct(F.array(F.concat(F.lit("db."), F.col("event_type"))).alias("data-collections"))).alias("data"))
+    return V.parse_signals(rows).select("id", "type", "known", F.col("data_collections")[0].alias("target"))
+
+
+@query("notifications", "SELECT 'n-' || tbl AS id, 'Incremental Snapshot' AS aggregate_type, 'COMPLETED' AS type, CAST(count(*) AS VARCHAR) AS rows, max(ts_ms) AS timestamp FROM changelog GROUP BY tbl")
+def _(spark, sf):
+    p = changelog(spark, sf).groupBy("tbl").agg(F.count(F.lit(1)).alias("rows"), F.max("ts_ms").alias("ts_ms")).select(F.concat(F.lit("n-"), F.col("tbl")).alias("id"), "tbl", F.lit("COMPLETED").alias("status"), "rows", "ts_ms")
+    return V.notifications(p).select("id", "aggregate_type", "type", F.col("additional_data")["total_rows_scanned"].alias("rows"), "timestamp")
+
+
+@query("gtid_union", "SELECT CAST(c_nationkey AS VARCHAR) AS uuid, min(k) AS lo, max(k) AS hi FROM (SELECT c_nationkey, k, k - row_number() OVER (PARTITION BY c_nationkey ORDER BY k) AS g FROM (SELECT DISTINCT c_nationkey, CAST(floor(c_custkey / 40) AS BIGINT) AS k FROM customer)) GROUP BY c_nationkey, g", log=False)
+def _(spark, sf):
+    c = _read(spark, sf, "customer").select(F.concat_ws(":", F.col("c_nationkey").cast("string"), F.floor(F.col("c_custkey") / 40).cast("string")).alias("gtids"))
+    return V.gtid_union(V.gtid_rows(c))
+
+
+@query("redo_statements")
+def _(spark, sf):
+    o = _read(spark, sf, "orders")
+    sql = F.format_string("update \"S\".\"ORDERS\" set \"P\" = '%s' where \"K\" = '%d' and \"S\" IS NULL;", "o_orderpriority", "o_orderkey")
+    return V.redo_events(o.select("o_orderkey", sql.alias("sql_redo"))).select("o_orderkey", "op", "table", F.col("after")["P"].alias("p"), F.col("before")["K"].alias("k"))
