@@ -60,3 +60,12 @@ def unit_hash(*parts: Column) -> Column:
 def word_count(col: str | Column) -> Column:
     """Number of words of a text (null: 0), without Python."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+#: Rows up to which a narrow table (some numbers and a name a row) may be broadcast.
+BROADCAST_ROWS = 50_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` (narrow, already materialized) marked for broadcast if it is small; beyond that joins shuffle and AQE splits skew."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, read, unit_hash, word_count
+from changeloom.llm.common import checkpointed, read, small_side, unit_hash, word_count
 
 BINS = 2048
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -67,19 +67,19 @@ def pareto_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", siz
     per = checkpointed(per.withColumn("_open", F.greatest(F.lit(0.0), F.col("target") - F.col("_whole") * F.col("source_size"))))
     p, u = F.col("_p"), F.col("_u")
     odds = F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
-    ranked = base.join(per, "stratum").withColumn("_q", odds / (1 + odds))
+    ranked = base.join(small_side(per), "stratum").withColumn("_q", odds / (1 + odds))
     ranked = ranked.withColumn("_b1", F.floor(F.col("_q") * BINS)).withColumn("_b2", F.floor((F.col("_q") * BINS - F.col("_b1")) * BINS))
     open_ = ranked.where(p > 0)
-    first = _cut(open_.groupBy("stratum", "_b1").agg(F.sum(size).alias("_words"), F.first("_open").alias("_open")), "_b1")
-    inner = open_.drop("_open").join(first, ["stratum", "_b1"])
-    second = _cut(inner.groupBy("stratum", "_b1", "_b2").agg(F.sum(size).alias("_words"), F.first("_open").alias("_open")), "_b2")
-    edge = open_.drop("_open").join(first.drop("_open"), ["stratum", "_b1"]).join(second, ["stratum", "_b2"])
+    first = checkpointed(_cut(open_.groupBy("stratum", "_b1").agg(F.sum(size).alias("_words"), F.first("_open").alias("_open")), "_b1"))
+    inner = open_.drop("_open").join(small_side(first), ["stratum", "_b1"])
+    second = checkpointed(_cut(inner.groupBy("stratum", "_b1", "_b2").agg(F.sum(size).alias("_words"), F.first("_open").alias("_open")), "_b2"))
+    edge = open_.drop("_open").join(small_side(first.drop("_open")), ["stratum", "_b1"]).join(small_side(second), ["stratum", "_b2"])
     place = W.partitionBy("stratum").orderBy("_q", key).rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = edge.withColumn("_after", F.sum(size).over(place)).where(2 * F.col("_after") - F.col(size) <= 2 * F.col("_open"))
     last = edge.groupBy("stratum").agg(F.max(F.struct("_q", key)).alias("_last"))
     cut = first.select("stratum", F.col("_b1").alias("_c1")).join(second.select("stratum", F.col("_b2").alias("_c2")), "stratum", "left").join(last, "stratum", "left")
     cut = checkpointed(cut)
-    whole = ranked.join(cut, "stratum", "left")
+    whole = ranked.join(small_side(cut), "stratum", "left")
     here = F.struct("_q", key)
     extra = (
         F.when(p <= 0, 0)
