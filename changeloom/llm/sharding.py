@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, read, unit_hash
+from changeloom.llm.common import checkpointed, read, small_side, unit_hash
 
 #: Rows that one bin holds on average once there are more than MIN_BINS such bins.
 BIN_ROWS = 250_000
@@ -48,7 +48,7 @@ def interleave(df: DataFrame, key: str, source: str, shards: int, seed: int = 17
     bins = max(MIN_BINS, -(-rows // BIN_ROWS))
     rest = [c for c in df.columns if c not in (key, source)]
     inside = ranked(base, "_stratum", F.col("_u"), ["_u", key, *rest], bins, "_rank")
-    sizes = base.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = small_side(checkpointed(base.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_size"))))
     frac = inside.join(sizes, "_stratum").withColumn("_frac", (F.col("_rank") - F.lit(0.5)) / F.col("_size"))
     order = ranked(frac, None, F.col("_frac"), ["_frac", "_stratum"], bins, "_place").withColumn("_at", F.col("_place") - 1)
     return (
