@@ -93,7 +93,7 @@ def special_decimal(c: Column) -> Column:
 def unsigned(c: Column, width: int) -> Column:
     """A signed value of ``width`` bits read as unsigned."""
     wide = c.cast("decimal(20,0)") if width == 64 else c.cast("long")
-    return F.when(wide < 0, wide + F.lit(2**width).cast("decimal(20,0)" if width == 64 else "long")).otherwise(wide)
+    return F.when(wide < 0, wide + F.lit(str(2**width)).cast("decimal(20,0)" if width == 64 else "long")).otherwise(wide)
 
 
 def epoch(ts: Column, unit: str = "ms") -> Column:

@@ -83,9 +83,10 @@ class Outbox:
 
 def outbox(events: DataFrame, how: Outbox = Outbox()) -> DataFrame:
     """Messages of an outbox table: inserts only; deletes are dropped; updates are dropped or fail."""
-    if how.on_update == "fatal":
-        events = events.where(F.when(F.col("op") == "u", F.raise_error(F.lit("update in an outbox table")).cast("boolean")).otherwise(True))
-    events = events.where(F.col("op").isin("c", "r"))
+    keep = F.col("op").isin("c", "r")
+    if how.on_update == "fatal":  # one predicate, or the optimizer may drop the row before it fails
+        keep = F.when(F.col("op") == "u", F.raise_error(F.lit("update in an outbox table")).cast("boolean")).otherwise(keep)
+    events = events.where(keep)
     col = lambda name: F.col(f"after.{name}")
     payload = F.from_json(col(how.payload), how.expand_schema) if how.expand_schema else col(how.payload)
     envelope = [(c, p) for c, p in how.placements if p == "envelope"]
