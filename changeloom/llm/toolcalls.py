@@ -91,8 +91,9 @@ def levels(calls: DataFrame) -> DataFrame:
     some = checkpointed(edges.where("not unknown").join(forward, "conv"))
     level = checkpointed(some.where("forward").select(F.col("x").alias("call_id"), F.lit(1).cast("long").alias("level")).distinct())
     while True:
-        step = some.join(level.select(F.col("call_id").alias("d"), "level"), "d").where("level <= most")
-        new = step.select(F.col("x").alias("call_id"), (F.col("level") + F.col("forward").cast("long")).alias("level"))
+        step = some.join(level.select(F.col("call_id").alias("d"), "level"), "d")
+        # levels saturate above the number of forward dependencies, which only a cycle reaches
+        new = step.select(F.col("x").alias("call_id"), F.least(F.col("level") + F.col("forward").cast("long"), F.col("most") + 1).alias("level"))
         grown = checkpointed(level.unionByName(new).groupBy("call_id").agg(F.max("level").alias("level")))
         if grown.exceptAll(level).isEmpty():
             break
