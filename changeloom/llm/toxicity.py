@@ -43,6 +43,8 @@ CACHE_WORDS = 200_000
 #: Normalised score from which a segment counts as significant: -log of its expected number by chance.
 SIGNIFICANT_SEGMENT = 3.0
 
+#: Largest scale of the extreme-value law (reached where toxic tokens never stand in clean texts).
+MOST_LAMBDA = 4.0
 #: Segment scores above this are equally certain.
 SATURATED = 12.0
 
@@ -138,26 +140,28 @@ def karlin(weights: np.ndarray, p: np.ndarray) -> tuple[float, float]:
     """``lambda`` solves ``sum p * exp(lambda * s) = 1``; K by the usual approximation from the relative entropy."""
     if not (weights > 0).any() or (weights * p).sum() >= 0:
         return 1.0, 0.1
-    low, high = 1e-6, 1.0
-    while (p * np.exp(np.minimum(high * weights, 700))).sum() < 1 and high < 1e3:
-        high *= 2
+    low, high = 1e-6, MOST_LAMBDA
     for _ in range(80):
         mid = (low + high) / 2
         low, high = (mid, high) if (p * np.exp(np.minimum(mid * weights, 700))).sum() < 1 else (low, mid)
     lam = (low + high) / 2
-    q = p * np.exp(lam * weights)
-    return lam, max(min(float((q * lam * weights).sum()) * 0.1, 1.0), 1e-3)
+    entropy = float((p * np.exp(np.minimum(lam * weights, 700)) * lam * weights).sum())
+    return lam, max(min(entropy * 0.1, 1.0), 1e-3)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.05) -> np.ndarray:
-    """Newton steps for a ridge logistic regression with an intercept."""
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.5) -> np.ndarray:
+    """Damped Newton steps for a ridge logistic regression with an intercept."""
     x = np.hstack([np.ones((len(x), 1)), x])
-    w, keep = np.zeros(x.shape[1]), np.diag([1e-6] + [ridge] * (x.shape[1] - 1))
+    w, keep = np.zeros(x.shape[1]), np.diag([1e-3] + [ridge] * (x.shape[1] - 1))
+    loss = lambda v: float(np.logaddexp(0, x @ v).sum() - y @ (x @ v) + v @ keep @ v / 2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep + 1e-9 * np.eye(x.shape[1]), x.T @ (y - p) - keep @ w)
-        w = w + np.clip(step, -5, 5)
-        if abs(step).max() < 1e-8:
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep, x.T @ (y - p) - keep @ w)
+        size = 1.0
+        while size > 1e-4 and loss(w + size * step) > loss(w):
+            size /= 2
+        w = w + size * step
+        if abs(size * step).max() < 1e-8:
             break
     return w
 
@@ -192,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     ya, yb = F.col("a") + prior, F.col("b") + prior
     odds = F.log(ya / (na + weight - ya)) - F.log(yb / (nb + weight - yb))
     z = odds / F.sqrt(1 / ya + 1 / yb)
-    lexicon = counts.select("w", odds.alias("odds"), z.alias("z"), (F.col("b") / nb).alias("p")).where(F.abs("z") >= SIGNIFICANT_Z).orderBy(F.abs("z").desc(), "w").limit(LEXICON).collect()
+    lexicon = counts.select("w", odds.alias("odds"), z.alias("z"), ((F.col("b") + 0.5) / nb).alias("p")).where(F.abs("z") >= SIGNIFICANT_Z).orderBy(F.abs("z").desc(), "w").limit(LEXICON).collect()
     model = Model({r.w: (float(r.odds), float(r.z)) for r in lexicon})
     if not any(v > 0 for v, _ in model.weights.values()):
         return Model()
