@@ -47,5 +47,5 @@ def test_changelog_holds_the_hard_cases(spark):
 
     f = flat_changelog(spark, DATA)
     assert f.where("op = 'u' and a_key = b_key and a_status = b_status and a_price = b_price").count() > 0
-    never = f.where("op = 'd'").join(f.where("op = 'u'").selectExpr("floor(seq / 10) as k").distinct(), f.seq.cast("long") / 10 - 0.4 == f.seq, "left_anti")
-    assert never.count() > 0
+    # deletes of rows that were never updated
+    assert f.where("op = 'd' and (seq div 10) % 3 <> 0 and (seq div 10) % 11 <> 0 and (seq div 10) % 13 <> 0").count() > 0

@@ -27,7 +27,7 @@ def test_table_kept_current_over_a_restart(spark, tmp_path):
 
 
 def run(df, tmp_path, name, spark):
-    q = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+    q = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / name)).trigger(once=True).start()
     q.awaitTermination()
     return spark.table(name)
 
