@@ -448,7 +448,7 @@ _WIN = "w AS (SELECT c AS chunk_id, c * 4000 AS low, c * 4000 + 3000 AS high FRO
 def _(spark, sf):
     o = _read(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("key"), F.col("o_orderstatus").alias("status"), F.lit(0).cast("long").alias("price"), F.col("o_custkey").cast("long").alias("cust"))
     chunks = o.select(F.floor(F.col("key") / 100).alias("chunk_id"), F.lit("orders").alias("tbl"), "key", F.struct("key", "status", "price", "cust").alias("after"))
-    windows = spark.range(400).select(F.col("id").alias("chunk_id"), (F.col("id") * 4000).alias("low"), (F.col("id") * 4000 + 3000).alias("high"))
+    windows = chunks.select("chunk_id").distinct().select("chunk_id", (F.col("chunk_id") * 4000).alias("low"), (F.col("chunk_id") * 4000 + 3000).alias("high"))
     events = order_log(spark, sf)
     d = N.deduplicated(chunks, windows, events, KEYS)
     before = events.where("op = 'd'").select("seq", F.col("before.key").alias("_b"))
