@@ -6,9 +6,15 @@ sends one row a task.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Rows of a table's log that one task puts in batches, about.
+PIECE_ROWS = 50_000
+
 
 def order_of(events: DataFrame) -> Column:
     return F.struct("seq", "sub") if "sub" in events.columns else F.struct("seq")
@@ -73,25 +79,113 @@ def missing_columns(base: DataFrame, rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c.lower() not in have]
 
 
-def passthrough_batches(events: DataFrame, keys: list[str], table: str = "tbl", most: int | None = None) -> DataFrame:
+def passthrough_batches(events: DataFrame, keys: list[str], table: str = "tbl", most: int | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Adds ``batch``: a batch ends before a key would repeat, before and after a truncate, or at ``most`` rows.
 
-    Sequential by nature: it runs table by table in Arrow batches, holding only the keys of the open batch.
+    A table's log is cut by ``seq`` into pieces of some ``piece_rows`` rows.  What a batch that is open at the
+    start of a piece becomes depends only on the place of its first row: each piece tells where its last batch
+    begins for every such place (at most ``most`` of them, or the rows before a key repeats in it), the driver
+    goes through these short lists piece by piece, and then all pieces are numbered at once.
     """
-    keyed = events.select(table, "seq", "op", F.concat_ws("|", *[c.cast("string") for c in row_key(keys)]).alias("_k"))
-
-    def run(pdf):
-        pdf = pdf.sort_values("seq", kind="stable")
-        batch, held, out, barrier = 0, set(), [], False
-        for op, k in zip(pdf["op"], pdf["_k"]):
-            if held and (k in held or op == "t" or barrier or (most and len(held) >= most)):
-                batch, held = batch + 1, set()
-            barrier = op == "t"
-            held.add(k)
+    at = [F.coalesce(F.col("seq"), F.lit((1 << 63) - 1)).alias("_s"), *([F.col("sub").alias("_sub")] if "sub" in events.columns else [])]
+    keyed = events.select(table, "seq", "op", F.concat_ws("|", *[c.cast("string") for c in row_key(keys)]).alias("_k"), *at)
+    order = [*keyed.columns[4:], "op", "_k"]
+    keyed = keyed.withColumn("_p", _piece(keyed, table, piece_rows))
+    starts, before, rows, barrier = {}, {}, 0, None
+    sizes = keyed.groupBy(table, "_p").agg(F.count(F.lit(1)).alias("n"), F.max_by("op", F.struct(*order)).alias("op")).collect()
+    for r in sorted(sizes, key=lambda r: (r[0] is not None, r[0] or "", r["_p"])):
+        if r[0] not in before:
+            rows, barrier = 0, "t"  # the first row of a table begins a batch
+        starts[r[0], r["_p"]], before[r[0]] = (rows, barrier == "t"), True
+        rows, barrier = rows + r["n"], r["op"]
+
+    ranked = keyed.withColumn("_n", F.row_number().over(W.partitionBy(table, "_p").orderBy(*order)).cast("long") - 1).select(table, "_p", "_n", "_k", "seq", "op")
+    # the row before of the same key, where it stands in an earlier piece: one row a key and piece
+    ends = ranked.groupBy(table, "_p", "_k").agg(F.max("_n").alias("_n"))
+    earlier = ends.withColumn("_e", F.lag(F.struct("_p", "_n")).over(W.partitionBy(table, "_k").orderBy("_p"))).where("_e is not null").select(table, "_p", "_k", F.col("_e._p").alias("_ep"), F.col("_e._n").alias("_en"))
+    pieces = ranked.groupBy(table, "_p").cogroup(earlier.groupBy(table, "_p"))
+
+    def laid_out(piece, rows, old):
+        """The rows in order, the place of the first, each row's place of the same key before (or -1), and where a batch must begin."""
+        first, forced = starts[piece]
+        rows = rows.sort_values("_n")
+        known = {k: starts[piece[0], p][0] + n for k, p, n in zip(old["_k"], old["_ep"], old["_en"])}
+        prev = []
+        for i, k in enumerate(rows["_k"], first):
+            prev.append(known.get(k, -1))
+            known[k] = i
+        cut = (rows["op"] == "t").tolist()
+        return rows, first, prev, [a or b for a, b in zip(cut, [forced, *cut])]
+
+    def told(piece, rows, old):
+        piece = piece[0], int(piece[1])
+        _, first, prev, cut = laid_out(piece, rows, old)
+        n, again = len(prev), {p: first + i for i, p in enumerate(prev)}
+        end, count, last = first + n, [0] * n, list(range(first, first + n))
+        until = end  # the end of a batch that begins at row i
+        for i in range(n - 1, -1, -1):
+            until = min(until, again.get(first + i, end), first + i + most if most else end)
+            if until < end:
+                count[i], last[i] = 1 + count[until - first], last[until - first]
+            if cut[i]:
+                until = first + i
+        out, top = [], -2
+        for i in range(n):
+            # a batch that began at or before this place ends before row i
+            reach = first - 1 if cut[i] else min(first - 1, max(prev[i], first + i - most if most else -1))
+            if reach > top:
+                top, goes = reach, (last[i], 1 + count[i])
+                out = [*out[:-1], (top, *goes)] if out and out[-1][1:] == goes else [*out, (top, *goes)]
+            if top == first - 1:
+                break
+        return pd.DataFrame({"tbl": [piece[0]], "p": [piece[1]], "ways": [[list(x) for x in out]]})
+
+    ways = {(r["tbl"], r["p"]): r["ways"] for r in pieces.applyInPandas(told, "tbl string, p long, ways array<array<long>>").collect()}
+    opened = {}
+    for piece in starts:  # in order
+        if starts[piece] == (0, True):
+            state = -1, -1
+        opened[piece] = state
+        began, batch = state
+        if way := next((w for w in ways[piece] if w[0] >= began), None):
+            state = way[1], batch + way[2]
+
+    def run(piece, rows, old):
+        piece = piece[0], int(piece[1])
+        rows, first, prev, cut = laid_out(piece, rows, old)
+        (began, batch), out = opened[piece], []
+        for i, (p, c) in enumerate(zip(prev, cut), first):
+            if c or p >= began or (most and i - began >= most):
+                began, batch = i, batch + 1
             out.append(batch)
-        return pdf.assign(batch=out).drop(columns="_k")
-
-    return keyed.groupBy(table).applyInPandas(run, f"{table} string, seq long, op string, batch long")
+        return rows[[table, "seq", "op"]].assign(batch=out)
+
+    return pieces.applyInPandas(run, f"{table} string, seq long, op string, batch long")
+
+
+def _piece(keyed: DataFrame, table: str, piece_rows: int) -> Column:
+    """The number of the piece of its table that a row's ``_s`` lies in: bounds are approximate quantiles."""
+    counts = {r[0]: r["n"] for r in keyed.groupBy(table).agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = -(-max(counts.values(), default=0) // piece_rows)
+    bounds = {}
+    if most > 1:
+        cuts = F.array(*[F.lit(i / most) for i in range(1, most)])
+        large = keyed.groupBy(table).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_s", cuts, F.lit(max(10_000, 20 * most))).alias("b")).where(F.col("n") > piece_rows)
+        for r in large.collect():
+            step = most / -(-r["n"] // piece_rows)
+            bounds[r[0]] = sorted({r["b"][max(0, round(i * step) - 1)] for i in range(1, -(-r["n"] // piece_rows))})
+    if not bounds:
+        return F.lit(0).cast("long")
+
+    @F.pandas_udf("long")
+    def piece(tables: pd.Series, places: pd.Series) -> pd.Series:
+        out = pd.Series(0, places.index, "int64")
+        for t in tables.unique():
+            here = tables.isna() if t is None else tables == t
+            out[here] = np.searchsorted(np.array(bounds.get(t, []), "int64"), places[here].to_numpy(), side="right")
+        return out
+
+    return piece(F.col(table), F.col("_s"))
 
 
 def split_errors(rows: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -99,7 +99,7 @@ def _(spark, sf):
 
 @query("passthrough_batches")
 def _(spark, sf):
-    return M.passthrough_batches(order_log(spark, sf).where("seq < 200000"), KEYS, most=500)
+    return M.passthrough_batches(order_log(spark, sf), KEYS, most=500)
 
 
 @query("dead_letters", "SELECT event_id, props, 'k' AS error FROM events WHERE event_id % 10 = 0", log=False)

@@ -1,8 +1,11 @@
 """Queries cover all rows of tables that are larger than the smallest scale."""
 
+import random
+
 import pandas as pd
 import pytest
 
+from changeloom.operators import materialize as M
 from changeloom.plans.catalog import QUERIES
 
 KEYS = [*range(0, 120), *range(19_990, 20_010), *range(39_990, 40_010), 155_000]
@@ -21,3 +24,33 @@ def test_window_dedup_has_a_window_for_every_chunk(spark, large_keys):
     got = {r.key: r.seq for r in QUERIES["window_dedup"](spark, large_keys).where("snapshot = 'incremental'").collect()}
     # the window of chunk c is 4,000 c to 4,000 c + 3,000 and events of key k stand at 10 k: those of chunk 0 alone are inside
     assert got == {k: k // 100 * 4000 + 3000 for k in KEYS if k >= 100}
+
+
+def test_passthrough_batches_reads_the_whole_log(spark, large_keys):
+    got = {r.seq // 10 for r in QUERIES["passthrough_batches"](spark, large_keys).collect()}
+    assert got == set(KEYS)
+
+
+def in_order(rows, most):
+    """Batches by one pass over all rows of a table."""
+    batch, held, barrier, out = 0, set(), False, {}
+    for seq, op, key in rows:
+        if held and (key in held or op == "t" or barrier or (most and len(held) >= most)):
+            batch, held = batch + 1, set()
+        held.add(key)
+        barrier, out[seq] = op == "t", batch
+    return out
+
+
+@pytest.mark.parametrize("most", [None, 1, 4, 9])
+@pytest.mark.parametrize("keys", [6, 60, 10_000])
+def test_passthrough_batches_in_pieces(spark, most, keys):
+    rnd = random.Random(keys)
+    rows = {t: [(7 * i, "t" if rnd.random() < 0.03 else "u", rnd.randrange(keys)) for i in range(n)] for t, n in (("a", 150), ("b", 40), (None, 90), ("c", 1))}
+    rows = {t: [(s, op, None if op == "t" else k) for s, op, k in x] for t, x in rows.items()}
+    image = lambda k: None if k is None else (k,)
+    log = spark.createDataFrame([(s, t, op, None, image(k)) for t, x in rows.items() for s, op, k in x], "seq long, tbl string, op string, before struct<key:long>, after struct<key:long>").repartition(5)
+    got = {}
+    for r in M.passthrough_batches(log, ["key"], most=most, piece_rows=11).collect():
+        got.setdefault(r.tbl, {})[r.seq] = r.batch
+    assert got == {t: in_order(x, most) for t, x in rows.items()}
