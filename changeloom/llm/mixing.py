@@ -50,10 +50,10 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
 
 
 def _cut(hist: DataFrame, at: str) -> DataFrame:
-    """For each stratum the bin where the running words pass ``_open``, and the words still open at its start."""
+    """For each stratum the bin where the running words reach ``_open``, and the words still open at its start."""
     w = W.partitionBy("stratum").orderBy(at)
     s = hist.withColumn("_after", F.sum("_words").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    return s.where((F.col("_after") > F.col("_open")) & (F.col("_after") - F.col("_words") < F.col("_open"))).select("stratum", at, (F.col("_open") - F.col("_after") + F.col("_words")).alias("_open"))
+    return s.where((F.col("_after") >= F.col("_open")) & (F.col("_after") - F.col("_words") < F.col("_open"))).select("stratum", at, (F.col("_open") - F.col("_after") + F.col("_words")).alias("_open"))
 
 
 def pareto_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str = "size", seed: int = 29) -> DataFrame:

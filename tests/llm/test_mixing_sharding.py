@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
+import pandas as pd
 from pyspark.sql import functions as F
 
 from changeloom.llm import mixing, sharding
@@ -45,6 +47,16 @@ def test_mix_of_odd_tables(spark):
     assert len(same) == 5 and sum(r.taken for r in same) > 0
 
 
+def test_open_words_that_end_at_a_bin_edge_equal_sql(spark, tmp_path):
+    # equal texts and whole targets (150, 60, 30 of 80 words each): the cut is between two documents
+    text = " ".join(["word"] * 10)
+    pd.DataFrame({"doc_id": range(24), "source": ["a", "b", "c"] * 8, "text": text}).to_parquet(tmp_path / "documents.parquet")
+    want = duckdb.sql(mixing.OP3_SQL.replace("FROM documents", f"FROM '{tmp_path}/documents.parquet'")).fetchall()
+    got = mixing.op3_pareto_mix(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert sum(r.taken for r in got) == 240
+
+
 def test_shards_match_the_mixture(spark):
     rows = [(i, ["a", "b", None, "hot"][i % 7 if i % 7 < 3 else 3], i) for i in range(1003)]
     out = sharding.interleave(spark.createDataFrame(rows, SCHEMA), "doc_id", "source", 16).collect()
