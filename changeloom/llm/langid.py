@@ -20,17 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import crc32_of, read
+from changeloom.llm.common import checkpointed, crc32_of, read, small_side
 
 #: Dictionaries are cut from at most so many texts a language, from each at most TEXT_BYTES characters.
 SAMPLE_TEXTS = 800
 TEXT_BYTES = 2_000
 DICTIONARY_BYTES = 256 * 1024
-#: At most so many languages, those with the most rows.
-LANGUAGES = 400
 LEVEL = 3
 #: Smallest share of the runner-up's size that an accepted answer saves.
 MARGIN = 0.004
+#: Longer texts are compressed in even blocks of at most so many bytes, each with a fresh dictionary: what a
+#: dictionary saves on one text is bounded, so the margin would shrink with the length.
+BLOCK_BYTES = 64 * 1024
 #: Texts below this size are also tried with the second dictionaries.
 SHORT_BYTES = 400
 
@@ -47,11 +48,10 @@ def letters(text: str) -> bytes:
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, tuple[bytes, bytes]]:
     """Two dictionaries for each language, from texts with the smallest hashes of their keys."""
     known = docs.where(F.col(lang).isNotNull()).select(key, lang).withColumn("_h", F.xxhash64(F.col(key)))
-    most = known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES)
     # the rank limit is applied in each task before the shuffle, so a hot language sends a bounded number of rows
     place = F.row_number().over(W.partitionBy(lang).orderBy("_h", key))
-    picked = known.withColumn("_r", place).where(F.col("_r") <= SAMPLE_TEXTS).join(F.broadcast(most.select(lang)), lang, "left_semi")
-    rows = docs.select(key, text).join(F.broadcast(picked.select(key, F.col(lang).alias("_lang"), "_r")), key)
+    picked = checkpointed(known.withColumn("_r", place).where(F.col("_r") <= SAMPLE_TEXTS).select(key, F.col(lang).alias("_lang"), "_r"))
+    rows = docs.select(key, text).join(small_side(picked), key)
     texts: dict[str, list] = {}
     for r in rows.select("_lang", "_r", F.substring(text, 1, TEXT_BYTES).alias("t")).where(F.col("t").isNotNull()).collect():
         texts.setdefault(r["_lang"], []).append((r["_r"], letters(r["t"])))
@@ -75,13 +75,16 @@ def classify(text: str | None, loaded: list) -> tuple[str, float, bool]:
     raw = letters(text) if text and loaded else b""
     if not raw:
         return "und", 0.0, False
+    parts = -(-len(raw) // BLOCK_BYTES)
+    blocks = [raw[len(raw) * i // parts : len(raw) * (i + 1) // parts] for i in range(parts)]
+    size = lambda c: sum(len(c.compress(x)) for x in blocks)
     if len(raw) < SHORT_BYTES:
-        sizes = [(len(a.compress(raw)) + len(b.compress(raw)), k) for k, a, b in loaded]
+        sizes = [(size(a) + size(b), k) for k, a, b in loaded]
     else:
-        sizes = [(len(a.compress(raw)), k) for k, a, _ in loaded]
+        sizes = [(size(a), k) for k, a, _ in loaded]
         low = min(sizes)[0]
         if sum(s == low for s, _ in sizes) > 1:
-            sizes = [(s + len(b.compress(raw)) / 1e9, k) for (s, k), (_, _, b) in zip(sizes, loaded)]
+            sizes = [(s + size(b) / 1e9, k) for (s, k), (_, _, b) in zip(sizes, loaded)]
     sizes.sort()
     best = sizes[0]
     if len(sizes) == 1:

@@ -89,3 +89,22 @@ def test_crc_matches_zlib(spark):
         assert r.c == zlib.crc32(str(r.id).encode())
     with pytest.raises(Exception):
         toxicity.fit(spark.range(1), spark.range(1))
+
+
+def test_the_margin_of_very_long_texts(spark):
+    rnd = random.Random(5)
+    vocabulary = {k: ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randrange(3, 10))) for _ in range(3000)] for k in ("x", "y")}
+    said = lambda k, n: " ".join(rnd.choices(vocabulary[k], k=n))
+    model = {k: tuple(langid.letters(said(k, 38_000)) for _ in range(2)) for k in vocabulary}
+    loaded = langid._load(model)
+    long = said("x", 2_500_000)
+    lang, _, accepted = langid.classify(long, loaded)
+    assert len(long) > 16_000_000 and lang == "x" and accepted
+    assert langid.classify(said("x", 1000), loaded)[::2] == ("x", True)
+    # between two languages, however long
+    assert not langid.classify(" ".join(said("xy"[i % 2], 100) for i in range(2000)), loaded)[2]
+
+
+def test_every_language_is_learned(spark):
+    docs = spark.createDataFrame([(i, f"l{i}", "word " * 3) for i in range(450)], "doc_id long, lang string, text string")
+    assert len(langid.fit(docs)) == 450
