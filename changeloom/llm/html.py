@@ -4,8 +4,9 @@ Every text node has a root-to-leaf tag path (element names with their classes).
 text length and the punctuation of its nodes are added up and divided by their number; links count
 against a path.  The two ratios are smoothed over the page's node sequence with a Gaussian, fused by
 multiplication and thresholded at a share of their standard deviation.  The nodes that pass vote for
-the content root, the deepest container that holds most of their text; the page's text is all blocks
-below it except those in boilerplate (navigation, headers, footers, asides, notices, adverts, forms,
+the content root, the deepest container that holds most of their text (or the article or main element
+around it); without such an element, the branches beside the root that hold other passing nodes belong to
+it too, and headings beside it.  The page's text is all blocks below except those in boilerplate (navigation, headers, footers, asides, notices, adverts, forms,
 comments and the like, by element, role, class or id).
 
 Defined results: a null or empty page, and one with nothing but boilerplate, gives the empty text; a
@@ -51,6 +52,7 @@ SMOOTHING_RADIUS = 2
 THRESHOLD = 0.5
 #: The content root holds at least this share of the text that passed.
 ROOT_SHARE = 0.7
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NOT_A_ROOT = frozenset("p b i em strong a span font u small big h1 h2 h3 h4 h5 h6 li dt dd pre code q sub sup label td th tr blockquote".split())
 
 _markup = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
@@ -188,22 +190,55 @@ def extract(page: str | None) -> str:
     best = max((x for x in holders.values() if x.weight >= ROOT_SHARE * total), key=lambda x: x.depth)
     while best.parent and best.tag in NOT_A_ROOT:
         best = best.parent
+    roots, alone = {id(best)}, set()
     if article := _within(best):
-        best = article
+        roots = {id(article)}
+    elif best.parent:
+        above, node = set(), best.parent
+        while node:
+            above.add(id(node))
+            node = node.parent
+        # neighbours smooth short texts upwards, so beside the root a text must pass by its own path as well
+        lone = {x.path: length[x.path] / count[x.path] * (1 + marks[x.path] / count[x.path]) >= THRESHOLD * deviation for x, *_ in said}
+        chosen = {id(node) for node, _ in passed}
+        branches: dict[int, tuple[Node, bool]] = {}
+
+        def branch(node: Node) -> tuple[Node, bool]:
+            """The element beside the root (or the root) that holds a node, and whether an h1 in it does."""
+            way = [node]
+            while id(way[-1]) not in branches and id(way[-1].parent) not in above:
+                way.append(way[-1].parent)
+            found = branches.get(id(way[-1])) or (way[-1], False)
+            for x in reversed(way):
+                found = branches[id(x)] = found[0], found[1] or x.tag == "h1"
+            return found
+
+        for node, block, _ in said:
+            if node.boiler or node.link:
+                continue
+            if id(node) in above:
+                if id(node) in chosen and lone[node.path]:
+                    alone.add(block)
+                continue
+            top, headline = branch(node)
+            if id(node) in chosen and lone[node.path]:
+                roots.add(id(top))
+            elif headline or top.tag in HEADINGS:
+                alone.add(block)
     inside: dict[int, bool] = {}
 
     def below(node: Node) -> bool:
         way = []
-        while node and node is not best and id(node) not in inside:
+        while node and id(node) not in roots and id(node) not in inside:
             way.append(id(node))
             node = node.parent
-        found = bool(node) and (node is best or inside[id(node)])
+        found = bool(node) and (id(node) in roots or inside[id(node)])
         inside.update(dict.fromkeys(way, found))
         return found
 
     blocks: dict[int, list[str]] = {}
     for node, block, raw in seen:
-        if not node.boiler and below(node):
+        if not node.boiler and (block in alone or below(node)):
             blocks.setdefault(block, []).append(raw)
     return "\n\n".join(s for parts in blocks.values() if (s := _space.sub(" ", "".join(parts)).strip()))
 

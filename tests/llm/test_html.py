@@ -18,6 +18,18 @@ def test_without_article_the_ratios_find_the_container():
     assert got[0] == "Short" and got[-1] == "End." and len(got) == 10
 
 
+def test_without_article_headline_and_smaller_part_stay():
+    said = lambda k, n: [f"Sentence number {i} of part {k}, which is long enough, has commas, and goes on." for i in range(n)]
+    div = lambda name, texts: f"<div class={name}>" + "".join(f"<p>{t}</p>" for t in texts) + "</div>"
+    a, b = said("one", 9), said("two", 3)
+    menu = "<div id=top><div><a href=#>Home</a></div><div><a href=#>About</a></div></div>"
+    page = f"<body>{menu}<h1>Head line</h1>{div('content', a)}{div('more', b)}<div>x</div><footer>us</footer></body>"
+    assert html.extract(page).split("\n\n") == ["Head line", *a, *b]
+    assert html.extract(f"<body>{menu}<h1>Head line</h1>{div('content', a)}</body>").split("\n\n") == ["Head line", *a]
+    nested = f"<body>{menu}<div class=wrap><div class=top><h1>Head line</h1></div>{div('content', a)}<div>x</div></div>{div('more', b)}</body>"
+    assert html.extract(nested).split("\n\n") == ["Head line", *a, *b]
+
+
 def test_odd_pages(spark):
     pages = [None, "", "plain <b>a</b>&lt;c", "<nav>only menu</nav>", "<p>unclosed", "<" * 50, "<div>" * 3000 + "deep text", "a\x00b", "<p>" + "word, " * 50_000]
     rows = spark.createDataFrame(list(enumerate(pages)) * 2, "page_id long, html string").selectExpr("*", "'u' as text")
