@@ -45,6 +45,20 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def identified(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, int | None]:
+    """``docs`` with ``row_id``, and the largest real id (null: all are real).
+
+    ``row_id`` is the key (a long), and for each row without one a number of its own above all keys.
+    """
+    none = docs.where(F.col(key).isNull())
+    if none.isEmpty():
+        return docs.withColumn("row_id", F.col(key)), None
+    top = docs.agg(F.max(key)).first()[0]
+    top = -1 if top is None else top
+    numbered = stored(none.withColumn("row_id", F.monotonically_increasing_id() + F.lit(top + 1)))
+    return docs.where(F.col(key).isNotNull()).withColumn("row_id", F.col(key)).unionByName(numbered), top
+
+
 def crc32_of(col: str | Column) -> Column:
     """crc32 of a value written as text (null: of the empty text)."""
     col = F.col(col) if isinstance(col, str) else col

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, read, stored
+from changeloom.llm.common import checkpointed, identified, read, stored
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 96
@@ -229,4 +229,8 @@ def _has_repeats(docs: DataFrame) -> bool:
 
 
 def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster(read(spark, sf_dir, "documents"))
+    """Rows without ``doc_id`` are documents of their own; a component of such rows alone has no ``component_id``."""
+    docs, top = identified(read(spark, sf_dir, "documents"))
+    out = cluster(docs, "row_id")
+    real = lambda c: F.col(c) if top is None else F.when(F.col(c) <= top, F.col(c))
+    return out.withColumn("component_id", real("component_id")).withColumn("row_id", real("row_id")).withColumnRenamed("row_id", "doc_id")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm import bpe, langid, minhash, mixing, toxicity
-from changeloom.llm.common import crc32_of, read, stored, word_count
+from changeloom.llm.common import crc32_of, identified, read, stored, word_count
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,16 +26,24 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest ``doc_id`` stays."""
-    kept = minhash.cluster(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Of each component of near-duplicates the document with the smallest ``doc_id`` stays, with all rows of that id.
+
+    Rows without ``doc_id`` are documents of their own and come after all others.
+    """
+    named, _ = identified(docs)
+    kept = minhash.cluster(named, "row_id").where("kept").select("row_id").distinct()
+    return named.join(kept, "row_id", "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it (0 to 3 times)."""
-    narrow = docs.select("doc_id", "source", word_count("text").alias("size"))
-    copies = mixing.pareto_mix(narrow).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    return docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    """Each document as often as the mixture takes it (0 to 3 times).
+
+    Rows without ``doc_id`` draw one by one; all rows of one ``doc_id`` are taken as often as the one taken most.
+    """
+    named, _ = identified(docs)
+    narrow = named.select("row_id", "source", word_count("text").alias("size"))
+    copies = mixing.pareto_mix(narrow, "row_id").where("copies > 0").groupBy("row_id").agg(F.max("copies").alias("_copies"))
+    return named.join(copies, "row_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

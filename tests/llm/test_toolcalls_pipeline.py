@@ -72,3 +72,22 @@ def test_pipeline_keeps_columns_and_acts(spark):
     words = lambda d: sum(len((r.text or "").split()) for r in d.collect())
     assert 0 < before.count() and words(before) > 0
     assert corpus_pipeline.run(spark, sf).count() == before.count()
+
+
+def test_rows_without_doc_id_stay(spark, tmp_path):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(i, text(i)) for i in range(6)] + [(None, text(5)), (None, text(7)), (None, text(8)), (None, text(8)), (None, None), (3, text(3))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    want = [(i, text(i)) for i in range(6)] + [(3, text(3)), (None, text(7)), (None, text(8)), (None, None)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, want))
+    # the one source is taken once as a whole, a text without words never counts
+    mixed = [(r.doc_id, r.text) for r in corpus_pipeline.mix_sources(spark, left, "").collect() if r.text]
+    assert sorted(map(str, mixed)) == sorted(map(str, want[:-1]))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["op6_minmax_dedup"](spark, str(tmp_path)).collect()
+    assert len(out) == len(rows) and all(r.kept is not None for r in out)
+    assert sorted((r.component_id, r.kept) for r in out if r.doc_id is None and r.component_id is not None) == [(5, False)]
+    assert sum(r.kept for r in out if r.doc_id is None) == 3
