@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,15 +19,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+    """The folder that driver and executors share, named in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (local tests) a
-    temporary folder of this machine is made and set for the session.
+    Where that is unset, a session that runs on this machine alone gets a temporary folder; on a cluster it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isEmpty():
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="changeloom-"))
         named = jsc.getCheckpointDir().get()
     return named.rstrip("/")
@@ -46,17 +48,19 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def identified(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, int | None]:
-    """``docs`` with ``row_id``, and the largest real id (null: all are real).
+    """``docs`` with ``row_id``, unique by row, and the largest key (null: ``row_id`` is the key in every row).
 
-    ``row_id`` is the key (a long), and for each row without one a number of its own above all keys.
+    Rows without a key, or whose key stands in other rows too, get a number of their own above all keys.
     """
-    none = docs.where(F.col(key).isNull())
-    if none.isEmpty():
+    per = docs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top, none, most = per.agg(F.max(key), F.max(F.col(key).isNull()), F.max(F.when(F.col(key).isNotNull(), F.col("_n")))).first()
+    if not none and (most or 0) <= 1:
         return docs.withColumn("row_id", F.col(key)), None
-    top = docs.agg(F.max(key)).first()[0]
     top = -1 if top is None else top
-    numbered = stored(none.withColumn("row_id", F.monotonically_increasing_id() + F.lit(top + 1)))
-    return docs.where(F.col(key).isNotNull()).withColumn("row_id", F.col(key)).unionByName(numbered), top
+    again = small_side(checkpointed(per.where(F.col(key).isNotNull() & (F.col("_n") > 1)).select(key)))
+    odd = docs.where(F.col(key).isNull()).unionByName(docs.join(again, key, "left_semi"))
+    numbered = stored(odd.withColumn("row_id", F.monotonically_increasing_id() + F.lit(top + 1)))
+    return docs.where(F.col(key).isNotNull()).join(again, key, "left_anti").withColumn("row_id", F.col(key)).unionByName(numbered), top
 
 
 def crc32_of(col: str | Column) -> Column:

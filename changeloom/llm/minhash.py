@@ -3,23 +3,31 @@
 A document is the set of its distinct five-word shingles, each a 64-bit hash.  Every permutation
 yields two signature values, the smallest and the largest hash under it, so that half the
 permutations give a signature of the same length.  Signatures are cut into bands; documents that
-share a band are candidates, and every link is confirmed on the full shingle sets.
+share a band (a bucket) are candidates, and every link is confirmed on the full shingle sets.
 
-How groups of any size stay linear: equal sets are collapsed to a class first; inside a bucket every
-class is compared with the bucket's first class only (a star); connected components are built from
-the confirmed links; and only buckets that still hold several components are looked at again, where
-the classes outside the leading component are compared with the rest.  No bucket is ever collected,
-and no cap is set on its size.
+How groups of any size stay linear, without a cap:
+
+* equal sets are collapsed to a class first;
+* in a bucket every class is compared with one head (a star).  The head is the class that meets most
+  others over all its buckets: of edited copies that is the original, so one star links its group;
+* classes outside their head's component get a second star, with the most central of them as head;
+* pairs that are then still open (of one bucket, neither of them its head, in different components) are
+  compared directly in small buckets, a constant number a class.  In larger ones an exact prefix filter finds
+  them: a pair that is linked shares one of the rarest shingles of both, at places that leave room
+  for the overlap it needs.  Shingles are counted among these classes only, and a shingle whose classes
+  are all of one component is dropped.
 
 With 6 values a band and 32 bands a pair at the threshold of 0.85 is missed with probability 3e-7.
-Candidates whose one-bit sketches (one bit of each of the 192 values) differ in more than 36 places are
-dropped before texts are fetched: a pair at the threshold differs in 14 on average, with a standard
-deviation of 3.7, so this costs fewer than one such pair in ten million.
+Before texts are fetched, pairs are dropped whose sizes rule the threshold out, and those whose one-bit sketches
+(one bit of each of the 192 values) differ in more than ``sketch_bits`` places: a pair at the threshold differs in
+14 on average, with a standard deviation of 3.7, so 36 costs fewer than one such pair in ten million; None
+switches the sketches off.
 
 Defined results: documents without words (or null) have an empty set, are their own component and
-link with nothing; with fewer than five words the whole sequence is the one shingle; repeated rows of
-one ``doc_id`` are one document here (the smallest text hash speaks for it in links, all get the
-component); an empty table gives no rows; other columns are ignored.
+link with nothing; with fewer than five words the whole sequence is the one shingle; all rows of one
+``doc_id`` are one document: each row has its own ``n_shingles``, any of its texts links, and all get
+one component; rows without ``doc_id`` are documents of their own; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +37,10 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, identified, read, stored
+from changeloom.llm.common import checkpointed, identified, read, small_side, stored
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 96
@@ -41,6 +50,8 @@ BANDS = 2 * PERMUTATIONS // BAND_VALUES
 LINK_PERCENT = 85
 #: Bits in which the sketches of a pair may differ.
 SKETCH_BITS = 36
+#: Buckets with at most so many open classes are compared pair by pair, larger ones by the prefix filter.
+SMALL_BUCKET = 8
 #: Hash values handled at once while signing, to bound memory on very long texts.
 BLOCK = 4096
 #: Word hashes that one worker remembers.
@@ -110,12 +121,12 @@ def sketch(sig: np.ndarray) -> np.ndarray:
     return np.packbits((_mix(sig.astype(np.uint64)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
-def alike(a: str, b: str) -> Column:
+def alike(a: str, b: str, bits: int) -> Column:
     """Whether two sketch columns are near enough for a link."""
     differ = F.lit(0)
     for i in range(2 * PERMUTATIONS // 64):
         differ = differ + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
-    return differ <= SKETCH_BITS
+    return differ <= bits
 
 
 def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -165,72 +176,147 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``id, root`` for every end of a link: the smallest id reachable.
 
-    Alternates large-star and small-star steps (map-reduce connected components): each step is one
-    shuffle of the links with map-side minima, and steps grow with the logarithm of a chain's length.
+    Alternates large-star and small-star steps (map-reduce connected components), and steps grow with the
+    logarithm of a chain's length.  Minima are made on the map side and written before they are joined, so that
+    Spark can split the edges of a hub over many tasks.
     """
     edges = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = checkpointed(small)
+        least = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
+        large = checkpointed(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        edges = checkpointed(small.where("u <> v").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
         seen = now
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()
+    # every id but a root has one edge now, which leads to its root
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+
+
+def star_heads(near: DataFrame) -> DataFrame:
+    """``bucket, head``: of each bucket the class that meets most others over all of its buckets (then the smallest id)."""
+    sizes = near.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    central = near.join(sizes, "bucket").groupBy("key").agg(F.sum("size").alias("met"))
+    return near.join(central, "key").groupBy("bucket").agg(F.min(F.struct((-F.col("met")).alias("m"), "key"))["key"].alias("head"))
+
+
+def fitting(pairs: DataFrame, about: DataFrame, bits: int | None) -> DataFrame:
+    """The distinct pairs ``a, b`` whose set sizes (and sketches) allow a link; ``about`` is ``key, n_shingles, sketch``."""
+    side = lambda c: about.select(F.col("key").alias(c), F.col("n_shingles").alias(f"_n{c}"), F.col("sketch").alias(f"_s{c}"))
+    both = pairs.where("a <> b").distinct().join(side("a"), "a").join(side("b"), "b").where(100 * F.least("_na", "_nb") >= LINK_PERCENT * F.greatest("_na", "_nb"))
+    return (both if bits is None else both.where(alike("_sa", "_sb", bits))).select("a", "b")
+
+
+def rooted(near: DataFrame, roots: DataFrame) -> DataFrame:
+    return near.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
-def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id, kept, links`` for every row (``links``: confirmed links of its class)."""
-    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+def open_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of different components that may be linked; ``left`` is ``key, root``, a row for each class.
+
+    Every linked pair is among them: both sets, in the order of shingle counts, hold their first common shingle within
+    the first ``n - ceil(0.85 n) + 1``, and as many shingles follow it in both as the link needs.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for key, root, text in zip(*[c.to_pylist() for c in batch.columns]):
+                s = shingle_set(text)
+                for k in range(0, len(s), 1 << 16):
+                    part = s[k : k + (1 << 16)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), key)), pa.array(np.full(len(part), root)), pa.array(np.full(len(part), len(s))), pa.array(part)], ["key", "root", "n", "h"])
+
+    held = stored(left.join(texts, "key").select("key", "root", "text").mapInArrow(run, "key long, root long, n long, h long"))
+    counts = held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    place = F.row_number().over(W.partitionBy("key").orderBy("df", "h")).cast("long")
+    ranked = held.join(counts, "h", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("r", place)
+    first = checkpointed(ranked.where((F.col("df") > 1) & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * LINK_PERCENT / 100) + 1)).select("h", "key", "root", "n", "r"))
+    by_root = first.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c"))
+    # of one shingle, the classes outside its most frequent component meet the others
+    major = by_root.groupBy("h").agg(F.max(F.struct("c", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("h", "major")
+    some = checkpointed(first.join(major, "h"))
+    x = some.where("root <> major").select("h", "major", *[F.col(c).alias(f"{c}_x") for c in ("key", "root", "n", "r")])
+    room = 1 + F.least(F.col("n_x") - F.col("r_x"), F.col("n") - F.col("r"))
+    test = (F.col("root_x") != F.col("root")) & (100 * room >= LINK_PERCENT * (F.col("n_x") + F.col("n") - room))
+    return x.join(some.drop("major"), "h").where(test & ((F.col("root") == F.col("major")) | (F.col("key_x") < F.col("key")))).select(F.col("key_x").alias("a"), F.col("key").alias("b"))
+
+
+def _clustered(docs: DataFrame, top: int | None, sketch_bits: int | None) -> DataFrame:
+    """``key, doc, n_shingles, component_id, kept`` from ``key, doc, text``: see :func:`identified` for ``key`` and ``top``."""
     signed = stored(sign(docs, "key", "text"))
     full = signed.where(F.col("set_id").isNotNull())
-    # one class for each set; a document with several rows joins the classes of all of them
-    classes = full.groupBy("set_id").agg(F.min("key").alias("cls"))
-    rows = full.where(F.col("bands").isNotNull()).groupBy("set_id").agg(F.min(F.struct("key", "n_shingles", "bands", "sketch")).alias("r")).select("r.*")
-    members = checkpointed(full.select("key", "set_id").join(classes, "set_id").select("key", "cls").distinct())
-    banded = rows.select("key", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
-    buckets = banded.groupBy("band", "bucket").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    near = stored(banded.join(buckets, ["band", "bucket"]).select("band", "bucket", "key", "n_shingles", "head"))
-    sketches = checkpointed(rows.select("key", "sketch"))
-    pairs = near.where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
-    pairs = pairs.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("_a")), "a").join(sketches.select(F.col("key").alias("b"), F.col("sketch").alias("_b")), "b")
-    sized = checkpointed(pairs.where(alike("_a", "_b")).select("a", "b"))
-    texts = docs.join(rows.select("key"), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")) if _has_repeats(docs) else docs
-    links = checkpointed(confirmed(sized, texts))
-    same = members.where("key <> cls").select(F.col("cls").alias("a"), F.col("key").alias("b"))
-    roots = checkpointed(components(links))
-    # buckets that hold several components: those outside the head's component meet the others
-    at = near.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    mixed = at.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max(F.when(F.col("key") == F.col("head"), F.col("root"))).alias("lead")).where("lo <> hi")
-    left = checkpointed(at.join(mixed.select("band", "bucket", "lead"), ["band", "bucket"]))
-    if not left.where("root <> lead").isEmpty():
-        left = left.join(sketches, "key")
-        out = left.where("root <> lead").select("band", "bucket", F.col("key").alias("x"), F.col("n_shingles").alias("nx"), F.col("root").alias("rx"), F.col("sketch").alias("_x"))
-        rest = left.where("key <> head").select("band", "bucket", F.col("key").alias("y"), F.col("n_shingles").alias("ny"), F.col("root").alias("ry"), F.col("sketch").alias("_y"))
-        fits = (F.col("rx") != F.col("ry")) & alike("_x", "_y") & (100 * F.least("nx", "ny") >= LINK_PERCENT * F.greatest("nx", "ny"))
-        more = out.join(rest, ["band", "bucket"]).where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        links = checkpointed(links.unionByName(confirmed(more, texts)).distinct())
-    ends = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls"))).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
-    roots = components(links.unionByName(same))
-    out = signed.select("key", "n_shingles").join(roots.withColumnRenamed("id", "key"), "key", "left")
-    out = out.join(members.groupBy("key").agg(F.min("cls").alias("cls")), "key", "left").join(ends, "cls", "left")
-    return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("root", "key").alias("component_id"), (F.coalesce("root", "key") == F.col("key")).alias("kept"), F.coalesce("links", F.lit(0)).alias("links"))
-
-
-def _has_repeats(docs: DataFrame) -> bool:
-    """Whether some key stands in several rows."""
-    return not docs.groupBy("key").count().where("count > 1").isEmpty()
+    # one class for each set, named by its smallest row
+    classes = full.groupBy("set_id").agg(F.min("key").alias("cls"), F.count(F.lit(1)).alias("n"))
+    copied = small_side(checkpointed(classes.where("n > 1").select("set_id", "cls")))
+    same = checkpointed(full.select("key", "set_id").join(copied, "set_id").where("key <> cls").select(F.col("cls").alias("a"), F.col("key").alias("b")))
+    about = full.select("key", "n_shingles", "bands", "sketch").join(same.select(F.col("b").alias("key")), "key", "left_anti")
+    banded = about.select("key", F.explode("bands").alias("bucket"))  # a band's number is part of its hash
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    near = stored(banded.join(shared, "bucket").select("bucket", "key"))
+    about = checkpointed(about.join(near.select("key").distinct(), "key", "left_semi").select("key", "n_shingles", "sketch"))
+    texts = docs.select("key", "text")
+
+    near = checkpointed(near.join(star_heads(near), "bucket"))
+    links = checkpointed(confirmed(fitting(near.select(F.col("head").alias("a"), F.col("key").alias("b")), about, sketch_bits), texts))
+    at = checkpointed(rooted(near, checkpointed(components(links))))
+    # a second star for the classes outside the component of their bucket's head
+    lead = at.where("key = head").select("bucket", F.col("root").alias("lead"))
+    rest = checkpointed(at.join(lead, "bucket").where("root <> lead").select("bucket", "key"))
+    again = rest.join(star_heads(rest), "bucket").select(F.col("head").alias("a"), F.col("key").alias("b"))
+    more = checkpointed(confirmed(fitting(again.join(links, ["a", "b"], "left_anti"), about, sketch_bits), texts))
+    if not more.isEmpty():
+        links = checkpointed(links.unionByName(more).distinct())
+        at = checkpointed(rooted(near, checkpointed(components(links))))
+    # what is still open: pairs without the head, of different components
+    others = at.where("key <> head")
+    mixed = others.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("bucket", "n")
+    left = checkpointed(others.join(mixed, "bucket").select("bucket", "key", "root", "n"))
+    small = left.where(F.col("n") <= SMALL_BUCKET).select("bucket", "key", "root")
+    pairs = small.toDF("bucket", "a", "ra").join(small.toDF("bucket", "b", "rb"), "bucket").where("a < b and ra <> rb").select("a", "b").distinct()
+    large = left.where(F.col("n") > SMALL_BUCKET).select("key", "root").distinct()
+    if not large.isEmpty():
+        pairs = pairs.unionByName(open_pairs(large, texts))
+    links = links.unionByName(confirmed(fitting(pairs, about, sketch_bits), texts))
+    # a row's class, then the component of the class
+    out = signed.select("key", "n_shingles").join(same.select(F.col("b").alias("key"), F.col("a").alias("cls")), "key", "left").withColumn("cls", F.coalesce("cls", "key"))
+    if top is not None:  # rows that repeat a document's id are one document: so are their classes
+        out = checkpointed(out.join(docs.select("key", "doc"), "key"))
+        again = out.where(F.col("doc").isNotNull() & (F.col("key") > top)).select("doc", "cls").distinct()
+        first = small_side(checkpointed(again.groupBy("doc").agg(F.min("cls").alias("a"))))
+        links = links.unionByName(again.join(first, "doc").where("a <> cls").select("a", F.col("cls").alias("b")))
+    roots = small_side(checkpointed(components(links)))
+    out = checkpointed(out).join(roots, F.col("cls") == F.col("id"), "left").withColumn("root", F.coalesce("root", "cls")).drop("id")
+    if top is None:
+        return out.select("key", F.col("key").alias("doc"), "n_shingles", F.col("root").alias("component_id"), (F.col("key") == F.col("root")).alias("kept"))
+    # rows with an id of their own making: a component is named by its smallest real id, if it has any
+    out = checkpointed(out)
+    out = out.join(small_side(checkpointed(out.groupBy("root").agg(F.min("doc").alias("component_id")))), "root")
+    kept = F.when(F.col("component_id").isNull(), F.col("key") == F.col("root")).otherwise(F.coalesce(F.col("doc") == F.col("component_id"), F.lit(False)))
+    return out.select("key", "doc", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text", sketch_bits: int | None = SKETCH_BITS) -> DataFrame:
+    """``key, n_shingles, component_id, kept`` for every row."""
+    rows, top = identified(docs.select(F.col(key).alias("doc"), F.col(text).alias("text")), "doc")
+    return _clustered(rows.withColumnRenamed("row_id", "key"), top, sketch_bits).select(F.col("doc").alias(key), "n_shingles", "component_id", "kept")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns: of each component all rows of its smallest ``key``.
+
+    A component of rows without ``key`` keeps the first of its rows.
+    """
+    packed = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows, top = identified(packed, "doc")
+    rows = rows.withColumnRenamed("row_id", "key")
+    kept = _clustered(rows.select("key", "doc", "text"), top, SKETCH_BITS).where("kept").select("key")
+    return rows.join(kept, "key", "left_semi").select("row.*")
 
 
 def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without ``doc_id`` are documents of their own; a component of such rows alone has no ``component_id``."""
-    docs, top = identified(read(spark, sf_dir, "documents"))
-    out = cluster(docs, "row_id")
-    real = lambda c: F.col(c) if top is None else F.when(F.col(c) <= top, F.col(c))
-    return out.withColumn("component_id", real("component_id")).withColumn("row_id", real("row_id")).withColumnRenamed("row_id", "doc_id")
+    return cluster(read(spark, sf_dir, "documents"))

@@ -53,7 +53,7 @@ def corpus(seed=1):
 
 def test_components_equal_all_pairs(spark):
     rows = corpus()
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as sketch", "2 as head")
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as sketch", "2 as head", "3 as key", "4 as row_id", "5 as doc")
     want = brute(rows)
     got = {r.doc_id: r for r in M.cluster(df).collect()}
     assert len(got) == len(rows)
@@ -76,3 +76,31 @@ def test_repeated_rows_and_empty_table(spark):
     got = M.cluster(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (1, 1), (1, 1), (2, 1)]
     assert M.cluster(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_one_document_with_two_texts(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(5, text(1)), (5, text(2)), (7, text(1)), (9, text(2) + " end"), (11, text(3)), (None, text(3)), (None, text(4))]
+    got = M.cluster(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got) == [
+        (0, 56, 0, True), (0, 56, 11, False), (5, 56, 5, True), (5, 56, 5, True), (7, 56, 5, False), (9, 57, 5, False), (11, 56, 11, True),
+    ]
+
+
+def test_open_pairs_of_a_large_bucket_lose_no_link(spark, monkeypatch):
+    """Copies around two centres that share most shingles: with small buckets off, the prefix filter alone finds what stars leave."""
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(90):
+        t = list(base)
+        for _ in range(r.randint(1, 9)):
+            t[r.randrange(200)] = f"z{r.randrange(40)}"
+        rows.append((i, " ".join(t)))
+    monkeypatch.setattr(M, "SMALL_BUCKET", 0)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in M.cluster(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=None).collect()}
+    assert got == brute(rows)
+    left = spark.createDataFrame([(i, i) for i, _ in rows], "key long, root long")
+    found = {frozenset((x.a, x.b)) for x in M.open_pairs(left, spark.createDataFrame(rows, "key long, text string")).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    assert {frozenset((a, b)) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])} <= found
