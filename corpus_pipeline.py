@@ -30,9 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without ``doc_id`` are documents of their own and come after all others.
     """
-    named, _ = identified(docs)
-    kept = minhash.cluster(named, "row_id").where("kept").select("row_id").distinct()
-    return named.join(kept, "row_id", "left_semi").select(*docs.columns)
+    return minhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
