@@ -34,16 +34,25 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by a reliable checkpoint in the shared folder."""
+#: Rows of narrow tables that one task and one file hold, about, where the number of rows is known.
+FILE_ROWS = 100_000
+
+
+def gathered(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df`` (narrow, with at most ``rows`` rows) in no more partitions than these fill."""
+    return df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` cut from its lineage by a reliable checkpoint in the shared folder; ``rows`` is a known bound of its rows."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return gathered(df, rows).checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read again (columns can then be pruned)."""
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    gathered(df, rows).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, identified, read, small_side, stored
+from changeloom.llm.common import checkpointed, gathered, identified, read, small_side, stored
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 96
@@ -181,18 +181,19 @@ def components(links: DataFrame) -> DataFrame:
     Spark can split the edges of a hub over many tasks.
     """
     edges = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
-    while True:
+    n, seen = edges.count(), None
+    edges = gathered(edges, n)
+    while True:  # no step makes more edges than there were, and a least neighbour for each end at most
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
-        large = checkpointed(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), 2 * n)
+        large = checkpointed(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), 2 * n)
+        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")), 2 * n)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = checkpointed(small.where("u <> v").distinct())
+        edges = checkpointed(small.where("u <> v").distinct(), 2 * n)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
-        seen = now
+        n, seen = now[0], now
     # every id but a root has one edge now, which leads to its root
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
 
@@ -231,7 +232,7 @@ def open_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), key)), pa.array(np.full(len(part), root)), pa.array(np.full(len(part), len(s))), pa.array(part)], ["key", "root", "n", "h"])
 
     held = stored(left.join(texts, "key").select("key", "root", "text").mapInArrow(run, "key long, root long, n long, h long"))
-    counts = held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    counts = checkpointed(held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     place = F.row_number().over(W.partitionBy("key").orderBy("df", "h")).cast("long")
     ranked = held.join(counts, "h", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("r", place)
     first = checkpointed(ranked.where((F.col("df") > 1) & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * LINK_PERCENT / 100) + 1)).select("h", "key", "root", "n", "r"))
@@ -253,33 +254,40 @@ def _clustered(docs: DataFrame, top: int | None, sketch_bits: int | None) -> Dat
     classes = full.groupBy("set_id").agg(F.min("key").alias("cls"), F.count(F.lit(1)).alias("n"))
     copied = small_side(checkpointed(classes.where("n > 1").select("set_id", "cls")))
     same = checkpointed(full.select("key", "set_id").join(copied, "set_id").where("key <> cls").select(F.col("cls").alias("a"), F.col("key").alias("b")))
-    about = full.select("key", "n_shingles", "bands", "sketch").join(same.select(F.col("b").alias("key")), "key", "left_anti")
+    about = full.select("key", "n_shingles", "bands", "sketch").join(small_side(same.select(F.col("b").alias("key"))), "key", "left_anti")
     banded = about.select("key", F.explode("bands").alias("bucket"))  # a band's number is part of its hash
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     near = stored(banded.join(shared, "bucket").select("bucket", "key"))
-    about = checkpointed(about.join(near.select("key").distinct(), "key", "left_semi").select("key", "n_shingles", "sketch"))
-    texts = docs.select("key", "text")
-
-    near = checkpointed(near.join(star_heads(near), "bucket"))
-    links = checkpointed(confirmed(fitting(near.select(F.col("head").alias("a"), F.col("key").alias("b")), about, sketch_bits), texts))
-    at = checkpointed(rooted(near, checkpointed(components(links))))
+    n = near.count()  # a bound of the rows of all tables below, until pairs are taken from small buckets and shingles
+    keys = small_side(checkpointed(near.select("key").distinct(), n))
+    about = checkpointed(about.join(keys, "key", "left_semi").select("key", "n_shingles", "sketch"), n)
+    texts = stored(docs.select("key", "text").join(keys, "key", "left_semi"))
+
+    near = stored(near.join(star_heads(near), "bucket"), n)
+    pairs = checkpointed(fitting(near.select(F.col("head").alias("a"), F.col("key").alias("b")), about, sketch_bits), n)
+    links = checkpointed(confirmed(pairs, texts))  # its tasks do the work of this operator: not gathered
+    links = gathered(links, links.count())
+    at = stored(rooted(near, components(links)), n)
     # a second star for the classes outside the component of their bucket's head
     lead = at.where("key = head").select("bucket", F.col("root").alias("lead"))
-    rest = checkpointed(at.join(lead, "bucket").where("root <> lead").select("bucket", "key"))
+    rest = stored(at.join(lead, "bucket").where("root <> lead").select("bucket", "key"), n)
     again = rest.join(star_heads(rest), "bucket").select(F.col("head").alias("a"), F.col("key").alias("b"))
-    more = checkpointed(confirmed(fitting(again.join(links, ["a", "b"], "left_anti"), about, sketch_bits), texts))
+    pairs = checkpointed(fitting(again.join(links, ["a", "b"], "left_anti"), about, sketch_bits), n)
+    more = checkpointed(confirmed(pairs, texts))
     if not more.isEmpty():
-        links = checkpointed(links.unionByName(more).distinct())
-        at = checkpointed(rooted(near, checkpointed(components(links))))
+        links = checkpointed(links.unionByName(more).distinct(), 2 * n)
+        at = stored(rooted(near, components(links)), n)
     # what is still open: pairs without the head, of different components
     others = at.where("key <> head")
     mixed = others.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("bucket", "n")
-    left = checkpointed(others.join(mixed, "bucket").select("bucket", "key", "root", "n"))
+    left = stored(others.join(mixed, "bucket").select("bucket", "key", "root", "n"), n)
     small = left.where(F.col("n") <= SMALL_BUCKET).select("bucket", "key", "root")
     pairs = small.toDF("bucket", "a", "ra").join(small.toDF("bucket", "b", "rb"), "bucket").where("a < b and ra <> rb").select("a", "b").distinct()
-    large = left.where(F.col("n") > SMALL_BUCKET).select("key", "root").distinct()
+    large = checkpointed(left.where(F.col("n") > SMALL_BUCKET).select("key", "root").distinct(), n)
     if not large.isEmpty():
         pairs = pairs.unionByName(open_pairs(large, texts))
+    pairs = checkpointed(pairs.distinct())
+    pairs = gathered(pairs, pairs.count())
     links = links.unionByName(confirmed(fitting(pairs, about, sketch_bits), texts))
     # a row's class, then the component of the class
     out = signed.select("key", "n_shingles").join(same.select(F.col("b").alias("key"), F.col("a").alias("cls")), "key", "left").withColumn("cls", F.coalesce("cls", "key"))
