@@ -238,7 +238,7 @@ def open_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
     first = checkpointed(ranked.where((F.col("df") > 1) & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * LINK_PERCENT / 100) + 1)).select("h", "key", "root", "n", "r"))
     by_root = first.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c"))
     # of one shingle, the classes outside its most frequent component meet the others
-    major = by_root.groupBy("h").agg(F.max(F.struct("c", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("h", "major")
+    major = checkpointed(by_root.groupBy("h").agg(F.max(F.struct("c", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("h", "major"))
     some = checkpointed(first.join(major, "h"))
     x = some.where("root <> major").select("h", "major", *[F.col(c).alias(f"{c}_x") for c in ("key", "root", "n", "r")])
     room = 1 + F.least(F.col("n_x") - F.col("r_x"), F.col("n") - F.col("r"))
@@ -260,7 +260,7 @@ def _clustered(docs: DataFrame, top: int | None, sketch_bits: int | None) -> Dat
     near = stored(banded.join(shared, "bucket").select("bucket", "key"))
     n = near.count()  # a bound of the rows of all tables below, until pairs are taken from small buckets and shingles
     keys = small_side(checkpointed(near.select("key").distinct(), n))
-    about = checkpointed(about.join(keys, "key", "left_semi").select("key", "n_shingles", "sketch"), n)
+    about = checkpointed(about.join(keys, "key", "left_semi").select("key", "n_shingles", "sketch"))
     texts = stored(docs.select("key", "text").join(keys, "key", "left_semi"))
 
     near = stored(near.join(star_heads(near), "bucket"), n)
