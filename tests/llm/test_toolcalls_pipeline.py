@@ -10,7 +10,7 @@ SCHEMA = {"t": {"properties": {"n": {"type": "integer", "minimum": 1}, "s": {"ty
 
 
 def link(spark, calls, results):
-    return {r.call_id: r for r in toolcalls.link(spark.createDataFrame(calls, CALL), spark.createDataFrame(results, "call_id string, content string"), SCHEMA).collect()}
+    return {r.call_id: r for r in toolcalls.link(spark.createDataFrame(calls, CALL), spark.createDataFrame(results, "conv_id long, call_id string, content string"), SCHEMA).collect()}
 
 
 def test_order_validation_and_records(spark):
@@ -25,7 +25,7 @@ def test_order_validation_and_records(spark):
         (3, 1, 0, "g", "t", '{"n": 1.5, "o": {"z": 1, "y": [true, null]}}', ["f"]),
         (3, 1, 0, "g", "t", '{"n": 1.5, "o": {"z": 1, "y": [true, null]}}', ["f"]),
     ]
-    got = link(spark, calls, [("a", 'q"é\n'), ("b", "1"), ("b", "2"), ("none", "x"), (None, "y")])
+    got = link(spark, calls, [(1, "a", 'q"é\n'), (1, "b", "1"), (1, "b", "2"), (2, "a", "other"), (1, "none", "x"), (1, None, "y")])
     assert set(got) == set("abcdefg")
     order = sorted("abc", key=lambda k: (got[k].level, got[k].turn))
     assert order == ["c", "a", "b"] and got["d"].level == got["e"].level == -1 and got["g"].level == 0
@@ -39,6 +39,37 @@ def test_order_validation_and_records(spark):
     assert link(spark, [], []) == {}
 
 
+def test_identifiers_count_in_their_conversation_only(spark):
+    calls = [(c, 0, 0, "call_0", "t", '{"n": 1}', []) for c in (1, 2, None)]
+    df = spark.createDataFrame(calls, CALL).selectExpr("*", "1 as node", "2 as level")
+    out = toolcalls.link(df, spark.createDataFrame([(1, "call_0", "one"), (None, "call_0", "none")], "conv_id long, call_id string, content string"), SCHEMA).collect()
+    assert sorted((r.conv_id or 0, r.status, json.loads(r.record)["result"] or "") for r in out) == [(0, "answered", "none"), (1, "answered", "one"), (2, "unanswered", "")]
+
+
+def test_levels_of_long_chains_and_cycles(spark, monkeypatch):
+    n = 300
+    calls = [(1, i, 0, f"k{i}", "t", '{"n": 1}', [f"k{i + 1}"] if i + 1 < n else []) for i in range(n)]  # a chain of forward dependencies
+    calls += [(2, i, 0, f"k{i}", "t", '{"n": 1}', [f"k{(i + 1) % 5}"]) for i in range(5)] + [(2, 9, 0, "z", "t", "{}", ["k0"])]  # a cycle and what is behind it
+    calls += [(3, 0, 0, "a", "t", "{}", ["b", "c"]), (3, 1, 0, "b", "t", "{}", ["c", "d"]), (3, 2, 0, "c", "t", "{}", ["d"]), (3, 3, 0, "d", "t", "{}", []), (3, 4, 0, "e", "t", "{}", ["a", "e", "a"])]
+    jobs = []
+    real = toolcalls.checkpointed
+    monkeypatch.setattr(toolcalls, "checkpointed", lambda *a: jobs.append(1) or real(*a))
+    monkeypatch.setattr(toolcalls, "PART_CALLS", 16)
+    empty = spark.createDataFrame([], "conv_id long, call_id string, content string")
+    out = {(r.conv_id, r.call_id): r for r in toolcalls.rendered(toolcalls.link(spark.createDataFrame(calls, CALL), empty, SCHEMA)).collect()}
+    assert [out[1, f"k{i}"].level for i in range(n)] == [n - 1 - i for i in range(n)] and [out[1, f"k{i}"].place for i in range(n)] == [n - i for i in range(n)]
+    assert {out[k].level for k in out if k[0] == 2} == {-1}
+    assert [out[3, k].level for k in "abcde"] == [3, 2, 1, 0, -1]
+    assert len(jobs) < 90
+
+
+def test_very_long_arguments(spark):
+    text = "é\u0000\"" * 400_000
+    calls = [(1, 0, 0, "a", "t", json.dumps({"n": 1, "s": text}), None)]
+    out = link(spark, calls, [(1, "a", text)])
+    assert json.loads(out["a"].record)["result"] == text and out["a"].problems == "s: not allowed"
+
+
 def test_messages_are_parsed(spark):
     rows = [(1, 0, "assistant", '{"tool_calls": [{"id": "x", "name": "t", "arguments": {"n": 1}}]}'), (1, 1, "tool", '{"tool_call_id": "x", "content": "ok"}'), (1, 2, "assistant", "{broken"), (1, 3, None, None)]
     calls, results = toolcalls.parse_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
@@ -50,7 +81,7 @@ def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
-    cols = ["call_id", "level", "missing_after", "status", "problems", "record"]
+    cols = ["conv_id", "turn", "call_id", "place", "level", "missing_after", "status", "problems", "record"]
     got = sorted(tuple(str(r[c]) for c in cols) for r in QUERIES["op5_tool_calls"](spark, sf).collect())
     assert got == sorted(tuple(map(str, r)) for r in con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE_SQL['op5_tool_calls']})").fetchall())
 
