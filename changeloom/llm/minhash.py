@@ -236,13 +236,21 @@ def open_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
     place = F.row_number().over(W.partitionBy("key").orderBy("df", "h")).cast("long")
     ranked = held.join(counts, "h", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("r", place)
     first = checkpointed(ranked.where((F.col("df") > 1) & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * LINK_PERCENT / 100) + 1)).select("h", "key", "root", "n", "r"))
+    return crossing(first, LINK_PERCENT)
+
+
+def crossing(first: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different roots that share an element ``h`` with room for a link behind it.
+
+    ``first`` is ``h, key, root, n, r``: the places ``r`` of the elements of prefixes in sets of size ``n``.
+    """
     by_root = first.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c"))
     # of one shingle, the classes outside its most frequent component meet the others
     major = checkpointed(by_root.groupBy("h").agg(F.max(F.struct("c", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("h", "major"))
     some = checkpointed(first.join(major, "h"))
     x = some.where("root <> major").select("h", "major", *[F.col(c).alias(f"{c}_x") for c in ("key", "root", "n", "r")])
     room = 1 + F.least(F.col("n_x") - F.col("r_x"), F.col("n") - F.col("r"))
-    test = (F.col("root_x") != F.col("root")) & (100 * room >= LINK_PERCENT * (F.col("n_x") + F.col("n") - room))
+    test = (F.col("root_x") != F.col("root")) & (100 * room >= percent * (F.col("n_x") + F.col("n") - room))
     return x.join(some.drop("major"), "h").where(test & ((F.col("root") == F.col("major")) | (F.col("key_x") < F.col("key")))).select(F.col("key_x").alias("a"), F.col("key").alias("b"))
 
 

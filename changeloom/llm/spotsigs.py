@@ -4,11 +4,14 @@ A signature is a common word (anchor) with the two content words that follow it;
 are skipped, and of a run of anchors the last one counts.  A fingerprint is the set of a text's
 signatures.  Near-duplicates are compared by Jaccard similarity: sets are partitioned by length, so
 that only neighbouring partitions can hold similar sets, candidates come from an inverted index over
-the rarest signatures of each set, and pairs whose lengths rule the threshold out are never compared.
+the rarest signatures of each set, and pairs whose lengths or places rule the threshold out are never compared.
+In a list of the index every set is compared with the most central one; only sets of other components than the
+list's largest meet the rest, so that a group of near copies stays linear.
 
 Defined results: a text without any signature is the set of its words, and one without words is one
 signature of the whole text (null counts as empty); equal texts have equal fingerprints; repeated
-rows are neighbours of each other in ``doc_id`` order; an empty table gives no rows.
+rows are neighbours of each other in ``doc_id`` order, rows without ``doc_id`` come last, by a hash of their texts; a
+near-duplicate class of such rows alone has no name (null); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, read
+from changeloom.llm.common import checkpointed, gathered, read, small_side, stored
+from changeloom.llm.minhash import components, crossing, rooted, star_heads
 
 #: Anchors are common words of English, German, French and Spanish.
 ANCHORS = (
@@ -29,9 +33,12 @@ ANCHORS = (
     "al como con del el es las lo los no para por se su una y"
 ).split()
 CHAIN = r"\|(?=([^ ]+ [^ |]+(?: \|[^ ]+)? [^ |]+))"
-#: Rows of neighbouring keys that are put in order together.
+#: Rows of neighbouring keys that are put in order together, about.
 BIN_ROWS = 4096
-MIN_BINS = 1024
+#: Keys are cut at so many quantiles squared, and between two of them evenly.
+QUANTILES = 32
+#: Fingerprints are near duplicates from this Jaccard similarity.
+NEAR_PERCENT = 80
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -64,69 +71,108 @@ def jaccard(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
-def near_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Pairs of fingerprint classes ``a < b, likeness`` at ``least`` or above, and ``key, class`` membership.
-
-    Texts with equal fingerprints form one class, named by its smallest key.
-    """
-    prints = signatures(df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("_t")), "_t", "sigs").drop("_t")
-    prints = checkpointed(prints.withColumn("n", F.size("sigs")))
-    classes = checkpointed(prints.groupBy("sigs").agg(F.min("key").alias("cls"), F.first("n").alias("n")))
-    counted = classes.select("cls", "n", F.explode("sigs").alias("s"))
-    common = counted.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    place = F.row_number().over(W.partitionBy("cls").orderBy("df", "s"))
-    # a set and a similar one share a signature among the n - ceil(least * n) + 1 rarest of each; those that only one set has lead to nothing
-    ranked = counted.join(common, "s", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("_r", place)
-    index = ranked.where((F.col("_r") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1) & (F.col("df") > 1))
-    part = F.floor(F.log(F.col("n")) / F.lit(-math.log(least)) + 1e-9).cast("int")
-    index = index.select("s", "cls", "n", part.alias("part"))
-    longer = index.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), F.explode(F.array(F.col("part") - 1, F.col("part"))).alias("part"))
-    shorter = index.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), "part")
-    fits = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    pairs = shorter.join(longer, ["s", "part"]).where(fits & (F.col("na") >= F.col("nb") * least)).select("a", "b").distinct()
-    sets = classes.select("cls", "sigs")
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("sigs").alias("_x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("sigs").alias("_y")), "b")
-    found = both.withColumn("likeness", jaccard(F.col("_x"), F.col("_y"))).where(F.col("likeness") >= least)
-    found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
-    return found, prints.join(classes.drop("n"), "sigs").select(F.col("key").alias(key), F.col("cls").alias("class"))
-
-
-def with_next(df: DataFrame, key: str, *carried: str) -> DataFrame:
-    """Adds ``next_<c>`` for each carried column: its value in the row with the next smaller key (after the last: the first).
-
-    Keys are cut into ranges of some BIN_ROWS rows; each range is put in order by itself, and the last
-    row of a range takes the first row of the next range that has any.
+def near_classes(prints: DataFrame, percent: int = NEAR_PERCENT) -> DataFrame:
+    """``id, root`` of the sets (``id, sigs``, unique by ``id``) that have a near one: the smallest id reachable."""
+    sets = prints.select(F.col("id").alias("key"), "sigs", F.size("sigs").cast("long").alias("n"))
+    held = sets.select("key", "n", F.explode("sigs").alias("h"))
+    counts = checkpointed(held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    place = F.row_number().over(W.partitionBy("key").orderBy("df", "h")).cast("long")
+    ranked = held.join(counts, "h", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("r", place)
+    # a set and a near one share a signature among the rarest n - ceil(0.8 n) + 1 of each; what one set alone has leads to nothing
+    index = stored(ranked.where((F.col("df") > 1) & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("h", "key", "n", "r"))
+    part = F.floor(F.log(F.col("n")) / F.lit(-math.log(percent / 100)) + 1e-9).cast("long")  # sizes of one part or the next can be near
+    lists = index.select("key", F.explode(F.array(part - 1, part)).alias("part"), "h").select("key", (F.col("h").cast("long") * 4096 + F.col("part")).alias("bucket"))
+    shared = lists.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
+    near = stored(lists.join(shared, "bucket"))
+    near = stored(near.join(star_heads(near), "bucket"), near.count())
+    links = checkpointed(confirmed(near.where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b")), sets, percent))
+    links = gathered(links, links.count())
+    roots = checkpointed(components(links))
+    more = checkpointed(confirmed(crossing(rooted(index, roots), percent), sets, percent))
+    return components(links.unionByName(more))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs ``a, b`` whose sets (``key, n, sigs``) are near; sizes are compared before the sets are fetched."""
+    size = lambda c: sets.select(F.col("key").alias(c), F.col("n").alias(f"_n{c}"))
+    full = lambda c: sets.select(F.col("key").alias(c), F.col("sigs").alias(f"_s{c}"))
+    fit = pairs.distinct().join(size("a"), "a").join(size("b"), "b").where(100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb"))
+    both = fit.join(full("a"), "a").join(full("b"), "b").withColumn("_c", F.size(F.array_intersect("_sa", "_sb")))
+    return both.where(100 * F.col("_c") >= percent * (F.col("_na") + F.col("_nb") - F.col("_c"))).select("a", "b")
+
+
+def near_duplicates(rows: DataFrame, key: str = "doc_id", sigs: str = "sigs", percent: int = NEAR_PERCENT) -> DataFrame:
+    """Adds ``near_class``, the smallest ``key`` of the near-duplicates of each row (its own if there are none).
+
+    ``rows`` is materialized; equal fingerprints are one set.
     """
-    low, high, n = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    if low is None:
-        low = high = 0
-    width = max(1, -(-(high - low + 1) // max(MIN_BINS, -(-n // BIN_ROWS))))
-    bin_ = F.coalesce(F.floor((F.col(key) - low) / width), F.lit(-1)).cast("long") if high - low < 1 << 52 else F.coalesce(F.expr(f"({key} - {low}) div {width}"), F.lit(-1)).cast("long")
-    binned = df.withColumn("_bin", bin_)
-    order = W.partitionBy("_bin").orderBy(F.desc_nulls_last(key), *carried)
-    placed = binned.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carried], F.row_number().over(order).alias("_rn"), F.lead(F.lit(1)).over(order).alias("_more"))
-    by_bin = W.partitionBy(F.lit(0)).orderBy(F.desc("_bin"))  # one row for each range
-    follow = df.select(bin_.alias("_bin")).distinct()
-    follow = follow.select("_bin", F.coalesce(F.lead("_bin").over(by_bin), F.max("_bin").over(W.partitionBy(F.lit(0)))).alias("_to"))
-    first = placed.where("_rn = 1").select(F.col("_bin").alias("_to"), *[F.col(c).alias(f"next_{c}") for c in carried])
-    last = placed.where("_more is null").drop(*[f"next_{c}" for c in carried]).join(follow, "_bin").join(first, "_to")
-    names = [*df.columns, *[f"next_{c}" for c in carried]]
-    return placed.where("_more = 1").select(*names).unionByName(last.select(*names))
+    marked = rows.withColumn("_id", F.md5(F.col(sigs).cast("string")))
+    prints = stored(marked.groupBy("_id").agg(F.min(sigs).alias("sigs"), F.min(key).alias("_least")).withColumnRenamed("_id", "id"))
+    roots = checkpointed(near_classes(prints.select("id", "sigs"), percent))
+    named = prints.select("id", "_least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    least = checkpointed(named.groupBy("root").agg(F.min("_least").alias("near_class")))
+    named = checkpointed(named.join(least, "root").select(F.col("id").alias("_id"), "near_class"))
+    return marked.join(small_side(named), "_id").drop("_id")
 
 
-def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = with_next(signatures(docs, "text", "sigs"), "doc_id", "text", "sigs")
+def bin_of(df: DataFrame, key: str, hashed: str) -> Column:
+    """The range of a row's key as a struct that sorts like the key, nulls first.
+
+    Keys lie between QUANTILES ** 2 - 1 approximate quantiles; between two of these ranges are even and hold some
+    BIN_ROWS rows.  Rows without a key are dealt by their hash.
+    """
+    cuts = [i / QUANTILES**2 for i in range(1, QUANTILES**2)]
+    n, none, low, high, found = df.agg(F.count(F.lit(1)), F.sum(F.col(key).isNull().cast("long")), F.min(key), F.max(key), F.percentile_approx(key, cuts, 20_000)).first()
+    nulls = F.pmod(F.col(hashed), F.lit(-(-(none or 0) // BIN_ROWS) or 1))
+    if low is None:
+        return F.struct(F.lit(-1).alias("q"), nulls.alias("k"))
+    bounds = [low, *found]
+    rows = [bounds[i : i + QUANTILES] for i in range(0, len(bounds), QUANTILES)]
+    under = lambda a: F.size(F.filter(a, lambda b: b <= F.col(key)))
+    many = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    i = under(many([r[0] for r in rows])) - 1
+    j = under(F.get(F.array(*[many(r) for r in rows]), i)) - 1
+    at = i * QUANTILES + j
+    parts = -(-n // (len(bounds) * BIN_ROWS))
+    widths = [max(1, -(-(b - a) // parts)) for a, b in zip(bounds, [*bounds[1:], high + 1])]
+    inside = F.floor((F.col(key) - F.get(many(bounds), at)) / F.get(many(widths), at))
+    return F.when(F.col(key).isNull(), F.struct(F.lit(-1).alias("q"), nulls.alias("k"))).otherwise(F.struct(at.alias("q"), inside.cast("long").alias("k")))
+
+
+def with_next(df: DataFrame, key: str, text: str, derive) -> DataFrame:
+    """``derive(df)`` with ``next_<c>`` of each of its columns but ``key``: the values of the row with the next smaller key (after the last: the first).
+
+    Keys are cut into ranges; a copy of the first row of each range stands at the end of the range before (in the
+    order of the result), so that one window over ranges sees all neighbours and ``derive`` works once a row.
+    """
+    df = df.select(key, text, F.xxhash64(text).alias("_h"))
+    bin_ = bin_of(df, key, "_h")
+    # the first row of each range is found by key and hash alone
+    firsts = checkpointed(df.groupBy(bin_.alias("_bin")).agg(F.max(F.struct(key, "_h")).alias("_f")))
+    order = W.partitionBy(F.lit(0)).orderBy(F.desc("_bin"))  # one row for each range of BIN_ROWS rows
+    ranges = firsts.select("_bin", F.col(f"_f.{key}").alias("_k"), F.col("_f._h").alias("_fh"), F.lag("_bin").over(order).alias("_to"))
+    end = firsts.agg(F.min("_bin")).first()[0] or (0, 0)
+    ranges = checkpointed(ranges.select("_k", "_fh", F.coalesce("_to", F.struct(F.lit(end[0]).alias("q"), F.lit(end[1]).cast("long").alias("k"))).alias("_bin")))
+    copies = df.join(small_side(ranges), df[key].eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_fh"))).groupBy("_bin", key, "_h").agg(F.min(text).alias(text))
+    both = df.withColumn("_bin", bin_).withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True)))
+    rows = derive(both)
+    carried = [c for c in rows.columns if c not in (key, "_bin", "_h", "_copy")]
+    place = W.partitionBy("_bin").orderBy("_copy", F.desc_nulls_last(key), F.desc("_h"), text)
+    return rows.select("*", *[F.lead(c).over(place).alias(f"next_{c}") for c in carried]).where(~F.col("_copy")).drop("_bin", "_h", "_copy")
+
+
+def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_chars, edited_sha256, sigs, edited_sigs, near_edited, near_next``: each text beside its edited text and the next document."""
+    docs = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = with_next(docs, "key", "text", lambda d: signatures(d, "text", "sigs"))
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     rows = once(rows, "edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next_text", F.lit(1), cut)))
     rows = signatures(rows.drop("text", "next_text"), "edited", "edited_sigs")
-    return rows.select(
-        "doc_id",
-        "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        spelled(F.col("sigs")).alias("fingerprint"),
-        spelled(F.col("edited_sigs")).alias("edited_fingerprint"),
-        jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
-        jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
-    )
+    near = [jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next")]
+    return rows.select(F.col("key").alias(key), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sigs", "edited_sigs", *near)
+
+
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(stored(compared(read(spark, sf_dir, "documents").select("doc_id", "text"))))
+    return rows.select("doc_id", "n_chars", "edited_sha256", spelled(F.col("sigs")).alias("fingerprint"), spelled(F.col("edited_sigs")).alias("edited_fingerprint"), "near_edited", "near_next", "near_class")

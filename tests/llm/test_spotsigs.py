@@ -34,6 +34,23 @@ def texts(n, seed=3):
     return base + ["", None, "the the the the", "to " * 3000, "one", "!?", base[0]]
 
 
+def components(sets, percent):
+    """The smallest id reachable over pairs of near sets, by comparing all of them."""
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    return {i: find(i) for i in sets}
+
+
 def test_query_against_brute_force(spark, tmp_path):
     rows = [(i * 3, t) for i, t in enumerate(texts(60))]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
@@ -51,26 +68,35 @@ def test_query_against_brute_force(spark, tmp_path):
         assert abs(r.near_next - like(chains(t), chains(nxt))) < 1e-9
         assert len(r.fingerprint.split()) == len(chains(t))
         assert prints.setdefault(t, r.fingerprint) == r.fingerprint
+    near = components({i: chains(t or "") for i, t in rows}, 80)
+    assert {i: r.near_class for i, r in got.items()} == near and len(set(near.values())) < len(rows) - 10
 
 
-def test_next_row_with_gaps_ties_and_one_row(spark):
-    ids = [5, 5, 900, 10**12, -7]
+def test_next_row_with_gaps_ties_and_one_row(spark, monkeypatch):
+    nexts = lambda df: S.with_next(df, "doc_id", "text", lambda d: d)
+    ids = [5, 5, 900, 10**18, -7, None, None]
     df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string")
-    got = {(r.doc_id, r.text): r.next_text for r in S.with_next(df, "doc_id", "text").collect()}
-    assert got == {(10**12, "t3"): "t2", (900, "t2"): "t0", (5, "t0"): "t1", (5, "t1"): "t4", (-7, "t4"): "t3"}
-    assert S.with_next(df.limit(1), "doc_id", "text").collect()[0].next_text == "t0"
-    assert S.with_next(df.limit(0), "doc_id", "text").count() == 0
+    got = {r.text: r.next_text for r in nexts(df).collect()}
+    assert len(got) == 7 and sorted(got.values()) == sorted(got)
+    assert got["t3"] == "t2" and {got["t2"], got[got["t2"]]} == {"t0", "t1"} and got[got[got["t2"]]] == "t4" and got["t4"] in ("t5", "t6") and got[got[got["t4"]]] == "t3"
+    assert nexts(df.limit(1)).collect()[0].next_text == "t0"
+    assert nexts(df.limit(0)).count() == 0
+    monkeypatch.setattr(S, "BIN_ROWS", 4)
+    monkeypatch.setattr(S, "QUANTILES", 2)
+    rows = [(k * k, f"t{k}") for k in range(300)] + [(2**62, "t300")]
+    got = {r.text: r.next_text for r in nexts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {f"t{k}": f"t{(k - 1) % 301}" for k in range(301)}
 
 
-def test_near_pairs_equal_all_pairs(spark):
+def test_near_classes_equal_all_pairs(spark):
     rows = [(i, t) for i, t in enumerate(texts(80, 5))]
-    pairs, classes = S.near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), least=0.7)
-    got = {(r.a, r.b): r.likeness for r in pairs.collect()}
-    cls = {r.doc_id: r["class"] for r in classes.collect()}
-    sets = {i: chains(t or "") for i, t in rows}
-    first = {}
-    for i, s in sets.items():
-        assert cls[i] == first.setdefault(frozenset(s), i)
-    names = sorted(first.values())
-    want = {(a, b): like(sets[a], sets[b]) for a in names for b in names if a < b and like(sets[a], sets[b]) >= 0.7}
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    r = random.Random(4)
+    base = [w for i in range(60) for w in ("the", f"a{i}", f"b{i}")]
+    for i in range(70):  # copies that are near the original or not, and near each other or not
+        copy = list(base)
+        for _ in range(r.randint(0, 9)):
+            copy[r.randrange(60) * 3 + 1] = f"z{r.randrange(9)}"
+        rows.append((1000 + i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as key", "2 as root", "3 as h")
+    got = {x.doc_id: x.near_class for x in S.near_duplicates(S.signatures(df.fillna("", ["text"]), "text", "sigs").cache(), percent=70).collect()}
+    assert got == components({i: chains(t or "") for i, t in rows}, 70)
