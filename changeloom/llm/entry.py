@@ -9,7 +9,7 @@ from changeloom.llm.langid import op10_zstd_language
 from changeloom.llm.minhash import op6_minmax_dedup
 from changeloom.llm.mixing import OP3_SQL, op3_pareto_mix
 from changeloom.llm.sharding import op4_interleaved_shards
-from changeloom.llm.spotsigs import op7_spotsigs
+from changeloom.llm.spotsigs import op7_spotsigs, spotsigs_near_duplicates
 from changeloom.llm.toolcalls import OP5_SQL, op5_tool_calls
 from changeloom.llm.toxicity import op8_toxic_segments
 
@@ -21,6 +21,7 @@ QUERIES = {
     "op5_tool_calls": op5_tool_calls,
     "op6_minmax_dedup": op6_minmax_dedup,
     "op7_spotsigs": op7_spotsigs,
+    "spotsigs_near_duplicates": spotsigs_near_duplicates,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_telephony": op9_telephony,
     "op10_zstd_language": op10_zstd_language,

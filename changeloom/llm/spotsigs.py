@@ -74,12 +74,14 @@ def jaccard(a: Column, b: Column) -> Column:
 def near_classes(prints: DataFrame, percent: int = NEAR_PERCENT) -> DataFrame:
     """``id, root`` of the sets (``id, sigs``, unique by ``id``) that have a near one: the smallest id reachable."""
     sets = prints.select(F.col("id").alias("key"), "sigs", F.size("sigs").cast("long").alias("n"))
-    held = sets.select("key", "n", F.explode("sigs").alias("h"))
+    held = sets.select("key", F.explode("sigs").alias("h"))
     counts = checkpointed(held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    place = F.row_number().over(W.partitionBy("key").orderBy("df", "h")).cast("long")
-    ranked = held.join(counts, "h", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("r", place)
-    # a set and a near one share a signature among the rarest n - ceil(0.8 n) + 1 of each; what one set alone has leads to nothing
-    index = stored(ranked.where((F.col("df") > 1) & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("h", "key", "n", "r"))
+    # signatures of one set alone come first in its order and lead to nothing, so the others alone are shuffled by set
+    by_set = W.partitionBy("key")
+    ranked = held.join(counts, "h").withColumn("_k", F.row_number().over(by_set.orderBy("df", "h"))).withColumn("_all", F.count(F.lit(1)).over(by_set))
+    ranked = ranked.join(sets.select("key", "n"), "key").withColumn("r", F.col("n") - F.col("_all") + F.col("_k"))
+    # a set and a near one share a signature among the rarest n - ceil(0.8 n) + 1 of each
+    index = stored(ranked.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("h", "key", "n", "r"))
     part = F.floor(F.log(F.col("n")) / F.lit(-math.log(percent / 100)) + 1e-9).cast("long")  # sizes of one part or the next can be near
     lists = index.select("key", F.explode(F.array(part - 1, part)).alias("part"), "h").select("key", (F.col("h").cast("long") * 4096 + F.col("part")).alias("bucket"))
     shared = lists.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
@@ -101,18 +103,21 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("_c") >= percent * (F.col("_na") + F.col("_nb") - F.col("_c"))).select("a", "b")
 
 
-def near_duplicates(rows: DataFrame, key: str = "doc_id", sigs: str = "sigs", percent: int = NEAR_PERCENT) -> DataFrame:
-    """Adds ``near_class``, the smallest ``key`` of the near-duplicates of each row (its own if there are none).
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = NEAR_PERCENT) -> DataFrame:
+    """``key, n_signatures, near_class`` for every row: the smallest ``key`` of its near-duplicates (its own if there are none).
 
-    ``rows`` is materialized; equal fingerprints are one set.
+    Equal fingerprints are one set, named by one of its rows.
     """
-    marked = rows.withColumn("_id", F.md5(F.col(sigs).cast("string")))
-    prints = stored(marked.groupBy("_id").agg(F.min(sigs).alias("sigs"), F.min(key).alias("_least")).withColumnRenamed("_id", "id"))
-    roots = checkpointed(near_classes(prints.select("id", "sigs"), percent))
-    named = prints.select("id", "_least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    least = checkpointed(named.groupBy("root").agg(F.min("_least").alias("near_class")))
-    named = checkpointed(named.join(least, "root").select(F.col("id").alias("_id"), "near_class"))
-    return marked.join(small_side(named), "_id").drop("_id")
+    prints = signatures(docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("_t")), "_t", "sigs").drop("_t")
+    rows = stored(prints.withColumn("row", F.monotonically_increasing_id()).withColumn("fp", F.md5(F.col("sigs").cast("string"))))
+    copied = small_side(checkpointed(rows.groupBy("fp").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("c")).where("c > 1").select("fp", "id")))
+    member = checkpointed(rows.select("row", "doc", "fp", F.size("sigs").cast("long").alias("n_signatures")).join(copied, "fp", "left").select("row", "doc", "n_signatures", F.coalesce("id", "row").alias("id")))
+    others = small_side(checkpointed(member.where("row <> id").select("row")))
+    sets = rows.select("row", "sigs").join(others, "row", "left_anti").withColumnRenamed("row", "id")
+    roots = small_side(checkpointed(near_classes(sets, percent)))
+    named = checkpointed(member.join(roots, "id", "left").select("doc", "n_signatures", F.coalesce("root", "id").alias("root")))
+    least = small_side(checkpointed(named.groupBy("root").agg(F.min("doc").alias("near_class"))))
+    return named.join(least, "root").select(F.col("doc").alias(key), "n_signatures", "near_class")
 
 
 def bin_of(df: DataFrame, key: str, hashed: str) -> Column:
@@ -174,5 +179,10 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = near_duplicates(stored(compared(read(spark, sf_dir, "documents").select("doc_id", "text"))))
-    return rows.select("doc_id", "n_chars", "edited_sha256", spelled(F.col("sigs")).alias("fingerprint"), spelled(F.col("edited_sigs")).alias("edited_fingerprint"), "near_edited", "near_next", "near_class")
+    rows = compared(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", spelled(F.col("sigs")).alias("fingerprint"), spelled(F.col("edited_sigs")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def spotsigs_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of operator 7: near-duplicate classes of all documents by their fingerprints."""
+    return near_duplicates(read(spark, sf_dir, "documents"))
