@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -47,6 +48,56 @@ def test_mix_of_odd_tables(spark):
     assert len(same) == 5 and sum(r.taken for r in same) > 0
 
 
+def test_inclusion_grows_with_length_and_equals_sql(spark, tmp_path):
+    rows = [(i, ["a", "b", None][min(i % 9, 2)], " ".join(["w"] * (i * 7919 % 300))) for i in range(2000)]
+    pd.DataFrame(rows, columns=["doc_id", "source", "text"]).to_parquet(tmp_path / "documents.parquet")
+    out = mixing.op3_pareto_mix(spark, str(tmp_path)).collect()
+    want = duckdb.sql(mixing.OP3_SQL.replace("FROM documents", f"FROM '{tmp_path}/documents.parquet'")).fetchall()
+    assert sorted(map(tuple, out)) == sorted(want)
+    by = defaultdict(list)
+    for r in out:
+        if r["size"] and r.target < 2.9 * r.source_size:
+            by[r.source_size, r["size"].bit_length()].append(r.taken / r["size"])
+    mean = {k: sum(v) / len(v) for k, v in by.items() if len(v) > 60}
+    for size in {k[0] for k in mean}:
+        copies = [mean[k] for k in sorted(mean) if k[0] == size]
+        assert copies[-1] > copies[0]
+
+
+def test_mix_beside_clashing_columns(spark):
+    rows = [(i, "ab"[i % 2], i % 9) for i in range(50)]
+    clash = [f"{i} as `{c}`" for i, c in enumerate(["_copies", "_u", "_q", "k", "p", "whole", "stratum", "key", "words", "_row", "copies", "target"])]
+    plain = {r.doc_id: r.taken for r in mixing.pareto_mix(spark.createDataFrame(rows, SCHEMA)).collect()}
+    got = mixing.pareto_mix(spark.createDataFrame(rows, SCHEMA).selectExpr("*", *clash)).collect()
+    assert {r.doc_id: r.taken for r in got} == plain and got[0].stratum == 6 and got[0].key == 7
+    out = sharding.interleave(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as _u", "2 as _bin", "3 as _n", "4 as _stratum", "5 as rows"), "doc_id", "source", 4)
+    assert out.count() == 50 and {r.rows for r in out.collect()} == {5}
+
+
+def brute_shards(rows, shards, seed=17):
+    """Shard and slot of each row by one sort: seeded shuffle and rank in each source, then by fractional rank."""
+    u = lambda i: (int(hashlib.md5(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    by, order = defaultdict(list), []
+    for r in rows:
+        by["n" if r[1] is None else "s" + r[1]].append(r)
+    for s, own in by.items():
+        own.sort(key=lambda r: (u(r[0]), r[0]))
+        order += [((k + 0.5) / len(own), s.encode(), r[0]) for k, r in enumerate(own)]
+    shard = [k * shards // len(order) for k in range(len(order))]
+    return {i: (s, k - shard.index(s)) for k, ((_, _, i), s) in enumerate(zip(sorted(order), shard))}
+
+
+def test_shard_query_equals_one_sort(spark, tmp_path):
+    texts = [None, "", "é", "x" * 200_000, "same", "same"]
+    rows = [(i * 3, ["a", "b", None, "hot"][i % 7 if i % 7 < 3 else 3], texts[i % 6]) for i in range(1237)]
+    pd.DataFrame(rows, columns=["doc_id", "source", "text"]).to_parquet(tmp_path / "documents.parquet")
+    got = {r.doc_id: r for r in sharding.op4_interleaved_shards(spark, str(tmp_path)).collect()}
+    assert {i: (r.shard, r.slot) for i, r in got.items()} == brute_shards(rows, 16)
+    for i, _, t in rows:
+        raw = (t or "").encode()
+        assert (got[i]["size"], got[i].text_crc32, got[i].law, got[i].grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+
+
 def test_open_words_that_end_at_a_bin_edge_equal_sql(spark, tmp_path):
     # equal texts and whole targets (150, 60, 30 of 80 words each): the cut is between two documents
     text = " ".join(["word"] * 10)
