@@ -10,7 +10,7 @@ of all rows is spread over many tasks.
 
 Defined results: a null source is a stratum of its own, a null text has size 1 and crc32 0, equal
 texts are not kept together (law ``rows``), repeated rows are placed one after the other, an empty
-table gives no rows, other columns are ignored.
+table gives no rows, other columns (sortable ones) pass through and may have any names.
 """
 
 from __future__ import annotations
@@ -41,20 +41,20 @@ def ranked(df: DataFrame, group: str | None, position: Column, order: list[str],
 
 def interleave(df: DataFrame, key: str, source: str, shards: int, seed: int = 17) -> DataFrame:
     """Adds ``shard`` and the gapless 0-based ``slot`` inside it to a narrow frame."""
+    given = df.select(F.col(key).alias("key"), F.col(source).alias("_source"), F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in ("shard", "slot")]).alias("_row"))
     base = checkpointed(
-        df.withColumn("_stratum", F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source)))).withColumn("_u", unit_hash(F.lit(seed), F.col(key)))
+        given.withColumn("_stratum", F.when(F.col("_source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("_source")))).withColumn("_u", unit_hash(F.lit(seed), F.col("key")))
     )
     rows = base.count()
     bins = max(MIN_BINS, -(-rows // BIN_ROWS))
-    rest = [c for c in df.columns if c not in (key, source)]
-    inside = ranked(base, "_stratum", F.col("_u"), ["_u", key, *rest], bins, "_rank")
+    inside = ranked(base, "_stratum", F.col("_u"), ["_u", "key", "_row"], bins, "_rank")
     sizes = small_side(checkpointed(base.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_size"))))
     frac = inside.join(sizes, "_stratum").withColumn("_frac", (F.col("_rank") - F.lit(0.5)) / F.col("_size"))
     order = ranked(frac, None, F.col("_frac"), ["_frac", "_stratum"], bins, "_place").withColumn("_at", F.col("_place") - 1)
     return (
         order.withColumn("shard", F.floor(F.col("_at") * F.lit(shards) / F.lit(max(rows, 1))).cast("int") if rows * shards < 1 << 52 else F.expr(f"cast(_at * {shards} div {rows} as int)"))
         .withColumn("slot", F.col("_at") - F.expr(f"(cast(shard as bigint) * {rows} + {shards - 1}) div {shards}"))
-        .drop("_stratum", "_u", "_rank", "_size", "_frac", "_place", "_at")
+        .select("_row.*", "shard", "slot")
     )
 
 

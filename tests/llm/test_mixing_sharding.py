@@ -70,8 +70,8 @@ def test_mix_beside_clashing_columns(spark):
     plain = {r.doc_id: r.taken for r in mixing.pareto_mix(spark.createDataFrame(rows, SCHEMA)).collect()}
     got = mixing.pareto_mix(spark.createDataFrame(rows, SCHEMA).selectExpr("*", *clash)).collect()
     assert {r.doc_id: r.taken for r in got} == plain and got[0].stratum == 6 and got[0].key == 7
-    out = sharding.interleave(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as _u", "2 as _bin", "3 as _n", "4 as _stratum", "5 as rows"), "doc_id", "source", 4)
-    assert out.count() == 50 and {r.rows for r in out.collect()} == {5}
+    out = sharding.interleave(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as _u", "2 as _bin", "3 as _n", "4 as _stratum", "5 as rows", "6 as key", "7 as shard"), "doc_id", "source", 4).collect()
+    assert len(out) == 50 and {(r._u, r._bin, r.rows, r.key) for r in out} == {(1, 2, 5, 6)} and {r.shard for r in out} == {0, 1, 2, 3}
 
 
 def brute_shards(rows, shards, seed=17):
