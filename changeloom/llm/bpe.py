@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from changeloom.llm.common import read
 
-#: Pieces that one Python worker remembers before it starts anew.
-CACHE_PIECES = 200_000
+#: Pieces that one Python worker remembers in each of two generations; what the younger one doesn't ask for goes with the older.
+CACHE_PIECES = 300_000
+#: Ids that are decoded at once.
+DECODE_IDS = 1 << 16
 #: Longer pieces are encoded each time and never remembered.
 CACHE_PIECE_CHARS = 64
 
@@ -62,6 +64,9 @@ class ByteBpe:
         self.translate = {i: to_char[i] for i in range(256)}
         self.find = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        size = np.array([len(raw) for raw in self.bytes_of], np.int64)
+        self.joined, self.size, self.start = np.frombuffer(b"".join(self.bytes_of), np.uint8), size, np.cumsum(size) - size
 
     @staticmethod
     def _last_merge(raw: bytes, rank: int, ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
@@ -84,11 +89,12 @@ class ByteBpe:
     def encode_bytes(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         found = self.find(text) if text else []
-        if new := [p for p in dict.fromkeys(found) if p not in self.pieces]:
-            if len(self.pieces) + len(new) > CACHE_PIECES:
-                self.pieces.clear()
-                new = list(dict.fromkeys(found))
-            self._learn(new)
+        new = set(found).difference(self.pieces)
+        if len(self.pieces) + len(new) > CACHE_PIECES:
+            self.older, self.pieces, new = self.pieces, {}, set(found)
+        older = new.intersection(self.older)
+        self.pieces.update((p, self.older[p]) for p in older)
+        self._learn(list(new - older))
         out = b"".join([self.pieces[p] for p in found])
         for p in new:
             if len(p) > CACHE_PIECE_CHARS:
@@ -99,8 +105,13 @@ class ByteBpe:
         return np.frombuffer(self.encode_bytes(text), "<u4")
 
     def decode_bytes(self, ids) -> bytes:
-        table = self.bytes_of
-        return b"".join([table[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])
+        ids, out = np.asarray(ids, np.int64), []
+        for k in range(0, len(ids), DECODE_IDS):
+            part = ids[k : k + DECODE_IDS]
+            size = self.size[part]
+            at = np.repeat(self.start[part] - (np.cumsum(size) - size), size)
+            out.append(self.joined[at + np.arange(len(at))].tobytes())
+        return b"".join(out)
 
     def offsets(self, ids) -> list[tuple[int, int]]:
         """Code-point span of each id; ids inside one split character share that character's span."""
@@ -125,19 +136,15 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def model(rank_file: str, pattern: str) -> ByteBpe:
-    return ByteBpe(rank_file, pattern)
-
-
-def defaults() -> tuple[str, str]:
+def model(rank_file: str | None = None, pattern: str | None = None) -> ByteBpe:
+    """The model of a rank file and a pattern; by default the public ones, which each worker finds for itself."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return ByteBpe(rank_file or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN)
 
 
 def encode(df: DataFrame, text: str = "text", rank_file: str | None = None, pattern: str | None = None, with_offsets: bool = False) -> DataFrame:
     """Adds ``ids array<int>``, ``n_tokens long`` and, on request, ``offsets array<struct<begin,end>>``."""
-    rank_file, pattern = rank_file or defaults()[0], pattern or defaults()[1]
     schema = "ids array<int>, n_tokens long" + ", offsets array<struct<begin:int,end:int>>" * with_offsets
 
     @F.pandas_udf(f"struct<{schema.replace('ids array', 'ids:array').replace('n_tokens long', 'n_tokens:long').replace('offsets array', 'offsets:array')}>")
@@ -156,7 +163,6 @@ def encode(df: DataFrame, text: str = "text", rank_file: str | None = None, patt
 
 def decode(df: DataFrame, ids: str = "ids", rank_file: str | None = None, pattern: str | None = None) -> DataFrame:
     """Adds ``decoded binary``; null ids decode to no bytes."""
-    rank_file, pattern = rank_file or defaults()[0], pattern or defaults()[1]
 
     @F.pandas_udf("binary")
     def dec(column):
@@ -170,7 +176,6 @@ def decode(df: DataFrame, ids: str = "ids", rank_file: str | None = None, patter
 
 def digest(df: DataFrame, key: str = "doc_id", text: str = "text", rank_file: str | None = None, pattern: str | None = None) -> DataFrame:
     """Encodes and decodes every text in one pass and keeps only digests of the ids and of the decoded bytes."""
-    rank_file, pattern = rank_file or defaults()[0], pattern or defaults()[1]
     field = df.schema[key]
 
     def run(batches):
