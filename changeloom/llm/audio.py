@@ -1,13 +1,15 @@
 """Operator 9: telephony audio in media columns.
 
-Mu-law and A-law samples are expanded by lookup tables, IMA ADPCM is decoded with numpy across blocks
-(one step of all blocks at a time), and decoded audio is resampled to 16-bit PCM.  Stored audio is a
-RIFF/WAVE file in a binary column, so a row keeps its media with it and survives recomputation.
+Mu-law and A-law samples are expanded by lookup tables, IMA ADPCM is decoded with numpy across the blocks
+of all files of a batch (one step of all blocks at a time), and decoded audio is resampled and stored as 16-bit PCM.
+Stored audio is a RIFF/WAVE file in a binary column, so a row keeps its media with it and survives recomputation.
 
-The query stores each text as mu-law samples.  All 256 codes are legal, so the stored form is lossless
-for any bytes.  Everything is done in blocks of samples: memory doesn't grow with a text's length.
+The query stores each text as coded samples, in one of the three codings by the CRC of its payload, and beside them
+the PCM file that they decode to.  All codes are legal in each coding, so the stored form is lossless
+for any bytes.  Decoding and resampling go through blocks of samples and carry their state on, so results don't
+depend on the block size.
 
-Defined results: null and empty texts become 64 zero bytes; the features are of the bytes read back;
+Defined results: null and empty texts become 64 zero bytes; digests and features are of the files read back;
 equal texts have equal media and features; repeated rows are stored each; other columns are ignored.
 """
 
@@ -19,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 
 from changeloom.llm.common import read
@@ -28,6 +31,10 @@ RATE, STORED_RATE = 8000, 16000
 UNIT = 64
 #: Samples that are expanded and resampled at once.
 CHUNK = 1 << 18
+#: Rows and bytes of text that are coded together, about.
+PART_ROWS, PART_BYTES = 256, 1 << 22
+CODINGS = (MU_LAW, A_LAW, IMA_ADPCM)
+NAMES = {MU_LAW: "mu-law", A_LAW: "a-law", IMA_ADPCM: "ima-adpcm"}
 
 # Fixed values of the IMA ADPCM format: step sizes and the change of the step index by code.
 IMA_STEPS = np.array(
@@ -73,20 +80,33 @@ def decode_adpcm(data: bytes, block: int = UNIT) -> np.ndarray:
     return out.T.reshape(-1)
 
 
+def resampled(chunks, source: int = RATE, target: int = STORED_RATE):
+    """int16 -> int16 by linear interpolation in integers, in pieces: the same samples however the input is cut (the last one is held)."""
+    rest, begin, done = np.empty(0, np.int64), 0, 0  # samples still needed, the index of the first, samples made
+
+    def between(stop: int) -> np.ndarray:
+        at = np.arange(done, stop, dtype=np.int64) * source
+        left, over = at // target - begin, at % target
+        right = np.minimum(left + 1, len(rest) - 1)
+        return ((rest[left] * (target - over) + rest[right] * over) // target).astype(np.int16)
+
+    for x in chunks:
+        if not len(x):
+            continue
+        rest = np.concatenate([rest, x.astype(np.int64)])
+        last = begin + len(rest) - 1
+        stop = max(done, -(-last * target // source))  # from here on the right neighbour isn't known yet
+        if stop > done:
+            yield between(stop)
+            done = stop
+        rest, begin = rest[done * source // target - begin :], done * source // target
+    stop = (begin + len(rest)) * target // source
+    if len(rest) and stop > done:
+        yield between(stop)
+
+
 def resample(x: np.ndarray, source: int = RATE, target: int = STORED_RATE) -> np.ndarray:
-    """int16 -> int16 by linear interpolation in integers (the last sample is held)."""
-    if source == target or not len(x):
-        return x.astype(np.int16)
-    if target == 2 * source:
-        out = np.empty(2 * len(x), np.int16)
-        out[::2] = x
-        out[1:-1:2] = (x[:-1].astype(np.int32) + x[1:]) >> 1
-        out[-1] = x[-1]
-        return out
-    at = np.arange(len(x) * target // source, dtype=np.int64) * source
-    left = at // target
-    a, b = x[left].astype(np.int64), x[np.minimum(left + 1, len(x) - 1)].astype(np.int64)
-    return ((a * (target - at % target) + b * (at % target)) // target).astype(np.int16)
+    return np.concatenate([np.empty(0, np.int16), *resampled([x], source, target)])
 
 
 def wave(data: bytes, law: int, rate: int = RATE, block: int = 1, bits: int = 8) -> bytes:
@@ -126,60 +146,91 @@ def decoded_chunks(media: bytes):
 
 def to_pcm(media: bytes, rate: int = STORED_RATE) -> bytes:
     """The file decoded, resampled and stored as a 16-bit PCM file."""
-    _, source, _, _ = unwave(media)
-    whole = np.concatenate([np.empty(0, np.int16), *decoded_chunks(media)])
-    return wave(resample(whole, source, rate).astype("<i2").tobytes(), PCM, rate, 2, 16)
-
-
-def features(media: bytes) -> str:
-    """Level, peak, zero crossings and a checksum of the resampled PCM, and the level as A-law, in integers."""
+    source = unwave(media)[1]
+    return wave(b"".join(x.astype("<i2").tobytes() for x in resampled(decoded_chunks(media), source, rate)), PCM, rate, 2, 16)
+
+
+def to_pcm_all(files: list[bytes], rate: int = STORED_RATE) -> list[bytes]:
+    """:func:`to_pcm` of many files; the ADPCM blocks of all short ones with one block size are decoded together."""
+    out, together = [b""] * len(files), {}
+    for i, f in enumerate(files):
+        law, source, block, data = unwave(f)
+        if law == IMA_ADPCM and len(data) <= CHUNK:
+            together.setdefault((source, block), []).append((i, data[: len(data) // block * block]))
+        else:
+            out[i] = to_pcm(f, rate)
+    for (source, block), parts in together.items():
+        samples = decode_adpcm(b"".join(d for _, d in parts), block)
+        ends = np.cumsum([len(d) // block * (2 * block - 7) for _, d in parts])
+        for (i, _), x in zip(parts, np.split(samples, ends[:-1])):
+            out[i] = wave(resample(x, source, rate).astype("<i2").tobytes(), PCM, rate, 2, 16)
+    return out
+
+
+def features(pcm: bytes) -> str:
+    """Level, peak, zero crossings and checksum of a PCM file's samples, in integers."""
     n = power = peak = crossings = crc = 0
     last = None
-    for x in decoded_chunks(media):
+    for x in decoded_chunks(pcm):
         wide = x.astype(np.int64)
         n, power = n + len(x), power + int((wide * wide).sum())
         peak = max(peak, int(np.abs(wide).max(initial=0)))
         sign = x < 0
         crossings += int((sign[1:] != sign[:-1]).sum()) + (last is not None and len(x) > 0 and bool(sign[0]) != last)
         last = bool(sign[-1]) if len(x) else last
-        crc = zlib.crc32(resample(x).astype("<i2").tobytes(), crc)
-    return f"n={n};power={power // max(n, 1)};peak={peak};crossings={crossings};pcm16k_crc32={crc}"
+        crc = zlib.crc32(x.tobytes(), crc)
+    return f"n={n};power={power // max(n, 1)};peak={peak};crossings={crossings};crc32={crc}"
 
 
 def store(text: bytes) -> bytes:
-    """The payload of a text (zeros up to a positive multiple of 64) as a mu-law file."""
-    return wave(text + b"\0" * (-len(text) % UNIT or (0 if text else UNIT)), MU_LAW)
+    """The payload of a text (zeros up to a positive multiple of 64) as a file in the coding that its CRC names."""
+    payload = text + b"\0" * (-len(text) % UNIT or (0 if text else UNIT))
+    law = CODINGS[zlib.crc32(payload) % len(CODINGS)]
+    return wave(payload, law, block=UNIT, bits=4) if law == IMA_ADPCM else wave(payload, law)
+
+
+def _parts(batches, column: int, rows: int = PART_ROWS, most: int = PART_BYTES):
+    """Slices of batches with at most ``rows`` rows and about ``most`` bytes in a column."""
+    for batch in batches:
+        size = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        begin = held = 0
+        for i, n in enumerate(size):
+            if i > begin and (i - begin >= rows or held + n > most):
+                yield batch.slice(begin, i - begin)
+                begin, held = i, 0
+            held += n
+        if batch.num_rows > begin:
+            yield batch.slice(begin)
 
 
 def with_media(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_bytes, media`` (a binary column of mu-law WAVE files)."""
+    """``key, n_bytes, media, pcm``: binary columns of WAVE files, the coded samples and what they decode to."""
 
     def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                raw = [(t.as_py() or "").encode("utf-8", "replace") for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array(map(store, raw), pa.binary())], [key, "n_bytes", "media"])
+        for part in _parts(batches, 1):
+            raw = [(t.as_py() or "").encode("utf-8", "replace") for t in part.column(1)]
+            media = list(map(store, raw))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary()), pa.array(to_pcm_all(media), pa.binary())], [key, "n_bytes", "media", "pcm"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_bytes long, media binary")
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_bytes long, media binary, pcm binary")
 
 
 def described(media: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Reads each stored file back: payload and media digests and features."""
-    schema = f"`{key}` {media.schema[key].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    """Reads the stored files back: digests of payload and files, the coding, and features of the samples."""
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "coding", "pcm_bytes", "pcm_sha256"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    schema = f"`{key}` {media.schema[key].dataType.simpleString()}, n_bytes long, " + ", ".join(f"{n} {'long' if t == pa.int64() else 'string'}" for n, t in zip(names, kinds))
 
     def run(batches):
         for batch in batches:
             out = []
-            for m in batch.column(2):
-                file = m.as_py()
-                data = unwave(file)[3]
-                out.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), len(file), hashlib.sha256(file).hexdigest(), features(file)))
+            for m, p in zip(batch.column(2), batch.column(3)):
+                file, pcm = m.as_py(), p.as_py()
+                law, _, _, data = unwave(file)
+                out.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), len(file), hashlib.sha256(file).hexdigest(), features(pcm), NAMES[law], len(pcm), hashlib.sha256(pcm).hexdigest()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)]], [key, "n_bytes", *names])
 
-    return media.select(key, "n_bytes", "media").mapInArrow(run, schema)
+    return media.select(key, "n_bytes", "media", "pcm").mapInArrow(run, schema)
 
 
 def op9_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,17 +45,51 @@ def test_resampling_and_pcm():
         audio.unwave(b"no file")
 
 
+def test_resampling_in_pieces_equals_the_whole(monkeypatch):
+    x = np.random.default_rng(2).integers(-32768, 32768, 1000, np.int64).astype(np.int16)
+    for source, target in ((8000, 16000), (8000, 12000), (8000, 44100), (16000, 8000), (11025, 8000), (8000, 8000)):
+        at = np.arange(len(x) * target // source) * source
+        left = at // target
+        a, b, f = x[left].astype(int), x[np.minimum(left + 1, len(x) - 1)].astype(int), at % target
+        want = ((a * (target - f) + b * f) // target).tolist()
+        for cut in (1, 7, 64, 999, 5000):
+            got = np.concatenate([*audio.resampled([x[k : k + cut] for k in range(0, len(x), cut)], source, target)])
+            assert got.tolist() == want, (source, target, cut)
+    for law in audio.CODINGS:
+        media = audio.wave(x.tobytes()[:1984], law, block=64 if law == audio.IMA_ADPCM else 1)
+        want = audio.to_pcm(media)
+        monkeypatch.setattr(audio, "CHUNK", 100)
+        assert audio.to_pcm(media) == want
+        monkeypatch.setattr(audio, "CHUNK", 1 << 18)
+        assert audio.to_pcm_all([media, media, audio.wave(b"\1" * 64, audio.IMA_ADPCM, block=64)])[:2] == [want, want]
+
+
+def by_sample(payload, law):
+    """Decoded, doubled by interpolation: one sample after the other."""
+    if law == audio.IMA_ADPCM:
+        x = [v for k in range(0, len(payload), 64) for v in ima_by_sample(payload[k : k + 64])]
+    else:
+        x = [int(audio.TABLES[law][b]) for b in payload]
+    return [v for a, b in zip(x, [*x[1:], x[-1]]) for v in (a, (a + b) // 2)]
+
+
 def test_query_rows(spark):
-    texts = [None, "", "é" * 32, "x" * 64, "y" * 65, "long " * 60_000, "x" * 64]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 as media")
+    texts = [None, "", "é" * 32, "x" * 64, "y" * 65, "long " * 60_000, "x" * 64, *[f"text {i} " * i for i in range(1, 30)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 as media", "2 as pcm")
     rows = {r.doc_id: r for r in audio.described(audio.with_media(df)).collect()}
-    assert len(rows) == len(texts)
+    assert len(rows) == len(texts) and {r.coding for r in rows.values()} == set(audio.NAMES.values())
     for i, t in enumerate(texts):
         raw = (t or "").encode()
         payload = raw + b"\0" * (max(-(-len(raw) // 64), 1) * 64 - len(raw))
         r = rows[i]
         assert (r.n_bytes, r.payload_bytes) == (len(raw), len(payload))
         assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and r.tail_crc32 == zlib.crc32(payload[-64:])
-        assert r.media_bytes > len(payload) and r.feature.startswith(f"n={len(payload)};")
+        assert r.media_bytes > len(payload)
+        law = audio.CODINGS[zlib.crc32(payload) % 3]
+        x = by_sample(payload, law)
+        crossings = sum((a < 0) != (b < 0) for a, b in zip(x, x[1:]))
+        crc = zlib.crc32(np.array(x, "<i2").tobytes())
+        assert r.coding == audio.NAMES[law] and r.feature == f"n={len(x)};power={sum(v * v for v in x) // len(x)};peak={max(map(abs, x))};crossings={crossings};crc32={crc}"
+        assert r.pcm_bytes == 2 * len(x) + 44
     assert rows[3].feature == rows[6].feature and rows[3].media_sha256 == rows[6].media_sha256
     assert audio.described(audio.with_media(df.limit(0))).count() == 0
