@@ -108,3 +108,31 @@ def test_the_margin_of_very_long_texts(spark):
 def test_every_language_is_learned(spark):
     docs = spark.createDataFrame([(i, f"l{i}", "word " * 3) for i in range(450)], "doc_id long, lang string, text string")
     assert len(langid.fit(docs)) == 450
+
+
+def test_number_characters_are_no_letters():
+    assert langid.letters("½ ① ² 12 --") == b"" and langid.letters("a½b É") == " a b é ".encode()
+
+
+def test_dictionaries_and_answers_equal_brute_force(spark, monkeypatch):
+    import xxhash
+    import zstandard
+
+    monkeypatch.setattr(langid, "DICTIONARY_BYTES", 4096)
+    rnd = random.Random(6)
+    vocabulary = {k: ["".join(rnd.choices("abcdefghij", k=rnd.randrange(3, 9))) for _ in range(400)] for k in "xyz"}
+    rows = [(i, " ".join(rnd.choices(vocabulary["xyz"[i % 3]], k=rnd.choice((3, 40, 900)))), "xyz"[i % 3]) for i in range(120)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for lang in "xyz":
+        blocks = {}
+        for _, t, g in rows:
+            raw = f" {t} ".encode() if g == lang else b""
+            blocks |= {xxhash.xxh3_64_intdigest(raw[k : k + 1024]) >> 1: raw[k : k + 1024] for k in range(0, len(raw), 1024)}
+        first = [blocks[h] for h in sorted(blocks)[:8]]
+        assert model[lang] == (b"".join(first[::2]), b"".join(first[1::2]))
+    tests = [(i, " ".join(rnd.choices(vocabulary["xyz"[i % 3]] + vocabulary["x"][:100], k=1 + i * 3))) for i in range(60)]
+    got = {r.doc_id: r for r in langid.predict(spark.createDataFrame(tests, "doc_id long, text string"), model).collect()}
+    packed = lambda raw, t: len(zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False).compress(t))
+    for i, t in tests:
+        sizes = sorted((sum(packed(d, f" {t} ".encode()) for d in two), k) for k, two in model.items())
+        assert got[i].lang_pred == sizes[0][1] and got[i].accepted == (sizes[1][0] - sizes[0][0] >= langid.MARGIN * sizes[1][0])
