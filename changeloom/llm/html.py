@@ -1,17 +1,23 @@
 """Operator 2: main text of web pages by tag-path ratios.
 
 Every text node has a root-to-leaf tag path (element names with their classes).  For each path the
-text length and the punctuation of its nodes are added up and divided by their number; links count
-against a path.  The two ratios are smoothed over the page's node sequence with a Gaussian, fused by
-multiplication and thresholded at a share of their standard deviation.  The nodes that pass vote for
-the content root, the deepest container that holds most of their text (or the article or main element
-around it); without such an element, the branches beside the root that hold other passing nodes belong to
-it too, and headings beside it.  The page's text is all blocks below except those in boilerplate (navigation, headers, footers, asides, notices, adverts, forms,
-comments and the like, by element, role, class or id).
+text length and the punctuation of its nodes are added up and divided by the number of blocks they stand in; text of
+links doesn't count.  The two ratios are smoothed over the page's paths, in order of first use, with a Gaussian, fused by
+multiplication and thresholded at a share of their standard deviation.  A path of inline elements that
+passes takes the path of its block along; the nodes of passing blocks are content.
+
+What is too short for its path to pass is rescued by position: list items, table cells, quotations and the like whose
+container also holds content (paragraphs, and items that are links alone, between content only), and headings that lead to
+a kept block.
+
+Text in elements that are no content by the HTML and ARIA standards (navigation, headers, footers, asides, forms,
+scripts, hidden elements, their roles) never counts; a header inside an article or main element is the article's own.
+Classes and ids that name comments, adverts or menus are a tie-break: paths below such an element don't take
+part while the others hold a share of MARKED_SHARE of the text at least.
 
 Defined results: a null or empty page, and one with nothing but boilerplate, gives the empty text; a
 page without tags is one block; unclosed and stray tags are repaired as browsers do for paragraphs,
-list items, table cells and definition lists; repeated rows get equal texts; other columns are ignored.
+list items, table cells and definition lists; repeated rows get equal texts; other columns pass through.
 """
 
 from __future__ import annotations
@@ -40,20 +46,22 @@ P_ENDS = BLOCK - {"option", "caption", "td", "th", "tr", "tbody", "thead", "tfoo
 P_STOPS = frozenset("button td th caption object html body table article section main div".split())
 BOILERPLATE = frozenset("nav header footer aside form script style noscript template svg iframe button select textarea head title dialog menu object canvas audio video map input label fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist note status".split())
-#: Words in a class or id that mark boilerplate.
+#: Words in a class or id that name what isn't content (a tie-break only).
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies disclaimer "
-    "discussion disqus dropdown footer form gdpr header hidden login masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay "
-    "pagination pager paywall popup popular privacy promo promos promotion recommended register related reply replies respond responses search share sharing sidebar "
-    "sidebars signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar topbar trending warning widget widgets".split()
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu menus modal nav navbar "
+    "navigation newsletter notice notices overlay pager pagination paywall popup promo promos promotion related replies share sharing sidebar sidebars social sponsor sponsored subscribe "
+    "teaser toolbar topbar warning widget widgets".split()
 )
-SMOOTHING_RADIUS = 2
+MARKED_SHARE = 0.1
+#: The Gaussian over neighbouring paths: its standard deviation and reach.
+SMOOTHING, SMOOTHING_RADIUS = 0.5, 1
 #: A path passes at this share of the standard deviation of the fused ratios.
 THRESHOLD = 0.5
-#: The content root holds at least this share of the text that passed.
-ROOT_SHARE = 0.7
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NOT_A_ROOT = frozenset("p b i em strong a span font u small big h1 h2 h3 h4 h5 h6 li dt dd pre code q sub sup label td th tr blockquote".split())
+#: Short blocks that are rescued beside content, those only between content, and what they may be nested in.
+ITEMS = frozenset("li dt dd td th pre blockquote caption figcaption summary".split())
+BETWEEN = frozenset("p address".split())
+HOLDERS = frozenset("ul ol dl table tbody thead tfoot tr li dt dd td th blockquote figure details p pre caption figcaption summary address".split())
 
 _markup = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _attribute = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -63,19 +71,24 @@ _punctuation = re.compile(r"[,.;:!?…、。，！？¿¡]")
 
 
 class Node:
-    __slots__ = ("tag", "name", "parent", "path", "boiler", "link", "depth", "weight")
+    """An element; inline ones share the ``block`` element that they stand in."""
 
-    def __init__(self, tag: str, name: str, parent: Node | None, boiler: bool, paths: dict):
-        self.tag, self.name, self.parent = tag, name, parent
+    __slots__ = ("tag", "parent", "path", "boiler", "link", "marks", "own", "block", "above")
+
+    def __init__(self, tag: str, name: str, parent: Node | None, boiler: bool, marked: bool, paths: dict):
+        self.tag, self.parent = tag, parent
         self.path = paths.setdefault((parent.path if parent else -1, name), len(paths))  # a number for each distinct path
-        self.boiler = boiler or bool(parent and parent.boiler)
+        self.own = tag in ("article", "main") or bool(parent and parent.own)
+        self.boiler = (boiler and not (tag == "header" and parent and parent.own)) or bool(parent and parent.boiler)
         self.link = tag == "a" or bool(parent and parent.link)
-        self.depth, self.weight = (parent.depth + 1 if parent else 0), 0.0
+        self.marks = marked + (parent.marks if parent else 0)
+        self.block = self if tag in BLOCK or not parent else parent.block
+        self.above = False  # whether content stands in it
 
 
-def _named(tag: str, attributes: str) -> tuple[str, bool]:
-    """Element name with classes for the path, and whether it is boilerplate."""
-    boiler, classes = tag in BOILERPLATE, ""
+def _named(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """Element name with classes for the path, whether a standard makes it boilerplate, and whether a class or id names it so."""
+    boiler, marked, classes = tag in BOILERPLATE, False, ""
     if attributes and attributes.strip():
         for m in _attribute.finditer(attributes):
             what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -89,16 +102,16 @@ def _named(tag: str, attributes: str) -> tuple[str, bool]:
                 boiler |= "display:none" in value.replace(" ", "").lower()
             else:
                 if tag not in ("html", "body", "article", "main"):
-                    boiler |= not MARKS.isdisjoint(x.lower() for x in _camel.findall(value))
+                    marked |= not MARKS.isdisjoint(x.lower() for x in _camel.findall(value))
                 if what == "class":
                     classes = "." + ".".join(sorted(value.split()))
-    return tag + classes, boiler
+    return tag + classes, boiler, marked
 
 
 def parse(page: str) -> list[tuple[Node, int, str]]:
     """Text nodes as (element, block number, raw text) in page order."""
     paths: dict[tuple[int, str], int] = {}
-    root = Node("#", "", None, False, paths)
+    root = Node("#", "", None, False, False, paths)
     stack, out, block, at, n = [root], [], 0, 0, len(page)
 
     def text(end: int) -> None:
@@ -137,10 +150,10 @@ def parse(page: str) -> list[tuple[Node, int, str]]:
             out.append((stack[-1], block, " "))
         if tag in VOID:
             continue
-        name, boiler = _named(tag, m[3])
+        name, boiler, marked = _named(tag, m[3])
         if m[3].endswith("/") and tag in ("svg", "path", "use"):
             continue
-        stack.append(Node(tag, name, stack[-1], boiler, paths))
+        stack.append(Node(tag, name, stack[-1], boiler, marked, paths))
         if tag in RAW:
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -148,108 +161,95 @@ def parse(page: str) -> list[tuple[Node, int, str]]:
     return out
 
 
-def _smooth(values: list[float], radius: int = SMOOTHING_RADIUS) -> list[float]:
-    kernel = [math.exp(-(d * d) / 2) for d in range(-radius, radius + 1)]
-    n, out = len(values), []
-    for i in range(n):
-        span = range(max(0, i - radius), min(n, i + radius + 1))
-        weight = [kernel[j - i + radius] for j in span]
+def path_ratios(said: list[tuple[Node, int, str]]) -> dict[int, float]:
+    """The fused ratio of each path: smoothed text length times smoothed punctuation, both a block."""
+    length, marks, blocks = defaultdict(float), defaultdict(float), defaultdict(set)  # in order of first use
+    for node, block, s in said:
+        length[node.path] += 0 if node.link else len(s)
+        marks[node.path] += 0 if node.link else len(_punctuation.findall(s))
+        blocks[node.path].add(block)
+    paths = list(length)
+    smooth = lambda total: _smooth([total[p] / len(blocks[p]) for p in paths])
+    return {p: t * (1 + m) for p, t, m in zip(paths, smooth(length), smooth(marks))}
+
+
+def _smooth(values: list[float]) -> list[float]:
+    reach = SMOOTHING_RADIUS
+    kernel = [math.exp(-(d * d) / (2 * SMOOTHING * SMOOTHING)) for d in range(-reach, reach + 1)]
+    out = []
+    for i in range(len(values)):
+        span = range(max(0, i - reach), min(len(values), i + reach + 1))
+        weight = [kernel[j - i + reach] for j in span]
         out.append(sum(w * values[j] for w, j in zip(weight, span)) / sum(weight))
     return out
 
 
+def _counted(said: list[tuple[Node, int, str]]) -> list[tuple[Node, int, str]]:
+    """The text nodes that take part: those below the fewest marked elements that hold the needed share of the text."""
+    said = [x for x in said if not x[0].boiler]
+    held = defaultdict(int)
+    for node, _, s in said:
+        held[node.marks] += 0 if node.link else len(s)
+    total, sofar, most = sum(held.values()), 0, max(held, default=0)
+    for m in sorted(held):
+        sofar += held[m]
+        if sofar and sofar >= MARKED_SHARE * total:
+            most = m
+            break
+    return [x for x in said if x[0].marks <= most]
+
+
+def _container(element: Node) -> Node:
+    """The element that holds a list, a table, a quotation or a block of text."""
+    node = element.parent or element
+    while node.parent and node.tag in HOLDERS:
+        node = node.parent
+    return node
+
+
 def extract(page: str | None) -> str:
     """The main text of one page."""
     nodes = parse(page) if page else []
     seen = [(node, block, unescape(raw) if "&" in raw else raw) for node, block, raw in nodes]
-    said = [(node, block, s) for node, block, raw in seen if (s := raw.strip())]
+    said = _counted([(node, block, s) for node, block, raw in seen if (s := raw.strip())])
     if not said:
         return ""
-    length, marks, count = defaultdict(float), defaultdict(float), defaultdict(int)
-    for node, _, s in said:
-        if not node.link:
-            length[node.path] += len(s)
-            marks[node.path] += len(_punctuation.findall(s))
-        count[node.path] += 1
-    text_ratio = _smooth([length[x.path] / count[x.path] for x, *_ in said])
-    mark_ratio = _smooth([marks[x.path] / count[x.path] for x, *_ in said])
-    fused = [a * (1 + b) for a, b in zip(text_ratio, mark_ratio)]
-    mean = sum(fused) / len(fused)
-    deviation = math.sqrt(sum((x - mean) ** 2 for x in fused) / len(fused))
-    passed = [(node, s) for (node, _, s), x in zip(said, fused) if x >= THRESHOLD * deviation and not node.boiler]
-    passed = passed or [(node, s) for node, _, s in said if not node.boiler]
-    if not passed:
-        return ""
-    total, holders = 0.0, {}
-    for node, s in passed:
-        total += len(s)
-        while node:
-            node.weight += len(s)
-            holders[id(node)] = node
-            node = node.parent
-    best = max((x for x in holders.values() if x.weight >= ROOT_SHARE * total), key=lambda x: x.depth)
-    while best.parent and best.tag in NOT_A_ROOT:
-        best = best.parent
-    roots, alone = {id(best)}, set()
-    if article := _within(best):
-        roots = {id(article)}
-    elif best.parent:
-        above, node = set(), best.parent
-        while node:
-            above.add(id(node))
-            node = node.parent
-        # neighbours smooth short texts upwards, so beside the root a text must pass by its own path as well
-        lone = {x.path: length[x.path] / count[x.path] * (1 + marks[x.path] / count[x.path]) >= THRESHOLD * deviation for x, *_ in said}
-        chosen = {id(node) for node, _ in passed}
-        branches: dict[int, tuple[Node, bool]] = {}
-
-        def branch(node: Node) -> tuple[Node, bool]:
-            """The element beside the root (or the root) that holds a node, and whether an h1 in it does."""
-            way = [node]
-            while id(way[-1]) not in branches and id(way[-1].parent) not in above:
-                way.append(way[-1].parent)
-            found = branches.get(id(way[-1])) or (way[-1], False)
-            for x in reversed(way):
-                found = branches[id(x)] = found[0], found[1] or x.tag == "h1"
-            return found
-
-        for node, block, _ in said:
-            if node.boiler or node.link:
-                continue
-            if id(node) in above:
-                if id(node) in chosen and lone[node.path]:
-                    alone.add(block)
-                continue
-            top, headline = branch(node)
-            if id(node) in chosen and lone[node.path]:
-                roots.add(id(top))
-            elif headline or top.tag in HEADINGS:
-                alone.add(block)
-    inside: dict[int, bool] = {}
-
-    def below(node: Node) -> bool:
-        way = []
-        while node and id(node) not in roots and id(node) not in inside:
-            way.append(id(node))
-            node = node.parent
-        found = bool(node) and (id(node) in roots or inside[id(node)])
-        inside.update(dict.fromkeys(way, found))
-        return found
-
-    blocks: dict[int, list[str]] = {}
+    fused = path_ratios(said)
+    mean = sum(fused.values()) / len(fused)
+    least = THRESHOLD * math.sqrt(sum((x - mean) ** 2 for x in fused.values()) / len(fused))
+    good = {path for path, x in fused.items() if x >= least and x > 0}
+    good |= {node.block.path for node, *_ in said if node.path in good and not node.link}
+    passed = [(node, block) for node, block, _ in said if not node.link and node.block.path in good]
+    passed = passed or [(node, block) for node, block, _ in said]
+    content = {block for _, block in passed}
+    first, last = passed[0][1], passed[-1][1]
+    for node, _ in passed:
+        up = node.block.parent or node.block
+        while up and not up.above:
+            up.above, up = True, up.parent
+    # the element, whether it is links alone, of each block in page order
+    blocks: dict[int, list] = {}
+    for node, block, _ in said:
+        at = blocks.setdefault(block, [node.block, True])
+        at[1] &= node.link
+    kept = set(content)
+    for block, (element, links) in blocks.items():
+        inside = first < block < last
+        if block not in kept and (element.tag in ITEMS and (inside or not links) or element.tag in BETWEEN and inside) and _container(element).above:
+            kept.add(block)
+    following = False
+    for block, (element, _) in reversed(blocks.items()):
+        if element.tag not in HEADINGS:
+            following = block in kept
+        elif following and (element.tag == "h1" or _container(element).above):
+            kept.add(block)
+    counted = {block for _, block, _ in said}
+    parts: dict[int, list[str]] = {}
+    most = max(node.marks for node, _, _ in said)
     for node, block, raw in seen:
-        if not node.boiler and (block in alone or below(node)):
-            blocks.setdefault(block, []).append(raw)
-    return "\n\n".join(s for parts in blocks.values() if (s := _space.sub(" ", "".join(parts)).strip()))
-
-
-def _within(node: Node) -> Node | None:
-    """The article or main element around a node, if any (it owns headings and short blocks that don't pass)."""
-    while node:
-        if node.tag in ("article", "main"):
-            return node
-        node = node.parent
-    return None
+        if block in kept and block in counted and not node.boiler and node.marks <= most:
+            parts.setdefault(block, []).append(raw)
+    return "\n\n".join(s for texts in parts.values() if (s := _space.sub(" ", "".join(texts)).strip()))
 
 
 def main_text(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -1,3 +1,7 @@
+import math
+import random
+import statistics
+
 from changeloom.llm import html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body class="has-sidebar">
@@ -37,3 +41,105 @@ def test_odd_pages(spark):
     assert out[0].text == out[1].text == out[3].text == "" and out[2].text == "plain a<c" and out[4].text == "unclosed" and out[6].text == "deep text"
     assert out[8].n_chars == len(out[8].text) == len(("word, " * 50_000).strip())
     assert html.main_text(rows.limit(0)).count() == 0
+
+
+def brute(page):
+    """The text of a well-formed page, from lists of whole paths: every rule spelled out over all nodes, no shared state."""
+    from html.parser import HTMLParser
+
+    texts = []
+
+    class Reader(HTMLParser):
+        stack, count = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.count += tag in html.BLOCK
+            self.stack = [*self.stack, (tag, dict(attrs).get("class", ""), self.count if tag in html.BLOCK else None)]
+
+        def handle_endtag(self, tag):
+            self.count += tag in html.BLOCK
+            self.stack = self.stack[:-1]
+
+        def handle_data(self, data):
+            texts.append((tuple(self.stack), self.count, data))
+
+    Reader().feed(page)
+    name = lambda way: "/".join(f"{t}.{c}" for t, c, _ in way)
+    cut = lambda way: way[: max(i for i, (t, _, _) in enumerate(way) if t in html.BLOCK) + 1]  # noqa: E731  up to the block element
+    link = lambda way: any(t == "a" for t, *_ in way)
+    marks = lambda way: sum(bool(set(c.split("-")) & html.MARKS) for _, c, _ in way)
+    said = [(w, b, d.strip()) for w, b, d in texts if d.strip() and not any(t in html.BOILERPLATE for t, *_ in w)]
+    size = lambda m: sum(len(d) for w, _, d in said if marks(w) <= m and not link(w))
+    most = next((m for m in range(9) if 0 < size(m) >= html.MARKED_SHARE * size(9)), 9)
+    said = [x for x in said if marks(x[0]) <= most]
+    if not said:
+        return ""
+    paths = list(dict.fromkeys(name(w) for w, *_ in said))
+    blocks = lambda p: len({b for w, b, _ in said if name(w) == p})
+    mean = lambda p, f: sum(f(d) for w, _, d in said if name(w) == p and not link(w)) / blocks(p)
+    near = [[(j, math.exp(-((i - j) ** 2) / 0.5)) for j in range(len(paths)) if abs(i - j) <= 1] for i in range(len(paths))]
+    smooth = lambda f: [sum(k * mean(paths[j], f) for j, k in js) / sum(k for _, k in js) for js in near]
+    fused = dict(zip(paths, (a * (1 + b) for a, b in zip(smooth(len), smooth(lambda d: sum(d.count(c) for c in ",.;:!?"))))))
+    least = 0.5 * statistics.pstdev(fused.values())
+    good = {name(cut(w)) for w, *_ in said if not link(w) and fused[name(w)] >= least and fused[name(w)] > 0}
+    content = [(w, b) for w, b, _ in said if not link(w) and name(cut(w)) in good] or [(w, b) for w, b, _ in said]
+    above = {w[:k] for w, _ in content for k in range(len(cut(w)))}
+
+    def holder(w):
+        w = cut(w)[:-1]
+        while w and w[-1][0] in html.HOLDERS:
+            w = w[:-1]
+        return w
+
+    order = list(dict.fromkeys(b for _, b, _ in said))
+    kept = {b for _, b in content}
+    for b in order:
+        own = [w for w, x, _ in said if x == b]
+        tag, inside = cut(own[0])[-1][0], content[0][1] < b < content[-1][1]
+        if holder(own[0]) in above and (tag in html.ITEMS and (inside or not all(map(link, own))) or tag in html.BETWEEN and inside):
+            kept.add(b)
+    for k, b in reversed(list(enumerate(order))):
+        way = cut(next(w for w, x, _ in said if x == b))
+        after = next((x for x in order[k + 1 :] if cut(next(w for w, y, _ in said if y == x))[-1][0] not in html.HEADINGS), None)
+        if way[-1][0] in html.HEADINGS and after in kept and (way[-1][0] == "h1" or holder(way) in above):
+            kept.add(b)
+    out = {}
+    for w, b, d in texts:
+        if b in kept and marks(w) <= most and not any(t in html.BOILERPLATE for t, *_ in w):
+            out[b] = out.get(b, "") + d
+    return "\n\n".join(t for b in out if (t := " ".join(out[b].split())))
+
+
+def test_random_pages_equal_brute_force(monkeypatch):
+    rnd, differs = random.Random(8), 0
+    word = lambda: rnd.choice(["one", "two,", "three.", "four", "five;"])
+
+    def inline(n):
+        s = " ".join(word() for _ in range(rnd.randint(1, n)))
+        return rnd.choice([s, s, f"{s} <b>{word()}</b> {s}", f"<b>{s}</b>", f"<a href=x>{s}</a>", f"{s} <a href=x>{word()}</a>"])
+
+    def part(depth):
+        kind = rnd.choice(["p", "p", "p", "ul", "h2", "div", "div", "nav", "blockquote"])
+        if kind == "ul":
+            return "<ul>" + "".join(f"<li>{inline(4)}</li>" for _ in range(3)) + "</ul>"
+        if kind in ("div", "nav") and depth:
+            return f'<{kind} class="{rnd.choice(["a", "b", "ad-box", "comments", "text"])}">' + "".join(part(depth - 1) for _ in range(rnd.randint(1, 4))) + f"</{kind}>"
+        return f"<{kind}>{inline(rnd.choice((3, 40)))}</{kind}>"
+
+    for _ in range(300):
+        page = "<html><body>" + rnd.choice(["", "<h1>Head</h1>"]) + "".join(part(3) for _ in range(rnd.randint(1, 6))) + "</body></html>"
+        assert html.extract(page) == brute(page), page
+    pages = ["<body><h1>Head</h1>" + "".join(part(3) for _ in range(6)) + "</body>" for _ in range(100)]
+    with_ratios = [html.extract(p) for p in pages]
+    monkeypatch.setattr(html, "path_ratios", lambda said: {node.path: 1.0 for node, *_ in said})
+    assert sum(html.extract(p) != t for p, t in zip(pages, with_ratios)) > 30  # the ratios decide
+
+
+def test_names_of_classes_are_a_tie_break_only():
+    said = [f"Sentence number {i}, which is long enough, has commas, and goes on for a while." for i in range(6)]
+    page = '<body><div class="c">Menu</div><div class="related privacy-notice comments"><h1>Head line</h1>' + "".join(f"<p class=ad>{s}</p>" for s in said) + "</div><div>x</div></body>"
+    assert html.extract(page).split("\n\n") == ["Head line", *said]
+    page = "<body><div class=z><p>" + "</p><p>".join(said) + "</p></div><div class=comments><p>" + "</p><p>".join(said[:3]) + "</p></div></body>"
+    assert html.extract(page).split("\n\n") == said
+    page = "<main><header><h1>Own header</h1></header><p>" + said[0] + "</p><div hidden><p>" + said[1] + "</p></div></main><header><h1>Site</h1></header>"
+    assert html.extract(page).split("\n\n") == ["Own header", said[0]]
