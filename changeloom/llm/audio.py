@@ -32,7 +32,7 @@ UNIT = 64
 #: Samples that are expanded and resampled at once.
 CHUNK = 1 << 18
 #: Rows and bytes of text that are coded together, about.
-PART_ROWS, PART_BYTES = 256, 1 << 22
+PART_ROWS, PART_BYTES = 256, 1 << 20
 CODINGS = (MU_LAW, A_LAW, IMA_ADPCM)
 NAMES = {MU_LAW: "mu-law", A_LAW: "a-law", IMA_ADPCM: "ima-adpcm"}
 
@@ -203,35 +203,45 @@ def _parts(batches, column: int, rows: int = PART_ROWS, most: int = PART_BYTES):
             yield batch.slice(begin)
 
 
-def with_media(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_bytes, media, pcm``: binary columns of WAVE files, the coded samples and what they decode to."""
+CODED = "n_bytes long, media binary, pcm binary"
+DESCRIBED = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, coding string, pcm_bytes long, pcm_sha256 string"
 
-    def run(batches):
-        for part in _parts(batches, 1):
-            raw = [(t.as_py() or "").encode("utf-8", "replace") for t in part.column(1)]
-            media = list(map(store, raw))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary()), pa.array(to_pcm_all(media), pa.binary())], [key, "n_bytes", "media", "pcm"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_bytes long, media binary, pcm binary")
+def code(batches):
+    """``key, text`` batches -> ``key, n_bytes, media, pcm``, in parts of bounded size."""
+    for part in _parts(batches, 1):
+        raw = [(t.as_py() or "").encode("utf-8", "replace") for t in part.column(1)]
+        media = list(map(store, raw))
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary()), pa.array(to_pcm_all(media), pa.binary())], [part.schema.names[0], "n_bytes", "media", "pcm"])
 
 
-def described(media: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Reads the stored files back: digests of payload and files, the coding, and features of the samples."""
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "coding", "pcm_bytes", "pcm_sha256"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
-    schema = f"`{key}` {media.schema[key].dataType.simpleString()}, n_bytes long, " + ", ".join(f"{n} {'long' if t == pa.int64() else 'string'}" for n, t in zip(names, kinds))
+def describe(batches):
+    """Coded batches -> digests of payload and files, the coding, and features of the samples, all of the files read back."""
+    fields = [x.split() for x in DESCRIBED.split(", ")][1:]
+    for batch in batches:
+        out = []
+        for m, p in zip(batch.column(2), batch.column(3)):
+            file, pcm = m.as_py(), p.as_py()
+            law, _, _, data = unwave(file)
+            out.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), len(file), hashlib.sha256(file).hexdigest(), features(pcm), NAMES[law], len(pcm), hashlib.sha256(pcm).hexdigest()))
+        arrays = [pa.array([o[i] for o in out], pa.int64() if t == "long" else pa.string()) for i, (_, t) in enumerate(fields)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], [batch.schema.names[0], "n_bytes", *[n for n, _ in fields]])
+
+
+def _mapped(df: DataFrame, columns: list[str], f, schema: str) -> DataFrame:
+    return df.select(*columns).mapInArrow(f, f"`{columns[0]}` {df.schema[columns[0]].dataType.simpleString()}, {schema}")
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for m, p in zip(batch.column(2), batch.column(3)):
-                file, pcm = m.as_py(), p.as_py()
-                law, _, _, data = unwave(file)
-                out.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-UNIT:]), len(file), hashlib.sha256(file).hexdigest(), features(pcm), NAMES[law], len(pcm), hashlib.sha256(pcm).hexdigest()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)]], [key, "n_bytes", *names])
 
-    return media.select(key, "n_bytes", "media", "pcm").mapInArrow(run, schema)
+def with_media(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_bytes, media, pcm``: binary columns of WAVE files, the coded samples and what they decode to."""
+    return _mapped(docs, [key, text], code, CODED)
+
+
+def described(media: DataFrame, key: str = "doc_id") -> DataFrame:
+    """:func:`describe` for a table that :func:`with_media` made."""
+    return _mapped(media, [key, "n_bytes", "media", "pcm"], describe, DESCRIBED)
 
 
 def op9_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return described(with_media(read(spark, sf_dir, "documents")))
+    """The media columns go from one step to the other as Arrow batches in the worker: they are several times the text."""
+    return _mapped(read(spark, sf_dir, "documents"), ["doc_id", "text"], lambda batches: describe(code(batches)), DESCRIBED)

@@ -93,3 +93,10 @@ def test_query_rows(spark):
         assert r.pcm_bytes == 2 * len(x) + 44
     assert rows[3].feature == rows[6].feature and rows[3].media_sha256 == rows[6].media_sha256
     assert audio.described(audio.with_media(df.limit(0))).count() == 0
+
+
+def test_query_equals_its_steps(spark, tmp_path):
+    rows = [(i, "text " * (i * 37 % 400)) for i in range(700)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(audio.op9_telephony(spark, str(tmp_path)).collect()) == sorted(audio.described(audio.with_media(df)).collect())
