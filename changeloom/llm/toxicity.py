@@ -13,7 +13,9 @@ number of significant ones feed a small logistic calibration fitted on the same
 
 Defined results: null and empty texts have no segment and get the calibrated score of "nothing
 found"; repeated rows get equal scores; without labels of both classes every score is 0; labels that
-are null are ignored; a document with labels of both kinds counts with each of them.
+are null are ignored; a document with labels of both kinds counts with each of them, and of several texts of one labelled
+document the smallest is learned from; an empty table gives no rows; other columns are ignored (``keep_clean`` passes
+them through).
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from changeloom.llm.common import crc32_of, read
 
 #: At most so many labelled rows are learned from (those with the smallest hashes).
 SAMPLE_ROWS = 12_000
-#: At most so many tokens keep a score of their own (those with the largest absolute z).
+#: Of the sample's tokens those in at least so many documents are scored, and at most so many (with the largest absolute z).
+LEAST_DOCUMENTS = 3
 LEXICON = 20_000
 #: A token needs this standardised log-odds ratio.
 SIGNIFICANT_Z = 4.0
@@ -168,9 +171,10 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.5)
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learns from at most ``sample_rows`` rows of ``labels`` (``key``, ``label`` 0 or 1)."""
-    picked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).cast("int").alias("_y"))
+    picked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).cast("int").alias("_y")).distinct()
     picked = picked.orderBy(F.xxhash64(F.col(key)), F.col(key), "_y").limit(sample_rows)  # bounded, hence fit to broadcast
     rows = docs.select(key, text).where(F.col(text).isNotNull()).join(F.broadcast(picked), key)
+    rows = rows.groupBy(key, "_y").agg(F.min(text).alias(text))  # so the sample is bounded though ids repeat
 
     def count(batches):
         from collections import Counter
@@ -185,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counts = rows.select(text, "_y").mapInArrow(count, "w string, y int, n long").groupBy("w").agg(
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b")
     )
-    counts = counts.where(F.col("a") + F.col("b") >= 3)
+    counts = counts.where(F.col("a") + F.col("b") >= LEAST_DOCUMENTS)
     whole = ~F.col("w").endswith("*")
     total = counts.where(whole).agg(F.sum("a"), F.sum("b")).first()
     if not total or not total[0] or not total[1]:

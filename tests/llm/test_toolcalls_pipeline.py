@@ -122,3 +122,39 @@ def test_rows_without_doc_id_stay(spark, tmp_path):
     assert len(out) == len(rows) and all(r.kept is not None for r in out)
     assert sorted((r.component_id, r.kept) for r in out if r.doc_id is None and r.component_id is not None) == [(5, False)]
     assert sum(r.kept for r in out if r.doc_id is None) == 3
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_on_hard_tables(spark, tmp_path):
+    """Null columns, empty and very long texts, repeated ids and rows, no rows, and clashing names: what each stage's docstring says."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    known = spark.read.parquet(f"{sf}/documents.parquet").where("text is not null and lang is not null")
+    english = known.where("lang = 'en' and length(text) > 500").orderBy("doc_id").limit(40).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in known.limit(120).collect()]
+    long = " ".join(r.text for r in english) * 12
+    rows += [(10**6, long, None, None, None), (10**6 + 1, None, None, None, None), (10**6 + 2, "", "en", None, 0), (10**6 + 3, "12 34", None, "s", 5), (None, english[0].text, None, None, None), (10**6 + 4, english[1].text, "en", "s", 1), (10**6 + 4, english[2].text, "en", "s", 1)]
+    rows += rows[-1:]
+    clash = ["row_id", "key", "_copies", "_copy", "stratum", "accepted", "root", "size", "doc", "row"]
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", *[f"'{c}' as {c}" for c in clash]).cache()
+    ids = lambda d: sorted((r.doc_id or -1, len(r.text or "")) for r in d.collect())
+    stages = dict(corpus_pipeline.STAGES)
+    clean = stages["toxicity"](spark, docs, sf)
+    assert clean.columns == docs.columns and {10**6, 10**6 + 1, 10**6 + 2, 10**6 + 3} <= {i for i, _ in ids(clean)}
+    said = stages["language ID"](spark, docs, sf)
+    kept = {i for i, _ in ids(said)}
+    assert said.columns == docs.columns and 10**6 in kept and not kept & {10**6 + 1, 10**6 + 2, 10**6 + 3} and 10**6 + 4 in kept
+    one = stages["MinHash near-dedup"](spark, docs, sf)
+    assert one.columns == docs.columns and {(r.row, r.key) for r in one.collect()} == {("row", "key")}
+    assert {10**6, 10**6 + 1, 10**6 + 2, 10**6 + 3} <= {i for i, _ in ids(one)}
+    assert sum(r.text == english[0].text for r in one.collect()) == 1
+    mixed = stages["mixing sources to target weights"](spark, docs, sf)
+    assert mixed.columns == docs.columns and {r.stratum for r in mixed.collect()} == {"stratum"}
+    assert all(ids(mixed).count(x) <= 3 * ids(docs).count(x) for x in set(ids(mixed))) and set(ids(mixed)) <= set(ids(docs))
+    tokens = stages["byte-level BPE encoding and decoding"](spark, docs, sf)
+    assert tokens.count() == docs.count() and [r.n_tokens for r in tokens.where("doc_id in (1000001, 1000002)").collect()] == [0, 0]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf).count() == 0, name

@@ -136,3 +136,42 @@ def test_dictionaries_and_answers_equal_brute_force(spark, monkeypatch):
     for i, t in tests:
         sizes = sorted((sum(packed(d, f" {t} ".encode()) for d in two), k) for k, two in model.items())
         assert got[i].lang_pred == sizes[0][1] and got[i].accepted == (sizes[1][0] - sizes[0][0] >= langid.MARGIN * sizes[1][0])
+
+
+def test_log_odds_and_calibration_equal_brute_force(spark):
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    rnd = random.Random(3)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = int(i % 4 == 0)
+        words = rnd.choices(["sun", "tree", "river", "stone", "cloud", "horses"], k=rnd.randrange(5, 40)) + (rnd.choices(["vileword", "nasty", "hatefully"], k=rnd.randrange(1, 6)) if toxic and i % 8 else [])
+        rows.append((i, " ".join(rnd.sample(words, len(words)))))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame([*rows, *rows[:40]], "doc_id long, text string").selectExpr("*", "1 as _y", "2 as w")
+    model = toxicity.fit(docs, spark.createDataFrame([*labels, *labels[:9], (5, None)], "doc_id long, toxic int"))
+    seen = (Counter(), Counter())
+    for (_, t), (_, y) in zip(rows, labels):
+        seen[y].update({u for w in set(t.split()) for u in toxicity.units_of(w)})
+    both = seen[0] + seen[1]
+    counted = {w for w in both if both[w] >= 3}
+    n = [sum(seen[y][w] for w in counted if not w.endswith("*")) for y in (0, 1)]
+    share = toxicity.PRIOR_SHARE
+    for w in counted:
+        y = [seen[c][w] + share * both[w] for c in (0, 1)]
+        odds = [math.log(y[c] / (n[c] + share * sum(n) - y[c])) for c in (0, 1)]
+        z = (odds[1] - odds[0]) / math.sqrt(1 / y[0] + 1 / y[1])
+        if abs(z) >= toxicity.SIGNIFICANT_Z:
+            assert np.allclose(model.weights.pop(w), (odds[1] - odds[0], z))
+    assert not model.weights
+    weights, p = np.array([2.0, -1.0, -0.3]), np.array([0.1, 0.3, 0.6])
+    lam, _ = toxicity.karlin(weights, p)
+    assert abs((p * np.exp(lam * weights)).sum() - 1) < 1e-9
+    x = np.random.default_rng(1).normal(size=(200, 2))
+    y = (x[:, 0] + np.random.default_rng(2).normal(size=200) > 0).astype(float)
+    w = toxicity.logistic(x, y, ridge=0.0)
+    full = np.hstack([np.ones((200, 1)), x])
+    assert abs(full.T @ (y - 1 / (1 + np.exp(-full @ w)))).max() < 0.01  # the likelihood's gradient vanishes
