@@ -14,13 +14,20 @@ from changeloom.llm.common import crc32_of, identified, read, stored, word_count
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxic passages make label 1 likelier than not are dropped."""
+    """Documents whose toxic passages make label 1 likelier than not are dropped.
+
+    Rows are judged one by one: repeated rows get one answer.  Null and empty texts have no passage and stay, as does
+    everything where no labelled document is left to learn from.
+    """
     model = toxicity.fit(docs, read(spark, sf_dir, "labels").where(crc32_of("doc_id") % 5 != 0))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or between two languages, are dropped."""
+    """Documents without a letter (null and empty texts too), or between two languages, are dropped.
+
+    Rows are judged one by one: repeated rows get one answer; without a labelled row nothing is known and all go.
+    """
     model = langid.fit(docs.where(crc32_of("doc_id") % 4 != 2))
     return langid.keep_accepted(docs, model)
 
@@ -28,24 +35,25 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest ``doc_id`` stays, with all rows of that id.
 
-    Rows without ``doc_id`` are documents of their own and come after all others.
+    Rows without ``doc_id`` are documents of their own and come after all others; documents without words are alike with none and stay.
     """
     return minhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it (0 to 3 times).
+    """Each row as often as the mixture takes it (0 to 3 times).
 
-    Rows without ``doc_id`` draw one by one; all rows of one ``doc_id`` are taken as often as the one taken most.
+    Rows that share an id, or have none, draw one by one; rows without words are taken 0 times or by the draw of their length.
     """
-    named, _ = identified(docs)
-    narrow = named.select("row_id", "source", word_count("text").alias("size"))
-    copies = mixing.pareto_mix(narrow, "row_id").where("copies > 0").groupBy("row_id").agg(F.max("copies").alias("_copies"))
-    return named.join(copies, "row_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named, _ = identified(docs.select("doc_id", "source", word_count("text").alias("size"), whole.alias("row")))
+    copies = mixing.pareto_mix(named.select("row_id", "source", "size"), "row_id").where("copies > 0").select("row_id", "copies")
+    taken = named.join(copies, "row_id").select("row", F.explode(F.sequence(F.lit(1), "copies")))
+    return taken.select("row.*")
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of what they decode to, one row for each copy."""
+    """Token counts and digests of the ids and of what they decode to, one row for each row; null and empty texts have no ids."""
     return bpe.digest(docs)
 
 
