@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import read
 
 #: Pieces that one Python worker remembers in each of two generations; what the younger one doesn't ask for goes with the older.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 #: Ids that are decoded at once.
 DECODE_IDS = 1 << 16
 #: Longer pieces are encoded each time and never remembered.
@@ -92,7 +92,7 @@ class ByteBpe:
         new = set(found).difference(self.pieces)
         if len(self.pieces) + len(new) > CACHE_PIECES:
             self.older, self.pieces, new = self.pieces, {}, set(found)
-        older = new.intersection(self.older)
+        older = {p for p in new if p in self.older}
         self.pieces.update((p, self.older[p]) for p in older)
         self._learn(list(new - older))
         out = b"".join([self.pieces[p] for p in found])

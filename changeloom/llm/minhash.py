@@ -55,7 +55,7 @@ SMALL_BUCKET = 8
 #: Hash values handled at once while signing, to bound memory on very long texts.
 BLOCK = 4096
 #: Word hashes that one worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 _split = re.compile(rb"[^\x20\x09-\x0D]+").findall
 _lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))

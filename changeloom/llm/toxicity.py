@@ -174,7 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).cast("int").alias("_y")).distinct()
     picked = picked.orderBy(F.xxhash64(F.col(key)), F.col(key), "_y").limit(sample_rows)  # bounded, hence fit to broadcast
     rows = docs.select(key, text).where(F.col(text).isNotNull()).join(F.broadcast(picked), key)
-    rows = rows.groupBy(key, "_y").agg(F.min(text).alias(text))  # so the sample is bounded though ids repeat
+    if not rows.groupBy(key, "_y").count().where("count > 1").isEmpty():
+        rows = rows.groupBy(key, "_y").agg(F.min(text).alias(text))  # so the sample is bounded though ids repeat
 
     def count(batches):
         from collections import Counter
