@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +90,18 @@ def word_count(col: str | Column) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def kept_by(docs: DataFrame, column: str, maker) -> DataFrame:
+    """The rows of ``docs``, with all their columns, for whose ``column`` a test is true; ``maker()`` makes the test in each task."""
+    at = docs.columns.index(column)
+
+    def run(batches):
+        test = maker()
+        for batch in batches:
+            yield batch.filter(pa.array([test(v.as_py()) for v in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 #: Rows up to which a narrow table (some numbers and a name a row) may be broadcast.
 BROADCAST_ROWS = 50_000
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, crc32_of, read, small_side
+from changeloom.llm.common import checkpointed, crc32_of, kept_by, read, small_side
 
 #: About so many texts of a language are learned from (all, if it has no more), those with the smallest hashes.
 SAMPLE_TEXTS = 800
@@ -128,12 +128,11 @@ def keep_accepted(docs: DataFrame, model: dict, text: str = "text") -> DataFrame
 
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def accepted(texts):
+    def accepted():
         loaded = _load(sent.value)
-        return texts.map(lambda t: classify(t, loaded)[2]).astype(bool)
+        return lambda t: classify(t, loaded)[2]
 
-    return docs.where(accepted(F.col(text)))
+    return kept_by(docs, text, accepted)
 
 
 def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import crc32_of, read
+from changeloom.llm.common import crc32_of, kept_by, read
 
 #: At most so many labelled rows are learned from (those with the smallest hashes).
 SAMPLE_ROWS = 12_000
@@ -244,11 +244,7 @@ def passages(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that aren't predicted toxic, with all their columns."""
 
-    @F.pandas_udf("boolean")
-    def clean(texts):
-        return texts.map(lambda t: model.score(t) < 0.5).astype(bool)
-
-    return docs.where(clean(F.col(text)))
+    return kept_by(docs, text, lambda: lambda t: model.score(t) < 0.5)
 
 
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
