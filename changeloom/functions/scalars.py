@@ -29,10 +29,16 @@ def hash_mask(c: Column, algorithm: str, salt: str, length: int | None = None) -
 
 
 def hash_mask_v1(c: Column, algorithm: str, salt: str, length: int | None = None) -> Column:
-    """The older digest, over salt and the JVM's serialized form of a text below 64 KiB."""
-    raw = c.cast("string").cast("binary")
-    size = F.unhex(F.lpad(F.hex(F.octet_length(raw)), 4, "0"))
-    out = _digest(F.concat(F.lit(salt).cast("binary"), F.unhex(F.lit("ACED000574")), size, raw), algorithm)
+    """The older digest, over salt and the JVM's serialized form of a text (its long form from 64 KiB on).
+
+    NUL and characters beyond the basic plane, which that form writes in bytes of its own, are an error.
+    """
+    text = c.cast("string")
+    text = F.when(text.rlike(r"[\x{0}\x{10000}-\x{10FFFF}]"), F.raise_error(F.lit("hash_mask_v1: a character without a plain form")).cast("string")).otherwise(text)
+    raw = text.cast("binary")
+    long = F.octet_length(raw) > 0xFFFF
+    head = F.when(long, F.concat(F.lit("ACED00057C"), F.lpad(F.hex(F.octet_length(raw)), 16, "0"))).otherwise(F.concat(F.lit("ACED000574"), F.lpad(F.hex(F.octet_length(raw)), 4, "0")))
+    out = _digest(F.concat(F.lit(salt).cast("binary"), F.unhex(head), raw), algorithm)
     return F.substring(out, 1, length) if length and length > 0 else out
 
 
@@ -187,8 +193,16 @@ def money(c: Column) -> Column:
 
 
 def pg_array(c: Column) -> Column:
-    """``{a,b,NULL}`` as an array of text."""
-    return F.transform(F.split(F.regexp_replace(c, r"^\{|\}$", ""), ","), lambda x: F.when(F.upper(x) != "NULL", F.regexp_replace(x, '^"|"$', "")))
+    """``{a,"b, c",NULL}`` as an array of text; quoted items keep commas and are never null."""
+    items = F.regexp_extract_all(F.regexp_replace(c, r"^\{|\}$", ""), F.lit(r'"(?:[^"\\]|\\.)*"|[^,]+'), F.lit(0))
+    plain = lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), r"\\(.)", "$1")
+    return F.transform(items, lambda x: F.when(x.startswith('"') | (F.upper(x) != "NULL"), plain(x)))
+
+
+def pg_range(c: Column) -> Column:
+    """``[a,b)`` and the like as ``{lower, upper, lower_inclusive, upper_inclusive, empty}``; a missing bound is null."""
+    part = lambda k: F.nullif(F.regexp_replace(F.regexp_extract(c, r'^[\[(]\s*("(?:[^"])*"|[^,]*),\s*("(?:[^"])*"|[^\])]*)[\])]$', k), '^"|"$', ""), F.lit(""))
+    return F.when(c.isNotNull(), F.struct(part(1).alias("lower"), part(2).alias("upper"), c.startswith("[").alias("lower_inclusive"), c.endswith("]").alias("upper_inclusive"), (c == "empty").alias("empty")))
 
 
 def duration_iso(us: Column) -> Column:

@@ -14,6 +14,10 @@ def append(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     spark.createDataFrame(rows, HISTORY).write.mode("append").parquet(path)
 
 
+#: Schema changes up to which their intervals are broadcast.
+INTERVALS = 50_000
+
+
 def at_position(history: DataFrame, pos: int) -> DataFrame:
     """Each table's schema as of a position; dropped tables are left out."""
     last = history.where(F.col("pos") <= pos).groupBy("tbl").agg(F.max_by(F.struct("type", "columns", "pos"), "pos").alias("_s"))
@@ -21,9 +25,18 @@ def at_position(history: DataFrame, pos: int) -> DataFrame:
 
 
 def for_events(events: DataFrame, history: DataFrame) -> DataFrame:
-    """The schema position that holds for each event: the last one at or before it (as-of, by one union and a window a table)."""
+    """The schema position that holds for each event: the last one at or before it.
+
+    Few schema changes (they are counted) go to all tasks as intervals, so that a table's events stay where they are; more
+    are merged with the events of their table by a window.
+    """
     from pyspark.sql import Window as W
 
+    if history.count() <= INTERVALS:
+        until = F.lead("pos").over(W.partitionBy("tbl").orderBy("pos"))
+        held = history.select("tbl", "pos").distinct().select(F.col("tbl").alias("_t"), F.col("pos").alias("schema_pos"), until.alias("_until"))
+        on = events["tbl"].eqNullSafe(F.col("_t")) & (events["seq"] >= F.col("schema_pos")) & (F.col("_until").isNull() | (events["seq"] < F.col("_until")))
+        return events.join(F.broadcast(held), on, "left").select("tbl", "seq", "schema_pos")
     marks = history.select("tbl", F.col("pos").alias("seq"), F.lit(0).alias("_k"), F.col("pos").alias("schema_pos"))
     both = marks.unionByName(events.select("tbl", "seq", F.lit(1).alias("_k"), F.lit(None).cast("long").alias("schema_pos")))
     w = W.partitionBy("tbl").orderBy("seq", "_k").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -219,7 +219,7 @@ def embed(rows: DataFrame, field: str, into: str = "embedding", dimensions: int
     """Texts to vectors by a model (texts -> vectors); without one, a hashing vector of their words, normalised."""
     if model is None:
         words = F.filter(F.split(F.lower(F.coalesce(field, F.lit(""))), r"\W+"), lambda w: w != "")
-        slots = F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(dimensions)))
+        slots = F.transform(words, lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long") % dimensions)
         counts = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.size(F.filter(slots, lambda s: s == i)).cast("float"))
         norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x))
         return rows.withColumn(into, F.transform(counts, lambda x: F.when(norm > 0, (x / norm).cast("float")).otherwise(F.lit(0.0).cast("float"))))
@@ -235,7 +235,7 @@ def embed(rows: DataFrame, field: str, into: str = "embedding", dimensions: int
 
 def plain_text(c: Column) -> Column:
     """Markup stripped from HTML (a local stand-in for document conversion)."""
-    bare = F.regexp_replace(F.regexp_replace(c, r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " ")
+    bare = F.regexp_replace(F.regexp_replace(c, r"(?is)<script\b.*?</script>|<style\b.*?</style>", " "), r"(?s)<[^>]*>", " ")
     return F.trim(F.regexp_replace(bare, r"\s+", " "))
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: The types of signals.
 SIGNALS = ("execute-snapshot", "stop-snapshot", "pause-snapshot", "resume-snapshot", "snapshot-window-open", "snapshot-window-close", "log", "schema-changes", "set-binlog-position")
 
 
@@ -46,6 +49,40 @@ def lag_quantiles(events: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.95,
     return events.groupBy("tbl").agg(*[fn(q).cast("double").alias(f"p{q * 100:g}".replace(".", "_")) for q in quantiles])
 
 
+def lag_sketch(events: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.95, 0.99), accuracy: float = 0.01) -> DataFrame:
+    """Quantiles of lag for each table with a bounded relative error: counts in buckets whose bounds grow by a constant factor.
+
+    The counts are the sketch: they merge by addition, here on the map side; lags of 0 and below are one bucket of value 0.
+    """
+    gamma = (1 + accuracy) / (1 - accuracy)
+    lag = F.col("ts_ms") - F.col("source.ts_ms")
+    bucket = F.when(lag > 0, F.ceil(F.log(lag) / F.lit(math.log(gamma))))
+    counts = events.groupBy("tbl", bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    w = W.partitionBy("tbl").orderBy(F.asc_nulls_first("_b"))  # one row a bucket
+    counts = counts.withColumn("_upto", F.sum("_n").over(w)).withColumn("_all", F.sum("_n").over(W.partitionBy("tbl")))
+    value = F.coalesce(F.lit(2 / (gamma + 1)) * F.pow(F.lit(gamma), F.col("_b")), F.lit(0.0))
+    at = lambda q: F.min_by(value, F.when(F.col("_upto") > F.lit(q) * (F.col("_all") - 1), F.col("_upto")))
+    return counts.groupBy("tbl").agg(*[at(q).alias(f"p{q * 100:g}".replace(".", "_")) for q in quantiles])
+
+
+def retried(action: Callable, attempts: int, wait: Callable[[int], float], retriable: tuple[type[Exception], ...] = (Exception,)):
+    """``action()``; a retriable error is tried again up to ``attempts`` times (below 0: for ever) after ``wait(number)`` seconds."""
+    number = 0
+    while True:
+        try:
+            return action()
+        except retriable:
+            number += 1
+            if 0 <= attempts < number:
+                raise
+            time.sleep(wait(number))
+
+
+def backoff(first: float, most: float) -> Callable[[int], float]:
+    """Waits that double from ``first`` up to ``most`` seconds."""
+    return lambda number: min(first * 2 ** (number - 1), most)
+
+
 def counters(deltas: DataFrame) -> DataFrame:
     """Conflict-free counters: ``node, counter, delta`` -> increments, decrements and value; partial sums merge in any order."""
     up, down = F.sum(F.when(F.col("delta") > 0, F.col("delta")).otherwise(0)), F.sum(F.when(F.col("delta") < 0, -F.col("delta")).otherwise(0))
@@ -95,6 +132,16 @@ def gtid_subtract(left: DataFrame, right: DataFrame) -> DataFrame:
     return gtid_union(s.where("l > 0 and r = 0 and next is not null").select("uuid", F.col("at").alias("lo"), (F.col("next") - 1).alias("hi")))
 
 
+def gtid_contains(sets: DataFrame, parts: DataFrame) -> bool:
+    """Whether all positions of ``parts`` are in ``sets``."""
+    return gtid_subtract(parts, sets).isEmpty()
+
+
+def gtid_retain(rows: DataFrame, servers: list[str]) -> DataFrame:
+    """The positions of some servers (patterns without case)."""
+    return rows.where(F.col("uuid").rlike("(?i)^(?:" + "|".join(servers) + ")$"))
+
+
 def gtid_text(rows: DataFrame) -> DataFrame:
     """``uuid, gtid`` texts in order."""
     part = F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("string")).otherwise(F.concat_ws("-", "lo", "hi"))

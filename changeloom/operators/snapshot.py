@@ -124,27 +124,20 @@ def table_order(counts: dict[str, int | None], how: str = "disabled") -> list[st
     return names if how == "disabled" else sorted(names, key=lambda n: counts[n] or 0, reverse=how == "descending")
 
 
-#: Mode -> (snapshot data, snapshot schema, then stream), each for (no offset, offset, interrupted snapshot).
-MODES = {
-    "always": ("yyy", "yyy", True),
-    "initial": ("yny", "yny", True),
-    "initial_only": ("yny", "yny", False),
-    "no_data": ("nnn", "yny", True),
-    "recovery": ("nnn", "nyy", True),
-    "when_needed": ("yny", "yny", True),
-    "when_needed_no_data": ("nnn", "yny", True),
-}
+MODES = ("always", "initial", "initial_only", "no_data", "recovery", "when_needed", "when_needed_no_data", "configuration_based")
 
 
 def decide(mode: str, offset_exists: bool, in_progress: bool, log_available: bool = True, custom: tuple[bool, bool, bool] | None = None) -> tuple[bool, bool, bool]:
     """Whether to snapshot data, snapshot the schema, and stream."""
+    if mode not in MODES:
+        raise ValueError(f"no snapshot mode {mode}")
     if mode == "configuration_based":
         return custom or (False, False, False)
-    data, schema, stream = MODES[mode]
-    at = 2 if offset_exists and in_progress else 1 if offset_exists else 0
-    if mode.startswith("when_needed") and offset_exists and not log_available:
-        at = 2
-    return data[at] == "y", schema[at] == "y", stream
+    missing = not offset_exists or in_progress  # nothing to go on from, or a snapshot that broke off
+    needed = missing or (mode.startswith("when_needed") and not log_available)
+    data = mode == "always" or (needed and mode in ("initial", "initial_only", "when_needed"))
+    schema = needed or mode in ("always", "recovery")
+    return data, schema, mode != "initial_only"
 
 
 def deduplicated(chunks: DataFrame, windows: DataFrame, events: DataFrame, keys: list[str], skipped: tuple[str, ...] = ()) -> DataFrame:
@@ -158,8 +151,9 @@ def deduplicated(chunks: DataFrame, windows: DataFrame, events: DataFrame, keys:
     seen = live.select("tbl", *[F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in keys], F.col("seq").alias("_at"))
     rows = chunks.join(windows, "chunk_id")
     on = [rows["tbl"].eqNullSafe(seen["tbl"]), *[rows[k].eqNullSafe(seen[k]) for k in keys], seen["_at"] > rows["low"], seen["_at"] <= rows["high"]]
-    left = rows.join(seen, on, "left_anti").select(F.col("high").alias("seq"), F.lit(0).alias("sub"), "tbl", F.lit("r").alias("op"), "after", F.lit("incremental").alias("snapshot"))
-    return left.unionByName(live.select("seq", F.lit(1).alias("sub"), "tbl", "op", "after", F.lit("false").alias("snapshot")))
+    left = rows.join(seen, on, "left_anti").select(F.col("high").alias("seq"), F.lit(0).alias("sub"), "tbl", F.lit("r").alias("op"), *keys, "after", F.lit("incremental").alias("snapshot"))
+    named = [F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in keys]
+    return left.unionByName(live.select("seq", F.lit(1).alias("sub"), "tbl", "op", *named, "after", F.lit("false").alias("snapshot")))
 
 
 def windows_from_signals(signals: DataFrame, position: str = "seq") -> DataFrame:

@@ -36,6 +36,36 @@ def boundaries(events: DataFrame, tx: str = "tx_id", table: str = "tbl") -> Data
     return one.select(F.col(tx).alias("id"), F.explode(F.array(begin, end)).alias("_b")).select("id", "_b.*")
 
 
+def run_boundaries(events: DataFrame, partition: str, tx: str = "tx_id", table: str = "tbl") -> DataFrame:
+    """BEGIN and END rows by runs of a source partition: a null id, or another one, ends a transaction; an id that returns begins a new one."""
+    marked = runs(events, partition, tx).where(F.col(tx).isNotNull())
+    out = boundaries(marked.withColumn("_run", F.struct(F.col(partition), F.col(tx), F.col("run"))), "_run", table)
+    return out.select(F.col(f"id.{partition}").alias(partition), F.col(f"id.{tx}").alias("id"), *[c for c in out.columns if c != "id"])
+
+
+def abandoned(events: DataFrame, now_ms: int, retention_ms: int, most: int | None = None, tx: str = "tx_id") -> DataFrame:
+    """Transactions whose first event is older than the retention, or that hold more events than ``most``: their buffers are given up."""
+    per = events.where(F.col(tx).isNotNull()).groupBy(tx).agg(F.min("ts_ms").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    late = F.col("_first") < now_ms - retention_ms
+    return per.where(late | (F.col("_n") > most) if most else late).select(tx)
+
+
+def without_rolled_back(events: DataFrame, rollbacks: DataFrame, tx: str = "tx_id", prefix: int = 8) -> DataFrame:
+    """Events without those of rolled-back transactions; a rollback whose id is only known by its first ``prefix`` characters ends all that begin so.
+
+    ``rollbacks`` is ``tx``; ids are texts.
+    """
+    known = rollbacks.select(F.col(tx).alias("_r")).where("_r is not null").distinct()
+    whole = events.join(known, F.col(tx) == F.col("_r"), "left_anti")
+    unmatched = known.join(events.select(F.col(tx).alias("_r")).distinct(), "_r", "left_anti").select(F.substring("_r", 1, prefix).alias("_r")).distinct()
+    return whole.join(unmatched, F.substring(F.col(tx), 1, prefix) == F.col("_r"), "left_anti")
+
+
+def relevant(events: DataFrame, tables: list[str], tx: str = "tx_id", table: str = "tbl") -> DataFrame:
+    """All events of transactions that touch one of the captured tables."""
+    return events.join(events.where(F.col(table).isin(tables)).select(tx).distinct(), tx, "left_semi")
+
+
 def committed(events: DataFrame, ends: DataFrame, tx: str = "tx_id") -> DataFrame:
     """Events of transactions that commit, at their commit position: ``ends`` is ``tx, end (commit|rollback), end_seq``.
 
@@ -83,13 +113,16 @@ def by_markers(log: DataFrame, partition: str) -> DataFrame:
 def merge_large_objects(events: DataFrame, columns: list[str], lobs: list[str], unavailable: str, tx: str = "tx_id", key: str = "key") -> DataFrame:
     """Folds updates of a row into the insert before them, and updates that carry a large object into the update before.
 
-    A value that isn't available in the log never overwrites; nulls do.  A group keeps its first position.
+    A value that isn't available in the log never overwrites; nulls do.  A group keeps its first position and operation:
+    after an insert every update joins it until a delete; elsewhere an update begins a group unless it carries a large
+    object and follows an update.
     """
     w = W.partitionBy(tx, key).orderBy("seq")
     carries = F.lit(False)
     for c in lobs:
         carries = carries | F.col(c).isNull() | (F.col(c) != unavailable)
-    joins = (F.col("op") == "u") & (F.lag("op").over(w).isin("c") | (F.lag("op").over(w).isin("u") & carries))
+    head = F.last(F.when(F.col("op") != "u", F.col("op")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    joins = (F.col("op") == "u") & (F.coalesce(head == "c", F.lit(False)) | ((F.lag("op").over(w) == "u") & carries))
     grouped = events.withColumn("_g", F.sum((~F.coalesce(joins, F.lit(False))).cast("int")).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
     last = lambda c: F.max_by(F.struct(F.col(c).alias("v")), F.when(F.col(c).isNull() | (F.col(c).cast("string") != unavailable), F.col("seq")))["v"]
     out = grouped.groupBy(tx, key, "_g").agg(F.min("seq").alias("seq"), F.min_by("op", "seq").alias("op"), *[F.coalesce(last(c), F.when(F.max(F.when(F.col(c).isNull() | (F.col(c).cast("string") != unavailable), 1)).isNull(), F.max(c))).alias(c) for c in columns])

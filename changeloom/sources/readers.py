@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +27,24 @@ def jdbc(spark: SparkSession, url: str, dbtable: str, predicates: list[str] | No
 
 def chunk_predicates(key: str, bounds: list, most) -> list[str]:
     """``[lower, upper)`` ranges for parallel reads; the last one includes the largest key."""
+    v = sql_literal
     if not bounds:
-        return [f"{key} <= {most!r}"]
-    inner = [f"{key} >= {a!r} AND {key} < {b!r}" for a, b in zip(bounds, bounds[1:])]
-    return [f"{key} < {bounds[0]!r}", *inner, f"{key} >= {bounds[-1]!r} AND {key} <= {most!r}"]
+        return [f"{key} <= {v(most)}"]
+    inner = [f"{key} >= {v(a)} AND {key} < {v(b)}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{key} < {v(bounds[0])}", *inner, f"{key} >= {v(bounds[-1])} AND {key} <= {v(most)}"]
+
+
+def sql_literal(value) -> str:
+    """A value as standard SQL."""
+    if value is None or isinstance(value, bool):
+        return {None: "NULL", True: "TRUE", False: "FALSE"}[value]
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
+    return str(value) if isinstance(value, (int, float, Decimal)) else "'" + str(value).replace("'", "''") + "'"
 
 
 def stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
