@@ -196,12 +196,20 @@ def document_state(events: DataFrame, schema: str, flatten: str | None = None) -
 
 
 def select_fields(rows: DataFrame, column: str, exclude: list[str] = (), rename: dict[str, str] | None = None) -> DataFrame:
-    """Nested fields of a struct dropped or renamed by path."""
-    value = F.col(column)
-    for old, new in (rename or {}).items():
-        *path, _ = old.split(".")
-        value = value.withField(".".join([*path, new]), F.col(f"{column}.{old}")).dropFields(old)
-    return rows.withColumn(column, value.dropFields(*exclude) if exclude else value)
+    """Nested fields of a struct dropped by path, or renamed (``path -> new last name``); a null struct stays null."""
+    names = rename or {}
+
+    def built(path: tuple[str, ...], kind: T.StructType, value: Column) -> Column:
+        parts = []
+        for f in kind.fields:
+            here = ".".join([*path, f.name])
+            if here not in exclude:
+                inside = isinstance(f.dataType, T.StructType) and any(p.startswith(here + ".") for p in [*exclude, *names])
+                one = value.getField(f.name)
+                parts.append((built((*path, f.name), f.dataType, one) if inside else one).alias(names.get(here, f.name)))
+        return F.when(value.isNotNull(), F.struct(*parts))
+
+    return rows.withColumn(column, built((), rows.schema[column].dataType, F.col(column)))
 
 
 def cloud_events(events: DataFrame, connector: str = "shop", server: str = "srv", source_prefix: str = "/cdc", type_prefix: str = "io.cdc.connector", extension: str = "iocdc") -> DataFrame:

@@ -100,6 +100,11 @@ def outbox(events: DataFrame, how: Outbox = Outbox()) -> DataFrame:
     return events.select("seq", topic.alias("topic"), col(how.key).alias("key"), value.alias("value"), headers.alias("headers"), ts.alias("ts_ms"), *parts)
 
 
+def outbox_documents(events: DataFrame, schema: str, how: Outbox = Outbox()) -> DataFrame:
+    """The outbox of a document store: ``after`` is a JSON document with the outbox's fields."""
+    return outbox(events.withColumn("after", F.from_json("after", schema)), how)
+
+
 def hypertables(events: DataFrame, chunks: DataFrame) -> DataFrame:
     """Chunk tables take the name of their hypertable (``chunk_table, hypertable``: a small catalog table that AQE broadcasts by its size)."""
     return events.join(chunks, events["tbl"] == chunks["chunk_table"], "left").withColumn("tbl", F.coalesce("hypertable", "tbl")).drop("chunk_table", "hypertable")

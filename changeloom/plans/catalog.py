@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from changeloom.functions import scalars as S
 from changeloom.operators import envelope as E
 from changeloom.operators import filters as P
+from changeloom.operators import history as H
 from changeloom.operators import materialize as M
 from changeloom.operators import records as R
 from changeloom.operators import routing as G
@@ -363,10 +364,70 @@ def _(spark, sf):
     return T.resume_after(changelog(spark, sf).withColumn("lsn", F.col("source.lsn")), 40000).agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"))
 
 
-@query("large_object_merge", "SELECT tx_id, key, arg_max(status, seq) AS status, max(price) AS price FROM (SELECT tx_id, a_key AS key, a_status AS status, a_price AS price, seq FROM changelog WHERE tbl = 'orders' AND seq % 10 < 2 AND a_key % 5 <> 0) GROUP BY ALL")
+_LOB = (
+    "SELECT tx_id, key, seq, op, status, clob FROM (SELECT CAST(floor(o_orderkey / 4) AS BIGINT) AS tx_id, CAST(o_orderkey AS BIGINT) AS key, o_orderstatus AS s, o_orderpriority AS p FROM orders) o, LATERAL (VALUES "
+    "(key * 10, 'c', CASE WHEN key % 4 = 0 THEN NULL ELSE s END, CASE WHEN key % 3 = 0 THEN NULL ELSE p END), (key * 10 + 3, 'd', '?', '?'), (key * 10 + 4, 'u', 'X', 'big')) v(seq, op, status, clob) WHERE op = 'c' OR key % 5 = 0"
+)
+
+
+@query("large_object_merge", _LOB, log=False)
 def _(spark, sf):
-    d = order_log(spark, sf).where("seq % 10 < 2 and after.key % 5 <> 0").select("tx_id", "after.key", "op", "seq", "after.status", "after.price")
-    return T.merge_large_objects(d, ["status", "price"], ["status"], "__unavailable").select("tx_id", "key", "status", "price")
+    o = _read(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 4).alias("tx_id"), F.col("o_orderkey").cast("long").alias("key"), F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p"))
+    row = lambda n, op, status, clob: F.struct((F.col("key") * 10 + n).alias("seq"), F.lit(op).alias("op"), status.alias("status"), clob.alias("clob"))
+    gone, k = F.lit("?"), F.col("key")
+    rows = [row(0, "c", F.col("s"), gone), row(1, "u", gone, F.when(k % 3 != 0, F.col("p"))), row(2, "u", F.when(k % 4 != 0, gone), gone)]
+    late = [row(3, "d", gone, gone), row(4, "u", F.lit("X"), gone), row(5, "u", gone, F.lit("big"))]
+    d = o.select("tx_id", "key", F.explode(F.when(k % 5 == 0, F.array(*rows, *late)).otherwise(F.array(*rows))).alias("r")).select("tx_id", "key", "r.*")
+    return T.merge_large_objects(d, ["status", "clob"], ["clob"], "?")
+
+
+@query(
+    "transaction_run_boundaries",
+    "WITH e AS (SELECT CAST(o_custkey % 16 AS BIGINT) AS part, CAST(o_orderkey AS BIGINT) AS seq, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(floor(o_orderkey / 64) AS BIGINT) % 3 END AS tx FROM orders), "
+    "r AS (SELECT *, sum(CASE WHEN tx IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY part ORDER BY seq) AS run FROM (SELECT *, lag(tx) OVER (PARTITION BY part ORDER BY seq) AS p FROM e)), "
+    "g AS (SELECT part, tx, run, count(*) AS n, min(seq) AS lo, max(seq) AS hi FROM r WHERE tx IS NOT NULL GROUP BY ALL) "
+    "SELECT part, tx AS id, 'BEGIN' AS status, lo AS seq, NULL AS event_count, NULL AS data_collections, lo AS ts_ms FROM g UNION ALL SELECT part, tx, 'END', hi, n, 'orders=' || n, hi FROM g",
+    log=False,
+)
+def _(spark, sf):
+    k = F.col("o_orderkey").cast("long")
+    o = _read(spark, sf, "orders").select((F.col("o_custkey") % 16).cast("long").alias("part"), k.alias("seq"), k.alias("ts_ms"), F.lit("orders").alias("tbl"), F.when(k % 7 != 0, F.floor(k / 64) % 3).alias("tx_id"))
+    return T.run_boundaries(o, "part")
+
+
+@query(
+    "look_ahead_buffer",
+    "WITH o AS (SELECT o_custkey % 16 AS part, CAST(o_orderkey AS BIGINT) AS k, o_orderkey % 11 = 0 AS open, row_number() OVER (PARTITION BY o_custkey % 16 ORDER BY o_orderkey) AS rn, lead(o_orderkey) OVER (PARTITION BY o_custkey % 16 ORDER BY o_orderkey) AS next FROM orders), "
+    "b AS (SELECT *, (rn - 1 - coalesce(max(CASE WHEN NOT open THEN rn END) OVER (PARTITION BY part ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) % 2 = 0 AS inside FROM o) "
+    "SELECT k, NOT (inside AND open) AS well_formed FROM b WHERE NOT inside OR (open AND next IS NOT NULL) OR (NOT open AND k % 5 <> 0)",
+    log=False,
+)
+def _(spark, sf):
+    o = _read(spark, sf, "orders").select((F.col("o_custkey") % 16).alias("part"), F.col("o_orderkey").cast("long").alias("k"))
+    row = lambda n, kind: F.struct((F.col("k") * 4 + n).alias("seq"), kind.alias("kind"))
+    end = F.when(F.col("k") % 5 == 0, "ROLLBACK").otherwise("COMMIT")
+    log = F.when(F.col("k") % 11 == 0, F.array(row(0, F.lit("BEGIN")), row(1, F.lit("row")))).otherwise(F.array(row(0, F.lit("BEGIN")), row(1, F.lit("row")), row(2, end)))
+    return T.by_markers(o.select("part", "k", F.explode(log).alias("e")).select("part", "k", "e.*"), "part").select("k", "well_formed")
+
+
+@query("abandoned_transactions", "SELECT tx_id FROM changelog GROUP BY tx_id HAVING min(ts_ms) < 1700000500000 OR count(*) > 9")
+def _(spark, sf):
+    return T.abandoned(changelog(spark, sf), 1_700_000_600_000, 100_000, 9)
+
+
+@query("rolled_back_by_prefix", "SELECT seq FROM changelog WHERE NOT (tx_id % 17 = 0 OR floor(tx_id / 1000) % 3 = 1)")
+def _(spark, sf):
+    text = lambda c: F.format_string("%08d%03d", F.floor(c / 1000), c % 1000)
+    d = changelog(spark, sf).withColumn("t", text(F.col("tx_id"))).drop("tx_id").withColumnRenamed("t", "tx_id")
+    ids = changelog(spark, sf).select("tx_id").distinct()
+    known = ids.where("tx_id % 17 = 0 and floor(tx_id / 1000) % 3 <> 1").select(text(F.col("tx_id")).alias("tx_id"))
+    cut = ids.where("floor(tx_id / 1000) % 3 = 1").select(F.concat(F.substring(text(F.col("tx_id")), 1, 8), F.lit("ffffffff")).alias("tx_id"))
+    return T.without_rolled_back(d, known.unionByName(cut)).select("seq")
+
+
+@query("relevant_transactions", "SELECT seq FROM changelog WHERE tx_id IN (SELECT tx_id FROM changelog WHERE tbl = 'customer')")
+def _(spark, sf):
+    return T.relevant(changelog(spark, sf), ["customer"]).select("seq")
 
 
 # --- snapshots ----------------------------------------------------------------------------------
@@ -436,23 +497,38 @@ def _(spark, sf):
     return o.where(N.after_key(["o_custkey"], [40]) & ~N.after_key(["o_custkey"], [90])).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
 
 
-_WIN = "w AS (SELECT c AS chunk_id, c * 4000 AS low, c * 4000 + 3000 AS high FROM range(0, 400) t(c))"
-
-
 @query(
     "window_dedup",
-    f"WITH {LOG}, {_WIN}, chunks AS (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) AS chunk_id, CAST(o_orderkey AS BIGINT) AS key FROM orders) "
-    "SELECT w.high AS seq, 0 AS sub, 'r' AS op, c.key, 'incremental' AS snapshot FROM chunks c JOIN w USING (chunk_id) WHERE NOT EXISTS (SELECT 1 FROM changelog e WHERE e.tbl = 'orders' AND coalesce(e.a_key, e.b_key) = c.key AND e.seq > w.low AND e.seq <= w.high) "
+    f"WITH {LOG}, chunks AS (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) AS chunk_id, CAST(o_orderkey AS BIGINT) AS key FROM orders), w AS (SELECT DISTINCT chunk_id, chunk_id * 4000 AS low, chunk_id * 4000 + 3000 AS high FROM chunks), "
+    "hit AS (SELECT DISTINCT c.key FROM chunks c JOIN w USING (chunk_id) JOIN changelog e ON coalesce(e.a_key, e.b_key) = c.key WHERE e.tbl = 'orders' AND e.seq > w.low AND e.seq <= w.high) "
+    "SELECT w.high AS seq, 0 AS sub, 'r' AS op, c.key, 'incremental' AS snapshot FROM chunks c JOIN w USING (chunk_id) ANTI JOIN hit ON hit.key = c.key "
     "UNION ALL SELECT seq, 1, op, coalesce(a_key, b_key), 'false' FROM changelog WHERE tbl = 'orders'",
 )
 def _(spark, sf):
     o = _read(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("key"), F.col("o_orderstatus").alias("status"), F.lit(0).cast("long").alias("price"), F.col("o_custkey").cast("long").alias("cust"))
     chunks = o.select(F.floor(F.col("key") / 100).alias("chunk_id"), F.lit("orders").alias("tbl"), "key", F.struct("key", "status", "price", "cust").alias("after"))
     windows = chunks.select("chunk_id").distinct().select("chunk_id", (F.col("chunk_id") * 4000).alias("low"), (F.col("chunk_id") * 4000 + 3000).alias("high"))
-    events = order_log(spark, sf)
-    d = N.deduplicated(chunks, windows, events, KEYS)
-    before = events.where("op = 'd'").select("seq", F.col("before.key").alias("_b"))
-    return d.join(before, "seq", "left").select("seq", "sub", "op", F.coalesce("after.key", "_b").alias("key"), "snapshot")
+    return N.deduplicated(chunks, windows, order_log(spark, sf), KEYS).select("seq", "sub", "op", "key", "snapshot")
+
+
+_RULES = "(NOT o OR p OR (m LIKE 'when_needed%' AND NOT l))"
+
+
+@query(
+    "snapshot_modes",
+    "WITH c AS (SELECT m, o, p, l FROM (SELECT unnest(['always', 'initial', 'initial_only', 'no_data', 'recovery', 'when_needed', 'when_needed_no_data']) AS m), (SELECT unnest([true, false]) AS o), (SELECT unnest([true, false]) AS p), (SELECT unnest([true, false]) AS l)) "
+    f"SELECT m AS mode, o AS has_offset, p AS broken_off, l AS log_there, m = 'always' OR (m IN ('initial', 'initial_only', 'when_needed') AND {_RULES}) AS data, m IN ('always', 'recovery') OR {_RULES} AS schema, m <> 'initial_only' AS stream FROM c",
+    log=False,
+)
+def _(spark, sf):
+    rows = [(m, o, p, there, *N.decide(m, o, p, there)) for m in N.MODES[:-1] for o in (True, False) for p in (True, False) for there in (True, False)]
+    return spark.createDataFrame(rows, "mode string, has_offset boolean, broken_off boolean, log_there boolean, data boolean, schema boolean, stream boolean")
+
+
+@query("table_order", "SELECT row_number() OVER (ORDER BY n DESC, tbl DESC) AS place, tbl FROM (SELECT 'nation' AS tbl, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'a_view', 0)", log=False)
+def _(spark, sf):
+    counts = {t: _read(spark, sf, t).count() for t in ("nation", "region", "customer")} | {"a_view": None}
+    return spark.createDataFrame(list(enumerate(N.table_order(counts, "descending"), 1)), "place long, tbl string")
 
 
 @query("signal_windows", "SELECT 'c' || c_nationkey AS chunk_id, CAST(min(c_custkey) AS BIGINT) AS low, CAST(max(c_custkey) AS BIGINT) AS high FROM customer GROUP BY 1", log=False)
@@ -482,9 +558,9 @@ def _(spark, sf):
     return S.first_rule(c, "customer", [(r"customer\.c_name", lambda x: S.mask(3)), (r"customer\.c_(name|mkt.*)", lambda x: S.truncate(x, 2))])
 
 
-@query("binary_encodings", "SELECT doc_id, base64(encode(substr(text, 1, 20))) AS b64, replace(replace(base64(encode(substr(text, 1, 20))), '+', '-'), '/', '_') AS url, lower(hex(encode(substr(text, 1, 20)))) AS hex FROM documents", log=False)
+@query("binary_encodings", "SELECT doc_id, base64(encode(text)) AS b64, replace(replace(base64(encode(text)), '+', '-'), '/', '_') AS url, lower(hex(encode(text))) AS hex FROM documents", log=False)
 def _(spark, sf):
-    c = F.substring("text", 1, 20).cast("binary")
+    c = F.col("text").cast("binary")
     return _read(spark, sf, "documents").select("doc_id", S.binary_as(c, "base64").alias("b64"), S.binary_as(c, "base64-url-safe").alias("url"), S.binary_as(c, "hex").alias("hex"))
 
 
@@ -508,9 +584,48 @@ def _(spark, sf):
     )
 
 
-@query("zones", "SELECT event_id, epoch_us(ts) // 1000 + 18000000 AS ms FROM events WHERE month(ts) IN (1, 2)", log=False)
+# New York's summer time: from the second Sunday of March to the first of November, in wall-clock time
+_SUNDAY = "make_timestamp(year(ts), {m}, {d}, {h}, 0, 0) + to_days(CAST((7 - dayofweek(make_date(year(ts), {m}, {d}))) % 7 AS INTEGER))"
+
+
+@query("zones", f"SELECT event_id, epoch_us(ts) // 1000 + CASE WHEN ts >= {_SUNDAY.format(m=3, d=8, h=3)} AND ts < {_SUNDAY.format(m=11, d=1, h=2)} THEN 14400000 ELSE 18000000 END AS ms FROM events", log=False)
+def _(spark, sf):
+    e = _read(spark, sf, "events").select("event_id", S.epoch(F.col("ts")).alias("ms"))
+    return R.convert_zones(e, "America/New_York", "events", epoch_ms=["ms"])
+
+
+@query("zoned_texts", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS utc, strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S+05:30') AS india FROM events", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "events").select("event_id", S.zoned(F.col("ts")).alias("utc"), S.zoned(F.col("ts"), "Asia/Kolkata").alias("india"))
+
+
+@query("bit_strings", "SELECT o_orderkey, printf('%02X%02X', o_orderkey % 256, (o_orderkey // 256) % 256) AS bytes, o_orderkey % 2 = 1 AS flag FROM orders", log=False)
+def _(spark, sf):
+    k = F.col("o_orderkey")
+    return _read(spark, sf, "orders").select("o_orderkey", F.hex(S.bits(F.lpad(F.bin(k % 65536), 16, "0"), 16)).alias("bytes"), S.bits((k % 2).cast("string"), 1).alias("flag"))
+
+
+@query("special_values", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M') END AS at, o_orderkey % 3 <> 0 AS flag, 'it''s' AS text, CAST(42 AS INTEGER) AS number, NULL::INTEGER AS none FROM orders", log=False)
+def _(spark, sf):
+    text = F.when(F.col("o_orderkey") % 5 == 0, "0000-00-00 00:00:00").otherwise(F.col("o_orderdate").cast("string"))
+    return _read(spark, sf, "orders").select(
+        "o_orderkey", F.date_format(S.zero_date(text), "yyyy-MM-dd HH:mm").alias("at"), S.tinyint_as_boolean(F.col("o_orderkey") % 3).alias("flag"), S.default_value("'it''s'", "string").alias("text"), S.default_value("42", "int").alias("number"), S.default_value("NULL", "int").alias("none")
+    )
+
+
+@query("array_and_range_texts", "SELECT o_orderkey, 'a, ' || o_orderkey AS item, true AS last_null, CAST(o_orderkey AS VARCHAR) AS lower, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey + 5 AS VARCHAR) END AS upper, true AS from_here, false AS to_there FROM orders", log=False)
 def _(spark, sf):
-    return _read(spark, sf, "events").where("month(ts) in (1, 2)").select("event_id", S.shifted_epoch(S.epoch(F.col("ts")), "America/New_York").alias("ms"))
+    k = F.col("o_orderkey").cast("string")
+    items = S.pg_array(F.concat(F.lit("{x,\"a, "), k, F.lit('",NULL}')))
+    span = S.pg_range(F.concat(F.lit("["), k, F.lit(","), F.when(F.col("o_orderkey") % 2 == 0, (F.col("o_orderkey") + 5).cast("string")).otherwise(""), F.lit(")")))
+    return _read(spark, sf, "orders").select("o_orderkey", items[1].alias("item"), items[2].isNull().alias("last_null"), span["lower"].alias("lower"), span["upper"].alias("upper"), span["lower_inclusive"].alias("from_here"), span["upper_inclusive"].alias("to_there"))
+
+
+@query("source_types", "SELECT * FROM (VALUES ('n_nationkey', 'INT', 10), ('n_name', 'STRING', NULL), ('n_regionkey', NULL, NULL)) t(name, type, length)", log=False)
+def _(spark, sf):
+    d = S.with_source_types(_read(spark, sf, "nation"), "nation", [r"nation\.n_na.*"], {"n_nationkey": {"length": 10}})
+    rows = [(f.name, f.metadata.get("source.column.type"), f.metadata.get("length")) for f in d.schema]
+    return spark.createDataFrame(rows, "name string, type string, length int")
 
 
 @query("json_paths", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events", log=False)
@@ -561,14 +676,89 @@ def _(spark, sf):
     return c.select("c_custkey", F.hex(R.swap_point(F.col("p"))).alias("swapped"))
 
 
-@query("embed_text")
+@query(
+    "embed_text",
+    "WITH w AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '\\W+')) AS w FROM benchmark), c AS (SELECT item_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 16 AS slot, count(*) AS n FROM w WHERE w <> '' GROUP BY ALL), "
+    "s AS (SELECT item_id, unnest(range(16)) AS slot FROM benchmark), g AS (SELECT s.item_id, s.slot, coalesce(n, 0) AS n FROM s LEFT JOIN c ON s.item_id = c.item_id AND s.slot = c.slot), "
+    "l AS (SELECT item_id, sqrt(sum(n * n)) AS len FROM g GROUP BY 1) SELECT g.item_id, string_agg(CAST(CAST(round(CASE WHEN len > 0 THEN n / len ELSE 0 END * 10000) AS BIGINT) AS VARCHAR), ',' ORDER BY slot) AS v FROM g JOIN l USING (item_id) GROUP BY 1",
+    log=False,
+)
+def _(spark, sf):
+    return R.embed(_read(spark, sf, "benchmark"), "text").select("item_id", F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 10000).cast("long").cast("string")), ",").alias("v"))
+
+
+@query("page_plain_text", "SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>|<style\\b.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text FROM pages", log=False)
+def _(spark, sf):
+    return _read(spark, sf, "pages").select("page_id", R.plain_text(F.col("html")).alias("text"))
+
+
+@query("select_fields", "SELECT o_orderkey, 'inner' AS left_over, o_orderstatus AS state, CAST(o_custkey AS BIGINT) AS cust FROM orders", log=False)
+def _(spark, sf):
+    inner = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").cast("long").alias("cust"))
+    o = _read(spark, sf, "orders").select("o_orderkey", F.struct(inner.alias("inner"), F.lit(1).alias("x")).alias("after"))
+    d = R.select_fields(o, "after", exclude=["x"], rename={"inner.status": "inner.state"})
+    return d.select("o_orderkey", F.json_object_keys(F.to_json("after"))[0].alias("left_over"), "after.inner.state", "after.inner.cust")
+
+
+@query("outbox_documents", "SELECT event_id AS seq, 'outbox.event.' || event_type AS topic, CAST(user_id AS VARCHAR) AS key, props AS value FROM events", log=False)
+def _(spark, sf):
+    body = F.to_json(F.struct(F.col("event_id").cast("string").alias("_id"), F.col("event_type").alias("aggregatetype"), F.col("user_id").cast("string").alias("aggregateid"), F.col("props").alias("payload")))
+    e = _read(spark, sf, "events").select(F.col("event_id").alias("seq"), F.lit("c").alias("op"), body.alias("after"), F.lit(0).alias("ts_ms"))
+    return G.outbox_documents(e, "_id string, aggregatetype string, aggregateid string, payload string", G.Outbox(event_id="_id")).select("seq", "topic", "key", "value")
+
+
+# --- schemas and sinks ----------------------------------------------------------------------------
+
+_HISTORY = "h AS (SELECT CAST(o_orderkey AS BIGINT) * 10 + 5 AS pos, CASE WHEN o_orderkey % 2 = 0 THEN 'orders' ELSE 'other' END AS tbl, o_orderkey % 3 = 0 AS gone FROM orders WHERE o_orderkey % 50 < 2)"
+
+
+def _history(spark, sf):
+    o = _read(spark, sf, "orders").where("o_orderkey % 50 < 2")
+    k = F.col("o_orderkey").cast("long")
+    return o.select((k * 10 + 5).alias("pos"), F.when(k % 2 == 0, "orders").otherwise("other").alias("tbl"), F.when(k % 3 == 0, "DROP").otherwise("ALTER").alias("type"), F.array(F.struct(F.col("o_orderstatus").alias("name"))).alias("columns"))
+
+
+@query("schema_positions", f"WITH {LOG}, {_HISTORY}, e AS (SELECT tbl, seq FROM changelog) SELECT e.tbl, e.seq, h.pos AS schema_pos FROM e ASOF LEFT JOIN h ON e.tbl = h.tbl AND e.seq >= h.pos")
+def _(spark, sf):
+    return H.for_events(changelog(spark, sf), _history(spark, sf))
+
+
+@query("schema_state", f"WITH {_HISTORY}, l AS (SELECT tbl, max(pos) AS since, arg_max(gone, pos) AS gone FROM h WHERE pos <= 40000 GROUP BY 1) SELECT tbl, since FROM l WHERE NOT gone", log=False)
+def _(spark, sf):
+    return H.at_position(_history(spark, sf), 40_000).select("tbl", "since")
+
+
+@query("ddl_replay", "SELECT * FROM (VALUES ('c', 'id', 'INT', false), ('c', 'x', 'DECIMAL(10,2)', true), ('d', 'k', 'BIGINT', false)) t(tbl, name, type, optional)", log=False)
 def _(spark, sf):
-    return R.embed(_read(spark, sf, "benchmark"), "text").select("item_id", F.array_join(F.transform("embedding", lambda x: F.round(x, 4).cast("string")), ",").alias("v"))
+    ddl = ["CREATE TABLE a (id INT NOT NULL, name VARCHAR(20), PRIMARY KEY (id))", "ALTER TABLE a ADD COLUMN x DECIMAL(10, 2) AFTER id, DROP COLUMN name", "CREATE TABLE b LIKE a", "ALTER TABLE b RENAME TO c", "no statement", "DROP TABLE a", "CREATE TABLE d (k BIGINT PRIMARY KEY)"]
+    tables, _ = H.replay(list(enumerate(ddl)))
+    return spark.createDataFrame([(t, *c) for t, cs in tables.items() for c in cs], "tbl string, name string, type string, optional boolean")
 
 
-@query("page_plain_text")
+@query("view_columns", "SELECT * FROM (VALUES ('id', 'bigint'), ('total', 'double'), ('n', 'bigint')) t(name, type)", log=False)
 def _(spark, sf):
-    return _read(spark, sf, "pages").select("page_id", F.length(R.plain_text(F.col("html"))).alias("n"))
+    found = H.view_columns(spark, "select q.id, sum(q.v) as total, count(*) as n from (select id, v from t1 join t2 using (id)) q group by q.id", {"t1": "id bigint, v double", "t2": "id bigint"})
+    return spark.createDataFrame(found, "name string, type string")
+
+
+@query("schema_change_filter", "SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 3 <> 1 AND o_orderkey % 4 <> 3", log=False)
+def _(spark, sf):
+    k = F.col("o_orderkey")
+    one = lambda t: F.array(F.struct(t.alias("type")))
+    kinds = F.when(k % 3 == 1, "CREATE").when(k % 3 == 2, "ALTER").otherwise("DROP")
+    changes = F.when(k % 10 == 0, None).when(k % 4 == 3, F.slice(one(kinds), 1, 0)).otherwise(one(kinds))
+    return P.schema_changes(_read(spark, sf, "orders").select("o_orderkey", changes.alias("table_changes")), ["CREATE", "DATABASE"]).select("o_orderkey")
+
+
+@query("sink_names", 'SELECT n_nationkey AS "X_N_NATIONKEY_Y", n_name AS "X_N_NAME_Y", n_regionkey AS "X_N_REGIONKEY_Y" FROM nation', log=False)
+def _(spark, sf):
+    return G.restyled(_read(spark, sf, "nation"), "upper_case", "X_", "_Y")
+
+
+@query("sink_keys", "SELECT a_status AS status, a_cust AS cust, count(*) AS n FROM changelog WHERE tbl = 'orders' AND a_key IS NOT NULL GROUP BY ALL")
+def _(spark, sf):
+    d = order_log(spark, sf).where("after is not null")
+    return d.groupBy(*[F.col(f"after.{k}").alias(k) for k in G.sink_key(d, "record_value", ["status", "cust", "none"])]).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- service ------------------------------------------------------------------------------------
@@ -584,9 +774,15 @@ def _(spark, sf):
     return V.lag_quantiles(changelog(spark, sf), exact=True)
 
 
-@query("lag_sketch")
+@query(
+    "lag_sketch",
+    f"WITH {LOG}, g AS (SELECT 1.01::DOUBLE / 0.99::DOUBLE AS gamma), b AS (SELECT tbl, CASE WHEN seq % 97 > 0 THEN ceil(ln(seq % 97) / ln(gamma)) END AS b, any_value(gamma) AS gamma, count(*) AS n FROM changelog, g GROUP BY 1, 2), "
+    "c AS (SELECT *, sum(n) OVER (PARTITION BY tbl ORDER BY b NULLS FIRST) AS upto, sum(n) OVER (PARTITION BY tbl) AS total, coalesce(2 / (gamma + 1) * pow(gamma, b), 0) AS v FROM b) "
+    "SELECT tbl, " + ", ".join(f"round(arg_min(v, CASE WHEN upto > {q}::DOUBLE * (total - 1) THEN upto END), 6) AS p{int(q * 100)}" for q in (0.5, 0.95, 0.99)) + " FROM c GROUP BY tbl",
+)
 def _(spark, sf):
-    return V.lag_quantiles(changelog(spark, sf))
+    d = V.lag_sketch(changelog(spark, sf))
+    return d.select("tbl", *[F.round(c, 6).alias(c) for c in d.columns[1:]])
 
 
 @query("counters", "SELECT event_type AS counter, CAST(sum(CASE WHEN user_id % 3 > 0 THEN user_id % 3 ELSE 0 END) AS BIGINT) AS p, count(*) FILTER (WHERE user_id % 3 = 0) AS n, CAST(sum(CASE WHEN user_id % 3 > 0 THEN user_id % 3 ELSE -1 END) AS BIGINT) AS value FROM events GROUP BY 1", log=False)
@@ -603,11 +799,13 @@ def _(spark, sf):
     return V.reselect(d, now, KEYS, ["status"]).select("seq", "after.status")
 
 
-@query("signals", "SELECT 'event-' || event_id AS id, 'execute-snapshot' AS type, true AS known, 'db.' || event_type AS target FROM events WHERE event_id < 500", log=False)
+@query("signals", "SELECT 'event-' || event_id AS id, CASE WHEN event_id % 3 = 0 THEN 'stop-snapshot' WHEN event_id % 3 = 1 THEN 'execute-snapshot' ELSE 'nonsense' END AS type, event_id % 3 <> 2 AS known, 'db.' || event_type AS target, CASE WHEN event_id % 2 = 0 THEN 'BLOCKING' ELSE 'INCREMENTAL' END AS snapshot_type, 'k > ' || event_id AS filter, 'key' || (event_id % 5) AS surrogate_key FROM events", log=False)
 def _(spark, sf):
-    e = _read(spark, sf, "events").where("event_id < 500")
-    rows = e.select(F.concat(F.lit("event-"), F.col("event_id").cast("string")).alias("id"), F.lit("execute-snapshot").alias("type"), F.to_json(F.struct(F.array(F.concat(F.lit("db."), F.col("event_type"))).alias("data-collections"))).alias("data"))
-    return V.parse_signals(rows).select("id", "type", "known", F.col("data_collections")[0].alias("target"))
+    n, text = F.col("event_id"), lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    body = F.struct(F.array(text("db.", F.col("event_type"))).alias("data-collections"), F.when(n % 2 == 0, "BLOCKING").alias("type"), F.array(F.struct(F.lit("t").alias("data-collection"), text("k > ", n).alias("filter"))).alias("additional-conditions"), text("key", n % 5).alias("surrogate-key"))
+    kind = F.when(n % 3 == 0, "stop-snapshot").when(n % 3 == 1, "execute-snapshot").otherwise("nonsense")
+    rows = _read(spark, sf, "events").select(text("event-", n).alias("id"), kind.alias("type"), F.to_json(body).alias("data"))
+    return V.parse_signals(rows).select("id", "type", "known", F.col("data_collections")[0].alias("target"), "snapshot_type", F.col("conditions")[0]["filter"].alias("filter"), "surrogate_key")
 
 
 @query("notifications", "SELECT 'n-' || tbl AS id, 'Incremental Snapshot' AS aggregate_type, 'COMPLETED' AS type, CAST(count(*) AS VARCHAR) AS rows, max(ts_ms) AS timestamp FROM changelog GROUP BY tbl")
@@ -622,7 +820,18 @@ def _(spark, sf):
     return V.gtid_union(V.gtid_rows(c))
 
 
-@query("redo_statements")
+@query(
+    "gtid_subtract",
+    "SELECT CAST(c_nationkey AS VARCHAR) AS uuid, min(k) AS lo, max(k) AS hi FROM (SELECT c_nationkey, k, k - row_number() OVER (PARTITION BY c_nationkey ORDER BY k) AS g FROM (SELECT DISTINCT c_nationkey, CAST(floor(c_custkey / 40) AS BIGINT) AS k FROM customer) WHERE k % 5 <> 0) GROUP BY c_nationkey, g",
+    log=False,
+)
+def _(spark, sf):
+    k = F.floor(F.col("c_custkey") / 40)
+    c = _read(spark, sf, "customer").select(F.concat_ws(":", F.col("c_nationkey").cast("string"), k.cast("string")).alias("gtids"), k.alias("k"))
+    return V.gtid_subtract(V.gtid_rows(c), V.gtid_rows(c.where("k % 5 = 0")))
+
+
+@query("redo_statements", "SELECT o_orderkey, 'u' AS op, 'ORDERS' AS \"table\", o_orderpriority AS p, CAST(o_orderkey AS VARCHAR) AS k FROM orders", log=False)
 def _(spark, sf):
     o = _read(spark, sf, "orders")
     sql = F.format_string("update \"S\".\"ORDERS\" set \"P\" = '%s' where \"K\" = '%d' and \"S\" IS NULL;", "o_orderpriority", "o_orderkey")

@@ -1,5 +1,8 @@
 """Operators on literal rows: truth tables, traps and edges."""
 
+import datetime
+import hashlib
+import sqlite3
 import struct
 
 import pytest
@@ -17,6 +20,8 @@ from changeloom.operators import routing as G
 from changeloom.operators import service as V
 from changeloom.operators import snapshot as N
 from changeloom.operators import transactions as T
+from changeloom.sources import dialects as D
+from changeloom.sources import readers as C
 
 EVENT = "seq long, tbl string, op string, before struct<key:long,v:string>, after struct<key:long,v:string>, tx_id long, ts_ms long"
 
@@ -207,3 +212,70 @@ def test_tombstones_outbox_and_batches(spark):
     assert (r.topic, r.key, r.value, r.headers) == ("outbox.event.Order", "k", None, {"id": "i"})
     with pytest.raises(Exception, match="outbox"):
         G.outbox(box.withColumn("op", F.lit("u")), G.Outbox(on_update="fatal")).collect()
+
+
+def test_large_objects_between_deletes(spark):
+    rows = [(1, "c", "a", "?"), (2, "u", "?", "?"), (3, "u", None, "?"), (4, "d", "?", "?"), (5, "u", "b", "?"), (6, "u", "?", "big"), (7, "u", "z", "?"), (8, "u", "?", None)]
+    lob = spark.createDataFrame([(s, 1, 7, *r) for s, *r in rows], "seq long, tx_id long, key long, op string, a string, lob string")
+    got = [(r.seq, r.op, r.a, r.lob) for r in T.merge_large_objects(lob, ["a", "lob"], ["lob"], "?").orderBy("seq").collect()]
+    assert got == [(1, "c", None, "?"), (4, "d", "?", "?"), (5, "u", "b", "big"), (7, "u", "z", None)]
+
+
+def test_transaction_runs_and_buffers(spark):
+    e = spark.createDataFrame([(1, "p", 1, "t"), (2, "p", 1, "u"), (3, "p", None, "t"), (4, "p", 1, "t"), (5, "p", 2, "t")], "seq long, part string, tx_id long, tbl string").withColumn("ts_ms", F.col("seq") * 10)
+    got = sorted((r.seq, r.status, r.id, r.event_count, r.data_collections) for r in T.run_boundaries(e, "part").collect())
+    assert got == [(1, "BEGIN", 1, None, None), (2, "END", 1, 2, "t=1,u=1"), (4, "BEGIN", 1, None, None), (4, "END", 1, 1, "t=1"), (5, "BEGIN", 2, None, None), (5, "END", 2, 1, "t=1")]
+    assert sorted(r.tx_id for r in T.abandoned(e, 100, 55, 2).collect()) == [1] and T.abandoned(e, 100, 95).count() == 0
+    ids = spark.createDataFrame([("aaaaaaaa01",), ("aaaaaaaa02",), ("bbbbbbbb01",), ("bbbbbbbb02",)], "tx_id string")
+    back = spark.createDataFrame([("aaaaaaaaffffffff",), ("bbbbbbbb02",), (None,)], "tx_id string")
+    assert [r.tx_id for r in T.without_rolled_back(ids, back).collect()] == ["bbbbbbbb01"]
+
+
+def test_statements_of_dialects():
+    assert D.upsert("s.t", ["id"], ["id", "v"], "postgres") == 'INSERT INTO "s"."t" ("id", "v") VALUES (?, ?) ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"'
+    assert D.upsert("t", ["id"], ["id"], "postgres").endswith('ON CONFLICT ("id") DO NOTHING')
+    assert D.upsert("t", ["id"], ["id", "v"], "mysql") == "INSERT INTO `t` (`id`, `v`) VALUES (?, ?) ON DUPLICATE KEY UPDATE `v` = VALUES(`v`)"
+    assert D.upsert("t", ["id"], ["id", "v"], "oracle") == 'MERGE INTO "t" t USING (SELECT ? AS "id", ? AS "v" FROM DUAL) s ON (t."id" = s."id") WHEN MATCHED THEN UPDATE SET t."v" = s."v" WHEN NOT MATCHED THEN INSERT ("id", "v") VALUES (s."id", s."v")'
+    assert D.upsert("t", ["id"], ["id", "v"], "sqlserver").startswith("MERGE INTO [t] t") and D.upsert("t", ["id"], ["id"], "sqlserver").endswith("s.[id]);")
+    assert D.unnest("t", ["id"], {"id": "bigint", "v": "string"}) == 'INSERT INTO "t" ("id", "v") SELECT * FROM UNNEST(?::bigint[], ?::text[]) ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"'
+    assert D.update("t", ["id"], ["id", "v"], "db2") == 'UPDATE "t" SET "v" = ? WHERE "id" = ?' and D.delete("t", ["a", "b"], "mysql") == "DELETE FROM `t` WHERE `a` = ? AND `b` = ?"
+    assert D.create("t", ["id"], {"id": "int", "v": "string"}, "mysql") == "CREATE TABLE `t` (`id` int NOT NULL, `v` longtext, PRIMARY KEY (`id`))"
+    assert D.add_columns("t", {"a": "int", "b": "date"}, "oracle") == 'ALTER TABLE "t" ADD ("a" number(10,0), "b" date)' and D.add_columns("t", {"a": "int"}, "postgres") == 'ALTER TABLE "t" ADD COLUMN "a" integer'
+    assert D.quoted('a"b', "db2") == '"a""b"'
+
+
+def test_database_sink_applies_and_replays(spark, tmp_path):
+    path = str(tmp_path / "sink.db")
+    with sqlite3.connect(path) as db:
+        db.execute(D.create("t", ["key"], {"key": "bigint", "v": "string"}, "sqlite"))
+        db.execute(D.insert("t", ["key", "v"], "sqlite"), (9, "old"))
+    write = D.database_sink(lambda: sqlite3.connect(path, timeout=60), "t", ["key"], ["key", "v"], "sqlite", rows_per_call=2)
+    batch = events(spark, [("c", 1, "a"), ("c", 2, "b"), ("u", 1, "c"), ("d", 2, "b"), ("c", 9, "new"), ("c", 3, None), ("c", 4, "d"), ("c", 5, "e")]).repartition(2)
+    for _ in range(2):
+        write(batch, 0)
+    with sqlite3.connect(path) as db:
+        assert sorted(db.execute("select * from t").fetchall()) == [(1, "c"), (3, None), (4, "d"), (5, "e"), (9, "new")]
+
+
+def test_small_helpers(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(S.pg_array(F.lit('{a,"b, c","NULL",NULL,"d\\"e"}'))) == ["a", "b, c", "NULL", None, 'd"e'] and one(S.pg_array(F.lit("{}"))) == []
+    assert tuple(one(S.pg_range(F.lit('["a, b",)')))) == ("a, b", None, True, False, False) and one(S.pg_range(F.lit("empty"))).empty
+    long = "x" * 70_000
+    want = hashlib.sha256(b"salt" + bytes.fromhex("ACED00057C") + len(long).to_bytes(8, "big") + long.encode()).hexdigest()
+    assert one(S.hash_mask_v1(F.lit(long), "SHA-256", "salt")) == want
+    with pytest.raises(Exception, match="plain form"):
+        one(S.hash_mask_v1(F.lit("a😀"), "SHA-256", "salt"))
+    assert C.chunk_predicates("k", ["it's"], datetime.date(2020, 1, 2)) == ["k < 'it''s'", "k >= 'it''s' AND k <= DATE '2020-01-02'"]
+    assert [C.sql_literal(v) for v in (None, True, b"\x01", datetime.datetime(2020, 1, 1), 1.5)] == ["NULL", "TRUE", "X'01'", "TIMESTAMP '2020-01-01 00:00:00'", "1.5"]
+    tries, waits = [], []
+    fail = lambda: tries.append(1) or (_ for _ in ()).throw(OSError("no"))
+    with pytest.raises(OSError):
+        V.retried(fail, 2, lambda n: waits.append(V.backoff(0.001, 0.003)(n)) or 0, (OSError,))
+    assert len(tries) == 3 and waits == [0.001, 0.002] and V.backoff(1, 3)(9) == 3
+    rows = lambda t: V.gtid_rows(spark.createDataFrame([(t,)], "gtids string"))
+    assert V.gtid_contains(rows("a:1-9,b:1"), rows("A:2-4:7")) and not V.gtid_contains(rows("a:1-9"), rows("a:8-10"))
+    assert [r.uuid for r in V.gtid_retain(rows("a:1,b:2"), ["B"]).collect()] == ["b"]
+    assert [N.decide("recovery", *x) for x in ((False, False), (True, False), (True, True))] == [(False, True, True)] * 3
+    with pytest.raises(ValueError):
+        N.decide("no such mode", True, False)
