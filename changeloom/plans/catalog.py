@@ -696,7 +696,7 @@ def _(spark, sf):
 def _(spark, sf):
     inner = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").cast("long").alias("cust"))
     o = _read(spark, sf, "orders").select("o_orderkey", F.struct(inner.alias("inner"), F.lit(1).alias("x")).alias("after"))
-    d = R.select_fields(o, "after", exclude=["x"], rename={"inner.status": "inner.state"})
+    d = R.select_fields(o, "after", exclude=["x"], rename={"inner.status": "state"})
     return d.select("o_orderkey", F.json_object_keys(F.to_json("after"))[0].alias("left_over"), "after.inner.state", "after.inner.cust")
 
 
