@@ -460,10 +460,10 @@ def _(spark, sf):
     return N.paged(_read(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 1024).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
 
 
-@query("chunk_boundaries", "SELECT count(*) AS n_rows, 4 AS n_chunks FROM orders", log=False)
+@query("chunk_boundaries", "WITH b AS (SELECT quantile_cont(o_orderkey, [0.25, 0.5, 0.75]) AS q FROM orders) SELECT CASE WHEN o_orderkey >= q[3] THEN 3 WHEN o_orderkey >= q[2] THEN 2 WHEN o_orderkey >= q[1] THEN 1 ELSE 0 END AS chunk, count(*) AS n, min(o_orderkey) AS lo FROM orders, b GROUP BY 1", log=False)
 def _(spark, sf):
     o = _read(spark, sf, "orders")
-    return N.with_chunks(o, "o_orderkey", N.boundaries(o, "o_orderkey", 4)).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("chunk").cast("int").alias("n_chunks"))
+    return N.with_chunks(o, "o_orderkey", N.boundaries(o, "o_orderkey", 4, exact=True)).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"))
 
 
 @query("chunk_by_bounds", "SELECT CASE WHEN o_orderkey >= 300 THEN 2 WHEN o_orderkey >= 100 THEN 1 ELSE 0 END AS chunk, count(*) AS n FROM orders GROUP BY 1", log=False)
