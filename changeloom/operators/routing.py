@@ -121,6 +121,25 @@ def unicode_escaped(name: Column) -> Column:
     return F.array_join(F.transform(F.filter(F.split(name, ""), lambda x: x != ""), one), "")
 
 
+def named_topic(strategy: str, prefix: str, catalog: Column, schema: Column, table: Column, pattern: str = "", replacement: str = "", partitions: bool = False) -> Column:
+    """A table's topic by a strategy: ``default`` or ``schema``, plain or with ``_regex`` or ``_unicode`` behind it.
+
+    ``default`` leaves the schema out and ``schema`` the catalog, unless one task reads several databases (``partitions``).
+    A regular expression has to match the whole name; a name that it would make empty stays.
+    """
+    kind, _, how = strategy.partition("_")
+    if kind not in ("default", "schema") or how not in ("", "regex", "unicode"):
+        raise ValueError(f"no topic naming strategy {strategy}")
+    parts = [catalog, schema, table] if partitions and kind == "schema" else [catalog if kind == "default" else schema, table]
+    if how == "unicode":
+        return unicode_escaped(F.concat_ws(".", F.lit(prefix), *parts))
+    name = topic_name(prefix, *parts)
+    if not how:
+        return name
+    new = F.regexp_replace(name, f"^(?:{pattern})$", replacement)
+    return F.when(new == "", name).otherwise(new)
+
+
 def collection_name(fmt: str, topic: Column, source: dict[str, Column] | None = None) -> Column:
     """``${topic}`` (dots become underscores) and ``${source.x}`` filled in."""
     parts = []

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from changeloom.operators.history import for_events
+
 MARKERS = ("first", "first_in_data_collection", "true", "last_in_data_collection", "last")
 
 
@@ -161,3 +163,42 @@ def windows_from_signals(signals: DataFrame, position: str = "seq") -> DataFrame
     chunk = F.regexp_replace("id", "-(open|close)$", "")
     kind = F.col("type")
     return signals.groupBy(chunk.alias("chunk_id")).agg(F.max(F.when(kind == "snapshot-window-open", F.col(position))).alias("low"), F.max(F.when(kind == "snapshot-window-close", F.col(position))).alias("high")).where("high is not null")
+
+
+def windows_from_transactions(marks: DataFrame, events: DataFrame, tx: str = "tx_id", width: int = 65_536) -> DataFrame:
+    """Windows of a snapshot that may not write: ``marks`` hold ``chunk_id, low_xmin, low_xmax, high_xmax``.
+
+    A window opens at the first event of a transaction from ``low_xmin`` on and closes before the first one beyond both
+    ``xmax``.  Transactions commit in any order, so both ends are the smallest position among all later transactions:
+    a running minimum in ranges of ``width`` transactions, joined with that of the ranges behind (one row a range).
+    A chunk whose window the log has not closed yet is left out.
+    """
+    ends = {"low": F.col("low_xmin"), "high": F.greatest("low_xmax", "high_xmax") + 1}
+    firsts = events.where(F.col(tx).isNotNull()).groupBy(F.col(tx).cast("long").alias("_x")).agg(F.min("seq").alias("_p"))
+    asked = marks.select(F.explode(F.array(*[c.cast("long") for c in ends.values()])).alias("_x")).distinct()
+    both = firsts.unionByName(asked, allowMissingColumns=True).withColumn("_g", F.floor(F.col("_x") / width))
+    behind = W.partitionBy(F.lit(0)).orderBy(F.desc("_g")).rowsBetween(W.unboundedPreceding, -1)  # one row for each range
+    later = both.groupBy("_g").agg(F.min("_p").alias("_m")).select("_g", F.min("_m").over(behind).alias("_later"))
+    found = both.withColumn("_at", F.min("_p").over(W.partitionBy("_g").orderBy(F.desc("_x")))).join(later, "_g")
+    found = found.groupBy("_x").agg(F.min(F.least("_at", "_later")).alias("_at"))
+    out = marks
+    for name, c in ends.items():
+        out = out.join(found.select(F.col("_x").alias(f"_{name}"), (F.col("_at") - 1).alias(name)), c == F.col(f"_{name}"))
+    return out.where("high is not null").select(*marks.columns, "low", "high")
+
+
+def with_rereads(windows: DataFrame, changes: DataFrame) -> DataFrame:
+    """Adds ``reread``: the schema of the chunk's table changed inside its window, whose rows are void then.
+
+    ``windows``: ``chunk_id, tbl, low, high``; ``changes``: ``tbl, pos``, which counts with ``low < pos <= high``.
+    """
+    last = for_events(windows.select("tbl", F.col("high").alias("seq")).distinct(), changes.select("tbl", "pos"))
+    last = last.select(F.col("tbl").alias("_t"), F.col("seq").alias("_h"), "schema_pos")
+    on = windows["tbl"].eqNullSafe(last["_t"]) & (windows["high"] == last["_h"])
+    return windows.join(last, on, "left").withColumn("reread", F.coalesce(F.col("schema_pos") > F.col("low"), F.lit(False))).drop("_t", "_h", "schema_pos")
+
+
+def valid_reads(windows: DataFrame, changes: DataFrame) -> DataFrame:
+    """The last read of each chunk (``attempt``) that no schema change has voided."""
+    kept = with_rereads(windows, changes).where("not reread").groupBy("chunk_id").agg(F.max_by(F.struct(*windows.columns), "attempt").alias("_w"))
+    return kept.select("_w.*")

@@ -151,3 +151,15 @@ def resume_after(events: DataFrame, position: int, serial: int = 0, column: str
     """Events after a stored position; at the position itself those beyond the stored serial number."""
     later = F.col(column) > position
     return events.where(later | ((F.col(column) == position) & (F.col(serial_column) > serial)) if serial_column else later)
+
+
+def handed_over(events: DataFrame, captures: DataFrame) -> DataFrame:
+    """Events of tables whose change table was replaced: each capture counts until the next one of its table starts.
+
+    ``events``: ``tbl, capture, lsn``; ``captures``: ``tbl, capture, start_lsn`` (a few for each table).  Adds
+    ``schema_since``, the start of the capture that an event has its columns from.
+    """
+    until = F.lead("start_lsn").over(W.partitionBy("tbl").orderBy("start_lsn", "capture"))
+    held = captures.select("tbl", "capture", F.col("start_lsn").alias("schema_since"), until.alias("_until"))
+    in_time = (F.col("lsn") >= F.col("schema_since")) & (F.col("_until").isNull() | (F.col("lsn") < F.col("_until")))
+    return events.join(held, ["tbl", "capture"]).where(in_time).drop("_until")

@@ -21,6 +21,7 @@ from changeloom.operators import service as V
 from changeloom.operators import snapshot as N
 from changeloom.operators import transactions as T
 from changeloom.plans.changelog import LOG, SPLIT, changelog, flat_changelog, order_log
+from changeloom.sources import readers as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -761,6 +762,63 @@ def _(spark, sf):
     return d.groupBy(*[F.col(f"after.{k}").alias(k) for k in G.sink_key(d, "record_value", ["status", "cust", "none"])]).agg(F.count(F.lit(1)).alias("n"))
 
 
+# --- snapshots beside the schema and other windows ---
+
+
+@query(
+    "read_only_windows",
+    f"WITH {LOG}, f AS (SELECT tx_id + tx_id % 3 * 4 AS x, min(seq) AS p FROM changelog GROUP BY 1), m AS (SELECT DISTINCT CAST(floor(o_orderkey / 100) AS BIGINT) AS chunk_id FROM orders), "
+    "l AS (SELECT chunk_id, min(p) - 1 AS low FROM m JOIN f ON x >= chunk_id * 25 GROUP BY 1), h AS (SELECT chunk_id, min(p) - 1 AS high FROM m JOIN f ON x > chunk_id * 25 + 15 GROUP BY 1) "
+    "SELECT chunk_id, low, high FROM l JOIN h USING (chunk_id)",
+)
+def _(spark, sf):
+    c = F.floor(F.col("o_orderkey") / 100)
+    at = lambda n: F.col("chunk_id") * 25 + n
+    marks = _read(spark, sf, "orders").select(c.alias("chunk_id")).distinct().select("chunk_id", at(0).alias("low_xmin"), at(5).alias("low_xmax"), at(15).alias("high_xmax"))
+    events = flat_changelog(spark, sf).select("seq", (F.col("tx_id") + F.col("tx_id") % 3 * 4).alias("tx_id"))
+    return N.windows_from_transactions(marks, events, width=1000).select("chunk_id", "low", "high")
+
+
+_READS = "r AS (SELECT *, low + chunk_id % 3 * 200 AS high FROM (SELECT DISTINCT CAST(floor(o_orderkey / 100) AS BIGINT) AS chunk_id, floor(o_orderkey / 100)::BIGINT * 1000 + 200 AS low FROM orders))"
+
+
+@query(
+    "window_schema_changes",
+    f"WITH {_HISTORY}, {_READS} SELECT chunk_id, low, high, EXISTS (SELECT 1 FROM h WHERE tbl = 'orders' AND pos > low AND pos <= high) AS reread FROM r",
+)
+def _(spark, sf):
+    c = F.floor(F.col("o_orderkey") / 100)
+    low = c * 1000 + 200
+    reads = _read(spark, sf, "orders").select(c.alias("chunk_id"), F.lit("orders").alias("tbl"), low.alias("low"), (low + c % 3 * 200).alias("high")).distinct()
+    return N.with_rereads(reads, _history(spark, sf)).select("chunk_id", "low", "high", "reread")
+
+
+@query("row_id_chunks", "SELECT CAST(floor((r - 1) / 1000) AS BIGINT) AS chunk, count(*) AS n FROM (SELECT row_number() OVER () AS r FROM orders) GROUP BY 1", log=False)
+def _(spark, sf):
+    return C.with_row_id(_read(spark, sf, "orders"), 1000).groupBy(F.col("row_chunk").alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("handed_over_captures", "SELECT seq, tbl, CASE WHEN tbl = 'orders' AND seq >= 5000 THEN 'second' ELSE 'first' END AS capture, CASE WHEN tbl = 'orders' AND seq >= 5000 THEN 5000 ELSE 0 END AS schema_since FROM changelog")
+def _(spark, sf):
+    log = flat_changelog(spark, sf).select("seq", "tbl", F.col("seq").alias("lsn"))
+    both = log.withColumn("capture", F.explode(F.when((F.col("tbl") == "orders") & (F.col("seq") >= 5000), F.array(F.lit("first"), F.lit("second"))).otherwise(F.array(F.lit("first")))))
+    captures = spark.createDataFrame([("orders", "first", 0), ("orders", "second", 5000), ("customer", "first", 0)], "tbl string, capture string, start_lsn long")
+    return T.handed_over(both, captures).select("seq", "tbl", "capture", "schema_since")
+
+
+@query(
+    "naming_strategies",
+    "SELECT n_nationkey, 'srv.db.' || t AS d, 'srv.' || s || '.' || t AS s, 'all.' || t AS r, 'srv.' || s || '.' || replace(replace(n_name, '_', '_u005f'), ' ', '_u0020') AS u, 'srv.db.' || s || '.' || t AS p "
+    "FROM (SELECT n_nationkey, n_name, regexp_replace(n_name, '[^A-Za-z0-9._-]', '_', 'g') AS t, 'r' || n_regionkey AS s FROM nation)",
+    log=False,
+)
+def _(spark, sf):
+    parts = F.lit("db"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), F.col("n_name")
+    by = lambda how, *more, **kw: G.named_topic(how, "srv", *parts, *more, **kw)
+    names = by("default").alias("d"), by("schema").alias("s"), by("schema_regex", r"srv\..*?\.(.*)", "all.$1").alias("r"), by("schema_unicode").alias("u"), by("schema", partitions=True).alias("p")
+    return _read(spark, sf, "nation").select("n_nationkey", *names)
+
+
 # --- service ------------------------------------------------------------------------------------
 
 

@@ -20,6 +20,15 @@ def table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | No
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def with_row_id(rows: DataFrame, size: int = 1024) -> DataFrame:
+    """A Parquet table without a key, by physical row: ``row_file`` and ``row_index`` order it, ``row_chunk`` numbers a file's chunks.
+
+    They are the scan's own metadata, so nothing is shuffled, and ``after_key(["row_file", "row_index"], last)`` reads on.
+    """
+    row = F.col("_metadata.row_index")
+    return rows.select("*", F.col("_metadata.file_path").alias("row_file"), row.alias("row_index"), F.floor(row / size).alias("row_chunk"))
+
+
 def jdbc(spark: SparkSession, url: str, dbtable: str, predicates: list[str] | None = None, **properties) -> DataFrame:
     """A database table; ``predicates`` (chunk bounds) make one partition each."""
     return spark.read.jdbc(url, dbtable, predicates=predicates, properties=properties) if predicates else spark.read.jdbc(url, dbtable, properties=properties)

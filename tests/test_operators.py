@@ -231,6 +231,40 @@ def test_transaction_runs_and_buffers(spark):
     assert [r.tx_id for r in T.without_rolled_back(ids, back).collect()] == ["bbbbbbbb01"]
 
 
+def test_read_only_windows_and_rereads(spark):
+    log = [(10, 7), (11, 5), (12, 9), (13, 6), (14, 12), (15, 8), (16, 20), (17, None)]
+    e = spark.createDataFrame(log, "seq long, tx_id long")
+    marks = [(0, 5, 6, 7), (1, 8, 12, 9), (2, 13, 13, 14), (3, 21, 22, 23), (4, 8, 12, 9), (5, 10, 19, 25)]
+    want = set()
+    for c, low, *most in marks:  # by the definition, event for event
+        opened = [s for s, t in log if t is not None and t >= low]
+        closed = [s for s, t in log if t is not None and t > max(most)]
+        if closed:
+            want.add((c, opened[0] - 1, closed[0] - 1))
+    for width in (1, 4, 1000):
+        got = N.windows_from_transactions(spark.createDataFrame(marks, "chunk_id int, low_xmin long, low_xmax long, high_xmax long"), e, width=width)
+        assert {(r.chunk_id, r.low, r.high) for r in got.collect()} == want and got.count() == len(want) == 4
+    assert N.windows_from_transactions(got.select("chunk_id", "low_xmin", "low_xmax", "high_xmax"), e.limit(0)).count() == 0
+    reads = spark.createDataFrame([(1, "a", 1, 10, 20), (1, "a", 2, 20, 30), (1, "a", 3, 30, 40), (2, "b", 1, 10, 20), (3, "a", 1, 9, 20)], "chunk_id int, tbl string, attempt int, low long, high long")
+    changes = spark.createDataFrame([("a", 20), ("a", 35), ("b", 10), ("c", 15)], "tbl string, pos long")
+    assert sorted((r.chunk_id, r.attempt) for r in N.with_rereads(reads, changes).where("reread").collect()) == [(1, 1), (1, 3), (3, 1)]
+    assert sorted((r.chunk_id, r.attempt) for r in N.valid_reads(reads, changes).collect()) == [(1, 2), (2, 1)]
+    assert N.with_rereads(reads, changes.limit(0)).where("reread").count() == 0
+
+
+def test_row_ids_and_topic_names(spark, tmp_path):
+    spark.range(25).repartition(2).write.parquet(str(tmp_path / "t"))
+    rows = C.with_row_id(C.table(spark, str(tmp_path / "t")), 10)
+    at = rows.orderBy("row_file", "row_index").collect()
+    rest = rows.where(N.after_key(["row_file", "row_index"], [at[9].row_file, at[9].row_index])).collect()
+    assert sorted(r.id for r in rest) == sorted(r.id for r in at[10:]) and {r.row_chunk for r in at} == {0, 1}
+    name = lambda *a, **k: spark.range(1).select(G.named_topic(a[0], "p", F.lit("c"), F.lit(None).cast("string"), F.lit("t é"), *a[1:], **k).alias("x")).first().x
+    assert [name("default"), name("schema"), name("schema", partitions=True)] == ["p.c.t__", "p.t__", "p.c.t__"]
+    assert [name("default_regex", "p.*", ""), name("default_regex", "c", "x"), name("default_regex", "(p).*", "$1.all")] == ["p.c.t__", "p.c.t__", "p.all"]
+    with pytest.raises(ValueError):
+        name("regex")
+
+
 def test_statements_of_dialects():
     assert D.upsert("s.t", ["id"], ["id", "v"], "postgres") == 'INSERT INTO "s"."t" ("id", "v") VALUES (?, ?) ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"'
     assert D.upsert("t", ["id"], ["id"], "postgres").endswith('ON CONFLICT ("id") DO NOTHING')
