@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import read
+from changeloom.llm.common import alone, read
 
 #: Pieces that one Python worker remembers in each of two generations; what the younger one doesn't ask for goes with the older.
 CACHE_PIECES = 200_000
@@ -136,13 +136,18 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def model(rank_file: str | None = None, pattern: str | None = None) -> ByteBpe:
-    """The model of a rank file and a pattern; by default the public ones, which each worker finds for itself."""
+def _model(rank_file: str | None, pattern: str | None) -> ByteBpe:
     import public_tokenizers
 
     return ByteBpe(rank_file or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN)
 
 
+def model(rank_file: str | None = None, pattern: str | None = None) -> ByteBpe:
+    """The model of a rank file and a pattern; by default the public ones, which each worker finds for itself."""
+    alone(_model.cache_clear)
+    return _model(rank_file, pattern)
+
+
 def encode(df: DataFrame, text: str = "text", rank_file: str | None = None, pattern: str | None = None, with_offsets: bool = False) -> DataFrame:
     """Adds ``ids array<int>``, ``n_tokens long`` and, on request, ``offsets array<struct<begin,end>>``."""
     schema = "ids array<int>, n_tokens long" + ", offsets array<struct<begin:int,end:int>>" * with_offsets

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -90,14 +91,42 @@ def word_count(col: str | Column) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_forget = None
+
+
+def alone(forget) -> None:
+    """Makes an operator the only one that remembers something in this worker; ``forget`` (or None) drops what it remembers.
+
+    Workers outlive a stage: without this the caches of all stages of a pipeline add up in each of them.
+    """
+    global _forget
+    if forget != _forget:
+        last, _forget = _forget, forget
+        if last is not None:
+            last()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc keeps freed memory otherwise
+                trim(0)
+
+
+#: Rows with all their columns leave a worker in batches of about so many bytes.
+PART_BYTES = 1 << 20
+
+
 def kept_by(docs: DataFrame, column: str, maker) -> DataFrame:
-    """The rows of ``docs``, with all their columns, for whose ``column`` a test is true; ``maker()`` makes the test in each task."""
+    """The rows of ``docs``, with all their columns, for whose ``column`` a test is true; ``maker()`` makes the test in each task.
+
+    A batch is answered in parts, so that neither the worker nor the JVM holds a second whole one.
+    """
     at = docs.columns.index(column)
 
     def run(batches):
         test = maker()
         for batch in batches:
-            yield batch.filter(pa.array([test(v.as_py()) for v in batch.column(at)], pa.bool_()))
+            rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+            for k in range(0, batch.num_rows, rows):
+                part = batch.slice(k, rows)
+                yield part.filter(pa.array([test(v.as_py()) for v in part.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

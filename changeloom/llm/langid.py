@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, crc32_of, kept_by, read, small_side
+from changeloom.llm.common import alone, checkpointed, crc32_of, kept_by, read, small_side
 
 #: About so many texts of a language are learned from (all, if it has no more), those with the smallest hashes.
 SAMPLE_TEXTS = 800
@@ -85,6 +85,7 @@ def _load(model: dict[str, tuple[bytes, bytes]]) -> list:
     """Compressors for each language, made once in a worker for each model."""
     import zstandard as z
 
+    alone(_compressors.clear)
     ident = hash(tuple((k, *v) for k, v in model.items()))
     if ident not in _compressors:
         _compressors.clear()

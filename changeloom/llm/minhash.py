@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, gathered, identified, read, small_side, stored
+from changeloom.llm.common import alone, checkpointed, gathered, identified, read, small_side, stored
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 96
@@ -73,6 +73,7 @@ def shingle_set(text: str | None, words: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
     import xxhash
 
+    alone(_word_hash.clear)
     found = _split(text.encode("utf-8", "replace").translate(_lower)) if text else []
     if not found:
         return np.empty(0, np.uint64)

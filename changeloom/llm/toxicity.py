@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import crc32_of, kept_by, read
+from changeloom.llm.common import alone, crc32_of, kept_by, read
 
 #: At most so many labelled rows are learned from (those with the smallest hashes).
 SAMPLE_ROWS = 12_000
@@ -105,6 +105,7 @@ class Model:
         return max(found, key=lambda x: abs(x[1]))[0] if found else None
 
     def _scores(self, words: list[str]) -> list:
+        alone(None)  # the cache goes with the model
         cache = self.__dict__.setdefault("_cache", {})
         if len(cache) > CACHE_WORDS:
             cache.clear()
