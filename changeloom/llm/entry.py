@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from changeloom.llm.audio import op9_telephony
+from changeloom.llm.audit import OP11_SQL, op11_filter_audit
 from changeloom.llm.bpe import op1_byte_bpe
 from changeloom.llm.html import op2_tag_path_text
 from changeloom.llm.langid import op10_zstd_language
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_toxic_segments": op8_toxic_segments,
     "op9_telephony": op9_telephony,
     "op10_zstd_language": op10_zstd_language,
+    "op11_filter_audit": op11_filter_audit,
 }
-ORACLE_SQL = {"op3_pareto_mix": OP3_SQL, "op5_tool_calls": OP5_SQL}
+ORACLE_SQL = {"op3_pareto_mix": OP3_SQL, "op5_tool_calls": OP5_SQL, "op11_filter_audit": OP11_SQL}
