@@ -13,6 +13,7 @@ from changeloom.llm.sharding import op4_interleaved_shards
 from changeloom.llm.spotsigs import op7_spotsigs, spotsigs_near_duplicates
 from changeloom.llm.toolcalls import OP5_SQL, op5_tool_calls
 from changeloom.llm.toxicity import op8_toxic_segments
+from changeloom.llm.trie import OP12_SQL, op12_prefix_trie
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
@@ -27,5 +28,6 @@ QUERIES = {
     "op9_telephony": op9_telephony,
     "op10_zstd_language": op10_zstd_language,
     "op11_filter_audit": op11_filter_audit,
+    "op12_prefix_trie": op12_prefix_trie,
 }
-ORACLE_SQL = {"op3_pareto_mix": OP3_SQL, "op5_tool_calls": OP5_SQL, "op11_filter_audit": OP11_SQL}
+ORACLE_SQL = {"op3_pareto_mix": OP3_SQL, "op5_tool_calls": OP5_SQL, "op11_filter_audit": OP11_SQL, "op12_prefix_trie": OP12_SQL}
