@@ -5,6 +5,7 @@ from __future__ import annotations
 from changeloom.llm.audio import op9_telephony
 from changeloom.llm.audit import OP11_SQL, op11_filter_audit
 from changeloom.llm.bpe import op1_byte_bpe
+from changeloom.llm.crosspolytope import op13_cross_polytope
 from changeloom.llm.html import op2_tag_path_text
 from changeloom.llm.langid import op10_zstd_language
 from changeloom.llm.minhash import op6_minmax_dedup
@@ -29,5 +30,6 @@ QUERIES = {
     "op10_zstd_language": op10_zstd_language,
     "op11_filter_audit": op11_filter_audit,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_cross_polytope": op13_cross_polytope,
 }
 ORACLE_SQL = {"op3_pareto_mix": OP3_SQL, "op5_tool_calls": OP5_SQL, "op11_filter_audit": OP11_SQL, "op12_prefix_trie": OP12_SQL}
