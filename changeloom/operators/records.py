@@ -174,12 +174,18 @@ def rewrite_geometries(rows: DataFrame, column: str, swap_srids: tuple[int, ...]
 
 
 def document_state(events: DataFrame, schema: str, flatten: str | None = None) -> DataFrame:
-    """JSON documents in ``after`` as columns; updates come as ``updated_fields`` JSON and ``removed_fields`` names.
+    """JSON documents in ``after`` as columns; updates come as ``updated_fields`` (JSON, by dotted path) and ``removed_fields`` (dotted paths).
 
-    A removed field is null.  ``flatten`` joins nested names with that delimiter.
+    A removed field is null, and so is one that an update doesn't speak of: ``mentioned`` names the columns that the event sets or removes
+    (all of them, for a whole document).  :mod:`changeloom.operators.documents` folds such updates into whole documents.  ``flatten`` joins
+    nested names with that delimiter.
     """
-    parsed = events.withColumn("_d", F.from_json(F.coalesce("after", "updated_fields"), schema))
+    parsed = events.withColumn("_d", F.from_json("after", schema)).withColumn("_u", F.try_parse_json("updated_fields"))
     kind = parsed.schema["_d"].dataType
+    removed = F.coalesce("removed_fields", F.array().cast("array<string>"))
+    # a name counts where it, or one above or below it, is set or removed
+    said = F.concat(F.coalesce(F.json_object_keys("updated_fields"), F.array().cast("array<string>")), removed)
+    touches = lambda name: F.exists(said, lambda s: F.concat(s, F.lit(".")).startswith(name + ".") | F.lit(name + ".").startswith(F.concat(s, F.lit("."))))
 
     def leaves(path: str, t: T.StructType, name: tuple[str, ...]) -> list[Column]:
         out = []
@@ -188,11 +194,20 @@ def document_state(events: DataFrame, schema: str, flatten: str | None = None) -
             if flatten and isinstance(f.dataType, T.StructType):
                 out += leaves(f"{path}.{f.name}", f.dataType, here)
             else:
-                gone = F.array_contains(F.coalesce("removed_fields", F.array().cast("array<string>")), ".".join(here))
-                out.append(F.when(~gone, F.col(f"{path}.{f.name}")).alias((flatten or ".").join(here)))
+                gone = F.array_contains(removed, ".".join(here))
+                # an update sets the path itself or one above it
+                keys = [(".".join(here[:k]), here[k:]) for k in range(len(here), 0, -1)]
+                set_ = F.coalesce(*[F.try_variant_get("_u", f"$['{key}']" + "".join(f"['{n}']" for n in rest), f.dataType.simpleString()) for key, rest in keys])
+                out.append(F.when(~gone, F.when(F.col("after").isNotNull(), F.col(f"{path}.{f.name}")).otherwise(set_)).alias((flatten or ".").join(here)))
         return out
 
-    return parsed.select("seq", "op", *leaves("_d", kind, ()))
+    def names(t: T.StructType, at: tuple[str, ...]) -> list[tuple[str, ...]]:
+        return [p for f in t.fields for p in (names(f.dataType, (*at, f.name)) if flatten and isinstance(f.dataType, T.StructType) else [(*at, f.name)])]
+
+    columns = leaves("_d", kind, ())
+    paths = names(kind, ())
+    mentioned = F.filter(F.array(*[F.when(F.col("after").isNotNull() | touches(".".join(p)), F.lit((flatten or ".").join(p))) for p in paths]), lambda n: n.isNotNull())
+    return parsed.select("seq", "op", *columns, mentioned.alias("mentioned"))
 
 
 def select_fields(rows: DataFrame, column: str, exclude: list[str] = (), rename: dict[str, str] | None = None) -> DataFrame:

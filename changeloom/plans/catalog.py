@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions import scalars as S
+from changeloom.operators import documents as D
 from changeloom.operators import envelope as E
 from changeloom.operators import filters as P
 from changeloom.operators import history as H
@@ -665,10 +666,89 @@ def _(spark, sf):
     return R.cloud_events(order_log(spark, sf)).select("seq", v.alias("v")).select("seq", "v.id", F.col("v.iocdcop").alias("op"), "v.data.after.key")
 
 
-@query("document_state", "SELECT event_id AS seq, 'c' AS op, CASE WHEN event_id % 4 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events", log=False)
+# Documents of orders: created whole, then changed by parts.  Each line is a kind of update: which keys it concerns, its place in a key's
+# events, and JSON of what it sets, paths that it removes, arrays that it cuts.
+_DOCUMENT = """'{"id":' || k || ',"s":"' || s || '","cust":{"id":' || c || ',"price":' || p || ',"seg":null},"tags":["a","b",{"t":' || p || '},"d"]}'"""
+_UPDATES = [
+    (1, "k % 3 = 0", """'{"cust.price":' || (p + 1) || ',"cust.seg":"U"}'""", [], None),
+    (2, "k % 5 = 0", "NULL", ["cust.seg", "s"], None),
+    (3, "k % 7 = 0", """'{"cust":{"id":5},"n":{"x":[1,[2]]}}'""", [], None),
+    (4, "k % 11 = 0", "NULL", [], ("tags", 1)),
+    (5, "k % 13 = 0", """'{"tags.0":null,"n.y":' || p || '}'""", ["cust"], None),
+    (6, "k % 11 = 0 AND k % 2 = 0", """'{"tags.1":"late"}'""", [], None),
+    (8, "k % 34 = 0", """'{"cust.id":9}'""", [], None),
+]
+_DOCS = "o AS (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(round(o_totalprice * 100) AS BIGINT) AS p, CAST(o_custkey AS BIGINT) AS c FROM orders)"
+
+
+@query(
+    "document_state",
+    f"WITH {_DOCS} SELECT CAST(k * 10 AS BIGINT) AS seq, 'c' AS op, CAST(k AS BIGINT) AS id, s, CAST(c AS BIGINT) AS cust_id, CAST(p AS BIGINT) AS cust_price, 'id,s,cust_id,cust_price' AS mentioned FROM o "
+    "UNION ALL SELECT k * 10 + 1, 'u', NULL, NULL, NULL, p + 1, 'cust_price' FROM o WHERE k % 3 = 0 UNION ALL SELECT k * 10 + 2, 'u', NULL, NULL, NULL, NULL, 's' FROM o WHERE k % 5 = 0 "
+    "UNION ALL SELECT k * 10 + 3, 'u', NULL, NULL, 5, NULL, 'cust_id,cust_price' FROM o WHERE k % 7 = 0",
+    log=False,
+)
+def _(spark, sf):
+    out = R.document_state(document_log(spark, sf).where("seq % 10 < 4"), "id long, s string, cust struct<id:long,price:long>", "_")
+    return out.withColumn("mentioned", F.array_join("mentioned", ","))
+
+
+def document_log(spark, sf):
+    """The events of these documents: key ``k``, ``seq``, ``op``, ``after``, and what updates say."""
+    o = _read(spark, sf, "orders").selectExpr("o_orderkey AS k", "o_orderstatus AS s", "CAST(round(o_totalprice * 100) AS BIGINT) AS p", "CAST(o_custkey AS BIGINT) AS c")
+
+    def event(n, op, where="true", after="NULL", sets="NULL", gone=(), cut=None):
+        paths = F.array(*map(F.lit, gone)).cast("array<string>")
+        cuts = F.array(F.struct(F.lit(cut[0]).alias("field"), F.lit(cut[1]).alias("size"))) if cut else F.lit(None).cast("array<struct<field:string,size:int>>")
+        text = lambda x: F.expr(f"CAST({x} AS STRING)")
+        return o.where(where).select(F.col("k").cast("long"), (F.col("k") * 10 + n).cast("long").alias("seq"), F.lit(op).alias("op"), text(after).alias("after"), text(sets).alias("updated_fields"), paths.alias("removed_fields"), cuts.alias("truncated_arrays"))
+
+    out = event(0, "c", after=_DOCUMENT).unionByName(event(7, "d", "k % 17 = 0"))
+    for n, where, sets, gone, cut in _UPDATES:
+        out = out.unionByName(event(n, "u", where, "NULL", sets, gone, cut))
+    return out
+
+
+#: By the definition: a node stands if no later event voids its path or one above it (or cuts its array before it).
+_NODES = "w AS (" + " UNION ALL ".join(
+    f"SELECT k, {n} AS n, '{path}' AS path, CAST({value} AS VARCHAR) AS value FROM o WHERE {where}"
+    for n, where, nodes in [
+        (0, "true", {"": "'{}'", "id": "k", "s": "'\"' || s || '\"'", "cust": "'{}'", "cust.id": "c", "cust.price": "p", "cust.seg": "'null'", "tags": "'[]'", "tags.0": "'\"a\"'", "tags.1": "'\"b\"'", "tags.2": "'{}'", "tags.2.t": "p", "tags.3": "'\"d\"'"}),
+        (1, "k % 3 = 0", {"cust.price": "p + 1", "cust.seg": "'\"U\"'"}),
+        (3, "k % 7 = 0", {"cust": "'{}'", "cust.id": "5", "n": "'{}'", "n.x": "'[]'", "n.x.0": "1", "n.x.1": "'[]'", "n.x.1.0": "2"}),
+        (5, "k % 13 = 0", {"tags.0": "'null'", "n.y": "p"}),
+        (5, "k % 13 = 0 AND k % 7 <> 0", {"n": "'{}'"}),
+        (6, "k % 11 = 0 AND k % 2 = 0", {"tags.1": "'\"late\"'"}),
+        (8, "k % 34 = 0", {"cust.id": "9", "cust": "'{}'", "": "'{}'"}),
+    ]
+    for path, value in nodes.items()
+) + "), v AS (" + " UNION ALL ".join(
+    f"SELECT k, {n} AS n, '{path}' AS path FROM o WHERE {where}"
+    for n, where, paths in [(1, "k % 3 = 0", ["cust.price", "cust.seg"]), (2, "k % 5 = 0", ["cust.seg", "s"]), (3, "k % 7 = 0", ["cust", "n"]), (4, "k % 11 = 0", ["tags.1", "tags.2", "tags.3"]), (5, "k % 13 = 0", ["cust", "tags.0", "n.y"]), (6, "k % 22 = 0", ["tags.1"]), (7, "k % 17 = 0", [""]), (8, "k % 34 = 0", ["cust.id"])]
+    for path in paths
+) + "), a AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.k = w.k AND v.n > w.n AND (v.path = '' OR w.path = v.path OR starts_with(w.path, v.path || '.'))))"
+
+
+_STANDING = f"WITH {_DOCS}, {_NODES}, f AS (SELECT CAST(k AS BIGINT) AS k, path, value FROM (SELECT *, row_number() OVER (PARTITION BY k, path ORDER BY n DESC) AS r FROM a) WHERE r = 1) "
+
+
+@query("fold_document_paths", _STANDING + "SELECT k, path, value FROM f", log=False)
+def _(spark, sf):
+    return D.folded(document_log(spark, sf), ["k"]).select("k", F.array_join("path", ".").alias("path"), "value")
+
+
+_ONE = lambda path: f"max(CASE WHEN path = '{path}' AND value <> 'null' THEN trim(value, '\"') END)"
+
+
+@query(
+    "fold_documents",
+    _STANDING + f"SELECT k, CAST({_ONE('id')} AS BIGINT) AS id, {_ONE('s')} AS s, CAST({_ONE('cust.id')} AS BIGINT) AS cust, {_ONE('cust.seg')} AS seg, {_ONE('tags.0')} AS tag, "
+    "CASE WHEN max(path = 'tags') THEN CAST(count(CASE WHEN regexp_full_match(path, 'tags\\.[0-9]+') THEN 1 END) AS INTEGER) END AS tags FROM f GROUP BY k",
+    log=False,
+)
 def _(spark, sf):
-    e = _read(spark, sf, "events").select(F.col("event_id").alias("seq"), F.lit("c").alias("op"), F.col("props").alias("after"), F.lit(None).cast("string").alias("updated_fields"), F.when(F.col("event_id") % 4 == 0, F.array(F.lit("k"))).alias("removed_fields"))
-    return R.document_state(e, "k long")
+    d = D.current(document_log(spark, sf), ["k"], "id long, s string, cust struct<id:long,seg:string>, tags array<string>", depth=3)
+    return d.select("k", "id", "s", F.col("cust.id").alias("cust"), "cust.seg", F.get("tags", F.lit(0)).alias("tag"), F.when(F.col("tags").isNotNull(), F.size("tags")).alias("n")).withColumnRenamed("n", "tags")
 
 
 @query("swap_points")
