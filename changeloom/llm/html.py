@@ -1,19 +1,19 @@
 """Operator 2: main text of web pages by tag-path ratios.
 
-Every text node has a root-to-leaf tag path (element names with their classes).  For each path the
-text length and the punctuation of its nodes are added up and divided by the number of blocks they stand in; text of
-links doesn't count.  The two ratios are smoothed over the page's paths, in order of first use, with a Gaussian, fused by
-multiplication and thresholded at a share of their standard deviation.  A path of inline elements that
-passes takes the path of its block along; the nodes of passing blocks are content.
+Every text node has a root-to-leaf tag path (element names with their classes, which only tell paths apart).  For each path the text
+length, the punctuation and the blocks of its nodes are added up; text of links doesn't count.  The totals are smoothed over the paths
+of one container: each path takes the sums of all paths whose blocks lie in the same parent path, so that a heading or a short list
+stands with the paragraphs beside it.  Text and punctuation, each weighed by the square of the number of blocks (content repeats its paths, an advert or
+a notice doesn't), are fused by multiplication, and a path passes at a share of the largest fused ratio of the page, if it holds such a
+share of its container itself.  The nodes of passing blocks are content.
 
 What is too short for its path to pass is rescued by position: list items, table cells, quotations and the like whose
-container also holds content (paragraphs, and items that are links alone, between content only), and headings that lead to
-a kept block.
+container also holds content (paragraphs and items that are links alone between content only), and headings that lead to
+a kept block, and paragraphs beside content in an article or main element, which the HTML standard makes one composition.
 
 Text in elements that are no content by the HTML and ARIA standards (navigation, headers, footers, asides, forms,
 scripts, hidden elements, their roles) never counts; a header inside an article or main element is the article's own.
-Classes and ids that name comments, adverts or menus are a tie-break: paths below such an element don't take
-part while the others hold a share of MARKED_SHARE of the text at least.
+No word in a class or id decides anything.
 
 Defined results: a null or empty page, and one with nothing but boilerplate, gives the empty text; a
 page without tags is one block; unclosed and stray tags are repaired as browsers do for paragraphs,
@@ -22,9 +22,7 @@ list items, table cells and definition lists; repeated rows get equal texts; oth
 
 from __future__ import annotations
 
-import math
 import re
-from collections import defaultdict
 from html import unescape
 
 import pyarrow as pa
@@ -46,17 +44,8 @@ P_ENDS = BLOCK - {"option", "caption", "td", "th", "tr", "tbody", "thead", "tfoo
 P_STOPS = frozenset("button td th caption object html body table article section main div".split())
 BOILERPLATE = frozenset("nav header footer aside form script style noscript template svg iframe button select textarea head title dialog menu object canvas audio video map input label fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist note status".split())
-#: Words in a class or id that name what isn't content (a tie-break only).
-MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu menus modal nav navbar "
-    "navigation newsletter notice notices overlay pager pagination paywall popup promo promos promotion related replies share sharing sidebar sidebars social sponsor sponsored subscribe "
-    "teaser toolbar topbar warning widget widgets".split()
-)
-MARKED_SHARE = 0.1
-#: The Gaussian over neighbouring paths: its standard deviation and reach.
-SMOOTHING, SMOOTHING_RADIUS = 0.5, 1
-#: A path passes at this share of the standard deviation of the fused ratios.
-THRESHOLD = 0.5
+#: A path passes at this share of the largest fused ratio of its page, and of the largest path of its container.
+SHARE = 0.3
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Short blocks that are rescued beside content, those only between content, and what they may be nested in.
 ITEMS = frozenset("li dt dd td th pre blockquote caption figcaption summary".split())
@@ -64,8 +53,7 @@ BETWEEN = frozenset("p address".split())
 HOLDERS = frozenset("ul ol dl table tbody thead tfoot tr li dt dd td th blockquote figure details p pre caption figcaption summary address".split())
 
 _markup = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-_attribute = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_camel = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_attribute = re.compile(r"(class|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _space = re.compile(r"\s+")
 _punctuation = re.compile(r"[,.;:!?…、。，！？¿¡]")
 
@@ -73,22 +61,21 @@ _punctuation = re.compile(r"[,.;:!?…、。，！？¿¡]")
 class Node:
     """An element; inline ones share the ``block`` element that they stand in."""
 
-    __slots__ = ("tag", "parent", "path", "boiler", "link", "marks", "own", "block", "above")
+    __slots__ = ("tag", "parent", "path", "boiler", "link", "own", "block", "above")
 
-    def __init__(self, tag: str, name: str, parent: Node | None, boiler: bool, marked: bool, paths: dict):
+    def __init__(self, tag: str, name: str, parent: Node | None, boiler: bool, paths: dict):
         self.tag, self.parent = tag, parent
         self.path = paths.setdefault((parent.path if parent else -1, name), len(paths))  # a number for each distinct path
-        self.own = tag in ("article", "main") or bool(parent and parent.own)
+        self.own = self if tag in ("article", "main") else parent.own if parent else None  # the article that it stands in
         self.boiler = (boiler and not (tag == "header" and parent and parent.own)) or bool(parent and parent.boiler)
         self.link = tag == "a" or bool(parent and parent.link)
-        self.marks = marked + (parent.marks if parent else 0)
         self.block = self if tag in BLOCK or not parent else parent.block
         self.above = False  # whether content stands in it
 
 
-def _named(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """Element name with classes for the path, whether a standard makes it boilerplate, and whether a class or id names it so."""
-    boiler, marked, classes = tag in BOILERPLATE, False, ""
+def _named(tag: str, attributes: str) -> tuple[str, bool]:
+    """Element name with classes for the path, and whether a standard makes it boilerplate."""
+    boiler, classes = tag in BOILERPLATE, ""
     if attributes and attributes.strip():
         for m in _attribute.finditer(attributes):
             what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -101,17 +88,14 @@ def _named(tag: str, attributes: str) -> tuple[str, bool, bool]:
             elif what == "style":
                 boiler |= "display:none" in value.replace(" ", "").lower()
             else:
-                if tag not in ("html", "body", "article", "main"):
-                    marked |= not MARKS.isdisjoint(x.lower() for x in _camel.findall(value))
-                if what == "class":
-                    classes = "." + ".".join(sorted(value.split()))
-    return tag + classes, boiler, marked
+                classes = "." + ".".join(sorted(value.split()))
+    return tag + classes, boiler
 
 
 def parse(page: str) -> list[tuple[Node, int, str]]:
     """Text nodes as (element, block number, raw text) in page order."""
     paths: dict[tuple[int, str], int] = {}
-    root = Node("#", "", None, False, False, paths)
+    root = Node("#", "", None, False, paths)
     stack, out, block, at, n = [root], [], 0, 0, len(page)
 
     def text(end: int) -> None:
@@ -150,10 +134,10 @@ def parse(page: str) -> list[tuple[Node, int, str]]:
             out.append((stack[-1], block, " "))
         if tag in VOID:
             continue
-        name, boiler, marked = _named(tag, m[3])
+        name, boiler = _named(tag, m[3])
         if m[3].endswith("/") and tag in ("svg", "path", "use"):
             continue
-        stack.append(Node(tag, name, stack[-1], boiler, marked, paths))
+        stack.append(Node(tag, name, stack[-1], boiler, paths))
         if tag in RAW:
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -162,41 +146,24 @@ def parse(page: str) -> list[tuple[Node, int, str]]:
 
 
 def path_ratios(said: list[tuple[Node, int, str]]) -> dict[int, float]:
-    """The fused ratio of each path: smoothed text length times smoothed punctuation, both a block."""
-    length, marks, blocks = defaultdict(float), defaultdict(float), defaultdict(set)  # in order of first use
-    for node, block, s in said:
-        length[node.path] += 0 if node.link else len(s)
-        marks[node.path] += 0 if node.link else len(_punctuation.findall(s))
-        blocks[node.path].add(block)
-    paths = list(length)
-    smooth = lambda total: _smooth([total[p] / len(blocks[p]) for p in paths])
-    return {p: t * (1 + m) for p, t, m in zip(paths, smooth(length), smooth(marks))}
-
-
-def _smooth(values: list[float]) -> list[float]:
-    reach = SMOOTHING_RADIUS
-    kernel = [math.exp(-(d * d) / (2 * SMOOTHING * SMOOTHING)) for d in range(-reach, reach + 1)]
-    out = []
-    for i in range(len(values)):
-        span = range(max(0, i - reach), min(len(values), i + reach + 1))
-        weight = [kernel[j - i + reach] for j in span]
-        out.append(sum(w * values[j] for w, j in zip(weight, span)) / sum(weight))
-    return out
-
+    """The fused ratio of each path, as a share of the largest of the page: text times punctuation of its container, each times the container's blocks squared.
 
-def _counted(said: list[tuple[Node, int, str]]) -> list[tuple[Node, int, str]]:
-    """The text nodes that take part: those below the fewest marked elements that hold the needed share of the text."""
-    said = [x for x in said if not x[0].boiler]
-    held = defaultdict(int)
-    for node, _, s in said:
-        held[node.marks] += 0 if node.link else len(s)
-    total, sofar, most = sum(held.values()), 0, max(held, default=0)
-    for m in sorted(held):
-        sofar += held[m]
-        if sofar and sofar >= MARKED_SHARE * total:
-            most = m
-            break
-    return [x for x in said if x[0].marks <= most]
+    A path that holds little of its container's text and punctuation itself has none: it is not what the container is for.
+    """
+    own, whole, at = {}, {}, {}
+    for node, block, s in said:
+        path, within = node.block.path, (node.block.parent or node.block).path
+        at[node.path] = path, within
+        for sums in (own.setdefault(path, [0, 1, set()]), whole.setdefault(within, [0, 1, set()])):
+            if not node.link:
+                sums[0] += len(s)
+                sums[1] += len(_punctuation.findall(s))
+                sums[2].add(block)
+    product = lambda sums, power: sums[0] * sums[1] * len(sums[2]) ** power
+    top, most = max(product(x, 4) for x in whole.values()), {}
+    for path, within in at.values():
+        most[within] = max(most.get(within, 0), product(own[path], 0))
+    return {leaf: product(whole[within], 4) / top if top and product(own[path], 0) >= SHARE * most[within] else 0.0 for leaf, (path, within) in at.items()}
 
 
 def _container(element: Node) -> Node:
@@ -211,18 +178,17 @@ def extract(page: str | None) -> str:
     """The main text of one page."""
     nodes = parse(page) if page else []
     seen = [(node, block, unescape(raw) if "&" in raw else raw) for node, block, raw in nodes]
-    said = _counted([(node, block, s) for node, block, raw in seen if (s := raw.strip())])
+    said = [(node, block, s) for node, block, raw in seen if not node.boiler and (s := raw.strip())]
     if not said:
         return ""
     fused = path_ratios(said)
-    mean = sum(fused.values()) / len(fused)
-    least = THRESHOLD * math.sqrt(sum((x - mean) ** 2 for x in fused.values()) / len(fused))
-    good = {path for path, x in fused.items() if x >= least and x > 0}
+    good = {path for path, x in fused.items() if x >= SHARE}
     good |= {node.block.path for node, *_ in said if node.path in good and not node.link}
     passed = [(node, block) for node, block, _ in said if not node.link and node.block.path in good]
     passed = passed or [(node, block) for node, block, _ in said]
     content = {block for _, block in passed}
     first, last = passed[0][1], passed[-1][1]
+    articles = {node.own for node, _ in passed if node.own}
     for node, _ in passed:
         up = node.block.parent or node.block
         while up and not up.above:
@@ -235,7 +201,8 @@ def extract(page: str | None) -> str:
     kept = set(content)
     for block, (element, links) in blocks.items():
         inside = first < block < last
-        if block not in kept and (element.tag in ITEMS and (inside or not links) or element.tag in BETWEEN and inside) and _container(element).above:
+        near = inside or not links and element.own in articles
+        if block not in kept and (element.tag in ITEMS and (inside or not links) or element.tag in BETWEEN and near) and _container(element).above:
             kept.add(block)
     following = False
     for block, (element, _) in reversed(blocks.items()):
@@ -245,9 +212,8 @@ def extract(page: str | None) -> str:
             kept.add(block)
     counted = {block for _, block, _ in said}
     parts: dict[int, list[str]] = {}
-    most = max(node.marks for node, _, _ in said)
     for node, block, raw in seen:
-        if block in kept and block in counted and not node.boiler and node.marks <= most:
+        if block in kept and block in counted and not node.boiler:
             parts.setdefault(block, []).append(raw)
     return "\n\n".join(s for texts in parts.values() if (s := _space.sub(" ", "".join(texts)).strip()))
 

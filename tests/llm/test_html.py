@@ -1,6 +1,4 @@
-import math
 import random
-import statistics
 
 from changeloom.llm import html
 
@@ -22,16 +20,18 @@ def test_without_article_the_ratios_find_the_container():
     assert got[0] == "Short" and got[-1] == "End." and len(got) == 10
 
 
-def test_without_article_headline_and_smaller_part_stay():
+def test_without_article_the_headline_stays_and_a_smaller_container_goes():
     said = lambda k, n: [f"Sentence number {i} of part {k}, which is long enough, has commas, and goes on." for i in range(n)]
     div = lambda name, texts: f"<div class={name}>" + "".join(f"<p>{t}</p>" for t in texts) + "</div>"
     a, b = said("one", 9), said("two", 3)
     menu = "<div id=top><div><a href=#>Home</a></div><div><a href=#>About</a></div></div>"
-    page = f"<body>{menu}<h1>Head line</h1>{div('content', a)}{div('more', b)}<div>x</div><footer>us</footer></body>"
+    for name in ("comments", "more"):  # no name decides
+        page = f"<body>{menu}<h1>Head line</h1>{div('content', a)}{div(name, b)}<div>x</div><footer>us</footer></body>"
+        assert html.extract(page).split("\n\n") == ["Head line", *a]
+    page = f"<body>{menu}<h1>Head line</h1>{div('part', a)}{div('part', b)}<div>x</div></body>"  # one path
     assert html.extract(page).split("\n\n") == ["Head line", *a, *b]
-    assert html.extract(f"<body>{menu}<h1>Head line</h1>{div('content', a)}</body>").split("\n\n") == ["Head line", *a]
-    nested = f"<body>{menu}<div class=wrap><div class=top><h1>Head line</h1></div>{div('content', a)}<div>x</div></div>{div('more', b)}</body>"
-    assert html.extract(nested).split("\n\n") == ["Head line", *a, *b]
+    nested = f"<body>{menu}<article><h1>Head line</h1><p>{b[0]}</p><div>x</div>{div('content', a)}</article></body>"
+    assert html.extract(nested).split("\n\n") == ["Head line", b[0], *a]
 
 
 def test_odd_pages(spark):
@@ -67,21 +67,18 @@ def brute(page):
     name = lambda way: "/".join(f"{t}.{c}" for t, c, _ in way)
     cut = lambda way: way[: max(i for i, (t, _, _) in enumerate(way) if t in html.BLOCK) + 1]  # noqa: E731  up to the block element
     link = lambda way: any(t == "a" for t, *_ in way)
-    marks = lambda way: sum(bool(set(c.split("-")) & html.MARKS) for _, c, _ in way)
     said = [(w, b, d.strip()) for w, b, d in texts if d.strip() and not any(t in html.BOILERPLATE for t, *_ in w)]
-    size = lambda m: sum(len(d) for w, _, d in said if marks(w) <= m and not link(w))
-    most = next((m for m in range(9) if 0 < size(m) >= html.MARKED_SHARE * size(9)), 9)
-    said = [x for x in said if marks(x[0]) <= most]
     if not said:
         return ""
-    paths = list(dict.fromkeys(name(w) for w, *_ in said))
-    blocks = lambda p: len({b for w, b, _ in said if name(w) == p})
-    mean = lambda p, f: sum(f(d) for w, _, d in said if name(w) == p and not link(w)) / blocks(p)
-    near = [[(j, math.exp(-((i - j) ** 2) / 0.5)) for j in range(len(paths)) if abs(i - j) <= 1] for i in range(len(paths))]
-    smooth = lambda f: [sum(k * mean(paths[j], f) for j, k in js) / sum(k for _, k in js) for js in near]
-    fused = dict(zip(paths, (a * (1 + b) for a, b in zip(smooth(len), smooth(lambda d: sum(d.count(c) for c in ",.;:!?"))))))
-    least = 0.5 * statistics.pstdev(fused.values())
-    good = {name(cut(w)) for w, *_ in said if not link(w) and fused[name(w)] >= least and fused[name(w)] > 0}
+
+    def fused(of, way, power):
+        mine = [(b, d) for w, b, d in said if of(w) == way and not link(w)]
+        return sum(len(d) for _, d in mine) * (1 + sum(d.count(c) for _, d in mine for c in ",.;:!?")) * len({b for b, _ in mine}) ** power
+
+    block, within = (lambda w: name(cut(w))), (lambda w: name(cut(w)[:-1]))
+    top = max(fused(within, within(w), 4) for w, *_ in said)
+    strong = lambda w: fused(block, block(w), 0) >= html.SHARE * max(fused(block, block(x), 0) for x, *_ in said if within(x) == within(w))
+    good = {block(w) for w, *_ in said if not link(w) and top and strong(w) and fused(within, within(w), 4) >= html.SHARE * top}
     content = [(w, b) for w, b, _ in said if not link(w) and name(cut(w)) in good] or [(w, b) for w, b, _ in said]
     above = {w[:k] for w, _ in content for k in range(len(cut(w)))}
 
@@ -105,7 +102,7 @@ def brute(page):
             kept.add(b)
     out = {}
     for w, b, d in texts:
-        if b in kept and marks(w) <= most and not any(t in html.BOILERPLATE for t, *_ in w):
+        if b in kept and not any(t in html.BOILERPLATE for t, *_ in w):
             out[b] = out.get(b, "") + d
     return "\n\n".join(t for b in out if (t := " ".join(out[b].split())))
 
@@ -135,7 +132,7 @@ def test_random_pages_equal_brute_force(monkeypatch):
     assert sum(html.extract(p) != t for p, t in zip(pages, with_ratios)) > 30  # the ratios decide
 
 
-def test_names_of_classes_are_a_tie_break_only():
+def test_names_of_classes_decide_nothing():
     said = [f"Sentence number {i}, which is long enough, has commas, and goes on for a while." for i in range(6)]
     page = '<body><div class="c">Menu</div><div class="related privacy-notice comments"><h1>Head line</h1>' + "".join(f"<p class=ad>{s}</p>" for s in said) + "</div><div>x</div></body>"
     assert html.extract(page).split("\n\n") == ["Head line", *said]
