@@ -5,6 +5,7 @@ Queries return flat columns, so that results compare by value with other SQL eng
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from changeloom.operators import service as V
 from changeloom.operators import snapshot as N
 from changeloom.operators import transactions as T
 from changeloom.plans.changelog import LOG, SPLIT, changelog, flat_changelog, order_log
+from changeloom.sources import buckets as B
 from changeloom.sources import readers as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +102,16 @@ def _(spark, sf):
     return M.evolve(o, _read(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("id"), F.col("c_mktsegment").alias("segment")))
 
 
+@query("bucket_table", f"SELECT a_key AS key, a_status AS status, a_price AS price, a_cust AS cust FROM ({_LAST}) WHERE rn = 1 AND op <> 'd'")
+def _(spark, sf):
+    """The table after 20 batches, each applied to a table of buckets in the shared folder."""
+    log = E.split_key_changes(order_log(spark, sf), KEYS)
+    table = B.BucketTable(spark, f"{B.shared_folder(spark)}/bucket_table-{uuid.uuid4().hex}", KEYS, buckets=16)
+    for n in range(20):
+        table.apply(log.where((F.col("seq") % 10 == n // 4) & (F.floor(F.col("seq") / 10) % 4 == n % 4)), n)
+    return table.read()
+
+
 @query("passthrough_batches")
 def _(spark, sf):
     return M.passthrough_batches(order_log(spark, sf), KEYS, most=500)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from changeloom.operators import materialize as M
 
 #: How each dialect quotes names and states an upsert, and where it selects constants from.
 QUOTES = {"mysql": "`", "mariadb": "`", "sqlserver": "[]"}
-UPSERTS = {"postgres": "conflict", "sqlite": "conflict", "cockroach": "conflict", "mysql": "duplicate", "mariadb": "duplicate", "oracle": "merge", "db2": "merge", "sqlserver": "merge"}
+UPSERTS = {"postgres": "conflict", "sqlite": "conflict", "cockroach": "conflict", "duckdb": "conflict", "mysql": "duplicate", "mariadb": "duplicate", "oracle": "merge", "db2": "merge", "sqlserver": "merge"}
 CONSTANTS = {"oracle": " FROM DUAL", "db2": " FROM SYSIBM.SYSDUMMY1"}
 #: Column types by the engine's type names.
 TYPES = {
@@ -21,7 +24,11 @@ TYPES = {
     "sqlserver": {"int": "int", "bigint": "bigint", "double": "float", "float": "real", "string": "varchar(max)", "boolean": "bit", "binary": "varbinary(max)", "timestamp": "datetime2(6)", "date": "date"},
     "db2": {"int": "integer", "bigint": "bigint", "double": "double", "float": "real", "string": "clob", "boolean": "boolean", "binary": "blob", "timestamp": "timestamp(6)", "date": "date"},
 }
-TYPES |= {"mariadb": TYPES["mysql"], "cockroach": TYPES["postgres"], "sqlite": TYPES["postgres"]}
+TYPES |= {"mariadb": TYPES["mysql"], "cockroach": TYPES["postgres"], "sqlite": TYPES["postgres"], "duckdb": TYPES["postgres"] | {"double": "double", "binary": "blob"}}
+#: Dialects that take a batch as one array a column.
+ARRAYS = ("postgres", "cockroach", "duckdb")
+#: Standard names of errors by which a database refuses a value; any other error fails the task.
+REFUSALS = frozenset({"IntegrityError", "DataError"})
 
 
 def quoted(name: str, dialect: str) -> str:
@@ -55,10 +62,19 @@ def upsert(table: str, keys: list[str], columns: list[str], dialect: str) -> str
     return f"MERGE INTO {quoted(table, dialect)} t USING (SELECT {source}{CONSTANTS.get(dialect, '')}) s ON ({on}){matched}{fresh}" + (";" if dialect == "sqlserver" else "")
 
 
+def _rows_of_arrays(types: list[str], dialect: str) -> str:
+    arrays = [f"?::{TYPES[dialect].get(t, t)}[]" for t in types]
+    return "SELECT " + ", ".join(f"UNNEST({a})" for a in arrays) if dialect == "duckdb" else f"SELECT * FROM UNNEST({', '.join(arrays)})"
+
+
 def unnest(table: str, keys: list[str], columns: dict[str, str], dialect: str = "postgres", update: bool = True) -> str:
     """One statement for a whole batch: each column comes as one array parameter."""
-    arrays = ", ".join(f"?::{TYPES[dialect].get(t, t)}[]" for t in columns.values())
-    return insert(table, list(columns), dialect, f"SELECT * FROM UNNEST({arrays})") + (_on_conflict(keys, list(columns), dialect) if update else "")
+    return insert(table, list(columns), dialect, _rows_of_arrays(list(columns.values()), dialect)) + (_on_conflict(keys, list(columns), dialect) if update else "")
+
+
+def delete_unnest(table: str, keys: dict[str, str], dialect: str = "postgres") -> str:
+    """One statement that deletes a batch of keys."""
+    return f"DELETE FROM {quoted(table, dialect)} WHERE ({', '.join(quoted(k, dialect) for k in keys)}) IN ({_rows_of_arrays(list(keys.values()), dialect)})"
 
 
 def delete(table: str, keys: list[str], dialect: str) -> str:
@@ -84,36 +100,73 @@ def add_columns(table: str, columns: dict[str, str], dialect: str) -> str:
     return f"ALTER TABLE {quoted(table, dialect)} " + ("ADD " + ", ".join(parts) if dialect == "sqlserver" else ", ".join(f"ADD {word}{p}" for p in parts))
 
 
-def database_sink(connect: Callable, table: str, keys: list[str], columns: list[str], dialect: str, delete_enabled: bool = True, rows_per_call: int = 500) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: each key's last change is upserted or deleted, partition by partition, each in one transaction.
+def database_sink(
+    connect: Callable, table: str, keys: list[str], columns: list[str], dialect: str, delete_enabled: bool = True, rows_per_call: int = 500, dead_letters: str | None = None, connections: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: each key's last change is upserted or deleted, ``rows_per_call`` rows a transaction, from every partition.
 
-    ``connect()`` opens a DB-API connection on the executor.  Running a batch again leaves the same rows.
+    ``connect()`` opens a DB-API connection on the executor; at most ``connections`` are open at a time.  Databases that take arrays get one statement a call with
+    one array a column.  A call that the database refuses is halved until the refused rows are found: they go to the folder ``dead_letters``
+    (``batch=<number>``: op, key, value, error) and the others are applied; without that folder the batch fails.  Running a batch
+    again leaves the same rows in both.
     """
-    put, drop = upsert(table, keys, columns, dialect), delete(table, keys, dialect)
 
     def write(batch: DataFrame, number: int) -> None:
         last = M.last_change(batch, keys)
+        kinds = {f.name: f.dataType.simpleString() for f in batch.schema["after"].dataType}
+        n_keys, whole = len(keys), dialect in ARRAYS
+        put = unnest(table, keys, {c: kinds[c] for c in columns}, dialect) if whole else upsert(table, keys, columns, dialect)
+        drop = delete_unnest(table, {k: kinds[k] for k in keys}, dialect) if whole else delete(table, keys, dialect)
         rows = last.select((F.col("op") == "d").alias("gone"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.col(f"after.{c}").alias(f"c{i}") for i, c in enumerate(columns)])
+        rows = rows if delete_enabled else rows.where("not gone")
+        rows = rows if connections is None else rows.coalesce(connections)
 
-        def run(part) -> None:
-            connection, held = connect(), {put: [], drop: []}
-            try:
-                for r in part:
-                    if not r[0]:
-                        held[put].append(tuple(r[1 + len(keys) :]))
-                    elif delete_enabled:
-                        held[drop].append(tuple(r[1 : 1 + len(keys)]))
-                    for sql, values in held.items():
-                        if len(values) >= rows_per_call:
-                            connection.cursor().executemany(sql, values)
-                            values.clear()
-                for sql, values in held.items():
-                    if values:
-                        connection.cursor().executemany(sql, values)
+        def run(batches):
+            connection = connect()
+
+            def call(sql: str, values: list[list]) -> None:
+                if hasattr(connection, "begin"):  # else every statement commits by itself there
+                    connection.begin()
+                cursor = connection if hasattr(connection, "begin") else connection.cursor()
+                cursor.execute(sql, values) if whole else cursor.executemany(sql, list(zip(*values)))
                 connection.commit()
+
+            def apply(sql: str, values: list[list], refused: list) -> None:
+                """``values`` is one list a column."""
+                try:
+                    call(sql, values)
+                except Exception as e:
+                    if dead_letters is None or REFUSALS.isdisjoint(c.__name__ for c in type(e).__mro__):
+                        raise
+                    connection.rollback()
+                    n = len(values[0])
+                    if n == 1:
+                        refused.append(([v[0] for v in values], f"{type(e).__name__}: {e}"))
+                        return
+                    for part in (slice(0, n // 2), slice(n // 2, n)):
+                        apply(sql, [v[part] for v in values], refused)
+
+            try:
+                for arrow in batches:
+                    gone, out = arrow.column(0), []
+                    for sql, first, some in ((put, 1 + n_keys, arrow.filter(pc.invert(gone))), (drop, 1, arrow.filter(gone))):
+                        last_column = arrow.num_columns if sql is put else 1 + n_keys
+                        for k in range(0, some.num_rows, rows_per_call):
+                            refused: list = []
+                            apply(sql, [c.to_pylist() for c in some.slice(k, rows_per_call).columns[first:last_column]], refused)
+                            names = columns if sql is put else keys
+                            for values, error in refused:
+                                value = dict(zip(names, values))
+                                out.append(("u" if sql is put else "d", json.dumps({k: value.get(k) for k in keys}, default=str), json.dumps(value, default=str), error))
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], ["op", "key", "value", "error"])
             finally:
                 connection.close()
 
-        rows.foreachPartition(run)
+        refused = rows.mapInArrow(run, "op string, key string, value string, error string")
+        if dead_letters is None:
+            refused.write.format("noop").mode("overwrite").save()
+        else:
+            refused.write.mode("overwrite").parquet(f"{dead_letters}/batch={number}")
 
     return write

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.operators import materialize as M
+from changeloom.sources.buckets import BucketTable
 
 
 def table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, **options) -> DataFrame:
@@ -62,39 +63,19 @@ def stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_fil
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
 
 
-def upsert_sink(path: str, keys: list[str], spark: SparkSession, delete_enabled: bool = True) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that keeps a table folder current.
+def upsert_sink(path: str, keys: list[str], spark: SparkSession, delete_enabled: bool = True, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps a table folder current: only the buckets that a batch touches are rewritten, and a replay changes nothing."""
+    return BucketTable(spark, path, keys, buckets).sink(delete_enabled)
 
-    Each batch writes a new version ``v=<batch>``; replaying a batch rewrites that same version, so a
-    restart applies nothing twice.  Readers take the largest version.
-    """
-
-    def write(batch: DataFrame, number: int) -> None:
-        base = current(spark, path, before=number)
-        if base is None:
-            out = M.materialize(batch, keys) if delete_enabled else M.materialize(batch.where("op <> 'd'"), keys)
-        else:
-            out = M.apply(base, batch, keys, delete_enabled=delete_enabled)
-        out.write.mode("overwrite").parquet(f"{path}/v={number}")
 
-    return write
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Batches after which a table folder can be read."""
+    return BucketTable(spark, path, []).batches()
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a table folder, through the file system that the path names."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{path}/{n}/_SUCCESS")))
-
-
-def current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of a table folder (older than ``before``)."""
-    found = [v for v in versions(spark, path) if before is None or v < before]
-    return spark.read.parquet(f"{path}/v={found[-1]}") if found else None
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table folder after its newest batch."""
+    return BucketTable(spark, path, []).read()
 
 
 def document_sink(path: str) -> Callable[[DataFrame, int], None]:
