@@ -105,10 +105,13 @@ def _(spark, sf):
 @query("bucket_table", f"SELECT a_key AS key, a_status AS status, a_price AS price, a_cust AS cust FROM ({_LAST}) WHERE rn = 1 AND op <> 'd'")
 def _(spark, sf):
     """The table after 20 batches, each applied to a table of buckets in the shared folder."""
-    log = E.split_key_changes(order_log(spark, sf), KEYS)
-    table = B.BucketTable(spark, f"{B.shared_folder(spark)}/bucket_table-{uuid.uuid4().hex}", KEYS, buckets=16)
+    home = f"{B.shared_folder(spark)}/bucket_table-{uuid.uuid4().hex}"
+    batch = (F.col("seq") % 10).cast("int") * 4 + (F.floor(F.col("seq") / 10) % 4).cast("int")
+    log = E.split_key_changes(order_log(spark, sf), KEYS).drop("headers").withColumn("batch", batch)
+    log.repartition("batch").write.partitionBy("batch").parquet(f"{home}/log")
+    table = B.BucketTable(spark, f"{home}/table", KEYS, buckets=8)
     for n in range(20):
-        table.apply(log.where((F.col("seq") % 10 == n // 4) & (F.floor(F.col("seq") / 10) % 4 == n % 4)), n)
+        table.apply(spark.read.parquet(f"{home}/log/batch={n}"), n)
     return table.read()
 
 

@@ -114,7 +114,7 @@ class BucketTable:
         old = self.manifest()
         if number <= old["batch"]:
             return False
-        changes = M.last_change(batch if delete_enabled else batch.where("op <> 'd'"), self.keys).withColumn("_b", self.bucket())
+        changes = M.last_change(batch if delete_enabled else batch.where("op <> 'd'"), self.keys).withColumn("_b", self.bucket()).persist()  # read for the buckets and again for the rows
         where = f"{number}-{uuid.uuid4().hex}"
         # at most one number a bucket
         touched = sorted(r[0] for r in changes.select("_b").distinct().collect())
@@ -133,6 +133,7 @@ class BucketTable:
             out = fresh.unionByName(kept, allowMissingColumns=True)
         # a bucket is one shuffle partition's rows or more, so files stay few; AQE can split a large one
         out.withColumnRenamed("_b", "b").repartition("b").write.partitionBy("b").parquet(f"{self.folder.path}/data/{where}")
+        changes.unpersist()
         written = {int(n[2:]) for n in self.folder.names(f"data/{where}") if n.startswith("b=")}
         buckets = {b: w for b, w in old["buckets"].items() if int(b) not in touched} | {str(b): where for b in sorted(written)}
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in columns])
