@@ -178,12 +178,19 @@ def default_value(text: str | None, kind: str) -> Column:
     return F.lit(re.sub(r"^'(.*)'$", r"\1", text.strip(), flags=re.S).replace("''", "'")).try_cast(kind)
 
 
+#: A quoted text in which a backslash takes the next character as it is.
+_QUOTED = r'"(?:[^"\\]|\\.)*"'
+
+
+def _unquoted(x: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(x, r'(?s)^"(.*)"$', "$1"), r"(?s)\\(.)", "$1")
+
+
 def hstore(c: Column) -> Column:
-    """``"a"=>"1", "b"=>NULL`` as a map."""
-    pairs = F.filter(F.split(c, r",\s*(?=\")"), lambda p: p != "")
-    key = lambda p: F.regexp_extract(p, r'^\s*"((?:[^"\\]|\\.)*)"', 1)
-    value = lambda p: F.when(~F.lower(F.trim(F.regexp_extract(p, r"=>(.*)$", 1))).eqNullSafe("null"), F.regexp_extract(p, r'=>\s*"((?:[^"\\]|\\.)*)"', 1))
-    return F.map_from_arrays(F.transform(pairs, key), F.transform(pairs, value))
+    """``"a"=>"1", "b"=>NULL`` as a map; backslashes before quotes and backslashes go, in keys and values."""
+    pair = rf"(?s)({_QUOTED})\s*=>\s*({_QUOTED}|NULL)"
+    keys, values = (F.regexp_extract_all(c, F.lit(pair), F.lit(k)) for k in (1, 2))
+    return F.map_from_arrays(F.transform(keys, _unquoted), F.transform(values, lambda v: F.when(v != "NULL", _unquoted(v))))
 
 
 def money(c: Column) -> Column:
@@ -192,10 +199,20 @@ def money(c: Column) -> Column:
     return F.when(c.rlike(r"^\(.*\)$"), -digits).otherwise(digits)
 
 
+#: Arrays inside arrays that are told apart.
+ARRAY_LEVELS = 6
+
+
 def pg_array(c: Column) -> Column:
-    """``{a,"b, c",NULL}`` as an array of text; quoted items keep commas and are never null."""
-    items = F.regexp_extract_all(F.regexp_replace(c, r"^\{|\}$", ""), F.lit(r'"(?:[^"\\]|\\.)*"|[^,]+'), F.lit(0))
-    plain = lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), r"\\(.)", "$1")
+    """``{a,"b, c",NULL}`` as an array of text; quoted items keep commas and are never null.
+
+    The items of an array of arrays are arrays in their text form, for this function again (up to ARRAY_LEVELS deep).
+    """
+    inner = r"\{[^{}]*\}"
+    for _ in range(ARRAY_LEVELS - 1):
+        inner = rf"\{{(?:{_QUOTED}|[^{{}}\"]|{inner})*\}}"
+    items = F.regexp_extract_all(F.regexp_replace(c, r"(?s)^\{|\}$", ""), F.lit(rf"(?s){_QUOTED}|{inner}|[^,]+"), F.lit(0))
+    plain = lambda x: F.when(x.startswith("{"), x).otherwise(_unquoted(x))
     return F.transform(items, lambda x: F.when(x.startswith('"') | (F.upper(x) != "NULL"), plain(x)))
 
 
@@ -206,5 +223,6 @@ def pg_range(c: Column) -> Column:
 
 
 def duration_iso(us: Column) -> Column:
-    """Microseconds as an ISO-8601 duration in seconds."""
-    return F.concat(F.lit("PT"), F.format_string("%d.%06dS", F.floor(us / 1_000_000).cast("long"), F.pmod(us, F.lit(1_000_000))))
+    """Microseconds as an ISO-8601 duration in seconds; a negative one has its sign before the seconds."""
+    size = F.abs(us)
+    return F.concat(F.lit("PT"), F.when(us < 0, "-").otherwise(""), F.format_string("%d.%06dS", F.floor(size / 1_000_000).cast("long"), size % 1_000_000))

@@ -57,14 +57,14 @@ class Flatten:
     drop_fields: tuple[str, ...] = ()
 
 
-def added(events: DataFrame, fields: tuple[str, ...], prefix: str) -> list[Column]:
-    """The columns that ``fields`` stand for; an unqualified name is looked up in transaction, root, then source."""
+def added(events: DataFrame, fields: tuple[str, ...], prefix: str) -> list[tuple[str, Column]]:
+    """Names and columns that ``fields`` stand for; an unqualified name is looked up in transaction, root, then source."""
     out = []
     for f in fields:
         path, _, alias = f.partition(":")
         if "." not in path and path not in events.columns:
             path = f"source.{path}"
-        out.append(F.col(path).alias(prefix + (alias or path.replace("source.", "source_", 1).replace(".", "_"))))
+        out.append((prefix + (alias or path.replace("source.", "source_", 1).replace(".", "_")), F.col(path)))
     return out
 
 
@@ -90,13 +90,14 @@ def flatten(events: DataFrame, how: Flatten = Flatten()) -> DataFrame:
     names = [f.name for f in events.schema["after"].dataType.fields if f.name not in how.drop_fields]
     live = ~F.col("is_tombstone")
     values = [F.coalesce(F.col(f"_v.{n}"), F.when(live, F.lit(default[n]))).alias(n) if n in default else F.col(f"_v.{n}").alias(n) for n in names]
-    extra = [F.when(live, c).alias(n) for c, n in ((c, c._jc.toString().split(" AS ")[-1]) for c in added(events, how.add_fields, how.prefix))]
+    extra = [F.when(live, c).alias(n) for n, c in added(events, how.add_fields, how.prefix)]
     marks = [F.when(live, F.when(deleted, "true").otherwise("false")).alias(how.prefix + "deleted")] if rewrite else []
     route = [F.coalesce(F.when(deleted, F.col(f"before.{how.route_by}")).otherwise(F.col(f"after.{how.route_by}")).cast("string"), F.lit("")).alias("topic")] if how.route_by else []
     headers = []
     if how.add_headers:
         cols = added(events, how.add_headers, how.prefix)
-        headers = [F.map_from_arrays(F.array(*[F.lit(c._jc.toString().split(" AS ")[-1]) for c in cols]), F.array(*[F.when(F.col("is_tombstone") & F.lit(c._jc.toString().endswith(how.prefix + "op")), F.lit("d")).otherwise(c.cast("string")) for c in cols])).alias("headers")]
+        value = lambda n, c: F.when(F.col("is_tombstone"), "d").otherwise(c.cast("string")) if n == how.prefix + "op" else c.cast("string")
+        headers = [F.map_from_arrays(F.array(*[F.lit(n) for n, _ in cols]), F.array(*[value(n, c) for n, c in cols])).alias("headers")]
     kept = [c for c in ("seq", "sub") if c in events.columns]
     return events.select(*kept, *values, *extra, *marks, *route, *headers, "is_tombstone")
 

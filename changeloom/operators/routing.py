@@ -28,8 +28,13 @@ def wrap32(x: Column) -> Column:
     return F.when(low >= 1 << 31, low - (1 << 32)).otherwise(low)
 
 
+def utf16_units(c: Column) -> Column:
+    """The UTF-16 units of a text as four hexadecimal digits each; characters beyond the BMP have two."""
+    return F.regexp_extract_all(F.lower(F.hex(F.encode(c, "UTF-16BE"))), F.lit("[0-9a-f]{4}"), F.lit(0))
+
+
 def java_hash(c: Column, kind: str) -> Column:
-    """The hash that a JVM gives a value of this SQL type, as a long; text by its UTF-16 units within the BMP."""
+    """The hash that a JVM gives a value of this SQL type, as a long; text by its UTF-16 units."""
     if kind in ("tinyint", "smallint", "int", "date"):
         return c.cast("long")
     if kind == "bigint":
@@ -37,7 +42,7 @@ def java_hash(c: Column, kind: str) -> Column:
     if kind == "boolean":
         return F.when(c, 1231).otherwise(1237).cast("long")
     if kind == "string":
-        return F.aggregate(F.filter(F.split(c, ""), lambda x: x != ""), F.lit(0).cast("long"), lambda acc, ch: wrap32(acc * 31 + F.ascii(ch)))
+        return F.aggregate(utf16_units(c), F.lit(0).cast("long"), lambda acc, unit: wrap32(acc * 31 + F.conv(unit, 16, 10).cast("long")))
     raise ValueError(f"no hash for {kind}")
 
 
@@ -116,8 +121,9 @@ def topic_name(prefix: str, *parts: Column, delimiter: str = ".", longest: int =
 
 
 def unicode_escaped(name: Column) -> Column:
-    """Characters that Avro names can't hold as ``_uXXXX``; the underscore itself too."""
-    one = lambda ch: F.when(ch.rlike("[A-Za-z0-9.\\-]"), ch).otherwise(F.concat(F.lit("_u"), F.lpad(F.lower(F.hex(F.ascii(ch))), 4, "0")))
+    """Characters that Avro names can't hold as ``_uXXXX``, one for each UTF-16 unit; the underscore itself too."""
+    escaped = lambda ch: F.concat(F.lit("_u"), F.array_join(utf16_units(ch), "_u"))
+    one = lambda ch: F.when(ch.rlike("[A-Za-z0-9.\\-]"), ch).otherwise(escaped(ch))
     return F.array_join(F.transform(F.filter(F.split(name, ""), lambda x: x != ""), one), "")
 
 
@@ -153,9 +159,15 @@ def collection_name(fmt: str, topic: Column, source: dict[str, Column] | None =
     return F.concat(*parts)
 
 
+def name_words(name: str) -> list[str]:
+    """The words of a name: runs of letters of any alphabet, cut where a capital begins a word, and runs of digits; other characters part words."""
+    kinds = "".join("d" if ch.isdigit() else "U" if ch.isupper() else "l" if ch.isalpha() else " " for ch in name)
+    return [name[m.start() : m.end()] for m in re.finditer(r"U+(?!l)|U?l+|d+", kinds)]
+
+
 def styled(name: str, style: str = "default", prefix: str = "", suffix: str = "") -> str:
     """Sink names: snake_case, camelCase, UPPER_CASE, lower_case or unchanged, then prefix and suffix."""
-    words = re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+", name)
+    words = name_words(name)
     out = {
         "default": lambda: name,
         "snake_case": lambda: "_".join(w.lower() for w in words),

@@ -89,11 +89,11 @@ for _mode, _deletes, _where in (("upsert", True, "x.op IS DISTINCT FROM 'd'"), (
 
     @query(
         f"apply_{_mode}" + "_with_deletes" * _deletes,
-        f"WITH {LOG}, {SPLIT}, {_BASE}, x AS (SELECT * FROM (SELECT *, coalesce(a_key, b_key) AS k, row_number() OVER (PARTITION BY coalesce(a_key, b_key) ORDER BY seq DESC, sub DESC) AS rn FROM split WHERE op <> '{'' if _deletes else 'd'}' AND seq % 3 <> 1) WHERE rn = 1) "
+        f"WITH {LOG}, {SPLIT}, {_BASE}, x AS (SELECT * FROM (SELECT *, coalesce(a_key, b_key) AS k, row_number() OVER (PARTITION BY coalesce(a_key, b_key) ORDER BY seq DESC, sub DESC) AS rn FROM split WHERE op <> '{'' if _deletes else 'd'}') WHERE rn = 1) "
         f"SELECT coalesce(b.key, x.k) AS key, CASE WHEN x.op IS NULL THEN b.status ELSE x.a_status END AS status, CASE WHEN x.op IS NULL THEN b.price ELSE x.a_price END AS price, CASE WHEN x.op IS NULL THEN b.cust ELSE x.a_cust END AS cust FROM base b FULL OUTER JOIN x ON b.key = x.k WHERE {_where}",
     )
     def _(spark, sf, mode=_mode, deletes=_deletes):
-        return M.apply(_base(spark, sf), E.split_key_changes(order_log(spark, sf).where("seq % 3 <> 1 or op = 'u'").where("seq % 3 <> 1"), KEYS), KEYS, mode, delete_enabled=deletes)
+        return M.apply(_base(spark, sf), E.split_key_changes(order_log(spark, sf), KEYS), KEYS, mode, delete_enabled=deletes)
 
 
 @query("schema_evolution", "SELECT CAST(o_orderkey AS BIGINT) AS id, o_orderstatus AS status, NULL::VARCHAR AS segment FROM orders UNION ALL SELECT CAST(c_custkey AS BIGINT), NULL, c_mktsegment FROM customer", log=False)
@@ -148,9 +148,18 @@ for _mode, _sql in _FLAT.items():
         return E.flatten(order_log(spark, sf), E.Flatten(mode, add_fields=("op", "source.lsn")))
 
 
-@query("flatten_routed", "SELECT seq, a_key AS key, coalesce(a_status, '?') AS status, a_price AS price, coalesce(CASE WHEN op = 'd' THEN b_status ELSE a_status END, '') AS topic, op = 'd' AS is_tombstone FROM (SELECT *, a_status IS NULL AS z FROM changelog) WHERE tbl = 'orders' AND op <> 'd'")
+@query(
+    "flatten_routed",
+    "SELECT seq, CASE WHEN op = 'd' THEN b_key ELSE a_key END AS key, coalesce(status, '?') AS status, CASE WHEN op = 'd' THEN b_price ELSE a_price END AS price, op = 'd' AS deleted, coalesce(status, '') AS topic "
+    "FROM (SELECT *, CASE WHEN op = 'd' THEN CASE WHEN b_key % 4 <> 0 THEN b_status END ELSE CASE WHEN a_key % 4 <> 0 THEN a_status END END AS status FROM changelog WHERE tbl = 'orders')",
+)
 def _(spark, sf):
-    return E.flatten(order_log(spark, sf).where("op <> 'd'"), E.Flatten(route_by="status", defaults=(("status", "?"),), drop_fields=("cust",)))
+    log = order_log(spark, sf)
+    for image in ("before", "after"):  # a quarter of the keys has no status
+        blank = F.col(image).withField("status", F.when(F.col(f"{image}.key") % 4 != 0, F.col(f"{image}.status")))
+        log = log.withColumn(image, F.when(F.col(image).isNotNull(), blank))
+    d = E.flatten(log, E.Flatten("rewrite", route_by="status", defaults=(("status", "?"),), drop_fields=("cust",)))
+    return d.select("seq", "key", "status", "price", (F.col("__deleted") == "true").alias("deleted"), "topic")
 
 
 @query("flatten_headers", "SELECT seq, CASE WHEN op = 'd' THEN 'd' ELSE op END AS h_op, CAST(seq * 8 AS VARCHAR) AS h_lsn FROM changelog WHERE tbl = 'orders'")
@@ -197,9 +206,9 @@ def _(spark, sf):
     return d.select(F.col("n_name").alias("name"), "source_schema.id", F.size("source_schema.columns").alias("n_columns"), F.concat_ws(":", first["name"], first["type"]).alias("first"))
 
 
-@query("context_headers", "SELECT seq, 'shop' AS connector, '0' AS task FROM changelog WHERE op = 'd'")
+@query("context_headers", "SELECT seq, 'shop' AS connector, '0' AS task FROM changelog")
 def _(spark, sf):
-    d = E.with_context_headers(changelog(spark, sf).where("op = 'd'"), {"__connector": "shop", "__task": "0"})
+    d = E.with_context_headers(changelog(spark, sf), {"__connector": "shop", "__task": "0"})
     return d.select("seq", F.col("headers")["__connector"].alias("connector"), F.col("headers")["__task"].alias("task"))
 
 
@@ -212,10 +221,26 @@ def _(spark, sf):
 # --- filters ------------------------------------------------------------------------------------
 
 
-@query("table_filter", "SELECT tbl, count(*) AS n FROM changelog WHERE regexp_full_match(lower('db1.public.' || tbl), 'db1\\.public\\.(ord.*)') GROUP BY 1")
+@query("table_filter", "SELECT seq, tbl FROM changelog WHERE regexp_full_match(lower('db1.public.' || tbl), 'db1\\.public\\.(ord.*)')")
 def _(spark, sf):
     t = P.Tables(table_include=r"DB1\.public\.(ord.*)", table_exclude=r".*orders")
-    return changelog(spark, sf).where(t.predicate(F.lit("db1"), F.lit("public"), F.col("tbl"))).groupBy("tbl").agg(F.count(F.lit(1)).alias("n"))
+    return changelog(spark, sf).where(t.predicate(F.lit("db1"), F.lit("public"), F.col("tbl"))).select("seq", "tbl")
+
+
+@query(
+    "postgres_values",
+    "SELECT p_partkey, '{' || p_partkey || ',2}' AS first, '{3,\"a}, b\"}' AS second, 'say \"' || p_brand || '\"' AS held, (p_partkey % 3 = 0) AS none, CASE WHEN p_partkey % 2 = 0 THEN 'PT' ELSE 'PT-' END || (p_partkey // 1000) || '.' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || '000S' AS duration, "
+    "replace(replace(p_brand, '#', '_u0023_ud83d_ude00'), ' ', '_u0020') AS topic FROM part",
+    log=False,
+)
+def _(spark, sf):
+    p = _read(spark, sf, "part")
+    k = F.col("p_partkey").cast("string")
+    nested = S.pg_array(F.concat(F.lit("{{"), k, F.lit(',2},{3,"a}, b"}}')))
+    pairs = S.hstore(F.concat(F.lit('"k,"=>"say \\"'), F.col("p_brand"), F.lit('\\"", "n"=>'), F.when(F.col("p_partkey") % 3 == 0, "NULL").otherwise(F.concat(F.lit('"'), k, F.lit('"')))))
+    spent = S.duration_iso(F.col("p_partkey").cast("long") * 1000 * F.when(F.col("p_partkey") % 2 == 0, 1).otherwise(-1))
+    name = G.unicode_escaped(F.replace("p_brand", F.lit("#"), F.lit("#😀")))
+    return p.select("p_partkey", nested[0].alias("first"), nested[1].alias("second"), pairs["k,"].alias("held"), pairs["n"].isNull().alias("none"), spent.alias("duration"), name.alias("topic"))
 
 
 @query("builtin_filter", "SELECT r_name FROM region WHERE r_name <> 'REGION_0'", log=False)
@@ -264,10 +289,11 @@ def _(spark, sf):
     return G.by_content(d, "case when op = 'd' then 'deletes' when after.price > 20000000 then 'large' end").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("logical_table_route", "SELECT 'srv.orders_all' AS topic, 'srv.orders_shard' || (seq % 4) AS __source, count(*) AS n FROM changelog WHERE tbl = 'orders' GROUP BY ALL")
+@query("logical_table_route", "SELECT seq, CASE WHEN seq % 4 = 3 THEN 'srv.lines' ELSE 'srv.orders_all' END AS topic, CASE WHEN seq % 4 <> 3 THEN 'srv.orders_shard' || (seq % 4) END AS __source FROM changelog WHERE tbl = 'orders'")
 def _(spark, sf):
-    d = order_log(spark, sf).withColumn("topic", F.concat(F.lit("srv.orders_shard"), (F.col("seq") % 4).cast("string")))
-    return G.logical_table(d, r"(.*)orders_shard(.*)", "$1orders_all").groupBy("topic", "__source").agg(F.count(F.lit(1)).alias("n"))
+    shard = F.col("seq") % 4
+    d = order_log(spark, sf).withColumn("topic", F.when(shard == 3, "srv.lines").otherwise(F.concat(F.lit("srv.orders_shard"), shard.cast("string"))))
+    return G.logical_table(d, r"(.*)orders_shard(.*)", "$1orders_all").select("seq", "topic", "__source")
 
 
 @query(
@@ -450,10 +476,10 @@ def _(spark, sf):
 # --- snapshots ----------------------------------------------------------------------------------
 
 
-@query("snapshot_scan", "SELECT 'r' AS op, 'nation' AS tbl, count(*) AS n FROM nation UNION ALL SELECT 'r', 'region', count(*) FROM region WHERE r_regionkey > 1", log=False)
+@query("snapshot_scan", "SELECT 'r' AS op, 'nation' AS tbl, CAST(n_nationkey AS BIGINT) AS key, n_name AS name FROM nation UNION ALL SELECT 'r', 'region', r_regionkey, r_name FROM region WHERE r_regionkey > 1", log=False)
 def _(spark, sf):
-    d = N.scan(spark, {"nation": _read(spark, sf, "nation"), "region": _read(spark, sf, "region")}, {"region": "SELECT * FROM {region} WHERE r_regionkey > 1"})
-    return d.groupBy("op", "tbl").agg(F.count(F.lit(1)).alias("n"))
+    tables = {"nation": _read(spark, sf, "nation").selectExpr("n_nationkey AS key", "n_name AS name"), "region": _read(spark, sf, "region").selectExpr("r_regionkey AS key", "r_name AS name")}
+    return N.scan(spark, tables, {"region": "SELECT * FROM {region} WHERE key > 1"}).select("op", "tbl", F.get_json_object("after", "$.key").cast("long").alias("key"), F.get_json_object("after", "$.name").alias("name"))
 
 
 @query("snapshot_condition", "SELECT 'r' AS op, o_orderkey FROM orders WHERE o_orderstatus = 'F'", log=False)
@@ -661,24 +687,32 @@ def _(spark, sf):
 
 @query(
     "enforce_size",
-    "SELECT doc_id, CASE WHEN e > 0 THEN greatest(0, n - CAST(ceil(CAST(n AS DOUBLE) / n * e) AS BIGINT)) ELSE n END AS n FROM (SELECT doc_id, length(text) AS n, 56 + 2 * 8 + 24 + 56 + strlen(text) - 1000 AS e FROM documents)",
+    "SELECT doc_id, n, md5(substr(text, 1, n)) AS md5 FROM (SELECT doc_id, text, CASE WHEN e > 0 THEN greatest(0, n - CAST(ceil(CAST(n AS DOUBLE) / n * e) AS BIGINT)) ELSE n END AS n FROM (SELECT doc_id, text, length(text) AS n, 56 + 2 * 8 + 24 + 56 + strlen(text) - 1000 AS e FROM documents))",
     log=False,
 )
 def _(spark, sf):
     d = _read(spark, sf, "documents").select("doc_id", F.struct("doc_id", "text").alias("after"))
-    return R.enforce_size(d, 1000, images=("after",)).select("doc_id", F.length("after.text").cast("long").alias("n"))
+    return R.enforce_size(d, 1000, images=("after",)).select("doc_id", F.length("after.text").cast("long").alias("n"), F.md5(F.col("after.text").cast("binary")).alias("md5"))
 
 
-@query("vectors_json", "SELECT vec_id, len(embedding) AS n FROM embeddings", log=False)
+@query("vectors_json", "SELECT vec_id, i AS place, round(CAST(embedding[i + 1] AS DOUBLE), 6) AS value FROM embeddings, unnest(range(len(embedding))) AS r(i)", log=False)
 def _(spark, sf):
     text = R.dense_vector_json(F.col("embedding"))
-    return _read(spark, sf, "embeddings").select("vec_id", F.size(F.from_json(text, "values array<float>")["values"]).cast("long").alias("n"))
+    d = _read(spark, sf, "embeddings").select("vec_id", F.posexplode(F.from_json(text, "values array<float>")["values"]).alias("place", "value"))
+    return d.select("vec_id", F.col("place").cast("long").alias("place"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-@query("cloud_events", "SELECT seq, 'name:shop;lsn:' || (seq * 8) AS id, op, a_key AS key FROM changelog WHERE tbl = 'orders'")
+@query(
+    "cloud_events",
+    "SELECT seq, 'name:shop;lsn:' || (seq * 8) AS id, '/cdc/shop/srv' AS source, '1.0' AS specversion, 'io.cdc.connector.shop.DataChangeEvent' AS type, strftime(epoch_ms(ts_ms - seq % 97), '%Y-%m-%dT%H:%M:%S.%gZ') AS time, 'application/json' AS datacontenttype, "
+    "op, 'orders' AS tbl, CAST(seq * 8 AS VARCHAR) AS lsn, b_key AS old_key, a_key AS key, a_status AS status, a_price AS price, a_cust AS cust FROM changelog WHERE tbl = 'orders'",
+)
 def _(spark, sf):
-    v = F.from_json("value", "id string, iocdcop string, data struct<after:struct<key:long>>")
-    return R.cloud_events(order_log(spark, sf)).select("seq", v.alias("v")).select("seq", "v.id", F.col("v.iocdcop").alias("op"), "v.data.after.key")
+    image = "struct<key:long,status:string,price:long,cust:long>"
+    v = F.from_json("value", f"id string, source string, specversion string, type string, time string, datacontenttype string, iocdcop string, iocdctable string, iocdclsn string, data struct<before:{image},after:{image}>")
+    d = R.cloud_events(order_log(spark, sf)).select("seq", v.alias("v"))
+    named = [F.col(f"v.{c}").alias(n) for c, n in (("iocdcop", "op"), ("iocdctable", "tbl"), ("iocdclsn", "lsn"), ("data.before.key", "old_key"))]
+    return d.select("seq", *[f"v.{c}" for c in ("id", "source", "specversion", "type", "time", "datacontenttype")], *named, "v.data.after.*")
 
 
 # Documents of orders: created whole, then changed by parts.  Each line is a kind of update: which keys it concerns, its place in a key's
@@ -846,9 +880,9 @@ def _(spark, sf):
     return P.schema_changes(_read(spark, sf, "orders").select("o_orderkey", changes.alias("table_changes")), ["CREATE", "DATABASE"]).select("o_orderkey")
 
 
-@query("sink_names", 'SELECT n_nationkey AS "X_N_NATIONKEY_Y", n_name AS "X_N_NAME_Y", n_regionkey AS "X_N_REGIONKEY_Y" FROM nation', log=False)
+@query("sink_names", 'SELECT n_nationkey AS "X_nNationkey_Y", n_name AS "X_nName_Y", n_regionkey AS "X_nRegionkey_Y" FROM nation', log=False)
 def _(spark, sf):
-    return G.restyled(_read(spark, sf, "nation"), "upper_case", "X_", "_Y")
+    return G.restyled(_read(spark, sf, "nation"), "camel_case", "X_", "_Y")
 
 
 @query("sink_keys", "SELECT a_status AS status, a_cust AS cust, count(*) AS n FROM changelog WHERE tbl = 'orders' AND a_key IS NOT NULL GROUP BY ALL")

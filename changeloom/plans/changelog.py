@@ -40,9 +40,9 @@ UNION ALL {_event(6, "'u'", "k", "k", "k % 2 = 0", source="cu", tbl="customer",
 """
 
 #: The same for DuckDB, as the first member of a WITH list.
-LOG = "changelog AS (" + CHANGELOG.format(orders="orders", customer="customer") + ")"
+LOG = "changelog AS MATERIALIZED (" + CHANGELOG.format(orders="orders", customer="customer") + ")"
 #: The orders part after key changes are split into a delete and a create.
-SPLIT = """split AS (
+SPLIT = """split AS MATERIALIZED (
 SELECT seq, 0 AS sub, tbl, op, b_key, b_status, b_price, b_cust, a_key, a_status, a_price, a_cust, tx_id, ts_ms FROM changelog WHERE tbl = 'orders' AND NOT (op = 'u' AND b_key <> a_key)
 UNION ALL SELECT seq, 0, tbl, 'd', b_key, b_status, b_price, b_cust, NULL, NULL, NULL, NULL, tx_id, ts_ms FROM changelog WHERE tbl = 'orders' AND op = 'u' AND b_key <> a_key
 UNION ALL SELECT seq, 1, tbl, 'c', NULL, NULL, NULL, NULL, a_key, a_status, a_price, a_cust, tx_id, ts_ms FROM changelog WHERE tbl = 'orders' AND op = 'u' AND b_key <> a_key)"""

@@ -291,6 +291,20 @@ def test_database_sink_applies_and_replays(spark, tmp_path):
         assert sorted(db.execute("select * from t").fetchall()) == [(1, "c"), (3, None), (4, "d"), (5, "e"), (9, "new")]
 
 
+def test_texts_beyond_the_plain_ones(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(G.unicode_escaped(F.lit("a😀_é"))) == "a_ud83d_ude00_u005f_u00e9"
+    want = 0
+    for unit in (97, 0xD83D, 0xDE00, 98):
+        want = (want * 31 + unit + (1 << 31)) % (1 << 32) - (1 << 31)
+    assert one(G.java_hash(F.lit("a😀b"), "string")) == want and one(G.java_hash(F.lit(""), "string")) == 0
+    assert [one(S.duration_iso(F.lit(us))) for us in (-500_000, -1_500_001, 0, 2_000_000)] == ["PT-0.500000S", "PT-1.500001S", "PT0.000000S", "PT2.000000S"]
+    assert one(S.hstore(F.lit('"x, \\"y\\""=>"a\\\\b", "n"=>NULL, "m"=>"NULL", "e"=>""'))) == {'x, "y"': "a\\b", "n": None, "m": "NULL", "e": ""}
+    assert one(S.pg_array(F.lit("{{1,2},{3,4}}"))) == ["{1,2}", "{3,4}"] and one(S.pg_array(F.lit('{{{1},{2}},{{"}{",NULL}}}'))) == ["{{1},{2}}", '{{"}{",NULL}}']
+    assert one(F.transform(S.pg_array(F.lit('{{1,"a,b"},{NULL,4}}')), S.pg_array)) == [["1", "a,b"], [None, "4"]]
+    assert [G.styled(n, "snake_case") for n in ("größe", "straßeÄÖ", "HTTPServer2x", "имяПоля", "a_b c")] == ["größe", "straße_äö", "http_server_2_x", "имя_поля", "a_b_c"]
+
+
 def test_small_helpers(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first().x
     assert one(S.pg_array(F.lit('{a,"b, c","NULL",NULL,"d\\"e"}'))) == ["a", "b, c", "NULL", None, 'd"e'] and one(S.pg_array(F.lit("{}"))) == []
