@@ -24,6 +24,7 @@ from changeloom.operators import snapshot as N
 from changeloom.operators import transactions as T
 from changeloom.plans.changelog import LOG, SPLIT, changelog, flat_changelog, order_log
 from changeloom.sources import buckets as B
+from changeloom.sources import positions as L
 from changeloom.sources import readers as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +116,20 @@ def _(spark, sf):
     return table.read()
 
 
+@query("position_reader", "SELECT tbl, CAST(tx_id AS BIGINT) AS pos, seq AS serial, op FROM changelog")
+def _(spark, sf):
+    """Two change tables read by positions in batches that end inside transactions, and what all batches held."""
+    home = f"{B.shared_folder(spark)}/position_reader-{uuid.uuid4().hex}"
+    log = flat_changelog(spark, sf).select("tbl", F.col("tx_id").cast("long").alias("pos"), F.col("seq").alias("serial"), "op")
+    log.write.partitionBy("tbl").parquet(f"{home}/log")
+    tables = {t: spark.read.parquet(f"{home}/log/tbl={t}") for t in ("orders", "customer")}
+    rows = sum(t.count() for t in tables.values())
+    # an odd number of rows, so that batches end inside transactions
+    reader = L.PositionReader(spark, tables, f"{home}/offsets", max_rows=max(7, rows // 5) | 1)
+    reader.run(lambda batch, n: batch.write.mode("overwrite").parquet(f"{home}/out/batch={n}"))
+    return spark.read.parquet(f"{home}/out").select("tbl", "pos", "serial", "op")
+
+
 @query("passthrough_batches")
 def _(spark, sf):
     return M.passthrough_batches(order_log(spark, sf), KEYS, most=500)
