@@ -12,6 +12,8 @@ are all at one place.  There is no Python in it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -138,3 +140,33 @@ def current(events: DataFrame, keys: list[str], schema: str, depth: int = DEPTH)
     """The present documents as typed columns beside the key, as :func:`changeloom.operators.materialize.apply` takes them."""
     return documents(events, keys, depth).select(*keys, F.from_json("document", schema).alias("d")).select(*keys, "d.*")
 
+
+
+def differences(rows: DataFrame, keys: list[str], before: str = "before", after: str = "after", depth: int = DEPTH) -> DataFrame:
+    """``keys, path, kind, old, new``: where two JSON images of a row differ, node by node (``keys`` are unique).
+
+    Kinds: ``add`` and ``remove`` of a node that one image lacks (all below it too), ``replace`` of a value, or of a kind of container.  A missing
+    image has no nodes.  Both images are expanded where the row lies; a path's two sides meet in one aggregation.
+    """
+    side = lambda c, name: F.struct(F.array().cast("array<string>").alias("path"), F.try_parse_json(c).alias("v"), F.lit(name).alias("side"))
+    both = F.filter(F.array(side(F.col(before), "old"), side(F.col(after), "new")), lambda x: x["v"].isNotNull())
+    nodes = _expanded(rows.select(*keys, F.explode(both).alias("_i")).select(*keys, F.col("_i.side").alias("side"), F.struct("_i.path", "_i.v").alias("_i")), "_i", depth)
+    of = lambda name: F.max(F.when(F.col("side") == name, F.col("value"))).alias(name)
+    met = nodes.groupBy(*keys, "path").agg(of("old"), of("new")).where("old is distinct from new")
+    return met.select(*keys, "path", F.when(F.col("old").isNull(), "add").when(F.col("new").isNull(), "remove").otherwise("replace").alias("kind"), "old", "new")
+
+
+def inferred_types(rows: DataFrame, by: str, payload: str) -> dict[str, str]:
+    """The type of the JSON payloads of each value of ``by``, widened over all of them: one aggregation, one short text a value."""
+    found = rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.schema_of_variant_agg(F.try_parse_json(payload)).alias("t")).collect()
+    return {r[by]: _columns_of(r["t"]) for r in found}
+
+
+def _columns_of(kind: str) -> str:
+    """A variant's type as a type of columns: objects are structs; where all values are null, texts."""
+    return re.sub(r"\bVOID\b", "STRING", kind.replace("OBJECT<>", "STRING").replace("OBJECT<", "STRUCT<"))
+
+
+def typed_payloads(rows: DataFrame, by: str, payload: str, into: str = "value") -> dict[str, DataFrame]:
+    """One frame for each value of ``by``, with the payload as a column of the type that all its payloads share; what isn't JSON is null."""
+    return {name: rows.where(F.col(by) == name).withColumn(into, F.try_variant_get(F.try_parse_json(payload), "$", kind)) for name, kind in sorted(inferred_types(rows, by, payload).items())}

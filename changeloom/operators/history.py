@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HISTORY = "pos long, tbl string, type string, ddl string, columns array<struct<name:string,type:string,optional:boolean>>"
@@ -27,16 +28,21 @@ def at_position(history: DataFrame, pos: int) -> DataFrame:
 def for_events(events: DataFrame, history: DataFrame) -> DataFrame:
     """The schema position that holds for each event: the last one at or before it.
 
-    Few schema changes (they are counted) go to all tasks as intervals, so that a table's events stay where they are; more
-    are merged with the events of their table by a window.
+    Few schema changes (they are counted) go to all tasks as intervals, so that a table's events stay where they are.  A table's
+    positions are cut into as many bins as it has changes, and an interval stands in every bin that it reaches (two entries a change, all in all), so an
+    event meets the few intervals of its bin.  More changes are merged with the events of their table by a window.
     """
-    from pyspark.sql import Window as W
-
     if history.count() <= INTERVALS:
-        until = F.lead("pos").over(W.partitionBy("tbl").orderBy("pos"))
-        held = history.select("tbl", "pos").distinct().select(F.col("tbl").alias("_t"), F.col("pos").alias("schema_pos"), until.alias("_until"))
-        on = events["tbl"].eqNullSafe(F.col("_t")) & (events["seq"] >= F.col("schema_pos")) & (F.col("_until").isNull() | (events["seq"] < F.col("_until")))
-        return events.join(F.broadcast(held), on, "left").select("tbl", "seq", "schema_pos")
+        per = W.partitionBy("tbl")
+        marks = history.select("tbl", F.col("pos").alias("schema_pos")).distinct()
+        marks = marks.select("*", F.lead("schema_pos").over(per.orderBy("schema_pos")).alias("_until"), F.min("schema_pos").over(per).alias("_low"), F.max("schema_pos").over(per).alias("_high"), F.count(F.lit(1)).over(per).alias("_n"))
+        marks = marks.withColumn("_width", F.ceil((F.col("_high") - F.col("_low") + 1) / F.col("_n")))
+        bin_of = lambda pos: F.least(F.floor((pos - F.col("_low")) / F.col("_width")), F.col("_n") - 1)
+        held = marks.select(F.col("tbl").alias("_t"), "schema_pos", "_until", F.explode(F.sequence(bin_of(F.col("schema_pos")), F.coalesce(bin_of(F.col("_until") - 1), F.col("_n") - 1))).alias("_bin"))
+        tables = marks.select(F.col("tbl").alias("_s"), "_low", "_width", "_n").distinct()
+        placed = events.join(F.broadcast(tables), events["tbl"].eqNullSafe(F.col("_s")), "left").withColumn("_at", bin_of(F.col("seq")))
+        on = F.col("tbl").eqNullSafe(F.col("_t")) & (F.col("_at") == F.col("_bin")) & (F.col("seq") >= F.col("schema_pos")) & (F.col("_until").isNull() | (F.col("seq") < F.col("_until")))
+        return placed.join(F.broadcast(held), on, "left").select("tbl", "seq", "schema_pos")
     marks = history.select("tbl", F.col("pos").alias("seq"), F.lit(0).alias("_k"), F.col("pos").alias("schema_pos"))
     both = marks.unionByName(events.select("tbl", "seq", F.lit(1).alias("_k"), F.lit(None).cast("long").alias("schema_pos")))
     w = W.partitionBy("tbl").orderBy("seq", "_k").rowsBetween(W.unboundedPreceding, W.currentRow)

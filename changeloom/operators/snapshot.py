@@ -6,6 +6,8 @@ from a ranked key table), and chunk ids from comparing with them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -86,35 +88,90 @@ def chunk_count(rows: int, rows_per_chunk: int, threads: int, multiplier: int =
     return max(1, min(threads * multiplier, -(-rows // max(1, rows_per_chunk))))
 
 
+#: Bins that each open rank is looked for in at once.
+RANK_BINS = 256
+
+
+def order_statistics(rows: DataFrame, key: str, ranks: list[int]) -> dict[int, float]:
+    """The values of a numeric key at 0-based ranks (nulls don't count), without a sort.
+
+    Rows are counted in bins between the smallest and the largest value, and the bin that holds a rank is cut into bins again until it holds one
+    value.  The driver sees RANK_BINS short rows a rank and round; a round reads the key column between the values that are still open.
+    """
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    open_, found = {r: (low, high, 0) for r in set(ranks)}, {}
+    while open_:
+        spans = sorted({(lo, hi) for lo, hi, _ in open_.values()})  # equal or apart
+        at = by_bounds(F.col(key), [F.lit(lo) for lo, _ in spans[1:]])
+        lows, widths = (F.array(*[F.lit(float(x)) for x in column]) for column in ([lo for lo, _ in spans], [(hi - lo) / RANK_BINS or 1 for lo, hi in spans]))
+        inside = F.lit(False)
+        for lo, hi in spans:
+            inside = inside | F.col(key).between(lo, hi)
+        binned = rows.where(inside).select(F.col(key).alias("v"), at.alias("s"))
+        bins = binned.groupBy("s", F.least(F.floor((F.col("v") - F.get(lows, F.col("s"))) / F.get(widths, F.col("s"))), F.lit(RANK_BINS - 1)).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        held = {i: sorted((r for r in bins if r["s"] == i), key=lambda r: r["b"]) for i in range(len(spans))}
+        for rank, (lo, hi, below) in list(open_.items()):
+            for r in held[spans.index((lo, hi))]:
+                if below + r["n"] > rank:
+                    break
+                below += r["n"]
+            if r["lo"] == r["hi"]:
+                found[rank] = r["lo"]
+                del open_[rank]
+            else:
+                open_[rank] = r["lo"], r["hi"], below
+    return found
+
+
 def boundaries(rows: DataFrame, key: str, chunks: int, exact: bool = False) -> list:
-    """The ``chunks - 1`` lower bounds that cut a table into even parts (a list as long as the number of chunks)."""
+    """The ``chunks - 1`` lower bounds that cut a table into even parts (a list as long as the number of chunks); exact ones lie between two keys, as percentiles do."""
     cuts = [i / chunks for i in range(1, chunks)]
     if not cuts:
         return []
-    fn = F.percentile if exact else F.percentile_approx
-    args = [F.lit(10_000)] if not exact else []
-    return sorted(set(rows.agg(fn(key, F.array(*[F.lit(c) for c in cuts]), *args)).first()[0] or []))
+    if not exact:
+        return sorted(set(rows.agg(F.percentile_approx(key, F.array(*[F.lit(c) for c in cuts]), F.lit(10_000))).first()[0] or []))
+    n = rows.where(F.col(key).isNotNull()).count()
+    if not n:
+        return []
+    places = [c * (n - 1) for c in cuts]
+    values = order_statistics(rows, key, [r for p in places for r in (math.floor(p), math.ceil(p))])
+    between = lambda p: float(values[math.floor(p)]) + (p - math.floor(p)) * float(values[math.ceil(p)] - values[math.floor(p)])
+    return sorted({between(p) for p in places})
+
+
+def by_bounds(key: Column, bounds: list[Column], first: int = 0) -> Column:
+    """How many of the ascending ``bounds`` are at or below the key (plus ``first``), by halving: a row is compared log2 times."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(key < bounds[middle], by_bounds(key, bounds[:middle], first)).otherwise(by_bounds(key, bounds[middle + 1 :], first + middle + 1))
 
 
 def with_chunks(rows: DataFrame, key: str, lower_bounds: list) -> DataFrame:
     """Adds ``chunk``: the number of inclusive lower bounds at or below the key."""
-    n = F.lit(0)
-    for b in lower_bounds:
-        n = n + (F.col(key) >= F.lit(b)).cast("int")
-    return rows.withColumn("chunk", n)
+    chunk = F.when(F.col(key).isNull(), F.lit(None)).otherwise(by_bounds(F.col(key), [F.lit(b) for b in sorted(lower_bounds)]))
+    return rows.withColumn("chunk", chunk.cast("int"))
+
+
+#: Rows that one task ranks, about, and sampled keys for each such range.
+RANGE_ROWS, RANGE_SAMPLES = 250_000, 32
 
 
-def paged(rows: DataFrame, keys: list[str], size: int, groups: int = 256) -> DataFrame:
+def paged(rows: DataFrame, keys: list[str], size: int, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Adds ``chunk_id``, the keyset page of each row, all at once.
 
-    Ranks are made in ranges of the first key (numeric) and shifted by the rows of the ranges before.
+    Ranks are made in ranges of the whole key, whose number follows from the rows and whose bounds are quantiles of a sample (a bounded number of keys
+    a range, the smallest by a hash, so that a rerun takes the same), and shifted by the rows of the ranges before.  No value of the first key is too frequent for that.
     """
-    low, high = rows.agg(F.min(keys[0]), F.max(keys[0])).first()
-    if low is None:
-        return rows.withColumn("chunk_id", F.lit(0).cast("long"))
-    width = (high - low) / groups or 1
-    ranged = rows.withColumn("_g", F.least(F.floor((F.col(keys[0]) - low) / width), F.lit(groups - 1)))
-    before = ranged.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    ranges = max(-(-rows.count() // range_rows), rows.sparkSession.sparkContext.defaultParallelism)
+    some = rows.select(*keys, F.xxhash64(*keys).alias("_h")).orderBy("_h", *keys).limit(RANGE_SAMPLES * ranges).drop("_h")
+    kinds = [some.schema[k].dataType for k in keys]
+    order = F.struct(*[F.col(k) for k in keys])
+    sample = some.select(F.percent_rank().over(W.partitionBy(F.lit(0)).orderBy(*keys)).alias("_p"), *keys)  # a bounded number of rows
+    cuts = sample.withColumn("_g", F.floor(F.col("_p") * ranges)).groupBy("_g").agg(F.min(order).alias("k")).orderBy("_g").select("k.*").collect()
+    bounds = [F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, r, kinds)]) for r in cuts[1:]]
+    ranged = rows.withColumn("_g", by_bounds(order, bounds))
+    before = ranged.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))  # one row a range
     before = before.select("_g", F.coalesce(F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_g").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     rank = F.row_number().over(W.partitionBy("_g").orderBy(*keys)) + F.col("_b")
     return ranged.join(before, "_g").withColumn("chunk_id", F.floor((rank - 1) / size)).drop("_g", "_b")

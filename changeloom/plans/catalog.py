@@ -32,6 +32,8 @@ ORACLE_SQL: dict[str, str] = {}
 
 #: The image columns of the changelog.
 KEYS = ["key"]
+#: Orders under short names, for queries with documents.
+_DOCS = "o AS (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(round(o_totalprice * 100) AS BIGINT) AS p, CAST(o_custkey AS BIGINT) AS c FROM orders)"
 
 
 def query(name: str, sql: str | None = None, log: bool = True):
@@ -327,6 +329,24 @@ def _(spark, sf):
 _OUTBOX = "SELECT event_id AS seq, 'outbox.event.' || event_type AS topic, user_id AS key, props AS value, CAST(event_id AS VARCHAR) AS h_id, event_type AS h_type, epoch_us(ts) // 1000 AS ts_ms FROM events WHERE event_id % 10 <> 3"
 
 
+@query(
+    "outbox_inferred",
+    f"WITH {_DOCS} SELECT CAST(k AS BIGINT) AS k, 'paid' AS type, CAST(CASE WHEN k % 2 = 0 THEN p ELSE p / 100.0 END AS DOUBLE) AS amount, CASE WHEN k % 3 <> 0 THEN CAST(c AS BIGINT) END AS x, CASE WHEN k % 3 = 1 THEN 'late' END AS y FROM o WHERE s = 'F' "
+    "UNION ALL SELECT k, 'open', NULL, len([k, c]), NULL FROM o WHERE s <> 'F'",
+    log=False,
+)
+def _(spark, sf):
+    """Payloads of two event types, whose types are found from all of them: numbers of two kinds, objects with different fields, arrays."""
+    o = _read(spark, sf, "orders").selectExpr("CAST(o_orderkey AS BIGINT) AS k", "o_orderstatus AS s", "CAST(round(o_totalprice * 100) AS BIGINT) AS p", "CAST(o_custkey AS BIGINT) AS c")
+    nested = "CASE WHEN k % 3 = 0 THEN '{}' WHEN k % 3 = 1 THEN '{\"x\":' || c || ',\"y\":\"late\"}' ELSE '{\"x\":' || c || '}' END"
+    paid = f"""'{{"amount":' || CASE WHEN k % 2 = 0 THEN CAST(p AS STRING) ELSE CAST(CAST(p AS DOUBLE) / 100 AS STRING) END || ',"n":' || {nested} || '}}'"""
+    e = o.selectExpr("k", "CASE WHEN s = 'F' THEN 'paid' ELSE 'open' END AS type", f"CASE WHEN s = 'F' THEN {paid} ELSE '{{\"ids\":[' || k || ',' || c || ']}}' END AS payload")
+    typed = D.typed_payloads(e, "type", "payload")
+    a = typed["paid"].select("k", "type", F.col("value.amount").cast("double").alias("amount"), F.col("value.n.x").cast("long").alias("x"), "value.n.y")
+    b = typed["open"].select("k", "type", F.lit(None).cast("double").alias("amount"), F.size("value.ids").cast("long").alias("x"), F.lit(None).cast("string").alias("y"))
+    return a.unionByName(b)
+
+
 @query("outbox", _OUTBOX, log=False)
 def _(spark, sf):
     e = _read(spark, sf, "events")
@@ -742,7 +762,6 @@ _UPDATES = [
     (6, "k % 11 = 0 AND k % 2 = 0", """'{"tags.1":"late"}'""", [], None),
     (8, "k % 34 = 0", """'{"cust.id":9}'""", [], None),
 ]
-_DOCS = "o AS (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(round(o_totalprice * 100) AS BIGINT) AS p, CAST(o_custkey AS BIGINT) AS c FROM orders)"
 
 
 @query(
@@ -815,6 +834,28 @@ def _(spark, sf):
     return d.select("k", "id", "s", F.col("cust.id").alias("cust"), "cust.seg", F.get("tags", F.lit(0)).alias("tag"), F.when(F.col("tags").isNotNull(), F.size("tags")).alias("n")).withColumnRenamed("n", "tags")
 
 
+_IMAGES = (
+    """'{"id":' || k || ',"s":"' || s || '","n":{"p":' || p || ',"c":null},"t":[1,' || c || ']}' AS before""",
+    """CASE WHEN k % 7 <> 0 THEN '{"id":' || k || CASE WHEN k % 2 = 0 THEN '' ELSE ',"s":"' || s || '"' END || ',"n":' || CASE WHEN k % 3 = 0 THEN '"gone"' ELSE '{"p":' || (p + k % 5) || ',"c":null,"x":{"y":1}}' END || ',"t":[1' || CASE WHEN k % 4 = 0 THEN '' ELSE ',' || c END || ']}' END AS after""",
+)
+_CHANGED = {  # path: where it changes, what it was, what it is
+    "": ("k % 7 = 0", "'{}'", "NULL"), "id": ("k % 7 = 0", "k", "NULL"), "s": ("k % 2 = 0 OR k % 7 = 0", "'\"' || s || '\"'", "NULL"), "t": ("k % 7 = 0", "'[]'", "NULL"), "t.0": ("k % 7 = 0", "1", "NULL"), "t.1": ("k % 4 = 0 OR k % 7 = 0", "c", "NULL"),
+    "n": ("k % 3 = 0 OR k % 7 = 0", "'{}'", "CASE WHEN k % 7 <> 0 THEN '\"gone\"' END"), "n.p": ("k % 3 = 0 OR k % 7 = 0 OR k % 5 > 0", "p", "CASE WHEN k % 3 <> 0 AND k % 7 <> 0 THEN p + k % 5 END"),
+    "n.c": ("k % 3 = 0 OR k % 7 = 0", "'null'", "NULL"), "n.x": ("k % 3 <> 0 AND k % 7 <> 0", "NULL", "'{}'"), "n.x.y": ("k % 3 <> 0 AND k % 7 <> 0", "NULL", "1"),
+}
+
+
+@query(
+    "document_differences",
+    f"WITH {_DOCS}, d AS (" + " UNION ALL ".join(f"SELECT CAST(k AS BIGINT) AS k, '{path}' AS path, CAST({old} AS VARCHAR) AS old, CAST({new} AS VARCHAR) AS new FROM o WHERE {where}" for path, (where, old, new) in _CHANGED.items())
+    + ") SELECT k, path, CASE WHEN old IS NULL THEN 'add' WHEN new IS NULL THEN 'remove' ELSE 'replace' END AS kind, old, new FROM d",
+    log=False,
+)
+def _(spark, sf):
+    o = _read(spark, sf, "orders").selectExpr("o_orderkey AS k", "o_orderstatus AS s", "CAST(round(o_totalprice * 100) AS BIGINT) AS p", "CAST(o_custkey AS BIGINT) AS c")
+    return D.differences(o.selectExpr("CAST(k AS BIGINT) AS k", *_IMAGES), ["k"]).select("k", F.array_join("path", ".").alias("path"), "kind", "old", "new")
+
+
 @query("swap_points")
 def _(spark, sf):
     c = _read(spark, sf, "customer").select("c_custkey", R.point_wkb(F.col("c_acctbal"), F.col("c_nationkey").cast("double")).alias("p"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from changeloom.sources.readers import upsert_sink
 
@@ -17,53 +18,76 @@ def keep_current(events: DataFrame, keys: list[str], path: str, checkpoint: str,
     return events.writeStream.foreachBatch(upsert_sink(path, keys, spark)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def numbered(events: DataFrame, tx: str = "tx_id") -> DataFrame:
-    """``total_order`` of each event in its transaction, over batches; a transaction's state ends after ten idle minutes."""
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ENDS = ("commit", "rollback")
+
+
+class _Numbers(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        given = pd.concat(list(rows)).sort_values(["seq", "ends"], kind="stable")
+        n, out = (self.count.get() or (0,))[0], []
+        for seq, ends in zip(given["seq"], given["ends"]):
+            n = 0 if ends else n + 1
+            if not ends:
+                out.append((key[0], seq, n))
+        if n:
+            self.count.update((n,))
+        else:
+            self.count.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["tx", "seq", "total_order"])
 
-    def number(key, batches, state: GroupState):
-        import pandas as pd
+    def close(self) -> None:
+        pass
 
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches)).sort_values("seq")
-        rows["total_order"] = range(n + 1, n + 1 + len(rows))
-        state.update((n + len(rows),))
-        state.setTimeoutDuration(600_000)
-        yield rows[[tx, "seq", "total_order"]]
 
-    return events.select(tx, "seq").groupBy(tx).applyInPandasWithState(number, f"{tx} long, seq long, total_order long", "n long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+def numbered(events: DataFrame, tx: str = "tx_id") -> DataFrame:
+    """``total_order`` of each event in its transaction, over batches.
+
+    Where rows have a ``kind``, one that commits or rolls back ends the transaction: it gets no number, and the state goes.  Nothing is
+    forgotten by time.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    ends = F.col("kind").isin(*ENDS) if "kind" in events.columns else F.lit(False)
+    rows = events.select(F.col(tx).alias("tx"), "seq", F.coalesce(ends, F.lit(False)).alias("ends"))
+    return rows.groupBy("tx").transformWithStateInPandas(_Numbers(), "tx long, seq long, total_order long", "Append", "None").withColumnRenamed("tx", tx)
+
+
+class _Held(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getListState("held", "seq long, payload string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        given = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        fresh = []
+        for seq, kind, payload in zip(given["seq"], given["kind"], given["payload"]):
+            if kind == "event":
+                fresh.append((seq, payload))
+                continue
+            if kind == "commit":
+                out = sorted([*self.held.get(), *fresh], key=lambda r: r[0])
+                if out:
+                    yield pd.DataFrame({"tx": key[0], "seq": [r[0] for r in out], "payload": [r[1] for r in out], "commit_seq": seq})
+            self.held.clear()
+            fresh = []
+        if fresh:
+            self.held.appendList(fresh)
+
+    def close(self) -> None:
+        pass
 
 
 def commit_buffer(log: DataFrame, tx: str = "tx_id") -> DataFrame:
     """Holds events (``kind`` event) until their transaction's ``commit`` row comes; ``rollback`` discards them.
 
-    Emits ``tx, seq, payload, commit_seq``; an abandoned transaction is dropped after an idle day.
+    Emits ``tx, seq, payload, commit_seq``.  What a transaction holds is a list in the state store that each trigger appends to.
     """
-
-    def hold(key, batches, state: GroupState):
-        import pandas as pd
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = list(zip(*state.get)) if state.exists else []
-        for rows in batches:
-            for r in rows.sort_values("seq").itertuples():
-                if r.kind == "event":
-                    held.append((r.seq, r.payload))
-                    continue
-                if r.kind == "commit" and held:
-                    yield pd.DataFrame({tx: key[0], "seq": [s for s, _ in sorted(held)], "payload": [p for _, p in sorted(held)], "commit_seq": r.seq})
-                held = []
-        if held:
-            state.update(tuple(map(list, zip(*held))))
-            state.setTimeoutDuration(86_400_000)
-        elif state.exists:
-            state.remove()
-
-    return log.select(tx, "seq", "kind", "payload").groupBy(tx).applyInPandasWithState(hold, f"{tx} long, seq long, payload string, commit_seq long", "seqs array<long>, payloads array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    rows = log.select(F.col(tx).alias("tx"), "seq", "kind", "payload")
+    return rows.groupBy("tx").transformWithStateInPandas(_Held(), "tx long, seq long, payload string, commit_seq long", "Append", "None").withColumnRenamed("tx", tx)
 
 
 def deduplicated_chunk(live: DataFrame, chunk: DataFrame, window: tuple[int, int], keys: list[str], emit: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:

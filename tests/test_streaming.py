@@ -42,6 +42,21 @@ def test_stateful_numbers_and_commit_buffer(spark, tmp_path):
     assert {(r.tx_id, r.seq): r.total_order for r in n.collect()} == {(1, 10): 1, (1, 12): 2, (2, 11): 1, (3, 15): 1}
 
 
+def test_transactions_over_several_triggers(spark, tmp_path):
+    kind = "tx_id long, seq long, kind string, payload string"
+    parts = [[(1, 1, "event", "a"), (2, 2, "event", "x"), (1, 3, "event", "b")], [(1, 4, "event", "c"), (2, 5, "rollback", None), (1, 6, "commit", None), (1, 7, "event", "d")], [(2, 8, "event", "y"), (1, 9, "commit", None), (2, 10, "commit", None), (3, 11, "event", "open")]]
+    src = str(tmp_path / "log")
+    for part in parts:
+        spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(src)
+        for f, name in ((stateful.commit_buffer, "held"), (stateful.numbered, "numbers")):
+            out = f(readers.stream(spark, src, kind))
+            out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"{name}-ckpt")).trigger(availableNow=True).start(str(tmp_path / name)).awaitTermination()
+    held = spark.read.parquet(str(tmp_path / "held")).orderBy("seq").collect()
+    assert [(r.tx_id, r.seq, r.payload, r.commit_seq) for r in held] == [(1, 1, "a", 6), (1, 3, "b", 6), (1, 4, "c", 6), (1, 7, "d", 9), (2, 8, "y", 10)]
+    numbers = spark.read.parquet(str(tmp_path / "numbers")).orderBy("seq").collect()
+    assert [(r.tx_id, r.seq, r.total_order) for r in numbers] == [(1, 1, 1), (2, 2, 1), (1, 3, 2), (1, 4, 3), (1, 7, 1), (2, 8, 1), (3, 11, 1)]
+
+
 def test_engine_builder_and_sinks(spark, tmp_path):
     log = order_log(spark, DATA)
     seen = []
