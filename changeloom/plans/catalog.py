@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions import scalars as S
+from changeloom.operators import carry as K
 from changeloom.operators import documents as D
 from changeloom.operators import envelope as E
 from changeloom.operators import filters as P
@@ -856,6 +857,19 @@ def _(spark, sf):
     return D.differences(o.selectExpr("CAST(k AS BIGINT) AS k", *_IMAGES), ["k"]).select("k", F.array_join("path", ".").alias("path"), "kind", "old", "new")
 
 
+@query(
+    "unchanged_values",
+    "SELECT seq, a_key AS key, last_value(price IGNORE NULLS) OVER w AS price, last_value(cust IGNORE NULLS) OVER w AS cust FROM (SELECT *, CASE WHEN op <> 'u' OR a_price <> b_price THEN CAST(a_price AS VARCHAR) END AS price, CASE WHEN op <> 'u' THEN CAST(a_cust AS VARCHAR) END AS cust FROM changelog WHERE tbl = 'orders' AND op <> 'd') "
+    "WINDOW w AS (PARTITION BY seq // 10 ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+)
+def _(spark, sf):
+    """Updates that hold only what changed; a row's history goes on when its key changes."""
+    left_out = lambda c, told: F.when(told, F.col(f"a_{c}").cast("string")).otherwise("__unchanged").alias(c)
+    whole = F.col("op") != "u"
+    d = flat_changelog(spark, sf).where("tbl = 'orders' and op <> 'd'").select("seq", F.col("a_key").alias("key"), F.col("b_key").alias("was"), left_out("price", whole | (F.col("a_price") != F.col("b_price"))), left_out("cust", whole))
+    return K.filled(d, ["key"], ["price", "cust"], "__unchanged", {"key": "was"}).drop("was")
+
+
 @query("swap_points")
 def _(spark, sf):
     c = _read(spark, sf, "customer").select("c_custkey", R.point_wkb(F.col("c_acctbal"), F.col("c_nationkey").cast("double")).alias("p"))

@@ -35,6 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(f"{shared_folder(df.sparkSession)}/checkpoints")
+    return df.checkpoint()
+
+
 class Folder:
     """A folder on whatever file system its path names."""
 
