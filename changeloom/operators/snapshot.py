@@ -244,6 +244,46 @@ def windows_from_transactions(marks: DataFrame, events: DataFrame, tx: str = "tx
     return out.where("high is not null").select(*marks.columns, "low", "high")
 
 
+def first_at_or_behind(events: DataFrame, asked: DataFrame, group: str, number: str, position: str, width: int = 65_536) -> DataFrame:
+    """``group, number`` of ``asked`` with ``at``: the smallest position among the group's events with that number or a larger one (none: no row).
+
+    A running minimum from the largest number down, in ranges of ``width`` numbers, joined with that of the ranges behind (one row a range).
+    """
+    firsts = events.groupBy(group, F.col(number).alias("_x")).agg(F.min(position).alias("_p"))
+    both = firsts.unionByName(asked.select(group, F.col(number).alias("_x")).distinct(), allowMissingColumns=True).withColumn("_g", F.floor(F.col("_x") / width))
+    behind = W.partitionBy(group).orderBy(F.desc("_g")).rowsBetween(W.unboundedPreceding, -1)
+    later = both.groupBy(group, "_g").agg(F.min("_p").alias("_m")).select(group, "_g", F.min("_m").over(behind).alias("_later"))
+    within = W.partitionBy(group, "_g").orderBy(F.desc("_x")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    found = both.withColumn("_at", F.min("_p").over(within)).join(later, [group, "_g"])
+    return found.groupBy(group, F.col("_x").alias(number)).agg(F.min(F.least("_at", "_later")).alias("at")).where("at is not null")
+
+
+def gtid_ends(marks: DataFrame, column: str) -> DataFrame:
+    """``chunk_id, server, end``: the last transaction of each server in a set such as ``a:1-9:12,b:1-3``."""
+    sets = F.filter(F.split(F.regexp_replace(column, r"\s", ""), ","), lambda x: x != "")
+    one = marks.select("chunk_id", F.explode(sets).alias("s")).select("chunk_id", F.lower(F.substring_index("s", ":", 1)).alias("server"), F.regexp_extract("s", r"(\d+)$", 1).cast("long").alias("end"))
+    return one.groupBy("chunk_id", "server").agg(F.max("end").alias("end"))
+
+
+def windows_from_gtids(marks: DataFrame, events: DataFrame) -> DataFrame:
+    """Windows where positions of several servers are ordered only among themselves: ``chunk_id, low, high``.
+
+    ``marks`` hold ``chunk_id, low_set, high_set``, the transactions executed before and after a chunk was read; ``events`` are ``server, number, seq``.  A window
+    opens before the first event beyond the low set, and closes at the largest, over all servers that went on, of the first positions that reach the server's
+    end in the high set.  Where no server went on it is empty; a chunk of which a server's end isn't in the log yet is left out.
+    """
+    events = events.select(F.lower("server").alias("server"), F.col("number").cast("long").alias("number"), "seq")
+    low, high = gtid_ends(marks, "low_set"), gtid_ends(marks, "high_set")
+    both = high.join(low.withColumnRenamed("end", "low_end"), ["chunk_id", "server"], "left").withColumn("low_end", F.coalesce("low_end", F.lit(0)))
+    opens, closes = both.withColumn("number", F.col("low_end") + 1), both.where("end > low_end").withColumn("number", F.col("end"))
+    asked = opens.select("server", "number").unionByName(closes.select("server", "number"))
+    at = first_at_or_behind(events, asked, "server", "number", "seq")
+    first = opens.join(at, ["server", "number"], "left").groupBy("chunk_id").agg((F.min("at") - 1).alias("low"))
+    last = closes.join(at, ["server", "number"], "left").groupBy("chunk_id").agg(F.max("at").alias("high"), F.max(F.col("at").isNull()).alias("_open"))
+    out = marks.select("chunk_id").join(first, "chunk_id", "left").join(last, "chunk_id", "left").where("not coalesce(_open, false)")
+    return out.select("chunk_id", "low", F.coalesce("high", "low").alias("high")).where("high is not null")
+
+
 def with_rereads(windows: DataFrame, changes: DataFrame) -> DataFrame:
     """Adds ``reread``: the schema of the chunk's table changed inside its window, whose rows are void then.
 

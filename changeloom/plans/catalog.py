@@ -870,6 +870,26 @@ def _(spark, sf):
     return K.filled(d, ["key"], ["price", "cust"], "__unchanged", {"key": "was"}).drop("was")
 
 
+_SETS = "SELECT c AS chunk_id, 's0:1-' || (c * 40 + 5) || ',s1:1-' || (c * 37 + 9) || CASE WHEN c % 3 = 0 THEN '' ELSE ',s2:1-' || (c * 41 + 1) END AS low_set, 's0:1-' || (c * 40 + 5 + CASE WHEN c % 5 = 4 THEN 0 ELSE 30 END) || ',s1:1-' || (c * 37 + 9 + CASE WHEN c % 5 = 4 THEN 0 ELSE c % 7 END) || ',s2:1-' || (c * 41 + CASE WHEN c % 5 = 4 AND c % 3 <> 0 THEN 1 ELSE 22 END) AS high_set"
+
+
+@query(
+    "gtid_windows",
+    f"WITH {LOG}, e AS (SELECT 's' || (tx_id % 3) AS server, tx_id // 3 + 1 AS number, seq FROM changelog), m AS ({_SETS} FROM (SELECT DISTINCT o_orderkey // 500 AS c FROM orders)), "
+    "x AS (SELECT chunk_id, side, split_part(s, ':1-', 1) AS server, CAST(split_part(s, ':1-', 2) AS BIGINT) AS n FROM (SELECT chunk_id, 'low' AS side, unnest(string_split(low_set, ',')) AS s FROM m UNION ALL SELECT chunk_id, 'high', unnest(string_split(high_set, ',')) FROM m)), "
+    "b AS (SELECT h.chunk_id, h.server, h.n AS hi, coalesce(l.n, 0) AS lo FROM x h LEFT JOIN x l ON l.side = 'low' AND l.chunk_id = h.chunk_id AND l.server = h.server WHERE h.side = 'high'), "
+    "t AS (SELECT server, number, min(m) OVER (PARTITION BY server ORDER BY number DESC) AS at_or_behind FROM (SELECT server, number, min(seq) AS m FROM e GROUP BY server, number)), "
+    "p AS (SELECT b.*, (SELECT at_or_behind FROM t WHERE t.server = b.server AND t.number >= b.lo + 1 ORDER BY t.number LIMIT 1) AS opens, (SELECT at_or_behind FROM t WHERE t.server = b.server AND t.number >= b.hi ORDER BY t.number LIMIT 1) AS closes FROM b) "
+    "SELECT CAST(chunk_id AS BIGINT) AS chunk_id, min(opens) - 1 AS low, coalesce(max(CASE WHEN hi > lo THEN closes END), min(opens) - 1) AS high FROM p GROUP BY 1 HAVING count(CASE WHEN hi > lo AND closes IS NULL THEN 1 END) = 0 AND coalesce(max(CASE WHEN hi > lo THEN closes END), min(opens) - 1) IS NOT NULL",
+    log=False,
+)
+def _(spark, sf):
+    """Windows of chunks by sets of transactions of three servers, of which one joins late and some stand still."""
+    e = flat_changelog(spark, sf).select(F.concat(F.lit("s"), (F.col("tx_id") % 3).cast("string")).alias("server"), (F.floor(F.col("tx_id") / 3) + 1).alias("number"), "seq")
+    marks = _read(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 500).alias("c")).distinct().selectExpr(*_SETS.removeprefix("SELECT ").replace(" AS chunk_id, ", " AS chunk_id\n").replace(" AS low_set, ", " AS low_set\n").split("\n"))
+    return N.windows_from_gtids(marks, e).select(F.col("chunk_id").cast("long").alias("chunk_id"), "low", "high")
+
+
 @query("swap_points")
 def _(spark, sf):
     c = _read(spark, sf, "customer").select("c_custkey", R.point_wkb(F.col("c_acctbal"), F.col("c_nationkey").cast("double")).alias("p"))

@@ -65,3 +65,29 @@ def test_types_are_widened_over_all_payloads(spark):
     b = [json.loads(r[0])["n"] for r in typed["b"].selectExpr("to_json(value)").collect()]
     assert "s" in b and {"deep": 1} in b  # what conflicts stays as it is
     assert typed["c"].count() == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_over_servers(spark, seed):
+    rnd = random.Random(seed)
+    at, events = {s: 0 for s in "abc"}, []
+    for seq in range(10, 900, 3):
+        s = rnd.choice("aab" if seq < 400 else "abc")
+        at[s] += rnd.choice([0, 1, 1])  # a transaction has several events
+        if at[s]:
+            events.append((s.upper(), at[s], seq))
+    text = lambda sets: ", ".join(f"{s}:1-{n}" if n > 1 else f"{s}:{n}" for s, n in sets.items() if n)
+    marks, want = [], {}
+    for chunk in range(40):
+        low = {s: rnd.randrange(0, at[s]) for s in "abc"}
+        high = {s: low[s] + rnd.choice([0, 0, 1, 5, 400 if chunk == 7 else 9]) for s in "abc"}
+        marks.append((chunk, text(low), text(high)))
+        first = lambda s, n: min((q for t, x, q in events if t == s.upper() and x >= n), default=None)
+        opens = [first(s, low[s] + 1) for s in "abc" if high[s]]
+        ends = [first(s, high[s]) for s in "abc" if high[s] > low[s]]
+        opened = min((o for o in opens if o is not None), default=None)
+        if None not in ends and (ends or opened is not None):
+            want[chunk] = (None if opened is None else opened - 1, max(ends) if ends else opened - 1)
+    d = spark.createDataFrame(marks, "chunk_id long, low_set string, high_set string")
+    e = spark.createDataFrame(events, "server string, number long, seq long")
+    assert {r.chunk_id: (r.low, r.high) for r in N.windows_from_gtids(d, e).collect()} == want
