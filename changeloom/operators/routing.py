@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +48,77 @@ def java_hash(c: Column, kind: str) -> Column:
     raise ValueError(f"no hash for {kind}")
 
 
-def murmur3_32(c: Column) -> Column:
-    """MurmurHash3 (x86, 32 bit, seed 42) by the engine's own function."""
-    return F.hash(c).cast("long")
+# Fixed values of the hash: seed, start of both halves, multipliers, steps of the halves and multipliers, finish.
+SEED = 9001
+HALVES = (0x9368E53C2F6AF274, 0x586DCD208F7CD3FD)
+MULTIPLIERS = (0x87C37B91114253D5, 0x4CF5AD432745937F)
+HALF_STEPS = (0x52DCE729, 0x38495AB5)
+MULTIPLIER_STEPS = (0x7B7D159C, 0x6BCE6396)
+FINISH = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def murmur3_of(values: list[bytes]) -> np.ndarray:
+    """MurmurHash3 (the early variant of 128 bits for 64-bit machines) of each value: the upper half of its first word.
+
+    A block of 16 bytes is mixed for all values that reach so far at once, the longest first; the arithmetic of numpy's
+    unsigned words wraps around as the hash needs.  The bytes of an incomplete block have signs, which reach over the bytes that follow.
+    """
+    size = np.array([len(v) for v in values], "int64")
+    order = np.argsort(-size, kind="stable")
+    start, size = (np.cumsum(size) - size)[order], size[order]
+    data = np.frombuffer(b"".join(values) + bytes(16), "uint8")
+    h1, h2 = (np.full(len(values), x ^ SEED, "uint64") for x in HALVES)
+    c1, c2 = MULTIPLIERS
+    place, reach = np.arange(16), np.searchsorted(-size, -np.arange(0, int(size.max(initial=0)), 16), side="left")
+    for i, n in enumerate(reach):  # the first n values are longer than 16 * i bytes
+        block = data[(start[:n] + 16 * i)[:, None] + place]
+        words = block.view("<u8").astype("uint64")
+        short = np.searchsorted(-size[:n], -16 * (i + 1), side="right")  # from here on the block is incomplete
+        if short < n:
+            byte = np.where(place < (size[short:n] - 16 * i)[:, None], block[short:], 0).astype("int8").astype("int64") << place % 8 * 8
+            words[short:] = np.bitwise_xor.reduce(byte.reshape(-1, 2, 8), axis=2).view("uint64")
+        m1, m2 = np.uint64(c1), np.uint64(c2)
+        a = (h1[:n] ^ _turned(words[:, 0] * m1, 23) * m2) + h2[:n]
+        b = (_turned(h2[:n], 41) ^ _turned(words[:, 1] * m2, 23) * m1) + a
+        h1[:n], h2[:n] = (x * np.uint64(3) + np.uint64(s) for x, s in zip((a, b), HALF_STEPS))
+        c1, c2 = ((c * 5 + s) % (1 << 64) for c, s in zip((c1, c2), MULTIPLIER_STEPS))
+    h2 ^= size.astype("uint64")
+    h1 += h2
+    h2 += h1
+    for h in (h1, h2):
+        for factor in FINISH:
+            h ^= h >> np.uint64(33)
+            h *= np.uint64(factor)
+        h ^= h >> np.uint64(33)
+    out = np.empty(len(values), "int64")
+    out[order] = ((h1 + h2) >> np.uint64(32)).astype("uint32").view("int32")
+    return out
+
+
+def murmur3(c: Column, kind: str) -> Column:
+    """``murmur3_of`` a column, as a long: texts as UTF-8, binary values as they are, other types by the four bytes of their JVM hash.
+
+    It goes through Arrow: as a Column, with products of 64 bits put together from halves, it took 350 microseconds a value.
+    """
+
+    @F.pandas_udf("long")
+    def hashed(values: pd.Series) -> pd.Series:
+        some = values.notna()
+        if kind == "string":
+            values = [v.encode() for v in values[some]]
+        elif kind == "binary":
+            values = [bytes(v) for v in values[some]]
+        else:
+            values = [v.to_bytes(4, "little", signed=True) for v in values[some].astype("int64").tolist()]
+        out = pd.Series(np.nan, some.index).astype("Int64")
+        out[some] = murmur3_of(values)
+        return out
+
+    return hashed(c if kind in ("string", "binary") else java_hash(c, kind))
 
 
 def to_partition(events: DataFrame, fields: list[str], partitions: int, function: str = "java") -> DataFrame:
@@ -62,7 +132,7 @@ def to_partition(events: DataFrame, fields: list[str], partitions: int, function
         side, _, name = f.partition(".")
         c = F.when(F.col("op") == "d", F.col(f"before.{name}")).otherwise(F.col(f"after.{name}")) if side == "change" else F.col(f)
         kind = events.select(c.alias("x")).schema[0].dataType.simpleString()
-        h = java_hash(c, kind) if function == "java" else murmur3_32(c)
+        h = java_hash(c, kind) if function == "java" else murmur3(c, kind)
         total, some = total + F.coalesce(h, F.lit(0)), some | c.isNotNull()
     low = total.bitwiseAND(F.lit(0x7FFFFFFF))
     return events.withColumn("partition", F.when(some, (F.when(low == 0x7FFFFFFF, 0).otherwise(low) % partitions).cast("int")))

@@ -322,9 +322,37 @@ def _(spark, sf):
     return G.to_partition(changelog(spark, sf), ["change.key", "change.status"], 12).select("seq", "partition")
 
 
-@query("partition_routing_murmur")
-def _(spark, sf):
-    return G.to_partition(changelog(spark, sf), ["change.key"], 12, "murmur").select("seq", "partition")
+def _murmur_sql() -> str:
+    """Partitions by the hash of a key (the four bytes of its JVM hash) and a status (one byte), in integers of 128 bits."""
+    word = lambda x: f"(({x}) % 18446744073709551616)"
+    turned = lambda x, n: f"({word(f'{x} * {1 << n}::UHUGEINT')} + {x} // {1 << (64 - n)}::UHUGEINT)"
+    u = lambda x: f"{x}::UHUGEINT"
+    (a, b), (c, d), (e, f) = [x ^ G.SEED for x in G.HALVES], G.MULTIPLIERS, G.HALF_STEPS
+    # one incomplete block: its second word is zero, so the second half turns only
+    second = ((b << 41) | (b >> 23)) % (1 << 64)
+    steps = ["k * " + u(c), turned("x", 23), "x * " + u(d), f"xor(x, {u(a)}) + {u(b)}"]
+    ctes = [
+        "v AS (SELECT seq, unnest([{'n': 4, 'v': xor(k, k >> 32) & 4294967295}, {'n': 1, 'v': ascii(s)::BIGINT}], recursive := true), k IS NULL AND s IS NULL AS none, s IS NULL AS bare FROM (SELECT seq, CASE WHEN op = 'd' THEN b_key ELSE a_key END AS k, CASE WHEN op = 'd' THEN b_status ELSE a_status END AS s FROM changelog))",
+        # bytes have signs
+        "w AS (SELECT seq, n, list_reduce([CASE WHEN i < n THEN (CASE WHEN (v >> (8 * i)) & 255 > 127 THEN 18446744073709551616::HUGEINT - (256 - ((v >> (8 * i)) & 255)) * (1::HUGEINT << (8 * i)) ELSE ((v >> (8 * i)) & 255)::HUGEINT * (1::HUGEINT << (8 * i)) END) ELSE 0::HUGEINT END FOR i IN range(4)], lambda p, q: xor(p, q))::UHUGEINT AS k FROM v WHERE v IS NOT NULL AND NOT (n = 1 AND bare))",
+    ]
+    last = "w"
+    for i, step in enumerate(steps):
+        ctes.append(f"s{i} AS (SELECT seq, n, {word(step)} AS x FROM {last})")
+        last = f"s{i}"
+    ctes.append(f"h AS (SELECT seq, {word(f'x * 3 + {u(e)}')} AS h1, xor({word(f'({word(f"x + {u(second)}")}) * 3 + {u(f)}')}, n::UHUGEINT) AS h2 FROM {last})")
+    ctes.append(f"t AS (SELECT seq, {word('h1 + h2')} AS h1, h2 FROM h)")
+    ctes.append(f"f0 AS (SELECT seq, h1, {word('h1 + h2')} AS h2 FROM t)")
+    shifted = lambda x: f"xor({x}, {x} // {1 << 33}::UHUGEINT)"
+    for i, factor in enumerate(G.FINISH):
+        ctes.append(f"f{i + 1} AS (SELECT seq, {', '.join(word(f'{shifted(h)} * {u(factor)}') + f' AS {h}' for h in ('h1', 'h2'))} FROM f{i})")
+    ctes.append(f"z AS (SELECT seq, sum(({word(shifted('h1') + ' + ' + shifted('h2'))} // 4294967296::UHUGEINT)::BIGINT)::BIGINT & 2147483647 AS h FROM f2 GROUP BY seq)")
+    return f"WITH {LOG}, " + ", ".join(ctes) + " SELECT seq, CAST(CASE WHEN h = 2147483647 THEN 0 ELSE h END % 12 AS INTEGER) AS partition FROM changelog LEFT JOIN z USING (seq)"
+
+
+@query("partition_routing_murmur", _murmur_sql())
+def _(spark, sf):
+    return G.to_partition(changelog(spark, sf), ["change.key", "change.status"], 12, "murmur").select("seq", "partition")
 
 
 _OUTBOX = "SELECT event_id AS seq, 'outbox.event.' || event_type AS topic, user_id AS key, props AS value, CAST(event_id AS VARCHAR) AS h_id, event_type AS h_type, epoch_us(ts) // 1000 AS ts_ms FROM events WHERE event_id % 10 <> 3"
