@@ -6,14 +6,15 @@ sends one row a task.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows of a table's log that one task puts in batches, about.
-PIECE_ROWS = 50_000
+from changeloom.sources.shared import checkpointed
+
+#: Rows of the log that one task puts in batches, about, and pieces whose ways are composed at once.
+PIECE_ROWS, PIECE_FAN = 50_000, 64
 
 
 def order_of(events: DataFrame) -> Column:
@@ -79,47 +80,78 @@ def missing_columns(base: DataFrame, rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c.lower() not in have]
 
 
-def passthrough_batches(events: DataFrame, keys: list[str], table: str = "tbl", most: int | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def _follow(ways: list, began: int, batch: int) -> tuple[int, int]:
+    """Where the open batch begins, and its number, behind a piece."""
+    way = next((w for w in ways if w[0] >= began), None)
+    return (int(way[1]), batch + int(way[2])) if way is not None else (began, batch)
+
+
+def _shortest(ways: list) -> list:
+    """Neighbours that lead to the same place as one."""
+    out = []
+    for way in ways:
+        if out and out[-1][1:] == way[1:]:
+            out.pop()
+        out.append(way)
+    return out
+
+
+def _composed(first: int, pieces: list[list]) -> list:
+    """The ways through pieces that follow one another, for batches that begin before ``first``."""
+    out = []
+    for ways in pieces:
+        out = [[w[0], *_follow(ways, w[1], w[2])] for w in out]
+        for w in ways:  # batches that no piece has ended so far
+            if out and out[-1][0] >= first - 1:
+                break
+            if not out or w[0] > out[-1][0]:
+                out.append([int(x) for x in w])
+        out = _shortest(out)
+    return out
+
+
+def passthrough_batches(events: DataFrame, keys: list[str], table: str = "tbl", most: int | None = None, piece_rows: int = PIECE_ROWS, fan: int = PIECE_FAN) -> DataFrame:
     """Adds ``batch``: a batch ends before a key would repeat, before and after a truncate, or at ``most`` rows.
 
-    A table's log is cut by ``seq`` into pieces of some ``piece_rows`` rows.  What a batch that is open at the
-    start of a piece becomes depends only on the place of its first row: each piece tells where its last batch
-    begins for every such place (at most ``most`` of them, or the rows before a key repeats in it), the driver
-    goes through these short lists piece by piece, and then all pieces are numbered at once.
+    The log is cut by position into pieces of some ``piece_rows`` rows.  What a batch that is open at the start of a piece
+    becomes depends only on the place of its first row, so each piece tells where its last batch begins for every such place: a list of
+    at most ``most`` ways (or the rows before a key repeats in it).  The lists of ``fan`` pieces that follow one another are composed into one, and so on up a tree;
+    then each group hands the batch that is open at its start down to its pieces, and all pieces are numbered at once.
+    The driver learns the number of pieces, nothing of their content.  Rows of equal position are told apart by operation and key.
     """
     at = [F.coalesce(F.col("seq"), F.lit((1 << 63) - 1)).alias("_s"), *([F.col("sub").alias("_sub")] if "sub" in events.columns else [])]
-    keyed = events.select(table, "seq", "op", F.concat_ws("|", *[c.cast("string") for c in row_key(keys)]).alias("_k"), *at)
+    keyed = events.select(F.col(table).alias("_t"), "seq", "op", F.concat_ws("|", *[c.cast("string") for c in row_key(keys)]).alias("_k"), *at)
     order = [*keyed.columns[4:], "op", "_k"]
-    keyed = keyed.withColumn("_p", _piece(keyed, table, piece_rows))
-    starts, before, rows, barrier = {}, {}, 0, None
-    sizes = keyed.groupBy(table, "_p").agg(F.count(F.lit(1)).alias("n"), F.max_by("op", F.struct(*order)).alias("op")).collect()
-    for r in sorted(sizes, key=lambda r: (r[0] is not None, r[0] or "", r["_p"])):
-        if r[0] not in before:
-            rows, barrier = 0, "t"  # the first row of a table begins a batch
-        starts[r[0], r["_p"]], before[r[0]] = (rows, barrier == "t"), True
-        rows, barrier = rows + r["n"], r["op"]
-
-    ranked = keyed.withColumn("_n", F.row_number().over(W.partitionBy(table, "_p").orderBy(*order)).cast("long") - 1).select(table, "_p", "_n", "_k", "seq", "op")
+    number = max(1, -(-keyed.count() // piece_rows))
+    # written down, so that bounds and numbers of pieces stay what they are when a task is run again
+    keyed = checkpointed(keyed.repartitionByRange(number, "_t", *order).withColumn("_p", F.spark_partition_id().cast("long")))
+    here = W.partitionBy("_t").orderBy("_p")  # one row a piece
+    sizes = keyed.groupBy("_t", "_p").agg(F.count(F.lit(1)).alias("n"), F.max_by("op", F.struct(*order)).alias("op"))
+    starts = sizes.select(
+        F.col("_t").alias("_u"), F.col("_p").alias("_q"), (F.row_number().over(here) - 1).cast("long").alias("_i"),
+        F.coalesce(F.sum("n").over(here.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_first"), F.coalesce(F.lag("op").over(here) == "t", F.lag("_p").over(here).isNull()).alias("_forced"),
+    )
+    starts = checkpointed(starts)
+    place = F.row_number().over(W.partitionBy("_t", "_p").orderBy(*order)) - 1
+    ranked = keyed.select("_t", "_p", "_k", "seq", "op", place.cast("long").alias("_n")).join(starts, F.col("_t").eqNullSafe(F.col("_u")) & (F.col("_p") == F.col("_q")))
+    ranked = ranked.select("_t", "_i", "_k", "seq", "op", (F.col("_n") + F.col("_first")).alias("_n"), "_forced")
     # the row before of the same key, where it stands in an earlier piece: one row a key and piece
-    ends = ranked.groupBy(table, "_p", "_k").agg(F.max("_n").alias("_n"))
-    earlier = ends.withColumn("_e", F.lag(F.struct("_p", "_n")).over(W.partitionBy(table, "_k").orderBy("_p"))).where("_e is not null").select(table, "_p", "_k", F.col("_e._p").alias("_ep"), F.col("_e._n").alias("_en"))
-    pieces = ranked.groupBy(table, "_p").cogroup(earlier.groupBy(table, "_p"))
+    ends = ranked.groupBy("_t", "_i", "_k").agg(F.max("_n").alias("_n"))
+    earlier = ends.select("_t", "_i", "_k", F.lag("_n").over(W.partitionBy("_t", "_k").orderBy("_i")).alias("_e")).where("_e is not null")
+    earlier = earlier.select(F.col("_t").alias("_x"), F.col("_i").alias("_y"), F.col("_k").alias("_k"), "_e").groupBy("_x", "_y")
 
-    def laid_out(piece, rows, old):
+    def laid_out(rows, old):
         """The rows in order, the place of the first, each row's place of the same key before (or -1), and where a batch must begin."""
-        first, forced = starts[piece]
         rows = rows.sort_values("_n")
-        known = {k: starts[piece[0], p][0] + n for k, p, n in zip(old["_k"], old["_ep"], old["_en"])}
-        prev = []
+        first, known, prev = int(rows["_n"].iloc[0]), dict(zip(old["_k"], old["_e"].tolist())), []
         for i, k in enumerate(rows["_k"], first):
             prev.append(known.get(k, -1))
             known[k] = i
         cut = (rows["op"] == "t").tolist()
-        return rows, first, prev, [a or b for a, b in zip(cut, [forced, *cut])]
+        return rows, first, prev, [a or b for a, b in zip(cut, [bool(rows["_forced"].iloc[0]), *cut])]
 
     def told(piece, rows, old):
-        piece = piece[0], int(piece[1])
-        _, first, prev, cut = laid_out(piece, rows, old)
+        _, first, prev, cut = laid_out(rows, old)
         n, again = len(prev), {p: first + i for i, p in enumerate(prev)}
         end, count, last = first + n, [0] * n, list(range(first, first + n))
         until = end  # the end of a batch that begins at row i
@@ -134,58 +166,48 @@ def passthrough_batches(events: DataFrame, keys: list[str], table: str = "tbl",
             # a batch that began at or before this place ends before row i
             reach = first - 1 if cut[i] else min(first - 1, max(prev[i], first + i - most if most else -1))
             if reach > top:
-                top, goes = reach, (last[i], 1 + count[i])
-                out = [*out[:-1], (top, *goes)] if out and out[-1][1:] == goes else [*out, (top, *goes)]
+                top = reach
+                out.append([top, last[i], 1 + count[i]])
             if top == first - 1:
                 break
-        return pd.DataFrame({"tbl": [piece[0]], "p": [piece[1]], "ways": [[list(x) for x in out]]})
-
-    ways = {(r["tbl"], r["p"]): r["ways"] for r in pieces.applyInPandas(told, "tbl string, p long, ways array<array<long>>").collect()}
-    opened = {}
-    for piece in starts:  # in order
-        if starts[piece] == (0, True):
-            state = -1, -1
-        opened[piece] = state
-        began, batch = state
-        if way := next((w for w in ways[piece] if w[0] >= began), None):
-            state = way[1], batch + way[2]
+        return pd.DataFrame({"_t": [piece[0]], "_i": [piece[1]], "_first": [first], "ways": [_shortest(out)]})
+
+    def up(group, below):
+        below = below.sort_values("_i")
+        first = int(below["_first"].iloc[0])
+        return pd.DataFrame({"_t": [group[0]], "_i": [group[1]], "_first": [first], "ways": [_composed(first, [list(w) for w in below["ways"]])]})
+
+    def down(group, below):
+        below = below.sort_values("_i")
+        state, out = (int(below["_began"].iloc[0]), int(below["_batch"].iloc[0])), []
+        for ways in below["ways"]:
+            out.append(state)
+            state = _follow(list(ways), *state)
+        return pd.DataFrame({"_t": [group[0]] * len(out), "_i": below["_i"].tolist(), "_began": [s[0] for s in out], "_batch": [s[1] for s in out]})
+
+    listed, kinds = "_t string, _i long, _first long, ways array<array<long>>", "_t string, _i long, _began long, _batch long"
+    parent = F.floor(F.col("_i") / fan)
+    levels = [checkpointed(ranked.groupBy("_t", "_i").cogroup(earlier).applyInPandas(told, listed))]
+    while number > fan:
+        levels.append(checkpointed(levels[-1].groupBy("_t", parent.alias("_i")).applyInPandas(up, listed)))
+        number = -(-number // fan)
+    opened = levels[-1].select("_t", F.lit(0).alias("_i"), F.lit(-1).alias("_began"), F.lit(-1).alias("_batch")).distinct()
+    for level in reversed(levels):
+        above = opened.select(F.col("_t").alias("_u"), F.col("_i").alias("_j"), "_began", "_batch")
+        opened = level.join(above, F.col("_t").eqNullSafe(F.col("_u")) & (parent == F.col("_j"))).drop("_u", "_j").groupBy("_t", parent).applyInPandas(down, kinds)
+    opened = checkpointed(opened).withColumnsRenamed({"_t": "_u", "_i": "_j"})
 
     def run(piece, rows, old):
-        piece = piece[0], int(piece[1])
-        rows, first, prev, cut = laid_out(piece, rows, old)
-        (began, batch), out = opened[piece], []
+        rows, first, prev, cut = laid_out(rows, old)
+        began, batch, out = int(rows["_began"].iloc[0]), int(rows["_batch"].iloc[0]), []
         for i, (p, c) in enumerate(zip(prev, cut), first):
             if c or p >= began or (most and i - began >= most):
                 began, batch = i, batch + 1
             out.append(batch)
-        return rows[[table, "seq", "op"]].assign(batch=out)
-
-    return pieces.applyInPandas(run, f"{table} string, seq long, op string, batch long")
-
-
-def _piece(keyed: DataFrame, table: str, piece_rows: int) -> Column:
-    """The number of the piece of its table that a row's ``_s`` lies in: bounds are approximate quantiles."""
-    counts = {r[0]: r["n"] for r in keyed.groupBy(table).agg(F.count(F.lit(1)).alias("n")).collect()}
-    most = -(-max(counts.values(), default=0) // piece_rows)
-    bounds = {}
-    if most > 1:
-        cuts = F.array(*[F.lit(i / most) for i in range(1, most)])
-        large = keyed.groupBy(table).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_s", cuts, F.lit(max(10_000, 20 * most))).alias("b")).where(F.col("n") > piece_rows)
-        for r in large.collect():
-            step = most / -(-r["n"] // piece_rows)
-            bounds[r[0]] = sorted({r["b"][max(0, round(i * step) - 1)] for i in range(1, -(-r["n"] // piece_rows))})
-    if not bounds:
-        return F.lit(0).cast("long")
-
-    @F.pandas_udf("long")
-    def piece(tables: pd.Series, places: pd.Series) -> pd.Series:
-        out = pd.Series(0, places.index, "int64")
-        for t in tables.unique():
-            here = tables.isna() if t is None else tables == t
-            out[here] = np.searchsorted(np.array(bounds.get(t, []), "int64"), places[here].to_numpy(), side="right")
-        return out
-
-    return piece(F.col(table), F.col("_s"))
+        return rows[["_t", "seq", "op"]].assign(batch=out)
+
+    ready = ranked.join(opened, F.col("_t").eqNullSafe(F.col("_u")) & (F.col("_i") == F.col("_j"))).drop("_u", "_j")
+    return ready.groupBy("_t", "_i").cogroup(earlier).applyInPandas(run, "_t string, seq long, op string, batch long").withColumnRenamed("_t", table)
 
 
 def split_errors(rows: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -133,7 +133,21 @@ def _(spark, sf):
     return spark.read.parquet(f"{home}/out").select("tbl", "pos", "serial", "op")
 
 
-@query("passthrough_batches")
+def _batches_sql(most: int, doublings: int = 22) -> str:
+    """Each row leads to the first row of the next batch; the rows that are reached from the first one, by ways of doubled length, begin batches."""
+    ctes = [
+        "n AS MATERIALIZED (SELECT *, lead(i) OVER (PARTITION BY k ORDER BY i) AS again FROM (SELECT seq, op, coalesce(a_key, b_key) AS k, row_number() OVER (ORDER BY seq) - 1 AS i FROM changelog WHERE tbl = 'orders'))",
+        f"j0 AS MATERIALIZED (SELECT i, least(i + {most}, min(again) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS o FROM n)",
+    ]
+    for d in range(doublings - 1):
+        ctes.append(f"j{d + 1} AS MATERIALIZED (SELECT a.i, b.o FROM j{d} a JOIN j{d} b ON a.o = b.i)")
+    ctes.append(f"r{doublings} AS (SELECT 0::BIGINT AS i)")
+    for d in reversed(range(doublings)):
+        ctes.append(f"r{d} AS MATERIALIZED (SELECT i FROM r{d + 1} UNION SELECT o FROM r{d + 1} JOIN j{d} USING (i) WHERE o IS NOT NULL)")
+    return f"WITH {LOG}, " + ", ".join(ctes) + " SELECT 'orders' AS tbl, seq, op, count(r0.i) OVER (ORDER BY n.i) - 1 AS batch FROM n LEFT JOIN r0 ON n.i = r0.i"
+
+
+@query("passthrough_batches", _batches_sql(500))
 def _(spark, sf):
     return M.passthrough_batches(order_log(spark, sf), KEYS, most=500)
 

@@ -51,6 +51,6 @@ def test_passthrough_batches_in_pieces(spark, most, keys):
     image = lambda k: None if k is None else (k,)
     log = spark.createDataFrame([(s, t, op, None, image(k)) for t, x in rows.items() for s, op, k in x], "seq long, tbl string, op string, before struct<key:long>, after struct<key:long>").repartition(5)
     got = {}
-    for r in M.passthrough_batches(log, ["key"], most=most, piece_rows=11).collect():
+    for r in M.passthrough_batches(log, ["key"], most=most, piece_rows=11, fan=3 if keys == 60 else 64).collect():
         got.setdefault(r.tbl, {})[r.seq] = r.batch
     assert got == {t: in_order(x, most) for t, x in rows.items()}
