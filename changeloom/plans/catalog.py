@@ -27,6 +27,7 @@ from changeloom.plans.changelog import LOG, SPLIT, changelog, flat_changelog, or
 from changeloom.sources import buckets as B
 from changeloom.sources import positions as L
 from changeloom.sources import readers as C
+from changeloom.streaming import progress as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -133,6 +134,28 @@ def _(spark, sf):
     return spark.read.parquet(f"{home}/out").select("tbl", "pos", "serial", "op")
 
 
+@query(
+    "stream_progress",
+    "SELECT count(*) AS n, " + ", ".join(f"count_if(op = '{o}') AS n_{o}" for o in O.OPERATIONS) + ", min(seq) AS min_seq, max(seq) AS max_seq, min(seq % 97) AS min_lag, max(seq % 97) AS max_lag, sum(seq % 97) / count(*) AS avg_lag FROM changelog",
+)
+def _(spark, sf):
+    """The whole log as a stream in several batches; what its batches reported, added up."""
+    home = f"{B.shared_folder(spark)}/stream_progress-{uuid.uuid4().hex}"
+    log = changelog(spark, sf)
+    log.write.parquet(f"{home}/log")
+    watch = O.ProgressTable(spark, f"{home}/progress")
+    spark.streams.addListener(watch)
+    try:
+        stream = C.stream(spark, f"{home}/log", log.schema, max_files=4)
+        run = O.observed(stream).writeStream.format("noop").option("checkpointLocation", f"{home}/offsets").trigger(availableNow=True).start()
+        run.awaitTermination()
+        if not watch.wait(str(run.runId)):
+            raise TimeoutError("the stream's last report did not come")
+    finally:
+        spark.streams.removeListener(watch)
+    return O.totals(watch.read().where(F.col("run") == str(run.runId))).drop("query", "batches")
+
+
 def _batches_sql(most: int, doublings: int = 22) -> str:
     """Each row leads to the first row of the next batch; the rows that are reached from the first one, by ways of doubled length, begin batches."""
     ctes = [
