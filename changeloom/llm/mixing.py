@@ -14,7 +14,8 @@ The rank at which a source is cut is found without sorting a source in one task:
 ``rows / BINS ** 2`` rows.
 
 Defined results: a null or empty text has size 0 and takes 0; null is a source of its own and comes
-last; repeated rows draw the same number and are all taken or none (where the cut falls on them, all are); an empty
+last; repeated rows draw the same number and are all taken or none (where the cut falls on them, all are),
+but in the query rows without an id, or that share one, are numbered and draw one by one; an empty
 table gives no rows; other columns pass through and may have any names, as may the columns made here.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, read, small_side, unit_hash, word_count
+from changeloom.llm.common import checkpointed, identified, read, small_side, unit_hash, word_count
 
 BINS = 2048
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -115,7 +116,8 @@ def pareto_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", siz
 
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = read(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
-    return pareto_mix(narrow).select("doc_id", "size", "source_size", "target", "taken")
+    named, _ = identified(narrow)  # rows without an id, or that share one, draw one by one
+    return pareto_mix(named, "row_id").select("doc_id", "size", "source_size", "target", "taken")
 
 
 #: The same mix as one statement: sources ranked and filled by windows, the cut found by running words.

@@ -9,7 +9,8 @@ row's rank is its place in its bin plus the rows of the bins before, so a source
 of all rows is spread over many tasks.
 
 Defined results: a null source is a stratum of its own, a null text has size 1 and crc32 0, equal
-texts are not kept together (law ``rows``), repeated rows are placed one after the other, an empty
+texts are not kept together (law ``rows``), repeated rows are placed one after the other (in the query
+rows without an id, or that share one, are numbered and placed one by one), an empty
 table gives no rows, other columns (sortable ones) pass through and may have any names.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import checkpointed, read, small_side, unit_hash
+from changeloom.llm.common import checkpointed, identified, read, small_side, unit_hash
 
 #: Rows that one bin holds on average once there are more than MIN_BINS such bins.
 BIN_ROWS = 250_000
@@ -61,6 +62,7 @@ def interleave(df: DataFrame, key: str, source: str, shards: int, seed: int = 17
 def op4_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     narrow = read(spark, sf_dir, "documents").select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    return interleave(narrow, "doc_id", "source", 16).select(
+    named, _ = identified(narrow)  # rows without an id, or that share one, are placed one by one
+    return interleave(named, "row_id", "source", 16).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

@@ -130,3 +130,16 @@ def test_shards_of_odd_tables(spark):
 def test_crc_is_of_utf8(spark):
     df = spark.createDataFrame([("é",)], "text string").select(F.crc32(F.col("text").cast("binary")))
     assert df.first()[0] == zlib.crc32("é".encode())
+
+
+def test_rows_without_an_id_are_taken_and_placed_one_by_one(spark, tmp_path):
+    rows = [(None, "a", "w " * 25)] * 900 + [(7, "a", "w " * 25)] * 600 + [(100 + i, "b", "v " * 60) for i in range(900)]
+    pd.DataFrame(rows, columns=["doc_id", "source", "text"]).astype({"doc_id": "Int64"}).to_parquet(tmp_path / "documents.parquet")
+    out = mixing.op3_pareto_mix(spark, str(tmp_path)).collect()
+    want, taken = fill({"a": 37_500, "b": 54_000}), Counter()
+    for r in out:
+        taken[25 if r["size"] == 25 else 60] += r.taken
+    assert len(out) == 2400 and abs(taken[25] - want["a"]) <= 25 and abs(taken[60] - want["b"]) <= 60
+    shards = sharding.op4_interleaved_shards(spark, str(tmp_path)).collect()
+    assert Counter(r.shard for r in shards) == {k: 150 for k in range(16)} and len({(r.shard, r.slot) for r in shards}) == 2400
+    assert {r.doc_id for r in shards} == {None, 7, *range(100, 1000)}
