@@ -32,10 +32,7 @@ from changeloom.llm.common import alone, crc32_of, kept_by, read
 
 #: At most so many labelled rows are learned from (those with the smallest hashes).
 SAMPLE_ROWS = 12_000
-#: Of the sample's tokens those in at least so many documents are scored, and at most so many (with the largest absolute z).
-LEAST_DOCUMENTS = 3
-LEXICON = 20_000
-#: A token needs this standardised log-odds ratio.
+#: A token of the sample is scored if its log-odds ratio, standardised, is as large as this; nothing else decides.
 SIGNIFICANT_Z = 4.0
 #: Weight of the prior as a share of all tokens counted.
 PRIOR_SHARE = 0.05
@@ -48,6 +45,8 @@ SIGNIFICANT_SEGMENT = 3.0
 
 #: Largest scale of the extreme-value law (reached where toxic tokens never stand in clean texts).
 MOST_LAMBDA = 4.0
+#: Random walks, and their steps, that the size of that law is taken from.
+WALKS, WALK_STEPS = 4000, 2000
 #: Segment scores above this are equally certain.
 SATURATED = 12.0
 
@@ -141,7 +140,12 @@ class Model:
 
 
 def karlin(weights: np.ndarray, p: np.ndarray) -> tuple[float, float]:
-    """``lambda`` solves ``sum p * exp(lambda * s) = 1``; K by the usual approximation from the relative entropy."""
+    """Scale and size of the extreme-value law: a text of n tokens has ``K * n * exp(-lambda * x)`` segments above x by chance.
+
+    ``lambda`` solves ``sum p * exp(lambda * s) = 1``.  For scores of no common step
+    ``K = exp(-2 * sum over k of (P(S_k >= 0) + P*(S_k < 0)) / k) / (lambda * E*[s])``, where ``S_k`` is the sum of k scores and the star means scores
+    weighed by ``exp(lambda * s)``; both chances are those of seeded random walks.
+    """
     if not (weights > 0).any() or (weights * p).sum() >= 0:
         return 1.0, 0.1
     low, high = 1e-6, MOST_LAMBDA
@@ -149,8 +153,15 @@ def karlin(weights: np.ndarray, p: np.ndarray) -> tuple[float, float]:
         mid = (low + high) / 2
         low, high = (mid, high) if (p * np.exp(np.minimum(mid * weights, 700))).sum() < 1 else (low, mid)
     lam = (low + high) / 2
-    entropy = float((p * np.exp(np.minimum(lam * weights, 700)) * lam * weights).sum())
-    return lam, max(min(entropy * 0.1, 1.0), 1e-3)
+    tilted = p * np.exp(np.minimum(lam * weights, 700))
+    plain, tilted = np.cumsum(p / p.sum()), tilted / tilted.sum()
+    entropy, raised, rng = float((tilted * lam * weights).sum()), np.cumsum(tilted), np.random.default_rng(8)
+    up, down, chances = np.zeros(WALKS), np.zeros(WALKS), 0.0
+    for k in range(1, WALK_STEPS + 1):
+        for walk, chance in ((up, plain), (down, raised)):
+            walk += weights[np.minimum(np.searchsorted(chance, rng.random(WALKS), side="right"), len(weights) - 1)]
+        chances += ((up >= 0).mean() + (down < 0).mean()) / k
+    return lam, max(math.exp(-2 * chances) / entropy, 1e-6)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.5) -> np.ndarray:
@@ -191,7 +202,6 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counts = rows.select(text, "_y").mapInArrow(count, "w string, y int, n long").groupBy("w").agg(
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b")
     )
-    counts = counts.where(F.col("a") + F.col("b") >= LEAST_DOCUMENTS)
     whole = ~F.col("w").endswith("*")
     total = counts.where(whole).agg(F.sum("a"), F.sum("b")).first()
     if not total or not total[0] or not total[1]:
@@ -202,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     ya, yb = F.col("a") + prior, F.col("b") + prior
     odds = F.log(ya / (na + weight - ya)) - F.log(yb / (nb + weight - yb))
     z = odds / F.sqrt(1 / ya + 1 / yb)
-    lexicon = counts.select("w", odds.alias("odds"), z.alias("z"), ((F.col("b") + 0.5) / nb).alias("p")).where(F.abs("z") >= SIGNIFICANT_Z).orderBy(F.abs("z").desc(), "w").limit(LEXICON).collect()
+    lexicon = counts.select("w", odds.alias("odds"), z.alias("z"), ((F.col("b") + 0.5) / nb).alias("p")).where(F.abs("z") >= SIGNIFICANT_Z).orderBy(F.abs("z").desc(), "w").collect()  # of the bounded sample's tokens
     model = Model({r.w: (float(r.odds), float(r.z)) for r in lexicon})
     if not any(v > 0 for v, _ in model.weights.values()):
         return Model()

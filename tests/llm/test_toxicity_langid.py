@@ -170,6 +170,15 @@ def test_log_odds_and_calibration_equal_brute_force(spark):
     weights, p = np.array([2.0, -1.0, -0.3]), np.array([0.1, 0.3, 0.6])
     lam, _ = toxicity.karlin(weights, p)
     assert abs((p * np.exp(lam * weights)).sum() - 1) < 1e-9
+    # K by the mean of the largest segments of random texts, which is (log(K * n) + Euler's constant) / lambda
+    rng = np.random.default_rng(3)
+    for weights, p in ((np.array([1.37, -0.61, -0.29]), np.array([0.15, 0.35, 0.5])), (np.array([3.17, -0.05]), np.array([0.002, 0.998]))):
+        lam, k = toxicity.karlin(weights, p)
+        n, run, best = 20_000, np.zeros(1000), np.zeros(1000)
+        for _ in range(n):
+            run = np.maximum(run + weights[np.searchsorted(np.cumsum(p), rng.random(1000) * p.sum())], 0)
+            best = np.maximum(best, run)
+        assert abs(best.mean() * lam - 0.5772 - np.log(k * n)) < 0.35
     x = np.random.default_rng(1).normal(size=(200, 2))
     y = (x[:, 0] + np.random.default_rng(2).normal(size=200) > 0).astype(float)
     w = toxicity.logistic(x, y, ridge=0.0)
