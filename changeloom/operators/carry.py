@@ -11,19 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.operators.snapshot import by_bounds
+from changeloom.operators.ranges import RANGE_ROWS
+from changeloom.operators.ranges import ranges as _ranges
 from changeloom.sources.buckets import checkpointed
 
-#: Rows of the log in one range of positions, about.
-RANGE_ROWS = 250_000
-
-
-def _ranges(rows: DataFrame, at: str, range_rows: int) -> Column:
-    """The number of the range of positions that a row lies in; bounds are approximate quantiles."""
-    n = -(-rows.count() // range_rows)
-    bounds = sorted(set(rows.agg(F.percentile_approx(at, F.array(*[F.lit(i / n) for i in range(1, n)]), F.lit(max(10_000, 20 * n)))).first()[0] or [])) if n > 1 else []
-    return by_bounds(F.col(at), [F.lit(b) for b in bounds])
-
 
 def _carried(rows: DataFrame, keys: list[str], columns: list[str], at: str) -> DataFrame:
     """``rows`` (with ``_g``, their range) whose columns, structs or null where unknown, hold the last known value."""

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeloom.operators.history import for_events
+from changeloom.operators.ranges import by_bounds
 
 MARKERS = ("first", "first_in_data_collection", "true", "last_in_data_collection", "last")
 
@@ -139,14 +140,6 @@ def boundaries(rows: DataFrame, key: str, chunks: int, exact: bool = False) -> l
     return sorted({between(p) for p in places})
 
 
-def by_bounds(key: Column, bounds: list[Column], first: int = 0) -> Column:
-    """How many of the ascending ``bounds`` are at or below the key (plus ``first``), by halving: a row is compared log2 times."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(key < bounds[middle], by_bounds(key, bounds[:middle], first)).otherwise(by_bounds(key, bounds[middle + 1 :], first + middle + 1))
-
-
 def with_chunks(rows: DataFrame, key: str, lower_bounds: list) -> DataFrame:
     """Adds ``chunk``: the number of inclusive lower bounds at or below the key."""
     chunk = F.when(F.col(key).isNull(), F.lit(None)).otherwise(by_bounds(F.col(key), [F.lit(b) for b in sorted(lower_bounds)]))

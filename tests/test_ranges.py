@@ -3,8 +3,10 @@
 import bisect
 import json
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from changeloom.operators import documents as D
 from changeloom.operators import history as H
@@ -91,3 +93,21 @@ def test_windows_over_servers(spark, seed):
     d = spark.createDataFrame(marks, "chunk_id long, low_set string, high_set string")
     e = spark.createDataFrame(events, "server string, number long, seq long")
     assert {r.chunk_id: (r.low, r.high) for r in N.windows_from_gtids(d, e).collect()} == want
+
+
+def test_schema_positions_of_one_table_are_found_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(H, "INTERVALS", 0)
+    rnd = random.Random(5)
+    seqs = {t: sorted(rnd.sample(range(9_000), n)) for t, n in (("a", 3_000), ("b", 7), (None, 40))}
+    marks = {"a": sorted(rnd.sample(range(1_000, 5_000), 50)), "b": [4_000], None: [2, 8_000], "c": [1]}
+    events = spark.createDataFrame([(t, s) for t, x in seqs.items() for s in [*x, None]], "tbl string, seq long").repartition(5)
+    history = spark.createDataFrame([(s, t) for t, x in marks.items() for s in [*x, None]], "pos long, tbl string")
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = H.for_events(events, history, range_rows=200).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    want = {(t, s): max((m for m in marks[t] if s is not None and m <= s), default=None) for t, x in seqs.items() for s in [*x, None]}
+    assert len(got) == len(want) and {(r.tbl, r.seq): r.schema_pos for r in got} == want
+    assert max(Counter(r.task for r in got).values()) < 2_000
