@@ -4,8 +4,10 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from changeloom.operators import materialize as M
+from changeloom.operators import transactions as T
 from changeloom.plans.catalog import QUERIES
 
 KEYS = [*range(0, 120), *range(19_990, 20_010), *range(39_990, 40_010), 155_000]
@@ -54,3 +56,19 @@ def test_passthrough_batches_in_pieces(spark, most, keys):
     for r in M.passthrough_batches(log, ["key"], most=most, piece_rows=11, fan=3 if keys == 60 else 64).collect():
         got.setdefault(r.tbl, {})[r.seq] = r.batch
     assert got == {t: in_order(x, most) for t, x in rows.items()}
+
+
+def test_events_of_one_capture_stay_in_many_tasks(spark):
+    names = [f"spark.sql.{a}autoBroadcastJoinThreshold" for a in ("", "adaptive.")]
+    was = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        events = spark.range(1_000).repartition(5).select(F.lit("a").alias("tbl"), F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("capture"), F.col("id").alias("lsn"))
+        captures = spark.createDataFrame([("a", "x", 0), ("a", "y", 600)], "tbl string, capture string, start_lsn long")
+        got = T.handed_over(events, captures).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for n, v in was.items():
+            spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+    assert sorted(r.lsn for r in got) == sorted([*range(0, 600, 2), *range(601, 1_000, 2)])
+    assert len({r.task for r in got}) == 5
