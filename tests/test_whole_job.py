@@ -72,3 +72,11 @@ def test_events_of_one_capture_stay_in_many_tasks(spark):
             spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
     assert sorted(r.lsn for r in got) == sorted([*range(0, 600, 2), *range(601, 1_000, 2)])
     assert len({r.task for r in got}) == 5
+
+
+def test_large_objects_are_merged_by_one_sort(spark):
+    rows = [(1, 1, 1, "u", "a", "?"), (1, 1, 2, "u", "?", None), (1, 1, 3, "d", "?", "?"), (1, 1, 4, "u", "?", "?"), (1, 1, 5, "u", "b", "?"), (1, 2, 1, "c", "a", "x"), (1, 2, 2, "u", None, "?"), (None, 2, 3, "u", "q", "z")]
+    d = T.merge_large_objects(spark.createDataFrame(rows, "tx_id long, key long, seq long, op string, s string, lob string"), ["s", "lob"], ["lob"], "?")
+    assert d._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    want = [(1, 1, 1, "u", "a", None), (1, 1, 3, "d", "?", "?"), (1, 1, 4, "u", "?", "?"), (1, 1, 5, "u", "b", "?"), (1, 2, 1, "c", None, "x"), (None, 2, 3, "u", "q", "z")]
+    assert sorted(map(tuple, d.collect()), key=str) == sorted(want, key=str)
