@@ -32,16 +32,16 @@ def _expanded(rows: DataFrame, column: str, depth: int) -> DataFrame:
     rest = [c for c in rows.columns if c != column]
     rows = rows.select(*rest, F.col(f"{column}.path").alias("path"), F.lit(None).cast("string").alias("value"), F.col(f"{column}.v").alias("v"))
     for level in range(1, depth + 1):
-        kind = F.when(F.col("v").isNull(), "").otherwise(F.substring(F.schema_of_variant("v"), 1, 3))
-        fields = F.map_entries(F.try_variant_get(F.when(kind == "OBJ", F.col("v")), "$", "map<string,variant>"))
-        items = F.try_variant_get(F.when(kind == "ARR", F.col("v")), "$", "array<variant>")
+        # children are taken once and tell the kind: a value that is no object, or no array, gives null
+        open_ = (F.size("path") < depth) & F.col("v").isNotNull()
+        rows = rows.withColumn("_fields", F.map_entries(F.when(open_, F.try_variant_get("v", "$", "map<string,variant>"))))
+        rows = rows.withColumn("_items", F.when(open_ & F.col("_fields").isNull(), F.try_variant_get("v", "$", "array<variant>")))
         below = lambda name, v: F.struct(F.concat("path", F.array(name)).alias("path"), F.lit(None).cast("string").alias("value"), v.alias("v"))
         own = lambda value, v: F.array(F.struct(F.col("path"), value.alias("value"), v.alias("v")))
         nothing = F.lit(None).cast("variant")
-        open_ = F.size("path") < depth
         nodes = (
-            F.when(open_ & (kind == "OBJ"), F.concat(own(F.lit(OBJECT), nothing), F.transform(fields, lambda e: below(e["key"], e["value"]))))
-            .when(open_ & (kind == "ARR"), F.concat(own(F.lit(ARRAY), nothing), F.transform(items, lambda x, i: below(i.cast("string"), x))))
+            F.when(F.col("_fields").isNotNull(), F.concat(own(F.lit(OBJECT), nothing), F.transform("_fields", lambda e: below(e["key"], e["value"]))))
+            .when(F.col("_items").isNotNull(), F.concat(own(F.lit(ARRAY), nothing), F.transform("_items", lambda x, i: below(i.cast("string"), x))))
             .otherwise(own(F.coalesce(F.col("value"), F.to_json("v")), nothing))
         )
         rows = rows.select(*rest, F.explode(nodes).alias("n")).select(*rest, "n.*")
