@@ -5,9 +5,9 @@ and their new values), ``removed_fields`` (dotted paths) and ``truncated_arrays`
 writes of single paths.  A write of a path voids what stood there and below; of each path the last write counts, and it stands unless
 a later event voids the path itself or one above it, or cuts the array that it is in.
 
-The fold is two aggregations.  The first reduces all writes of one path of one key before they are shuffled, so a key with very many updates
-sends its distinct paths; the second step is one shuffle of these paths by key, after which prefixes, children and documents of a key
-are all at one place.  There is no Python in it.
+The fold is one shuffle of the events by key, as they are: paths, prefixes, children and documents of a key come into being, and meet, at one place,
+in so many partitions that each holds a bounded number of events.  Keys with very many events go another way: their writes are reduced to one a path before
+they are shuffled, so they send their distinct paths.  There is no Python in it.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Levels of nesting whose paths are told apart; deeper values are kept whole, as JSON.
 DEPTH = 4
+#: Events of one partition of the fold, about, and events above which a key's writes are reduced before the shuffle.
+PARTITION_EVENTS, HOT_EVENTS = 50_000, 100_000
 #: What a node holds that has children.
 OBJECT, ARRAY = "{}", "[]"
 
@@ -85,15 +87,33 @@ def writes(events: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
     return out.unionByName(nodes.select(*keys, "path", "at", F.lit("n").alias("kind"), "value", F.lit(-1).alias("pos")))
 
 
-def folded(events: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
+def folded(events: DataFrame, keys: list[str], depth: int = DEPTH, partition_events: int = PARTITION_EVENTS, hot_events: int = HOT_EVENTS) -> DataFrame:
     """``keys, path, value``: the nodes of each key's present document, after all events in the order of ``seq``.
 
     ``path`` is an array (empty for the document itself); ``value`` is JSON, or ``{}`` and ``[]`` for what has (or had) children.  Keys whose last
     event deletes them are left out.  A JSON null is a value; an absent field has no row.
     """
-    w = writes(events, keys, depth).groupBy(*keys, "path", "kind", "pos").agg(F.max("at").alias("at"), F.max_by("value", F.struct("at", "value")).alias("value"))
-    # one shuffle by key; windows and groups below lie inside it
-    w = w.repartition(*keys)
+    per = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = per.agg(F.sum("_n"), F.max("_n")).first()
+    parts = max(1, -(-(total or 0) // partition_events))
+    if (most or 0) <= hot_events:
+        return _standing(_reduced(events.repartition(parts, *keys), keys, depth), keys)
+    # at most one key in so many events
+    hot = F.broadcast(per.where(F.col("_n") > hot_events).select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_h{i}"))
+    cold = _reduced(events.join(hot, on, "left_anti").repartition(parts, *keys), keys, depth)
+    return _standing(cold, keys).unionByName(_standing(_reduced(events.join(hot, on, "left_semi"), keys, depth).repartition(*keys), keys))
+
+
+def _reduced(events: DataFrame, keys: list[str], depth: int) -> DataFrame:
+    """The last write of each path, kind and place."""
+    return writes(events, keys, depth).groupBy(*keys, "path", "kind", "pos").agg(F.max("at").alias("at"), F.max_by("value", F.struct("at", "value")).alias("value"))
+
+
+def _standing(w: DataFrame, keys: list[str]) -> DataFrame:
+    """The nodes that no later write voids; all windows and groups lie inside the partitions by key."""
     # a node meets the marks of its own path and of every one above it
     node = F.struct(F.col("path").alias("full"), "kind", "at", "value")
     nobody = F.lit(None).cast("struct<full:array<string>,kind:string,at:long,value:string>")

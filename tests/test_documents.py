@@ -1,5 +1,6 @@
 """Partial document updates, folded by path, equal a replay one event at a time."""
 
+import re
 import copy
 import json
 import random
@@ -138,3 +139,16 @@ def test_one_shuffle_by_key_after_the_partial_fold(spark):
     plan = D.documents(d, ["key"])._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning(") == 2
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_events_are_shuffled_before_their_paths(spark):
+    rows = [(k, 10 * k + n, "c" if n == 0 else "u", '{"a":{"x":1},"t":[1,2]}' if n == 0 else None, f'{{"a.x":{n},"b{n}":null}}' if n else None) for k in range(4) for n in range(2 + 3 * k)]
+    events = spark.createDataFrame(rows, "k long, seq long, op string, after string, updated_fields string")
+    got = {}
+    for hot in (100, 4):
+        d = D.folded(events, ["k"], partition_events=5, hot_events=hot)
+        if hot == 100:
+            assert "path" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", d._jdf.queryExecution().executedPlan().toString()))
+        got[hot] = {(r.k, *r.path): r.value for r in d.collect()}
+    assert got[100] == got[4]
+    assert got[4] == {(k, *path): v for k in range(4) for path, v in [((), "{}"), (("a",), "{}"), (("a", "x"), str(1 + 3 * k)), (("t",), "[]"), (("t", "0"), "1"), (("t", "1"), "2"), *((((f"b{n}"),), "null") for n in range(1, 2 + 3 * k))]}
