@@ -95,7 +95,8 @@ def folded(events: DataFrame, keys: list[str], depth: int = DEPTH, partition_eve
     """
     per = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total, most = per.agg(F.sum("_n"), F.max("_n")).first()
-    parts = max(1, -(-(total or 0) // partition_events))
+    # all cores have work on few events too
+    parts = max(events.sparkSession.sparkContext.defaultParallelism, -(-(total or 0) // partition_events))
     if (most or 0) <= hot_events:
         return _standing(_reduced(events.repartition(parts, *keys), keys, depth), keys)
     # at most one key in so many events
