@@ -123,8 +123,8 @@ class BucketTable:
         else:
             kept = base.withColumn("_b", self.bucket()).join(changes.select("_b", *self.keys), ["_b", *self.keys], "left_anti")
             out = fresh.unionByName(kept, allowMissingColumns=True)
-        # a bucket is one shuffle partition's rows or more, so files stay few; AQE can split a large one
-        out.withColumnRenamed("_b", "b").repartition("b").write.partitionBy("b").parquet(f"{self.folder.path}/data/{where}")
+        # small buckets share a task and a large one is split by AQE, which a repartition by "b" would forbid
+        out.withColumnRenamed("_b", "b").hint("rebalance", "b").write.partitionBy("b").parquet(f"{self.folder.path}/data/{where}")
         changes.unpersist()
         written = {int(n[2:]) for n in self.folder.names(f"data/{where}") if n.startswith("b=")}
         buckets = {b: w for b, w in old["buckets"].items() if int(b) not in touched} | {str(b): where for b in sorted(written)}

@@ -111,3 +111,19 @@ def test_column_arrays(spark, tmp_path):
             assert sorted(db.execute("select * from t").fetchall(), key=str) == sorted([(k, None if k == 6 else f"v{k}") for k in range(8) if k != 5], key=str)
     assert [r.key for r in spark.read.parquet(letters).collect()] == ['{"key": 5}']
     assert "UNNEST(?::bigint[], ?::text[])" in D.unnest("t", ["key"], {"key": "bigint", "v": "string"})
+
+
+def test_a_large_bucket_is_written_by_many_tasks(spark, tmp_path):
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    was = {n: spark.conf.get(n) for n in conf}
+    for n, v in conf.items():
+        spark.conf.set(n, v)
+    try:
+        log = spark.range(20_000).selectExpr("id AS seq", "'c' AS op", "CAST(NULL AS STRUCT<key: BIGINT>) AS before", "named_struct('key', id) AS after")
+        table = BucketTable(spark, str(tmp_path / "t"), ["key"], buckets=1)
+        table.apply(log, 0)
+        assert table.read().count() == 20_000 and table.read().distinct().count() == 20_000
+        assert len(table.read().inputFiles()) > 1
+    finally:
+        for n, v in was.items():
+            spark.conf.set(n, v)
