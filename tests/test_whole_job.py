@@ -1,14 +1,16 @@
 """Queries cover all rows of tables that are larger than the smallest scale."""
 
 import random
+import re
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from changeloom.operators import materialize as M
 from changeloom.operators import transactions as T
-from changeloom.plans.catalog import QUERIES
+from changeloom.plans.catalog import ORACLE_SQL, QUERIES
 
 KEYS = [*range(0, 120), *range(19_990, 20_010), *range(39_990, 40_010), 155_000]
 
@@ -80,3 +82,17 @@ def test_large_objects_are_merged_by_one_sort(spark):
     assert d._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
     want = [(1, 1, 1, "u", "a", None), (1, 1, 3, "d", "?", "?"), (1, 1, 4, "u", "?", "?"), (1, 1, 5, "u", "b", "?"), (1, 2, 1, "c", None, "x"), (None, 2, 3, "u", "q", "z")]
     assert sorted(map(tuple, d.collect()), key=str) == sorted(want, key=str)
+
+
+def test_sql_of_passthrough_batches_reaches_every_position():
+    # the ways of doubled length that lead from the first row reach as many batches as positions (BIGINT) can tell apart
+    ways = {int(d) for d in re.findall(r"\bj(\d+) AS MATERIALIZED", ORACLE_SQL["passthrough_batches"])}
+    assert sum(1 << d for d in ways) >= (1 << 63) - 1
+
+
+def test_passthrough_batches_equal_their_sql(spark, large_keys):
+    db = duckdb.connect()
+    for t in ("orders", "customer"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{large_keys}/{t}.parquet'")
+    want = sorted(db.execute(ORACLE_SQL["passthrough_batches"]).fetchall())
+    assert sorted(tuple(r) for r in QUERIES["passthrough_batches"](spark, large_keys).collect()) == want
