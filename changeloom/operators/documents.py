@@ -5,8 +5,9 @@ and their new values), ``removed_fields`` (dotted paths) and ``truncated_arrays`
 writes of single paths.  A write of a path voids what stood there and below; of each path the last write counts, and it stands unless
 a later event voids the path itself or one above it, or cuts the array that it is in.
 
-The fold is one shuffle of the events by key, as they are: paths, prefixes, children and documents of a key come into being, and meet, at one place,
-in so many partitions that each holds a bounded number of events.  Keys with very many events go another way: their writes are reduced to one a path before
+The fold is one shuffle of the events by key, as they are: paths and documents of a key come into being, and meet, at one place, in so many partitions that
+each holds a bounded number of events.  There the writes are sorted once, by key and path in the order of the document: the last writes of a path, the voids and
+cuts above it and the text of a document are each found in one pass in that order.  Keys with very many events go another way: their writes are reduced to one a path before
 they are shuffled, so they send their distinct paths.  There is no Python in it.
 """
 
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 DEPTH = 4
 #: Events of one partition of the fold, about, and events above which a key's writes are reduced before the shuffle.
 PARTITION_EVENTS, HOT_EVENTS = 50_000, 100_000
+#: Slots of keys' hashes in which events are counted first.
+SLOTS = 65_536
 #: What a node holds that has children.
 OBJECT, ARRAY = "{}", "[]"
 
@@ -29,25 +32,32 @@ OBJECT, ARRAY = "{}", "[]"
 def _expanded(rows: DataFrame, column: str, depth: int) -> DataFrame:
     """Each node of the JSON values in ``column`` (``path, v``: where it stands and the value), down to ``depth``, as ``path, value``.
 
-    One generator a level: nodes that hold children stay, as their kind, and their children come beside them.
+    One generator for all levels: the nodes of a value are put together before they become rows.
     """
-    rest = [c for c in rows.columns if c != column]
-    rows = rows.select(*rest, F.col(f"{column}.path").alias("path"), F.lit(None).cast("string").alias("value"), F.col(f"{column}.v").alias("v"))
-    for level in range(1, depth + 1):
+    nobody = F.array().cast("array<struct<key:string,value:variant>>")
+    began = F.col(f"{column}.path")
+
+    def nodes(names: list[Column], v: Column) -> Column:
+        node = lambda value: F.array(F.struct(F.array(*names).cast("array<string>").alias("below"), value.alias("value")))
+        if len(names) == depth:
+            return node(F.to_json(v))
         # children are taken once and tell the kind: a value that is no object, or no array, gives null
-        open_ = (F.size("path") < depth) & F.col("v").isNotNull()
-        rows = rows.withColumn("_fields", F.map_entries(F.when(open_, F.try_variant_get("v", "$", "map<string,variant>"))))
-        rows = rows.withColumn("_items", F.when(open_ & F.col("_fields").isNull(), F.try_variant_get("v", "$", "array<variant>")))
-        below = lambda name, v: F.struct(F.concat("path", F.array(name)).alias("path"), F.lit(None).cast("string").alias("value"), v.alias("v"))
-        own = lambda value, v: F.array(F.struct(F.col("path"), value.alias("value"), v.alias("v")))
-        nothing = F.lit(None).cast("variant")
-        nodes = (
-            F.when(F.col("_fields").isNotNull(), F.concat(own(F.lit(OBJECT), nothing), F.transform("_fields", lambda e: below(e["key"], e["value"]))))
-            .when(F.col("_items").isNotNull(), F.concat(own(F.lit(ARRAY), nothing), F.transform("_items", lambda x, i: below(i.cast("string"), x))))
-            .otherwise(own(F.coalesce(F.col("value"), F.to_json("v")), nothing))
-        )
-        rows = rows.select(*rest, F.explode(nodes).alias("n")).select(*rest, "n.*")
-    return rows.select(*rest, "path", F.coalesce(F.col("value"), F.to_json("v")).alias("value"))
+        open_ = F.size(began) + len(names) < depth
+        fields = F.map_entries(F.when(open_, F.try_variant_get(v, "$", "map<string,variant>")))
+        items = F.transform(F.when(open_, F.try_variant_get(v, "$", "array<variant>")), lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value")))
+
+        def met(c: Column) -> Column:
+            kind = F.when(c["fields"].isNotNull(), OBJECT).when(c["items"].isNotNull(), ARRAY).otherwise(F.to_json(v))
+            children = F.transform(F.coalesce(c["fields"], c["items"], nobody), lambda e: nodes([*names, e["key"]], e["value"]))
+            return F.flatten(F.array(node(kind), F.flatten(children)))
+
+        # a transform of one element, so that children have a name and are not taken again
+        return F.flatten(F.transform(F.array(F.struct(fields.alias("fields"), items.alias("items"))), met))
+
+    rest = [c for c in rows.columns if c != column]
+    # no explode, whose filter of empty arrays would put all nodes together once more
+    out = rows.select(*rest, began.alias("path"), F.explode_outer(nodes([], F.col(f"{column}.v"))).alias("n"))
+    return out.select(*rest, F.concat("path", "n.below").alias("path"), "n.value")
 
 
 def writes(events: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
@@ -79,11 +89,11 @@ def writes(events: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
         F.flatten(F.transform(set_paths, lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 1), lambda k: mark(F.slice(p, F.lit(1), k), "p", F.lit(-1), 1)))),
     )
     base = events.select(*keys, at.alias("_at"), values.alias("_values"), marks.alias("_marks"))
-    out = base.select(*keys, "_at", F.explode("_marks").alias("m")).select(*keys, "m.path", (F.col("_at") + F.col("m.late")).alias("at"), "m.kind", F.lit(None).cast("string").alias("value"), "m.pos")
+    out = base.select(*keys, "_at", F.explode_outer("_marks").alias("m")).where("m is not null").select(*keys, "m.path", (F.col("_at") + F.col("m.late")).alias("at"), "m.kind", F.lit(None).cast("string").alias("value"), "m.pos")
     # elements of an array that is cut lie one level deeper
     deep = F.size("path") + (F.col("kind") == "c").cast("int") > depth
     out = out.withColumn("path", F.when(deep, F.raise_error(F.concat(F.lit("an update below the levels that are told apart: "), F.array_join("path", "."))).cast("array<string>")).otherwise(F.col("path")))
-    nodes = _expanded(base.select(*keys, (F.col("_at") + 1).alias("at"), F.explode("_values").alias("_n")), "_n", depth)
+    nodes = _expanded(base.select(*keys, (F.col("_at") + 1).alias("at"), F.explode_outer("_values").alias("_n")).where("_n is not null"), "_n", depth)
     return out.unionByName(nodes.select(*keys, "path", "at", F.lit("n").alias("kind"), "value", F.lit(-1).alias("pos")))
 
 
@@ -93,40 +103,81 @@ def folded(events: DataFrame, keys: list[str], depth: int = DEPTH, partition_eve
     ``path`` is an array (empty for the document itself); ``value`` is JSON, or ``{}`` and ``[]`` for what has (or had) children.  Keys whose last
     event deletes them are left out.  A JSON null is a value; an absent field has no row.
     """
-    per = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, most = per.agg(F.sum("_n"), F.max("_n")).first()
+    return _standing(events, keys, depth, partition_events, hot_events).select(*keys, _path(depth).alias("path"), "value")
+
+
+def _standing(events: DataFrame, keys: list[str], depth: int, partition_events: int = PARTITION_EVENTS, hot_events: int = HOT_EVENTS) -> DataFrame:
+    """:func:`folded` with the steps of the paths, in partitions by key that are sorted by key and steps."""
+    slot = F.pmod(F.hash(*keys), F.lit(SLOTS))
+    slots = events.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = slots.agg(F.sum("_n"), F.max("_n")).first()
     # all cores have work on few events too
     parts = max(events.sparkSession.sparkContext.defaultParallelism, -(-(total or 0) // partition_events))
-    if (most or 0) <= hot_events:
-        return _standing(_reduced(events.repartition(parts, *keys), keys, depth), keys)
-    # at most one key in so many events
-    hot = F.broadcast(per.where(F.col("_n") > hot_events).select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
-    on = F.lit(True)
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_h{i}"))
-    cold = _reduced(events.join(hot, on, "left_anti").repartition(parts, *keys), keys, depth)
-    return _standing(cold, keys).unionByName(_standing(_reduced(events.join(hot, on, "left_semi"), keys, depth).repartition(*keys), keys))
+    if (most or 0) > hot_events:  # keys are counted only where so many events share a slot
+        full = slots.where(F.col("_n") > hot_events).select("_slot")
+        per = events.join(F.broadcast(full), slot == F.col("_slot"), "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_events)
+        if not per.isEmpty():
+            # at most one key in so many events
+            hot = F.broadcast(per.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
+            on = F.lit(True)
+            for i, k in enumerate(keys):
+                on = on & F.col(k).eqNullSafe(F.col(f"_h{i}"))
+            cold = _reduced(events.join(hot, on, "left_anti").repartition(parts, *keys), keys, depth)
+            return _judged(cold, keys, depth).unionByName(_judged(_reduced(events.join(hot, on, "left_semi"), keys, depth).repartition(parts, *keys), keys, depth))
+    return _judged(_reduced(events.repartition(parts, *keys), keys, depth), keys, depth)
+
+
+def _steps(depth: int) -> list[str]:
+    return [f"_p{level}" for level in range(depth)]
+
+
+def _place(name: Column) -> Column:
+    """A name as a place in an array, or null; only what looks like a number is cast, as each failure of a cast makes an exception."""
+    return F.when((F.ascii(name) <= 57) & name.rlike(r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"), name.try_cast("int"))
 
 
 def _reduced(events: DataFrame, keys: list[str], depth: int) -> DataFrame:
-    """The last write of each path, kind and place."""
-    return writes(events, keys, depth).groupBy(*keys, "path", "kind", "pos").agg(F.max("at").alias("at"), F.max_by("value", F.struct("at", "value")).alias("value"))
-
-
-def _standing(w: DataFrame, keys: list[str]) -> DataFrame:
-    """The nodes that no later write voids; all windows and groups lie inside the partitions by key."""
-    # a node meets the marks of its own path and of every one above it
-    node = F.struct(F.col("path").alias("full"), "kind", "at", "value")
-    nobody = F.lit(None).cast("struct<full:array<string>,kind:string,at:long,value:string>")
-    item = lambda path, pos, void, node: F.struct(path.alias("path"), pos.alias("pos"), void.cast("long").alias("void"), node.alias("node"))
-    above = F.transform(F.sequence(F.lit(0), F.size("path")), lambda k: item(F.slice("path", F.lit(1), k), F.coalesce(F.get("path", k).try_cast("int"), F.lit(-1)), F.lit(None), node))
-    met = w.select(*keys, F.explode(F.when(F.col("kind").isin("v", "c"), F.array(item(F.col("path"), F.col("pos"), F.col("at"), nobody))).otherwise(above)).alias("m")).select(*keys, "m.*")
-    # cuts at or before a node's place in the array come before it
-    order = W.partitionBy(*keys, "path").orderBy("pos", F.col("node").isNotNull()).rangeBetween(W.unboundedPreceding, W.currentRow)
-    judged = met.withColumn("_last", F.max("void").over(order)).where("node is not null")
-    alive = judged.groupBy(*keys, "node").agg(F.max("_last").alias("_last")).where("_last is null or _last <= node.at")
-    last = alive.groupBy(*keys, F.col("node.full").alias("path")).agg(F.max_by("node.value", F.struct((F.col("node.kind") == "n").alias("k"), F.col("node.at").alias("a"))).alias("value"))
-    return last.select(*keys, "path", F.coalesce("value", F.lit(OBJECT)).alias("value"))
+    """One row a path and place that is cut: the last write of a node, of a parent that is implied, and of a void or cut.
+
+    A path's steps are columns whose order is that of the document: places in arrays by number, behind the names.  What lies deeper is null, so a
+    path stands before what is below it, and a cut (a place without a name) before the first place that it cuts.
+    """
+    at = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("at")))
+
+    def step(level: int) -> Column:
+        name = F.get("path", F.lit(level))
+        place = F.coalesce(F.when((F.col("kind") == "c") & (F.size("path") == level), F.col("pos")), _place(name))
+        return F.when(place >= 0, F.concat(F.lit("1"), F.lpad(place.cast("string"), 10, "0"), F.coalesce(name, F.lit("")))).otherwise(F.concat(F.lit("0"), name))
+
+    # the size of what a void or cut concerns
+    w = writes(events, keys, depth).select(*keys, *[step(i).alias(c) for i, c in enumerate(_steps(depth))], F.size("path").cast("byte").alias("_size"), "at", "kind", "value")
+    node = F.max(F.when(F.col("kind") == "n", F.struct("at", "value"))).alias("_node")
+    return w.groupBy(*keys, *_steps(depth)).agg(F.max("_size").alias("_size"), node, at("p").alias("_parent"), F.greatest(at("v"), at("c")).alias("_void"))
+
+
+def _judged(rows: DataFrame, keys: list[str], depth: int) -> DataFrame:
+    """The nodes that no later event voids: one window by key, in the order of the steps."""
+    steps = _steps(depth)
+    so_far = W.partitionBy(*keys).orderBy(*steps).rowsBetween(W.unboundedPreceding, W.currentRow)
+    void, size = F.col("_void"), F.col("_size")
+    # of the voids and cuts of a level, so far, the latest of the last path: it concerns a row below that path, and no other path can
+    met = [F.max(F.when((size == level) & void.isNotNull(), F.struct(*steps[:level], void.alias("at")))).over(so_far).alias(f"_v{level}") for level in range(depth)]
+    rows = rows.select("*", *met)
+    above = []
+    for level in range(depth):
+        same = F.lit(True)
+        for c in steps[:level]:
+            same = same & (F.col(f"_v{level}.{c}") == F.col(c))
+        above.append(F.when(same, F.col(f"_v{level}.at")))
+    last = F.greatest(void, *above)
+    stands = lambda at: at.isNotNull() & (last.isNull() | (last <= at))
+    value = F.when(stands(F.col("_node.at")), F.col("_node.value")).when(stands(F.col("_parent")), OBJECT)
+    return rows.select(*keys, *steps, "_size", value.alias("value")).where("value is not null")
+
+
+def _path(depth: int) -> Column:
+    """The names of the steps."""
+    return F.slice(F.array(*[F.when(F.col(c).startswith("1"), F.substring(c, 12, 1 << 30)).otherwise(F.substring(c, 2, 1 << 30)) for c in _steps(depth)]), F.lit(1), F.col("_size").cast("int"))
 
 
 def documents(events: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:

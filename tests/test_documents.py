@@ -152,3 +152,30 @@ def test_events_are_shuffled_before_their_paths(spark):
         got[hot] = {(r.k, *r.path): r.value for r in d.collect()}
     assert got[100] == got[4]
     assert got[4] == {(k, *path): v for k in range(4) for path, v in [((), "{}"), (("a",), "{}"), (("a", "x"), str(1 + 3 * k)), (("t",), "[]"), (("t", "0"), "1"), (("t", "1"), "2"), *((((f"b{n}"),), "null") for n in range(1, 2 + 3 * k))]}
+
+
+def test_paths_are_sorted_once_and_documents_put_together_in_that_order(spark):
+    d = spark.createDataFrame([(1, 1, "c", '{"a":[1]}', None, None, None)], KIND)
+    for df, windows, groups in ((D.folded(d, ["key"]), 1, 1),):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert (len(re.findall(r"\bSort \[", plan)), len(re.findall(r"\bWindow \[", plan))) == (1, windows)
+        assert len(re.findall(r"\b(?:Sort|Hash|ObjectHash)Aggregate\(", plan)) == 2 * groups  # each in two halves
+
+
+def test_names_that_look_like_numbers(spark):
+    rows = [
+        (1, 1, "c", '{"10":1,"9":{"x":[]},"-3":2,"b":[1,{"2":"]"},3],"1e":{},"":0,"[q]":[[]]}', None, None, None),
+        (1, 2, "u", None, '{"9.y":"[","b.1.10":null}', None, None),
+        (1, 3, "u", None, None, None, [("b", 2)]),
+        (2, 1, "c", '{"b":[0,1,2,3,4,5,6,7,8,9,10,11],"ba":[1]}', None, None, None),
+        (2, 2, "u", None, None, None, [("b", 10)]),
+        (2, 3, "u", None, '{"b.10":7}', None, [("b", 3)]),
+        (3, 1, "c", '{"a":5}', None, None, None),
+        (3, 2, "u", None, '{"a.b":1}', None, None),
+    ]
+    for hot in (100, 1):
+        got = {(r.key, *r.path): r.value for r in D.folded(spark.createDataFrame(rows, KIND), ["key"], hot_events=hot).where("key <> 1").collect()}
+        assert got == {(2,): "{}", (2, "b"): "[]", **{(2, "b", str(i)): str(i) for i in range(3)}, (2, "b", "10"): "7", (2, "ba"): "[]", (2, "ba", "0"): "1", (3,): "{}", (3, "a"): "5", (3, "a", "b"): "1"}
+    got = {r.key: json.loads(r.document) for r in D.documents(spark.createDataFrame(rows, KIND), ["key"]).collect()}
+    first = {"10": 1, "9": {"x": [], "y": "["}, "-3": 2, "b": [1, {"2": "]", "10": None}], "1e": {}, "": 0, "[q]": [[]]}
+    assert got == {1: first, 2: {"b": [0, 1, 2, 7], "ba": [1]}, 3: {"a": {"b": 1}}}
