@@ -183,29 +183,25 @@ def _path(depth: int) -> Column:
 def documents(events: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
     """``keys, document``: each key's present document as JSON, fields in the order of their names.
 
-    Children are put into their parents level by level, all of a key on one node.
+    The nodes stand in the order of the document, so each one's text is its own and the brackets that open or close before the next node.
     """
-    rows = folded(events, keys, depth).select(*keys, "path", "value", F.array().cast("array<struct<i:int,name:string,value:string>>").alias("children"))
-    for level in range(depth, -1, -1):
-        # rows of this level have all their children by now
-        field = lambda c: F.concat(F.regexp_replace(F.to_json(F.struct(c["name"].alias("n"))), r'^\{"n":|\}$', ""), F.lit(":"), c["value"])
-        items, fields = (F.array_join(F.transform("children", f), ",") for f in (lambda c: c["value"], field))
-        body = (
-            F.when(F.size("children") == 0, F.col("value"))
-            .when(F.col("value") == ARRAY, F.concat(F.lit("["), items, F.lit("]")))
-            .otherwise(F.concat(F.lit("{"), fields, F.lit("}")))
-        )
-        if level == 0:
-            return rows.where(F.size("path") == 0).select(*keys, body.alias("document"))
-        here = F.size("path") == level
-        name = F.element_at("path", -1)
-        child = F.when(here, F.struct(F.coalesce(name.try_cast("int"), F.lit(-1)).alias("i"), name.alias("name"), body.alias("value")))
-        up = F.when(here, F.slice("path", F.lit(1), F.lit(level - 1))).otherwise(F.col("path"))
-        rows = (
-            rows.select(*keys, up.alias("path"), F.when(~here, F.col("value")).alias("value"), child.alias("c"))
-            .groupBy(*keys, "path")
-            .agg(F.max("value").alias("value"), F.sort_array(F.collect_list("c")).alias("children"))
-        )
+    rows, size = _standing(events, keys, depth), F.col("_size")
+    order = W.partitionBy(*keys).orderBy(*_steps(depth))
+    # the last node of a level, so far, is the one that a deeper node lies in
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    within = [F.last(F.when(size == level, F.col("value") == ARRAY), ignorenulls=True).over(so_far).alias(f"_w{level}") for level in range(depth)]
+    rows = rows.select(*keys, *_steps(depth), "_size", "value", *within, F.row_number().over(order).alias("_at"), F.lag(size).over(order).alias("_before"), F.coalesce(F.lead(size).over(order), F.lit(0)).alias("_after"))
+    # texts are quoted in an array, whose brackets go
+    name = F.concat(F.btrim(F.to_json(F.array(F.get(_path(depth), size.cast("int") - 1))), F.lit("[]")), F.lit(":"))
+    listed = F.get(F.array(*[F.col(f"_w{level}") for level in range(depth)]), size.cast("int") - 1)
+    text = F.concat(
+        F.when((size > 0) & (F.col("_before") >= size), ",").otherwise(""),
+        F.when((size > 0) & ~listed, name).otherwise(""),
+        F.when(F.col("_after") <= size, F.col("value")).when(F.col("value") == ARRAY, "[").otherwise("{"),
+        *[F.when((size > level) & (F.col("_after") <= level), F.when(F.col(f"_w{level}"), "]").otherwise("}")).otherwise("") for level in reversed(range(depth))],
+    )
+    parts = rows.select(*keys, F.struct("_at", text.alias("text")).alias("_t")).groupBy(*keys).agg(F.sort_array(F.collect_list("_t")).alias("_t"))
+    return parts.select(*keys, F.array_join(F.col("_t.text"), "").alias("document"))
 
 
 def current(events: DataFrame, keys: list[str], schema: str, depth: int = DEPTH) -> DataFrame:

@@ -156,7 +156,7 @@ def test_events_are_shuffled_before_their_paths(spark):
 
 def test_paths_are_sorted_once_and_documents_put_together_in_that_order(spark):
     d = spark.createDataFrame([(1, 1, "c", '{"a":[1]}', None, None, None)], KIND)
-    for df, windows, groups in ((D.folded(d, ["key"]), 1, 1),):
+    for df, windows, groups in ((D.folded(d, ["key"]), 1, 1), (D.documents(d, ["key"]), 2, 2)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert (len(re.findall(r"\bSort \[", plan)), len(re.findall(r"\bWindow \[", plan))) == (1, windows)
         assert len(re.findall(r"\b(?:Sort|Hash|ObjectHash)Aggregate\(", plan)) == 2 * groups  # each in two halves
